@@ -41,19 +41,26 @@ def read_bundles(spark: SparkSession, path: str, modified_after: str | None = No
     return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def _opened(bundles: DataFrame) -> DataFrame:
-    return bundles.select("file", F.from_json("value", BUNDLE_SCHEMA).alias("bundle"))
+def _parsed(df: DataFrame, text: str, schema: str, name: str, *kept: str) -> DataFrame:
+    """``text`` parsed once into ``name``.
+
+    The parse is generated, not projected: filters on its fields then stay above it,
+    where a projection would be copied into each of them and parsed again.
+    """
+    return df.select(*kept, F.explode_outer(F.array(F.from_json(text, schema))).alias(name))
+
+
+def bundle_entries(bundles: DataFrame) -> DataFrame:
+    """``(file, resource)`` for every entry of every bundle, each as its own JSON text."""
+    opened = _parsed(bundles, "value", BUNDLE_SCHEMA, "bundle", "file").where(F.col("bundle.resourceType") == "Bundle")
+    entries = opened.select("file", F.explode_outer("bundle.entry.resource").alias("resource"))
+    return entries.where(F.col("resource").isNotNull())
 
 
 def bundle_resources(bundles: DataFrame) -> DataFrame:
-    """``(file, resource_type, resource)`` with each resource kept as its own JSON text."""
-    entries = (
-        _opened(bundles)
-        .where(F.col("bundle.resourceType") == "Bundle")
-        .select("file", F.explode("bundle.entry.resource").alias("resource"))
-    )
-    kind = F.from_json("resource", KIND_SCHEMA)["resourceType"]
-    return entries.where(F.col("resource").isNotNull()).select("file", kind.alias("resource_type"), "resource")
+    """``(file, resource_type, resource)`` of all resources, whatever their type."""
+    kinds = _parsed(bundle_entries(bundles), "resource", KIND_SCHEMA, "kind", "file", "resource")
+    return kinds.select("file", F.col("kind.resourceType").alias("resource_type"), "resource")
 
 
 def quarantined_bundles(bundles: DataFrame) -> DataFrame:
@@ -64,11 +71,16 @@ def quarantined_bundles(bundles: DataFrame) -> DataFrame:
         .when(kind != "Bundle", "not_a_bundle")
         .when(entries.isNull() | (F.size(entries) == 0), "no_entries")
     )
-    return _opened(bundles).select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
+    opened = _parsed(bundles, "value", BUNDLE_SCHEMA, "bundle", "file")
+    return opened.select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def _typed(resources: DataFrame, kind: str, schema: str) -> DataFrame:
-    return resources.where(F.col("resource_type") == kind).select(F.from_json("resource", schema).alias("r")).select("r.*")
+def _typed(entries: DataFrame, kind: str, schema: str) -> DataFrame:
+    """Resources of one type. Captured text has no blanks between tokens, so a plain
+    search passes over the other types before anything is parsed."""
+    likely = entries.where(F.contains("resource", F.lit(f'"resourceType":"{kind}"')))
+    typed = _parsed(likely, "resource", f"resourceType string, {schema}", "r")
+    return typed.where(F.col("r.resourceType") == kind).select("r.*")
 
 
 def first(array: Column) -> Column:
@@ -90,8 +102,8 @@ def _us_core(extensions: Column, needle: str) -> Column:
     return F.coalesce(F.nullif(inner["valueCoding"]["display"], F.lit("")), inner["valueString"])
 
 
-def parse_patients(resources: DataFrame) -> DataFrame:
-    r = _typed(resources, "Patient", PATIENT_SCHEMA)
+def parse_patients(entries: DataFrame) -> DataFrame:
+    r = _typed(entries, "Patient", PATIENT_SCHEMA)
     address = first(F.col("address"))
     deceased = F.col("deceasedDateTime").isNotNull() | F.coalesce("deceasedBoolean", F.lit(False))
     return r.select(
@@ -110,8 +122,8 @@ def parse_patients(resources: DataFrame) -> DataFrame:
     )
 
 
-def parse_encounters(resources: DataFrame) -> DataFrame:
-    r = _typed(resources, "Encounter", ENCOUNTER_SCHEMA)
+def parse_encounters(entries: DataFrame) -> DataFrame:
+    r = _typed(entries, "Encounter", ENCOUNTER_SCHEMA)
     start, end = F.col("period.start"), F.col("period.end")
     kind, reason = first(F.col("type")), first(F.col("reasonCode"))
     return r.select(
@@ -133,8 +145,8 @@ def parse_encounters(resources: DataFrame) -> DataFrame:
     )
 
 
-def parse_conditions(resources: DataFrame) -> DataFrame:
-    r = _typed(resources, "Condition", CONDITION_SCHEMA)
+def parse_conditions(entries: DataFrame) -> DataFrame:
+    r = _typed(entries, "Condition", CONDITION_SCHEMA)
     snomed, icd = coding_of_system(F.col("code"), "snomed"), coding_of_system(F.col("code"), "icd")
     return r.select(
         F.col("id").alias("fhir_condition_id"),
@@ -154,8 +166,8 @@ def parse_conditions(resources: DataFrame) -> DataFrame:
     )
 
 
-def parse_claims(resources: DataFrame) -> DataFrame:
-    r = _typed(resources, "ExplanationOfBenefit", CLAIM_SCHEMA)
+def parse_claims(entries: DataFrame) -> DataFrame:
+    r = _typed(entries, "ExplanationOfBenefit", CLAIM_SCHEMA)
 
     def amount(value: Column) -> Column:
         return F.coalesce(value.try_cast("double"), F.lit(0.0))
