@@ -281,6 +281,8 @@ def with_frames(body: str) -> str:
         return body
     frames = ",\n".join(f"{name} AS ({SQL_FRAMES[name].strip()})" for name in ordered)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {frames},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {frames},\n{body[5:]}"
     return f"WITH {frames}\n{body}"

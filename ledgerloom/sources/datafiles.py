@@ -87,13 +87,14 @@ def detect_dialects(files: DataFrame, text: str) -> DataFrame:
     """
     lines = F.split(F.rtrim(text), r"\r?\n")
 
-    def width(line: Column, separator: str) -> Column:
-        return F.size(F.split(line, "[" + separator + "]"))
+    def splitter(separator: str):
+        return lambda line: F.size(F.split(line, f"[{separator}]"))
 
     separator, columns = F, F
     for candidate in SEPARATORS:
-        header = width(F.get(lines, F.lit(0)), candidate)
-        widest = F.array_max(F.transform(lines, lambda line, c=candidate: width(line, c)))
+        width = splitter(candidate)
+        header = width(F.get(lines, F.lit(0)))
+        widest = F.array_max(F.transform(lines, width))
         fits = (header > 1) & (widest <= header)
         separator, columns = separator.when(fits, candidate), columns.when(fits, header)
     return files.withColumns({"separator": separator.otherwise(";"), "column_count": columns.otherwise(1)})
