@@ -16,25 +16,36 @@ def _plain_number(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$"), text.try_cast("double"))
 
 
-def _range_sides(text: Column, is_price: bool) -> tuple[Column, Column]:
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cleaned(text: Column, is_price: bool) -> Column:
     cleaned = F.lower(F.trim(text))
     if is_price:
         cleaned = F.regexp_replace(cleaned, r"[$,]", "")
     cleaned = F.regexp_replace(cleaned, "beds|bed", "")
-    cleaned = F.regexp_replace(F.replace(cleaned, F.lit("studio"), F.lit("0")), " ", "")
-    dash = F.when(F.contains(cleaned, F.lit(EN_DASH)), EN_DASH).otherwise("-")
-    at = F.instr(cleaned, F.lit(EN_DASH))
-    cut = F.when(at > 0, at).otherwise(F.instr(cleaned, F.lit("-")))
-    left = F.when(cut > 0, F.substring(cleaned, F.lit(1), cut - F.lit(1))).otherwise(cleaned)
-    right = F.when(cut > 0, F.substring(cleaned, cut + F.length(dash), F.length(cleaned))).otherwise(cleaned)
-    return _plain_number(left), _plain_number(right)
+    return F.regexp_replace(F.replace(cleaned, F.lit("studio"), F.lit("0")), " ", "")
 
 
 def parse_numeric_range(text: Column, is_price: bool = True) -> Column:
-    """``struct(low, high)`` from ``$1,200 – $1,500`` or ``Studio – 2 Beds``; both or none."""
-    low, high = _range_sides(text, is_price)
-    both = low.isNotNull() & high.isNotNull()
-    return F.struct(F.when(both, low).alias("low"), F.when(both, high).alias("high"))
+    """``struct(low, high)`` from ``$1,200 – $1,500`` or ``Studio – 2 Beds``; both or none.
+
+    Split at the first en dash, else at the first hyphen; without either the one number
+    is both ends.
+    """
+
+    def sides(cleaned: Column) -> Column:
+        dash = F.when(F.contains(cleaned, F.lit(EN_DASH)), EN_DASH).otherwise("-")
+        return F.transform(F.split(cleaned, dash, 2), _plain_number)
+
+    def ends(numbers: Column) -> Column:
+        low, high = F.get(numbers, F.lit(0)), F.element_at(numbers, -1)
+        both = low.isNotNull() & high.isNotNull()
+        return F.struct(F.when(both, low).alias("low"), F.when(both, high).alias("high"))
+
+    return _bound(_bound(_cleaned(text, is_price), sides), ends)
 
 
 def parse_listing_detail(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import settled
 from .running import BLOCK_ROWS, consecutive_runs, position_block, running_by_block
 
 HALT_FRAMES = 5
@@ -28,7 +29,7 @@ def blink_toggles(
     next starts at most ``gap`` frames after the last one ended and no halt lies between.
     Starting state is ON, so the first switch gives OFF.
     """
-    runs = consecutive_runs(frames, keys, frame, F.col(dark) == 0, width)
+    runs = settled(consecutive_runs(frames, keys, frame, F.col(dark) == 0, width))
     block, order = position_block(F.col("first_position"), width), [F.col("first_position")]
     is_blink = F.col("run_length") < HALT_FRAMES
 
@@ -41,9 +42,11 @@ def blink_toggles(
         [F.col("first_position"), F.col("run_length").asc_nulls_last()],
         {"_last_end": ("max", F.when(F.col("run_length").isNull(), F.col("first_position")))},
     ).where(F.col("run_length").isNotNull())
-    steps = ends.withColumn(
-        "_opens",
-        (F.col("_last_end").isNull() | (F.col("first_position") - F.col("_last_end") > gap) | ~is_blink).cast("int"),
+    steps = settled(
+        ends.withColumn(
+            "_opens",
+            (F.col("_last_end").isNull() | (F.col("first_position") - F.col("_last_end") > gap) | ~is_blink).cast("int"),
+        )
     )
     numbered = running_by_block(steps, keys, block, order, {"_nth": ("sum", is_blink.cast("int"))})
     grouped = running_by_block(
@@ -52,7 +55,7 @@ def blink_toggles(
         {"_base": ("max", F.when(F.col("_opens") == 1, F.col("_nth") - is_blink.cast("int")))},
     )
     in_row = F.col("_nth") - F.col("_base")
-    switches = grouped.where(is_blink & (in_row % SWITCH_BLINKS == 0))
+    switches = settled(grouped.where(is_blink & (in_row % SWITCH_BLINKS == 0)))
     counted = running_by_block(switches, keys, block, order, {"_switch": ("sum", F.lit(1))})
     return counted.select(
         *keys,

@@ -45,3 +45,20 @@ def gaze_zone_counts(
 def with_decision(counts: DataFrame) -> DataFrame:
     zones = [F.col(f"dark_{z}") for z in ("left", "centre", "right", "top", "middle", "bottom")]
     return counts.withColumn("action", gaze_decision(*zones))
+
+
+def array_zone_counts(frames: DataFrame, pixels: str, rows: int, columns: int) -> DataFrame:
+    """The same counts for images stored as one array per row, without exploding them."""
+
+    def dark_in(part, which: int):
+        return F.size(F.filter(pixels, lambda v, k: (v <= DARK_LIMIT) & (part(k) == which))).cast("bigint")
+
+    def across(k):
+        return zone(k % columns, F.lit(columns))
+
+    def down(k):
+        return zone(F.floor(k / columns), F.lit(rows))
+
+    names = {"dark_left": (across, 0), "dark_centre": (across, 1), "dark_right": (across, 2),
+             "dark_top": (down, 0), "dark_middle": (down, 1), "dark_bottom": (down, 2)}
+    return frames.withColumns({name: dark_in(part, which) for name, (part, which) in names.items()})

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-COMMIT_SCHEMA = "version bigint, data_path string, watermark timestamp"
+COMMIT_SCHEMA = "version bigint, replaces boolean, data_path string, watermark timestamp, batch bigint"
 
 
 class DuplicateSourceKeys(ValueError):
@@ -53,11 +53,13 @@ def collapse_to_latest(source: DataFrame, key: str, order: Sequence[Column]) ->
 
 
 class VersionedTable:
-    """Parquet versions plus a commit list; the newest commit is the table.
+    """Parquet folders plus a commit list: the newest replacement and what was added since.
 
-    Data are written to a new folder first. One appended commit row then publishes the
-    version together with its watermark, so readers see both or neither. One writer at
-    a time. Catalogues with ``MERGE INTO`` should be used directly instead.
+    Data are written to a new folder first. One appended commit row then publishes them
+    together with the watermark, so readers see both or neither. One writer at a time.
+    A stream passes its batch number, so a repeated batch can be told; the table then
+    belongs to that stream's checkpoint. Catalogues with ``MERGE INTO`` should be used
+    directly instead.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -66,7 +68,7 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits")
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -82,23 +84,36 @@ class VersionedTable:
     def exists(self) -> bool:
         return self._latest() is not None
 
+    def holds(self, batch: int) -> bool:
+        return bool(self.commits().where(F.col("batch") == batch).head(1))
+
     def read(self) -> DataFrame:
-        latest = self._latest()
-        if latest is None:
+        commits = self.commits()
+        start = commits.where("replaces").agg(F.max("version").alias("start")).scalar()
+        parts = commits.where(F.col("version") >= F.coalesce(start, F.lit(0))).orderBy("version").collect()
+        if not parts:
             raise FileNotFoundError(f"no commit below {self.path}")
-        return self.spark.read.parquet(latest.data_path)
+        return self.spark.read.parquet(*[part.data_path for part in parts])
 
-    def commit(self, df: DataFrame, watermark=None) -> int:
+    def read_batch(self, batch: int) -> DataFrame:
+        part = self.commits().where(F.col("batch") == batch).first()
+        return self.spark.read.parquet(part.data_path)
+
+    def commit(self, df: DataFrame, watermark=None, batch: int | None = None, replace: bool = True) -> int:
+        """Publish ``df`` as the whole table, or with ``replace=False`` as an addition."""
         latest = self._latest()
         version = latest.version + 1 if latest else 1
         if watermark is None and latest:
             watermark = latest.watermark
         data_path = f"{self.path}/data/v{version:09d}"
         df.write.mode("overwrite").parquet(data_path)
-        row = self.spark.createDataFrame([(version, data_path, watermark)], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        row = self.spark.createDataFrame([(version, replace, data_path, watermark, batch)], COMMIT_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return version
 
+    def append(self, df: DataFrame, batch: int | None = None) -> int:
+        return self.commit(df, batch=batch, replace=False)
+
     def upsert(self, source: DataFrame, key: str, updates: Sequence[str], watermark=None) -> int:
         """Merge ``source`` into the current version; refuses repeated source keys."""
         require_unique(source, [key])

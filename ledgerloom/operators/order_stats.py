@@ -41,61 +41,34 @@ def exact_percentiles(
         whole = brackets.select(F.struct(*brackets.columns).alias("_all")).scalar()
         placed = values.withColumn("_all", whole).select("_v", "_all.*")
 
-    def low(name: str) -> Column:
-        return F.get(F.col(f"_b_{name}"), F.lit(0))
+    v = F.col("_v")
 
-    def high(name: str) -> Column:
-        return F.get(F.col(f"_b_{name}"), F.lit(1))
+    def placed_at(name: str) -> Column:
+        low, high = F.get(F.col(f"_b_{name}"), F.lit(0)), F.get(F.col(f"_b_{name}"), F.lit(1))
+        side = F.when(v < low, -1).when(v > high, 1).otherwise(0)
+        return F.struct(F.lit(name).alias("_point"), side.alias("_side"))
 
-    v = F.col("_v")
-    outside = placed.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        *[F.count_if(v < low(name)).alias(f"_below_{name}") for name in points],
-        *[F.max(F.when(v < low(name), v)).alias(f"_prev_{name}") for name in points],
-        *[F.min(F.when(v > high(name), v)).alias(f"_next_{name}") for name in points],
-    )
-    hits = F.array_compact(
-        F.array(*[F.when(v.between(low(name), high(name)), F.lit(name)) for name in points])
-    )
+    # One row per value inside a bracket, and one row for everything below or above it.
+    # Of those two only the value next to the bracket can be asked for.
+    inside = F.when(F.col("_at._side") == 0, v)
+    beside = F.when(F.col("_side") < 0, F.max("_v")).otherwise(F.min("_v"))
     counted = (
-        placed.select(*keys, "_v", hits.alias("_hits"))
-        .where(F.size("_hits") > 0)
-        .select(*keys, "_v", F.explode("_hits").alias("_point"))
-        .groupBy(*keys, "_point", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    upto = W.partitionBy(*keys, "_point").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(upto))
-
-    by_point = F.create_map(
-        *[
-            part
-            for name, p in points.items()
-            for part in (
-                F.lit(name),
-                F.struct(
-                    F.lit(p).alias("p"),
-                    F.col(f"_below_{name}").alias("below"),
-                    F.col(f"_prev_{name}").alias("prev"),
-                    F.col(f"_next_{name}").alias("next"),
-                ),
-            )
-        ]
-    )
-    wanted = outside.select(*keys, "_n", F.explode(by_point).alias("_point", "_w")).select(*keys, "_n", "_point", "_w.*")
-    position = F.col("p") * (F.col("_n") - 1)
-    wanted = wanted.withColumns(
-        {"_pos": position, "_lo": F.floor(position) - F.col("below"), "_hi": F.ceil(position) - F.col("below")}
+        placed.select(*keys, "_n", "_v", F.explode(F.array(*[placed_at(name) for name in points])).alias("_at"))
+        .groupBy(*keys, F.col("_at._point").alias("_point"), F.col("_at._side").alias("_side"), inside.alias("_inside"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), beside.alias("_x"))
     )
-    placed_ranks = ranked.join(wanted, [*keys, "_point"])
-    cum = F.col("_cum")
+    upto = W.partitionBy(*keys, "_point").orderBy("_side", "_inside").rowsBetween(W.unboundedPreceding, 0)
+    share = F
+    for name, p in points.items():
+        share = share.when(F.col("_point") == name, F.lit(float(p)))
+    position = share.otherwise(None) * (F.col("_n") - 1)
+    ranked = counted.select(*keys, "_point", "_x", F.sum("_c").over(upto).alias("_cum"), position.alias("_pos"))
 
-    def at(rank: str) -> Column:
-        # Below the bracket the nearest lower value answers, above it the nearest higher one.
-        inside = F.min(F.when(cum > F.col(rank), v))
-        return F.when(F.first(rank) < 0, F.first("prev")).otherwise(F.coalesce(inside, F.first("next")))
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_cum") > rank, F.col("_x")))
 
-    share = F.first("_pos") - F.floor(F.first("_pos"))
-    found = placed_ranks.groupBy(*keys, "_point").agg((at("_lo") + (at("_hi") - at("_lo")) * share).alias("_x"))
-    columns = [F.max(F.when(F.col("_point") == name, F.col("_x"))).alias(name) for name in points]
+    lower, upper = at(F.floor("_pos")), at(F.ceil("_pos"))
+    between = F.max(F.col("_pos") - F.floor("_pos"))
+    found = ranked.groupBy(*keys, "_point").agg((lower + (upper - lower) * between).alias("_found"))
+    columns = [F.max(F.when(F.col("_point") == name, F.col("_found"))).alias(name) for name in points]
     return found.groupBy(*keys).agg(*columns)

@@ -99,3 +99,22 @@ def is_increasing(df: DataFrame, keys: Sequence[str], position: str, value: str,
         F.min("_low").alias("lowest"),
         (F.greatest(F.max("_falls"), F.max("_gap_falls")) == 0).alias("increasing"),
     )
+
+
+def previous_by_block(
+    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], value: str, name: str
+) -> DataFrame:
+    """Add ``name``: the ``value`` of the key's preceding row along ``order``."""
+    blocked = df.withColumn(BLOCK, block)
+    inside = W.partitionBy(*keys, BLOCK).orderBy(*order)
+    local = blocked.withColumns({"_row": F.row_number().over(inside), name: F.lag(value).over(inside)})
+    last = F.max_by(F.struct(value), F.struct(*order))[value]
+    before = W.partitionBy(*keys).orderBy(BLOCK)
+    carried = (
+        blocked.groupBy(*keys, BLOCK).agg(last.alias("_last"))
+        .select(*keys, BLOCK, F.lag("_last").over(before).alias("_carry"))
+    )
+    joined = local.join(carried, [*keys, BLOCK], "left")
+    return joined.withColumn(name, F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col(name))).drop(
+        BLOCK, "_row", "_carry"
+    )

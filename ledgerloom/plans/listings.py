@@ -25,11 +25,18 @@ def standardise(listings: DataFrame, site: str) -> DataFrame:
 
 
 def with_ranges(listings: DataFrame) -> DataFrame:
-    price = parse_numeric_range(F.col("Price"), is_price=True)
-    beds = parse_numeric_range(F.col("Beds"), is_price=False)
-    return listings.withColumns(
-        {"price_min": price["low"], "price_max": price["high"], "beds_min": beds["low"], "beds_max": beds["high"]}
+    parsed = listings.withColumns(
+        {
+            "_price": parse_numeric_range(F.col("Price"), is_price=True),
+            "_beds": parse_numeric_range(F.col("Beds"), is_price=False),
+        }
     )
+    return parsed.withColumns(
+        {
+            "price_min": F.col("_price.low"), "price_max": F.col("_price.high"),
+            "beds_min": F.col("_beds.low"), "beds_max": F.col("_beds.high"),
+        }
+    ).drop("_price", "_beds")
 
 
 def fill_beds(listings: DataFrame) -> DataFrame:
@@ -44,10 +51,13 @@ def fill_prices_by_beds(listings: DataFrame) -> DataFrame:
 
 
 def fill_prices_by_median(listings: DataFrame) -> DataFrame:
-    medians = {
-        c: exact_percentiles(listings, F.col(c), {"median": 0.5}).scalar() for c in ("price_min", "price_max")
-    }
-    return listings.withColumns({c: F.coalesce(F.col(c), median) for c, median in medians.items()})
+    """Missing prices take their column's median; both medians come from one pass."""
+    columns = ("price_min", "price_max")
+    prices = listings.select(*columns).unpivot([], list(columns), "_column", "_price")
+    medians = exact_percentiles(prices, F.col("_price"), {"median": 0.5}, ["_column"]).agg(
+        F.struct(*[F.max(F.when(F.col("_column") == c, F.col("median"))).alias(c) for c in columns]).alias("medians")
+    ).scalar()
+    return listings.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in columns})
 
 
 def merge_sites(by_beds: DataFrame, by_median: DataFrame, *, site_by_beds: str, site_by_median: str) -> DataFrame:

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.merge import VersionedTable
-from ..operators.rows import keep_first_by_key, top_n, union_keep_existing
+from ..operators.rows import keep_first_by_key, top_n
 
 
-def append_unique(table: VersionedTable, batch: DataFrame, key: str, order: list[str]) -> int:
-    """Merge a flattened batch into a Parquet set; rows already there win."""
+def append_unique(table: VersionedTable, batch: DataFrame, key: str, order: list[str], number: int | None = None) -> int:
+    """Add the rows of a flattened batch whose key the set lacks; rows already there win.
+
+    Only the new rows are written. The set itself is read for its key column alone.
+    """
+    fresh = keep_first_by_key(batch, [key], [F.col(c) for c in order])
     if table.exists():
-        merged = union_keep_existing(table.read(), batch, [key], order)
-    else:
-        merged = keep_first_by_key(batch, [key], [F.col(c) for c in order])
-    return table.commit(merged)
+        fresh = fresh.join(table.read().select(key), key, "left_anti").select(*batch.columns)
+    return table.append(fresh, number)
 
 
 def write_sample_csv(df: DataFrame, path: str, key: str, rows: int = 100) -> None:
