@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.listings import parse_listing_detail, parse_numeric_range
 from ledgerloom.operators import profile
 from ledgerloom.plans import listings
+from ledgerloom.session import shared_dir
 from ledgerloom.sources import listings as pages
 
 from .registry import query
@@ -28,6 +29,14 @@ def listing_html_extract(frames):
     return pages.extract_cards(frames.listing_pages, "page_id", "html")
 
 
+@query("listing_csv_scan", '''SELECT "Title", nullif("Price", '') AS "Price", "Address", "Beds", "URL" FROM apartments''')
+def listing_csv_scan(frames):
+    """The first site's listings written as CSV and read back; commas inside texts are quoted."""
+    path = shared_dir(frames.spark, "listings")
+    frames.apartments.drop("arrival").write.option("header", True).option("escape", '"').csv(path)
+    return pages.read_listings(frames.spark, path, APARTMENTS)
+
+
 @query("listing_schema_standardise", f"SELECT {PAD_COLUMNS} FROM padmapper")
 def listing_schema_standardise(frames):
     return listings.standardise(frames.padmapper, PADMAPPER)
