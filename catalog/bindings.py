@@ -43,6 +43,11 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @staticmethod
+    def spread(df: DataFrame, *keys: str) -> DataFrame:
+        """Rows over all cores: a test table is one small file and would be parsed by one task."""
+        return df.repartition(*keys)
+
     # --- claims ---------------------------------------------------------------
 
     @cached_property
@@ -223,7 +228,7 @@ class Frames:
 
     @cached_property
     def patient_bundles(self) -> DataFrame:
-        p = self.person.join(self.table("customer").select(F.col("c_custkey").alias("person_id"), "c_nationkey", "c_mktsegment"), "person_id")
+        p = self.spread(self.person, "person_id").join(self.table("customer").select(F.col("c_custkey").alias("person_id"), "c_nationkey", "c_mktsegment"), "person_id")
         key = F.col("person_id")
         none = F.lit(None).cast("string")
         us_core = lambda url, display, plain: F.struct(
@@ -253,7 +258,7 @@ class Frames:
 
     @cached_property
     def encounter_bundles(self) -> DataFrame:
-        v = self.visit.join(self.table("orders").select(F.col("o_orderkey").alias("visit_occurrence_id"), "o_orderstatus", "o_orderpriority"), "visit_occurrence_id")
+        v = self.spread(self.visit, "visit_occurrence_id").join(self.table("orders").select(F.col("o_orderkey").alias("visit_occurrence_id"), "o_orderstatus", "o_orderpriority"), "visit_occurrence_id")
         key = F.col("visit_occurrence_id")
         resource = F.to_json(F.struct(
             F.lit("Encounter").alias("resourceType"),
@@ -274,7 +279,7 @@ class Frames:
     def line_bundles(self) -> DataFrame:
         """A condition and a claim per line; lines returned by 'N' carry no claim total."""
         owner = self.visit.select("visit_occurrence_id", "person_id")
-        lines = self.line_money.join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+        lines = self.spread(self.line_money, "l_orderkey", "l_linenumber").join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         lines = lines.join(owner, F.col("l_orderkey") == F.col("visit_occurrence_id"))
         number = text(F.col("l_orderkey") * 8 + F.col("l_linenumber"))
         patient = F.concat(F.lit("Patient/"), text(F.col("person_id")))

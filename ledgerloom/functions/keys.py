@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 KEY_MODULUS = 1_000_000_000
+PIECE_DIGITS = 15
 REFERENCE_PREFIXES = ("urn:uuid:", "Patient/", "Encounter/")
 
 
 def hash_mod_key(value: Column, modulus: int = KEY_MODULUS) -> Column:
     """The SHA-256 digest of ``value`` as a number, modulo ``modulus``; null stays null.
 
-    The digest is folded in 32-bit pieces, so no step leaves the bigint range.
+    The digest is folded in pieces of at most 15 hex digits. Each is reduced before it
+    is combined, so no step leaves the bigint range.
     """
     if modulus > 2**31:
         raise ValueError("modulus must fit in 31 bits")
     digest = F.sha2(value.cast("string"), 256)
     rest = F.lit(0).cast("bigint")
-    for start in range(1, 65, 8):
-        piece = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-        rest = (rest * F.lit(2**32) + piece) % F.lit(modulus)
+    for start in range(0, 64, PIECE_DIGITS):
+        digits = min(PIECE_DIGITS, 64 - start)
+        piece = F.conv(F.substring(digest, start + 1, digits), 16, 10).cast("bigint") % F.lit(modulus)
+        rest = (rest * F.lit(16**digits % modulus) + piece) % F.lit(modulus)
     return rest
 
 

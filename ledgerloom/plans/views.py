@@ -47,20 +47,19 @@ def patient_summary(person: DataFrame, visit: DataFrame, cost: DataFrame) -> Dat
 def patient_totals(person: DataFrame, visit: DataFrame, cost: DataFrame) -> DataFrame:
     """Claims and money per person over the visits they had.
 
-    Costs are first reduced to one row per visit and claim id, so a visit or a person
-    with very many claims is spread over the claim ids before it is summed.
+    Summed per person and claim id first: that counts distinct ids, and a person with
+    very many claims is spread over them.
     """
-    charged = cost.where(F.col("total_charge").isNotNull())
-    claims = charged.groupBy("cost_event_id", "cost_id").agg(
-        F.sum("total_charge").alias("total_spend"),
-        F.sum("total_paid").alias("total_payer"),
-        F.sum("paid_by_patient").alias("total_oop"),
-    )
     seen = visit.select("visit_occurrence_id", "person_id").join(person.select("person_id"), "person_id", "left_semi")
+    charged = cost.where(F.col("total_charge").isNotNull()).drop("person_id")
     per_claim = (
-        claims.join(seen, claims["cost_event_id"] == seen["visit_occurrence_id"])
+        charged.join(seen, charged["cost_event_id"] == seen["visit_occurrence_id"])
         .groupBy("person_id", "cost_id")
-        .agg(*[F.sum(c).alias(c) for c in ("total_spend", "total_payer", "total_oop")])
+        .agg(
+            F.sum("total_charge").alias("total_spend"),
+            F.sum("total_paid").alias("total_payer"),
+            F.sum("paid_by_patient").alias("total_oop"),
+        )
     )
     return per_claim.groupBy("person_id").agg(
         F.count("cost_id").alias("claim_count"),

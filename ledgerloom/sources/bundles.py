@@ -35,10 +35,10 @@ SOURCE_TAG = "FHIR_R4"
 
 def read_bundles(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
     """``(file, value)`` for every JSON file below ``path``, optionally only newer ones."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("pathGlobFilter", "*.json")
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def _parsed(df: DataFrame, text: str, schema: str, name: str, *kept: str) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.files import detect_modality, file_extension, point_dtype
 
 HEADER_BYTES = 65_536
+# Header keywords with one value and with one value per field.
+PCD_SCALARS = ("version", "width", "height", "points", "data")
+PCD_ARRAYS = ("fields", "size", "type", "count")
 # Separators in the order they are tried.
 SEPARATORS = (",", ";", "\t", "|")
 
@@ -40,27 +43,32 @@ def read_point_headers(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("file"), text.alias("header"))
 
 
+# The text up to and including the DATA line, whatever its case.
+UP_TO_DATA = r"(?ims)\A.*?^[ \t]*data\b[^\r\n]*"
+
+
 def _values_of(key: str) -> Column:
-    """The words after ``key`` on its last header line, as an array; empty when absent."""
-    lines = F.filter("lines", lambda line: F.upper(F.get(F.split(line, " "), F.lit(0))) == key)
-    words = F.split(F.element_at(lines, -1), " ")
-    return F.when(F.size(lines) > 0, F.slice(words, F.lit(2), F.size(words)))
+    """The words after ``key`` on its last header line, as an array; null when absent."""
+    lines = F.filter("lines", lambda words: F.upper(F.get(words, F.lit(0))) == key)
+    words = F.get(lines, F.size(lines) - 1)
+    return F.slice(words, F.lit(2), F.size(words))
 
 
 def pcd_headers(files: DataFrame) -> DataFrame:
-    """One row per point-cloud header ``(file, header)``: scalars and field arrays."""
-    lines = F.transform(F.split("header", r"\r?\n"), lambda line: F.regexp_replace(F.trim(line), r"\s+", " "))
-    kept = F.filter(lines, lambda line: (line != "") & ~line.startswith("#"))
-    is_data = F.transform(kept, lambda line: F.upper(F.get(F.split(line, " "), F.lit(0))) == "DATA")
-    stop = F.array_position(is_data, F.lit(True))
-    header = F.when(stop > 0, F.slice(kept, F.lit(1), stop.cast("int"))).otherwise(kept)
-    opened = files.select("file", header.alias("lines"))
-    scalars = {name: F.get(_values_of(name.upper()), F.lit(0)) for name in ("version", "width", "height", "points", "data")}
-    arrays = {name: F.coalesce(_values_of(name.upper()), F.array().cast("array<string>")) for name in ("fields", "size", "type", "count")}
-    return opened.select(
+    """One row per point-cloud header ``(file, header)``: scalars and field arrays.
+
+    Everything behind the DATA line is cut off before lines are split.
+    """
+    cut = files.select("file", F.coalesce(F.regexp_substr("header", F.lit(UP_TO_DATA)), "header").alias("head"))
+    words = F.transform(F.split("head", r"\r?\n"), lambda line: F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "))
+    opened = cut.select(
+        "file", F.filter(words, lambda w: (F.get(w, F.lit(0)) != "") & ~F.get(w, F.lit(0)).startswith("#")).alias("lines")
+    )
+    values = opened.select("file", *[_values_of(name.upper()).alias(name) for name in PCD_SCALARS + PCD_ARRAYS])
+    return values.select(
         "file",
-        *[value.alias(name) for name, value in scalars.items()],
-        *[value.alias(name) for name, value in arrays.items()],
+        *[F.get(name, F.lit(0)).alias(name) for name in PCD_SCALARS],
+        *[F.coalesce(F.col(name), F.array().cast("array<string>")).alias(name) for name in PCD_ARRAYS],
     )
 
 

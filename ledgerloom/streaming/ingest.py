@@ -16,7 +16,7 @@ from .jobs import each_batch
 
 def bundle_stream(spark: SparkSession, folder: str, one_per_file: bool = True) -> DataFrame:
     """``(file, value)`` of arriving bundle files; bulk exports hold one bundle per line."""
-    texts = spark.readStream.option("wholetext", one_per_file).text(folder)
+    texts = spark.readStream.text(folder, wholetext=one_per_file)
     return texts.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
