@@ -7,8 +7,10 @@ Every frame is a plain projection or join of whole tables. ``SQL_FRAMES`` in
 from __future__ import annotations
 
 from functools import cached_property
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.functions.files import detect_modality, file_extension
 from ledgerloom.operators.vectors import centroids
@@ -37,11 +39,18 @@ def text(column: Column) -> Column:
 
 
 class Frames:
+    _schemas: ClassVar[dict[str, dict[str, StructType]]] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A table; its schema is read from the files once per session, not once per use."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        known = self._schemas.setdefault(self.spark.sparkContext.applicationId, {})
+        if path not in known:
+            known[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(known[path]).parquet(path)
 
     @staticmethod
     def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -31,6 +31,7 @@ CATEGORY_VALUES = 50
 DATE_SAMPLE = 20
 SAMPLE_VALUES = 5
 TOP_VALUES = 10
+DIGEST_OVER = 64
 
 
 def to_rows(df: DataFrame, position: str, columns: Sequence[str]) -> DataFrame:
@@ -58,9 +59,13 @@ def frequencies(rows: DataFrame) -> DataFrame:
 
 
 def distinct_counts(rows: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct values per column; of long texts only their digests are shuffled."""
     if approximate:
         return rows.groupBy(NAME).agg(F.approx_count_distinct(VALUE).alias("unique_values"))
-    return frequencies(rows).groupBy(NAME).agg(F.count(F.lit(1)).alias("unique_values"))
+    value = F.col(VALUE)
+    short = F.when(F.length(value) > DIGEST_OVER, F.sha2(value, 256)).otherwise(value)
+    seen = rows.where(value.isNotNull()).groupBy(NAME, short.alias("_short")).agg(F.first(F.lit(1)).alias("_one"))
+    return seen.groupBy(NAME).agg(F.count(F.lit(1)).alias("unique_values"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

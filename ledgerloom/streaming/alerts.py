@@ -21,8 +21,8 @@ def crossings(updates: DataFrame, balances: VersionedTable, alerts: VersionedTab
     """Alerts only where a balance falls below the limit.
 
     ``balances`` keeps the last balance per account. A batch is put behind those and each
-    update is compared with the one before it, day by day, so that an account with very
-    many updates is spread over its days.
+    update is compared with the one before it, minute by minute, so that an account with
+    very many updates is spread over its minutes.
     """
 
     def compare(batch: DataFrame, number: int) -> None:
@@ -34,8 +34,8 @@ def crossings(updates: DataFrame, balances: VersionedTable, alerts: VersionedTab
             newer = rows.join(last.select("account_number", F.col("ts").alias("_ts")), "account_number", "left")
             rows = newer.where(F.col("_ts").isNull() | (F.col("ts") > F.col("_ts"))).drop("_ts")
             rows = last.withColumn("is_new", F.lit(False)).unionByName(rows)
-        day = F.unix_date(F.to_date("ts")).cast("bigint")
-        compared = previous_by_block(rows, ["account_number"], day, ["ts", "update_id"], "balance", "before")
+        minute = F.floor(F.unix_timestamp("ts") / 60)
+        compared = previous_by_block(rows, ["account_number"], minute, ["ts", "update_id"], "balance", "before")
         fell = compared.where(F.col("is_new") & is_low(F.col("balance"), F.col("before"), on_crossing_only=True))
         found = fell.select(
             "account_number", "ts", "update_id", "balance", low_balance_message(F.col("account_number")).alias("message")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, files, geo, keys, listings, numbers, privacy
 from ledgerloom.functions.gaze import gaze_decision
+from ledgerloom.functions.sql import register_sql_functions
 from ledgerloom.operators.profile import names_a_time
 from ledgerloom.plans.omop import gender_concept, race_concept
 
@@ -174,3 +175,19 @@ def test_redaction(value_of):
 )
 def test_gaze(value_of, zones, action):
     assert value_of(gaze_decision(*map(F.lit, zones))) == action
+
+
+def test_sql_functions_agree(spark):
+    register_sql_functions(spark)
+    texts = ["abc", "$1,200 – $1,500", "Studio – 2 Beds", "1200-1500", "nan", "$1,200+", "", None, "3 Beds"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(
+        "t", F.expr("hash_mod_key(t)").alias("h"), F.expr("parse_numeric_range(t, true)").alias("p"), F.expr("parse_numeric_range(t, false)").alias("b"),
+        keys.hash_mod_key(F.col("t")).alias("h2"), listings.parse_numeric_range(F.col("t")).alias("p2"),
+        listings.parse_numeric_range(F.col("t"), is_price=False).alias("b2"),
+    )
+    for r in got.collect():
+        assert (r.h, r.p, r.b) == (r.h2, r.p2, r.b2), r.t
+    points = spark.createDataFrame([("0", "0"), ("x", "1"), ("", "1"), (None, "1"), ("91", "0"), (" 42 ", "1"), ("NaN", "2")], "a string, b string")
+    for r in points.select(F.expr("gps_reason(a, b)").alias("x"), geo.gps_reason(F.col("a"), F.col("b")).alias("y")).collect():
+        assert r.x == r.y
