@@ -9,6 +9,7 @@ from ledgerloom.operators import integrity, merge, rows
 from ledgerloom.plans import kpi, omop, star, views
 from ledgerloom.sources import bundles
 
+from .bindings import pick
 from .oracle_frames import avg_money, dec, hash_mod, pct
 from .registry import query
 
@@ -178,8 +179,6 @@ def hash_collision_report(frames):
               WHEN 2 THEN o_custkey::VARCHAR ELSE 'Organization/' || o_custkey END AS VARCHAR) AS target FROM orders""",
 )
 def strip_reference(frames):
-    from .bindings import pick
-
     prefix = pick(F.col("o_orderkey") % 4, "urn:uuid:", "Patient/", "Encounter/", "Organization/")
     reference = F.concat(prefix, F.col("o_custkey").cast("string"))
     return frames.table("orders").select(F.col("o_orderkey").alias("id"), keys.strip_reference(reference).alias("target"))
@@ -294,7 +293,7 @@ def claims_with_conditions(frames):
 
 @query(
     "burden_and_readmission_rate",
-    f"""WITH s AS ({SUMMARY}), h AS ({HIGH_COST.replace('WITH totals AS (' + TOTALS + '),', 'WITH totals AS (' + TOTALS + '),')}), r AS ({READMISSIONS}),
+    f"""WITH s AS ({SUMMARY}), h AS ({HIGH_COST}), r AS ({READMISSIONS}),
         n AS (SELECT CAST(sum(total_spend) AS DECIMAL(18,2)) AS total_spend, CAST(sum(total_oop) AS DECIMAL(18,2)) AS total_out_of_pocket,
                      CAST(sum(total_encounters) AS BIGINT) AS total_encounters,
                      (SELECT count(*) FROM h WHERE cost_category LIKE 'High%') AS high_cost_patient_count,

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, files as names, privacy as redaction
 from ledgerloom.operators import integrity, matrices, profile, rows, vectors
-from ledgerloom.plans import catalogue, omop, privacy
+from ledgerloom.operators.running import is_increasing
+from ledgerloom.plans import catalogue, privacy
 from ledgerloom.sources import datafiles
 
 from .bindings import pick, text
-from .oracle_frames import pct
 from .registry import query
 
 # --- scans ----------------------------------------------------------------------
@@ -446,8 +446,6 @@ def profile_summary(frames):
        SELECT series, min(v) AS lowest, count(*) FILTER (v < before) = 0 AS increasing FROM d GROUP BY 1""",
 )
 def monotonic_epoch_check(frames):
-    from ledgerloom.operators.running import is_increasing
-
     events = frames.table("events")
     by_id = events.select(F.lit("by_id").alias("series"), "event_id", (F.col("event_id") + 1700000000).cast("double").alias("v"))
     by_value = events.select(F.lit("by_value").alias("series"), "event_id", F.col("value").alias("v"))

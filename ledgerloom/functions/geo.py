@@ -18,7 +18,7 @@ class Fence:
 
 
 def as_degrees(text: Column) -> Column:
-    return F.expr("NULL").cast("double") if text is None else F.trim(text).try_cast("double")
+    return F.trim(text).try_cast("double")
 
 
 def gps_reason(lat: Column, lon: Column, fence: Fence | None = None) -> Column:

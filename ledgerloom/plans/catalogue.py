@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.files import dataset_folder, detect_modality, file_extension, object_path, owner_slug, safe_name
+from ..functions.files import (
+    dataset_folder, detect_modality, file_extension, has_numeric_owner, object_path, owner_slug, safe_name,
+)
 from ..operators.rows import keep_first_by_key
 
 MEGABYTE = 1024 * 1024
@@ -196,7 +198,5 @@ def silver_aggregate_stats(files: DataFrame) -> DataFrame:
 
 
 def path_quality(paths: DataFrame, path: str) -> DataFrame:
-    from ..functions.files import has_numeric_owner
-
     verdict = F.when(has_numeric_owner(F.col(path)), "bad").otherwise("good")
     return paths.withColumn("path_quality", verdict)

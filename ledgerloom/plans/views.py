@@ -8,6 +8,7 @@ from ..functions.dates import readmit_window_label
 from ..functions.numbers import MONEY, money, ratio_pct, round_half_up, safe_ratio
 from ..operators.order_stats import exact_percentiles
 from ..operators.ranges import later_within_days, pairs_within_days
+from ..session import settled
 
 HIGH_COST, STANDARD = "High Cost (Top 10%)", "Standard"
 READMIT_DAYS = 30
@@ -73,7 +74,8 @@ def spend_threshold(totals: DataFrame, point: float = HIGH_COST_POINT) -> DataFr
 
 
 def high_cost_patients(person: DataFrame, visit: DataFrame, cost: DataFrame) -> DataFrame:
-    totals = patient_totals(person, visit, cost)
+    # The totals rest on the large joins and are needed for the limit and for the rows.
+    totals = settled(patient_totals(person, visit, cost))
     threshold = spend_threshold(totals).scalar()
     return totals.join(person, "person_id").select(
         F.col("person_id").alias("patient_token"),
