@@ -51,3 +51,10 @@ def op2_decontamination(table):
     from .decontaminate import decontamination_report
 
     return decontamination_report(table("documents"), table("benchmark"))
+
+
+@query("op3_bpe")
+def op3_bpe(table):
+    from .bpe import bpe_report
+
+    return bpe_report(table("documents"))
