@@ -58,3 +58,24 @@ def op3_bpe(table):
     from .bpe import bpe_report
 
     return bpe_report(table("documents"))
+
+
+ESCAPED = r"regexp_replace(coalesce({0}, ''), '([<\[\\])', '\1\\', 'g')"
+
+
+@query(
+    "op10_chat",
+    f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r0, text AS t0 FROM conversations
+           UNION ALL SELECT -1, n, r, s, r, s FROM (SELECT unnest([0, 1]) AS n, unnest(['user', 'assistant']) AS r, '</s>[INST] ok [/INST]' AS s))
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r0 NULLS FIRST, t0 NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(16 + length({ESCAPED.format("role")}) + length({ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
+)
+def op10_chat(table):
+    from .chat import chat_report, format_chat, with_sample_turns
+
+    return chat_report(format_chat(with_sample_turns(table("conversations"))))
