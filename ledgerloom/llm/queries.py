@@ -79,3 +79,17 @@ def op10_chat(table):
     from .chat import chat_report, format_chat, with_sample_turns
 
     return chat_report(format_chat(with_sample_turns(table("conversations"))))
+
+
+@query("op1_language")
+def op1_language(table):
+    from .language import language_report
+
+    return language_report(table("documents"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(table):
+    from .quality_rules import quality_rules_report
+
+    return quality_rules_report(table("documents"))
