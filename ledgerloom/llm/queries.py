@@ -93,3 +93,17 @@ def op9_quality_rules(table):
     from .quality_rules import quality_rules_report
 
     return quality_rules_report(table("documents"))
+
+
+@query("op5_quality")
+def op5_quality(table):
+    from .quality_net import quality_report
+
+    return quality_report(table("documents"), table("labels"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(table):
+    from .toxicity import toxicity_report
+
+    return toxicity_report(table("documents"), table("labels"))

@@ -105,3 +105,11 @@ def bounded_sample(rows: DataFrame, group: str, per_group: int, id_column: str)
     for value, count in sorted(counts.items(), key=lambda kv: str(kv[0])):
         share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, per_group / count))).otherwise(share)
     return rows.where(place < share)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, per_label: int, most_bytes: int) -> DataFrame:
+    """``text`` and ``label`` of the bounded sample; only the sampled ids are broadcast."""
+    chosen = bounded_sample(labels.where(F.col(label).isin(0, 1)), label, per_label, doc_id)
+    chosen = F.broadcast(chosen.select(F.col(doc_id).alias("_id"), F.col(label).alias("label")))
+    wanted = docs.where(F.octet_length(F.coalesce(F.col(text), F.lit(""))) <= most_bytes).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return wanted.join(chosen, "_id").select("_id", "text", "label")
