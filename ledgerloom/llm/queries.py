@@ -107,3 +107,10 @@ def op6_toxicity(table):
     from .toxicity import toxicity_report
 
     return toxicity_report(table("documents"), table("labels"))
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(table):
+    from .near_dup import near_duplicates
+
+    return near_duplicates(table("documents"))
