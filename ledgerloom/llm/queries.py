@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return enter
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
@@ -114,3 +121,17 @@ def op4_near_duplicates(table):
     from .near_dup import near_duplicates
 
     return near_duplicates(table("documents"))
+
+
+@query("op7_secrets")
+def op7_secrets(table):
+    from .secrets import secrets_report
+
+    return secrets_report(table("documents"))
+
+
+@query("op8_pii")
+def op8_pii(table):
+    from .pii import pii_report
+
+    return pii_report(table("documents"), key="key of the registered query")
