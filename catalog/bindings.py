@@ -52,11 +52,6 @@ class Frames:
             known[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(known[path]).parquet(path)
 
-    @staticmethod
-    def spread(df: DataFrame, *keys: str) -> DataFrame:
-        """Rows over all cores: a test table is one small file and would be parsed by one task."""
-        return df.repartition(*keys)
-
     # --- claims ---------------------------------------------------------------
 
     @cached_property
@@ -237,7 +232,7 @@ class Frames:
 
     @cached_property
     def patient_bundles(self) -> DataFrame:
-        p = self.spread(self.person, "person_id").join(self.table("customer").select(F.col("c_custkey").alias("person_id"), "c_nationkey", "c_mktsegment"), "person_id")
+        p = self.person.join(self.table("customer").select(F.col("c_custkey").alias("person_id"), "c_nationkey", "c_mktsegment"), "person_id")
         key = F.col("person_id")
         none = F.lit(None).cast("string")
         us_core = lambda url, display, plain: F.struct(
@@ -267,7 +262,11 @@ class Frames:
 
     @cached_property
     def encounter_bundles(self) -> DataFrame:
-        v = self.spread(self.visit, "visit_occurrence_id").join(self.table("orders").select(F.col("o_orderkey").alias("visit_occurrence_id"), "o_orderstatus", "o_orderpriority"), "visit_occurrence_id")
+        v = self.visit.join(self.table("orders").select(F.col("o_orderkey").alias("visit_occurrence_id"), "o_orderstatus", "o_orderpriority"), "visit_occurrence_id")
+        # The lowest part of an order's lines is the reason, as in ``fact_encounter``.
+        reason = self.table("lineitem").groupBy(F.col("l_orderkey").alias("visit_occurrence_id")).agg(F.min("l_partkey").alias("p_partkey"))
+        named = reason.join(self.table("part").select("p_partkey", "p_name"), "p_partkey")
+        v = v.join(named, "visit_occurrence_id", "left")
         key = F.col("visit_occurrence_id")
         resource = F.to_json(F.struct(
             F.lit("Encounter").alias("resourceType"),
@@ -279,6 +278,7 @@ class Frames:
                 F.concat(F.date_format("visit_start_date", "yyyy-MM-dd"), F.lit("T08:00:00-05:00")).alias("start"),
                 F.when(key % 10 != 3, F.concat(F.date_format("visit_end_date", "yyyy-MM-dd"), F.lit("T09:20:00-05:00"))).alias("end"),
             ).alias("period"),
+            F.when(F.col("p_partkey").isNotNull(), F.array(self._codings(("http://snomed.info/sct", text(F.col("p_partkey")), F.col("p_name"))))).alias("reasonCode"),
             F.struct(F.concat(pick(key % 2, "urn:uuid:", "Patient/"), text(F.col("person_id"))).alias("reference")).alias("subject"),
             F.struct(F.concat(F.lit("Organization/"), text(key % 9)).alias("reference")).alias("serviceProvider"),
         ))
@@ -288,7 +288,7 @@ class Frames:
     def line_bundles(self) -> DataFrame:
         """A condition and a claim per line; lines returned by 'N' carry no claim total."""
         owner = self.visit.select("visit_occurrence_id", "person_id")
-        lines = self.spread(self.line_money, "l_orderkey", "l_linenumber").join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+        lines = self.line_money.join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         lines = lines.join(owner, F.col("l_orderkey") == F.col("visit_occurrence_id"))
         number = text(F.col("l_orderkey") * 8 + F.col("l_linenumber"))
         patient = F.concat(F.lit("Patient/"), text(F.col("person_id")))
@@ -346,6 +346,12 @@ class Frames:
             F.when(key > 0, self._ssn(F.floor(key / 10))).alias("manager_ssn"),
         )
 
+    @cached_property
+    def dependent(self) -> DataFrame:
+        """Every customer as somebody's dependent; some of an employee nobody knows."""
+        key = F.col("c_custkey")
+        return self.table("customer").select(F.col("c_name").alias("name"), self._ssn(key % 1200).alias("employee_ssn"))
+
     @cached_property
     def employee_after(self) -> DataFrame:
         """Managers after a move: nation 1 reports to employee 0, nation 2 to none, the top one to employee 1."""
@@ -514,6 +520,24 @@ class Frames:
             F.when(F.col("toxic") == 1, "failed").otherwise("success").alias("status"),
         )
 
+    @cached_property
+    def users(self) -> DataFrame:
+        """Registered users: the sources of documents in English."""
+        return self.table("documents").where(F.col("lang") == "en").select(F.col("source").alias("user_id")).where(F.col("user_id") != "src3").distinct()
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        """One aggregation per region."""
+        return self.table("region").select(F.col("r_regionkey").alias("silver_id"))
+
+    @cached_property
+    def lineage_steps(self) -> DataFrame:
+        """Lineage of labelled files and of files that are gone, each with its aggregation."""
+        key = F.col("doc_id")
+        return self.table("labels").select(
+            F.when(key % 10 == 0, key + 1_000_000_000).otherwise(key).alias("bronze_file_id"), (key % 7).alias("silver_aggregation_id")
+        )
+
     @cached_property
     def file_quality(self) -> DataFrame:
         return self.table("labels").select(
@@ -652,16 +676,27 @@ class Frames:
 
     @cached_property
     def listing_pages(self) -> DataFrame:
-        """Stored pages with two listing cards each; the second lacks pieces."""
+        """Stored pages with two listing cards each: class lists, any tag, attributes in any order; the second lacks pieces."""
         title = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
         full = F.concat(
-            F.lit('<div class="placard"><span class="property-title">'), title,
+            F.lit('<article data-id="7" class="placard placard-option-diamond"><span class="js-link property-title" title="t">'), title,
             F.lit('</span><p class="property-pricing">$'), text(F.length("html")),
-            F.lit('</p><div class="property-address" title="a">'), text(F.col("page_id")),
-            F.lit(' Oak St</div><p class="property-beds">2 Beds</p><a class="property-link" href="'), F.col("url"), F.lit('">more</a></div>'),
+            F.lit('</p><div class="property-address" title="a"><b>'), text(F.col("page_id")),
+            F.lit(' Oak St</b></div><p class="property-beds">2 Beds</p><a href="'), F.col("url"), F.lit('" class="property-link x">more</a></article>'),
         )
         bare = F.concat(
-            F.lit('<div class="placard"><span class="property-title"> </span><p class="property-pricing">$'),
+            F.lit('<div class="placard"><span class="property-title-wide">no</span><p class="property-pricing">$'),
             text(F.length("url")), F.lit("</p></div>"),
         )
         return self.table("pages").select("page_id", F.concat(F.col("html"), full, bare).alias("html"))
+
+    @cached_property
+    def wide_listing_pages(self) -> DataFrame:
+        """Pages of the second site: class names with a hash behind them, nested links and spans."""
+        full = F.concat(
+            F.lit('<div class="ListItemFull_listItemFull__a1 x"><div class="ListItemFull_address__b2"><a class="l" href="'), F.col("url"), F.lit('">'),
+            text(F.col("page_id")), F.lit(' Elm St</a></div><div class="ListItemFull_price__c3"><span>$'), text(F.length("url")),
+            F.lit('</span></div><div class="ListItemFull_info__phfgd">1–2 Bedrooms Apartments · Area '), text(F.col("page_id") % 9), F.lit("</div></div>"),
+        )
+        bare = F.lit('<div class="ListItemFull_listItemFull__a1"><div class="ListItemFull_info__phfgd">House</div></div>')
+        return self.table("pages").select("page_id", F.concat(F.col("html"), full, bare).alias("html"))

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, keys, numbers
-from ledgerloom.operators import integrity, merge, rows
+from ledgerloom.operators import allocate, integrity, merge, rows
 from ledgerloom.plans import kpi, omop, star, views
+from ledgerloom.session import shared_dir
 from ledgerloom.sources import bundles
 
 from .bindings import pick
-from .oracle_frames import avg_money, dec, hash_mod, pct
+from .oracle_frames import avg_money, dec, hash_mod, pct, wide_key
 from .registry import query
 
+SALT = "salt"
+
 SUMMARY = """
     SELECT p.person_id AS patient_token, gender_source_value AS gender, year_of_birth AS birth_year, race_source_value AS race,
            zip_3digit, coalesce(v.n, 0) AS total_encounters, coalesce(c.n, 0) AS total_claims,
@@ -23,10 +26,12 @@ SUMMARY = """
                       sum(paid_by_patient) AS oop FROM cost GROUP BY 1) c ON p.person_id = c.person_id"""
 
 TOTALS = """
-    SELECT p.person_id, count(DISTINCT c.cost_id) AS claim_count, CAST(sum(total_charge) AS DECIMAL(18,2)) AS total_spend,
-           CAST(sum(total_paid) AS DECIMAL(18,2)) AS total_payer, CAST(sum(paid_by_patient) AS DECIMAL(18,2)) AS total_oop
-    FROM person p JOIN visit v ON p.person_id = v.person_id JOIN cost c ON v.visit_occurrence_id = c.cost_event_id
-    WHERE total_charge IS NOT NULL GROUP BY 1"""
+    SELECT owner AS person_id, count(*) AS claim_count, CAST(sum(spend) AS DECIMAL(18,2)) AS total_spend,
+           CAST(sum(payer) AS DECIMAL(18,2)) AS total_payer, CAST(sum(oop) AS DECIMAL(18,2)) AS total_oop
+    FROM (SELECT cost_id, (SELECT v.person_id FROM visit v WHERE v.visit_occurrence_id = cost_event_id) AS owner,
+                 sum(total_charge) AS spend, sum(total_paid) AS payer, sum(paid_by_patient) AS oop
+          FROM cost WHERE total_charge IS NOT NULL GROUP BY cost_id, cost_event_id)
+    WHERE owner IN (SELECT person_id FROM person) GROUP BY owner"""
 
 HIGH_COST = f"""
     WITH totals AS ({TOTALS}), limits AS (SELECT quantile_cont(CAST(total_spend AS DOUBLE), 0.9) AS threshold FROM totals)
@@ -104,7 +109,7 @@ def fhir_claim(frames):
 
 @query(
     "omop_person",
-    f"""SELECT {hash_mod('fhir_patient_id')} AS person_id,
+    f"""SELECT {wide_key('fhir_patient_id')} AS person_id,
                CASE lower(gender) WHEN 'male' THEN 8507 WHEN 'female' THEN 8532 ELSE 0 END AS gender_concept_id,
                CAST(birth_year AS INTEGER) AS year_of_birth,
                CASE WHEN race ILIKE '%white%' THEN 8527 WHEN race ILIKE '%black%' THEN 8516 WHEN race ILIKE '%asian%' THEN 8515
@@ -117,7 +122,7 @@ def omop_person(frames):
 
 @query(
     "omop_visit_occurrence",
-    f"""SELECT {hash_mod('fhir_encounter_id')} AS visit_occurrence_id, {hash_mod('fhir_patient_id')} AS person_id,
+    f"""SELECT {wide_key('fhir_encounter_id')} AS visit_occurrence_id, {wide_key('fhir_patient_id')} AS person_id,
                9202 AS visit_concept_id, CAST(start_date AS DATE) AS visit_start_date, CAST(end_date AS DATE) AS visit_end_date,
                32035 AS visit_type_concept_id, fhir_encounter_id AS visit_source_value FROM fhir_encounter""",
 )
@@ -127,7 +132,7 @@ def omop_visit_occurrence(frames):
 
 @query(
     "omop_cost",
-    f"""SELECT {hash_mod('claim_id')} AS cost_id, {hash_mod('patient_id')} AS person_id, {hash_mod('encounter_id')} AS cost_event_id,
+    f"""SELECT {wide_key('claim_id')} AS cost_id, {wide_key('patient_id')} AS person_id, {wide_key('encounter_id')} AS cost_event_id,
                'Visit' AS cost_domain_id, 32814 AS cost_type_concept_id, {dec('total_cost')} AS total_charge,
                {dec('payment_amount')} AS total_paid, {dec(dec('total_cost') + ' - ' + dec('payment_amount'))} AS paid_by_patient
         FROM fhir_claim
@@ -139,8 +144,8 @@ def omop_cost(frames):
 
 @query(
     "omop_condition_occurrence",
-    f"""SELECT {hash_mod('fhir_condition_id')} AS condition_occurrence_id, {hash_mod('fhir_patient_id')} AS person_id,
-               {hash_mod('snomed_code')} AS condition_concept_id, CAST(onset_date AS DATE) AS condition_start_date,
+    f"""SELECT {wide_key('fhir_condition_id')} AS condition_occurrence_id, {wide_key('fhir_patient_id')} AS person_id,
+               {wide_key('snomed_code')} AS condition_concept_id, CAST(onset_date AS DATE) AS condition_start_date,
                32020 AS condition_type_concept_id, snomed_code AS condition_source_value FROM fhir_condition""",
 )
 def omop_condition_occurrence(frames):
@@ -149,7 +154,7 @@ def omop_condition_occurrence(frames):
 
 @query(
     "concept_build",
-    f"""SELECT {hash_mod('code')} AS concept_id, left(p_name, 255) AS concept_name, 'Condition' AS domain_id,
+    f"""SELECT {wide_key('code')} AS concept_id, p_name AS concept_name, 'Condition' AS domain_id,
                'SNOMED' AS vocabulary_id, 'Clinical Finding' AS concept_class_id, 'S' AS standard_concept, code AS concept_code
         FROM (SELECT DISTINCT code, p_name FROM bundle_line)""",
 )
@@ -164,9 +169,11 @@ def hash_mod_key(frames):
 
 @query(
     "hash_collision_report",
-    f"""WITH k AS (SELECT {hash_mod("o_orderkey || '-' || o_custkey")} AS key, count(*) AS n FROM orders GROUP BY 1)
-        SELECT CAST(sum(n) AS BIGINT) AS source_ids, count(*) AS hashed_ids, count(*) FILTER (n > 1) AS colliding_keys,
-               CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS colliding_ids FROM k""",
+    f"""WITH i AS (SELECT DISTINCT o_orderkey || '-' || o_custkey AS id FROM orders),
+             k AS (SELECT 'narrow' AS key_kind, {hash_mod('id')} AS key, count(*) AS n FROM i GROUP BY 1, 2
+                   UNION ALL SELECT 'wide', {wide_key('id')}, count(*) FROM i GROUP BY 1, 2)
+        SELECT key_kind, CAST(sum(n) AS BIGINT) AS source_ids, count(*) AS hashed_ids, count(*) FILTER (n > 1) AS colliding_keys,
+               CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS colliding_ids FROM k GROUP BY 1""",
 )
 def hash_collision_report(frames):
     ids = frames.table("orders").select(F.concat_ws("-", "o_orderkey", "o_custkey").alias("id"))
@@ -382,17 +389,16 @@ def payer_gap_by_condition(frames):
 
 
 READMISSION_REPORT = f"""
-    WITH enc AS (SELECT patient_key, encounter_token, full_date AS service_date, total_claim_cost
-                 FROM fact_claims JOIN dim_date USING (date_key) WHERE service_start IS NOT NULL),
-    pairs AS (SELECT a.patient_key, a.encounter_token AS first_enc, date_diff('day', a.service_date, b.service_date) AS days_between,
-                     b.total_claim_cost AS readmit_cost
-              FROM enc a JOIN enc b ON a.patient_key = b.patient_key AND a.encounter_token <> b.encounter_token
-               AND date_diff('day', a.service_date, b.service_date) BETWEEN 1 AND 30)
-    SELECT patient_key, patient_token, gender, state_abbr, count(DISTINCT first_enc) AS readmission_events,
-           CAST(min(days_between) AS INTEGER) AS min_days_to_readmit,
-           CAST(round(CAST(CAST(sum(days_between) AS DOUBLE) / count(*) AS DECIMAL(28,8)), 1) AS DOUBLE) AS avg_days_to_readmit,
-           {dec('sum(readmit_cost)')} AS total_readmit_cost
-    FROM pairs JOIN dim_patient USING (patient_key) GROUP BY 1, 2, 3, 4"""
+    WITH lines AS (SELECT patient_key AS p, encounter_token AS e, date_key AS d, count(*) AS n, sum(coalesce(total_claim_cost, 0)) AS c
+                   FROM fact_claims WHERE service_start IS NOT NULL GROUP BY ALL),
+    dated AS (SELECT p, e, full_date AS day, n, c FROM lines JOIN dim_date ON d = date_key),
+    followed AS (SELECT x.p, x.e, y.day - x.day AS gap, x.n * y.n AS pairs, x.n * y.c AS cost
+                 FROM dated x, dated y WHERE x.p = y.p AND x.e <> y.e AND y.day > x.day AND y.day <= x.day + 30),
+    totals AS (SELECT p, count(DISTINCT e) AS readmission_events, CAST(min(gap) AS INTEGER) AS min_days_to_readmit,
+                      CAST(round(CAST(CAST(sum(gap * pairs) AS DOUBLE) / sum(pairs) AS DECIMAL(28,8)), 1) AS DOUBLE) AS avg_days_to_readmit,
+                      {dec('sum(cost)')} AS total_readmit_cost FROM followed GROUP BY p)
+    SELECT patient_key, patient_token, gender, state_abbr, readmission_events, min_days_to_readmit, avg_days_to_readmit, total_readmit_cost
+    FROM dim_patient JOIN totals ON p = patient_key"""
 
 
 @query("readmission_pairs_by_patient", READMISSION_REPORT)
@@ -400,10 +406,15 @@ def readmission_pairs_by_patient(frames):
     return kpi.readmission_pairs_by_patient(frames.fact_claims, frames.dim_date, frames.dim_patient)
 
 
-@query("multi_key_sort", READMISSION_REPORT + " ORDER BY readmission_events DESC, total_readmit_cost DESC, patient_key LIMIT 50")
+@query(
+    "multi_key_sort",
+    f"SELECT *, row_number() OVER (ORDER BY readmission_events DESC, total_readmit_cost DESC, patient_key) AS place FROM ({READMISSION_REPORT})",
+)
 def multi_key_sort(frames):
+    """The whole report in order, with each row's place."""
     report = readmission_pairs_by_patient(frames)
-    return rows.top_n(report, 50, F.col("readmission_events").desc(), F.col("total_readmit_cost").desc(), F.col("patient_key"))
+    order = [F.col("readmission_events").desc(), F.col("total_readmit_cost").desc(), F.col("patient_key")]
+    return allocate.numbered_by(report, order, "place")
 
 
 @query(
@@ -483,16 +494,16 @@ def star_dim_date(frames):
 
 @query(
     "star_dim_patient",
-    f"""SELECT {hash_mod('fhir_patient_id')} AS patient_key, sha256('salt' || fhir_patient_id) AS patient_token, gender,
+    f"""SELECT {wide_key('fhir_patient_id')} AS patient_key, sha256('salt' || fhir_patient_id) AS patient_token, gender,
                state AS state_abbr FROM fhir_patient""",
 )
 def star_dim_patient(frames):
-    return star.build_dim_patient(fhir_patient(frames), "salt")
+    return star.build_dim_patient(fhir_patient(frames), SALT)
 
 
 @query(
     "star_dim_condition",
-    f"""SELECT {hash_mod('snomed_code')} AS condition_key, category AS condition_category, snomed_code, snomed_display
+    f"""SELECT {wide_key('snomed_code')} AS condition_key, category AS condition_category, snomed_code, snomed_display
         FROM (SELECT DISTINCT snomed_code, snomed_display, category FROM fhir_condition)""",
 )
 def star_dim_condition(frames):
@@ -501,7 +512,7 @@ def star_dim_condition(frames):
 
 @query(
     "star_dim_encounter_type",
-    f"""SELECT {hash_mod('class_code')} AS encounter_type_key, class_display, class_code = 'EMER' AS is_emergency,
+    f"""SELECT {wide_key('class_code')} AS encounter_type_key, class_display, class_code = 'EMER' AS is_emergency,
                class_code IN ('IMP', 'ACUTE', 'NONAC') AS is_inpatient FROM (SELECT DISTINCT class_code, class_display FROM fhir_encounter)""",
 )
 def star_dim_encounter_type(frames):
@@ -510,24 +521,24 @@ def star_dim_encounter_type(frames):
 
 @query(
     "star_fact_encounter",
-    """SELECT sha256(fhir_encounter_id) AS encounter_token, sha256(fhir_patient_id) AS patient_token,
+    """SELECT sha256('salt' || fhir_encounter_id) AS encounter_token, sha256('salt' || fhir_patient_id) AS patient_token,
               CAST(replace(start_date, '-', '') AS INTEGER) AS date_key, encounter_type, reason_code,
               reason_display AS reason_description FROM fhir_encounter""",
 )
 def star_fact_encounter(frames):
-    return star.build_fact_encounter(fhir_encounter(frames))
+    return star.build_fact_encounter(fhir_encounter(frames), SALT)
 
 
 @query(
     "star_fact_claims",
-    f"""SELECT sha256(encounter_id) AS encounter_token, {hash_mod('patient_id')} AS patient_key, CAST(NULL AS BIGINT) AS condition_key,
-               {hash_mod('class_code')} AS encounter_type_key, CAST(replace(start_date, '-', '') AS INTEGER) AS date_key,
+    f"""SELECT sha256('salt' || encounter_id) AS encounter_token, {wide_key('patient_id')} AS patient_key, {wide_key('reason_code')} AS condition_key,
+               {wide_key('class_code')} AS encounter_type_key, CAST(replace(start_date, '-', '') AS INTEGER) AS date_key,
                CAST(start_date AS DATE) AS service_start, {dec('total_cost')} AS total_claim_cost, {dec('payment_amount')} AS payer_coverage,
                {dec(dec('total_cost') + ' - ' + dec('payment_amount'))} AS patient_out_of_pocket
         FROM fhir_claim JOIN fhir_encounter ON encounter_id = fhir_encounter_id""",
 )
 def star_fact_claims(frames):
-    return star.build_fact_claims(fhir_claim(frames), fhir_encounter(frames))
+    return star.build_fact_claims(fhir_claim(frames), fhir_encounter(frames), SALT)
 
 
 # --- upsert -----------------------------------------------------------------------
@@ -591,3 +602,65 @@ def schema_evolution_union(frames):
 def batch_validate(frames):
     rules = {"cost": F.col("total_claim_cost") > 20000, "oop": F.col("patient_out_of_pocket") > 0}
     return integrity.batch_validate(frames.fact_claims, ["date_key"], rules)
+
+
+# --- main path: bundles to results --------------------------------------------------
+
+
+def _landed(frames):
+    """All bundles parsed once and landed by resource type; each parser reads its own part."""
+    every = frames.patient_bundles.unionByName(frames.encounter_bundles).unionByName(frames.line_bundles)
+    path = shared_dir(frames.spark, "resources")
+    bundles.land_by_type(every.unionByName(frames.odd_bundles), path)
+    return lambda kind: bundles.landed_entries(frames.spark, path, kind)
+
+
+def _model(frames):
+    """Person, visit and cost of the common data model, from landed bundles."""
+    entries = _landed(frames)
+    person = omop.build_person(bundles.parse_patients(entries("Patient")))
+    visit = omop.build_visit_occurrence(bundles.parse_encounters(entries("Encounter")))
+    return person, visit, omop.build_cost(bundles.parse_claims(entries("ExplanationOfBenefit")))
+
+
+def _from_bundles(sql: str) -> str:
+    """The direct SQL over one cost row per claim id, with the model's keys."""
+    once = sql.replace("FROM cost ", "FROM cost_once ")
+    return f"SELECT * REPLACE ({wide_key('CAST(patient_token AS VARCHAR)')} AS patient_token) FROM ({once})"
+
+
+@query("bundles_to_patient_summary", _from_bundles(SUMMARY))
+def bundles_to_patient_summary(frames):
+    return views.patient_summary(*_model(frames))
+
+
+@query("bundles_to_high_cost", _from_bundles(HIGH_COST))
+def bundles_to_high_cost(frames):
+    return views.high_cost_patients(*_model(frames))
+
+
+@query(
+    "bundles_to_claim_cost_by_condition",
+    f"""WITH reasons AS (SELECT l_orderkey AS o, min(l_partkey) AS part FROM lineitem GROUP BY 1),
+             seen AS (SELECT DISTINCT l_partkey AS part FROM lineitem)
+        SELECT 'encounter-diagnosis' AS condition_category, count(*) AS claim_count, {avg_money('charge')} AS avg_total_claim,
+               {avg_money('paid')} AS avg_payer_coverage, {avg_money('own_part')} AS avg_patient_oop,
+               {pct('sum(paid)', 'sum(charge)')} AS payer_coverage_pct, {dec('sum(charge)')} AS total_cost_all
+        FROM line_money JOIN reasons ON l_orderkey = o JOIN seen USING (part)""",
+)
+def bundles_to_claim_cost_by_condition(frames):
+    """Bundles to the star schema to the first report; a claim's condition is the reason of its encounter."""
+    entries = _landed(frames)
+    fact = star.build_fact_claims(bundles.parse_claims(entries("ExplanationOfBenefit")), bundles.parse_encounters(entries("Encounter")), SALT)
+    return kpi.claim_cost_by_condition(fact, star.build_dim_condition(bundles.parse_conditions(entries("Condition"))))
+
+
+@query(
+    "star_tokens_join",
+    """SELECT sha256('salt' || fhir_patient_id) AS patient_token, count(*) AS encounters FROM fhir_encounter
+       JOIN (SELECT fhir_patient_id FROM fhir_patient) USING (fhir_patient_id) GROUP BY 1""",
+)
+def star_tokens_join(frames):
+    """Encounters per patient, joined by token: one salt for the whole build."""
+    patients = star_dim_patient(frames).select("patient_token")
+    return star_fact_encounter(frames).join(patients, "patient_token").groupBy("patient_token").agg(F.count(F.lit(1)).alias("encounters"))

@@ -16,11 +16,9 @@ from .registry import query
 # --- scans ----------------------------------------------------------------------
 
 
-@query("parquet_scan", "SELECT l_orderkey, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'")
+@query("parquet_scan", "SELECT * FROM lineitem")
 def parquet_scan(frames):
-    return frames.table("lineitem").select("l_orderkey", "l_shipdate").where(
-        F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
-    )
+    return frames.table("lineitem")
 
 
 @query(
@@ -40,7 +38,8 @@ def binary_manifest_scan(frames):
 
 @query(
     "csv_dialect_scan",
-    """WITH t AS (SELECT doc_id, string_split(regexp_replace(text, '[ ]+$', ''), chr(10)) AS lines FROM documents),
+    """WITH t AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(shown, '[ ]+$', ''), '"([^"]|"")*"', '', 'g'), chr(10)) AS lines
+                  FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '"x, ""y; z"|' || chr(10) || '",name' || chr(10) || '"1,2",' || doc_id ELSE text END AS shown FROM documents)),
             w AS (SELECT doc_id, len(string_split(lines[1], ',')) AS c, list_max([len(string_split(x, ',')) for x in lines]) AS cm,
                          len(string_split(lines[1], ';')) AS s, list_max([len(string_split(x, ';')) for x in lines]) AS sm,
                          len(string_split(lines[1], chr(9))) AS t, list_max([len(string_split(x, chr(9))) for x in lines]) AS tm,
@@ -51,7 +50,10 @@ def binary_manifest_scan(frames):
                         WHEN p > 1 AND pm <= p THEN p ELSE 1 END AS INTEGER) AS column_count FROM w""",
 )
 def csv_dialect_scan(frames):
-    return datafiles.detect_dialects(frames.table("documents"), "text").select("doc_id", "separator", "column_count")
+    """Every fifth text is a file with separators and a line break inside quotes."""
+    quoted = F.concat(F.lit('"x, ""y; z"|\n",name\n"1,2",'), text(F.col("doc_id")))
+    shown = F.when(F.col("doc_id") % 5 == 0, quoted).otherwise(F.col("text"))
+    return datafiles.detect_dialects(frames.table("documents").withColumn("text", shown), "text").select("doc_id", "separator", "column_count")
 
 
 PCD = """
@@ -180,9 +182,9 @@ def modality_hub(frames):
     return _plain_time(catalogue.modality_hub(frames.files, "lidar"))
 
 
-@query("newest_first", "SELECT upload_id, upload_time_utc FROM files ORDER BY upload_time_utc DESC, upload_id LIMIT 20")
+@query("newest_first", "SELECT upload_id, upload_time_utc FROM files ORDER BY upload_time_utc DESC, upload_id")
 def newest_first(frames):
-    return _plain_time(catalogue.newest_first(frames.files).select("upload_id", "upload_time_utc").limit(20))
+    return _plain_time(catalogue.newest_first(frames.files).select("upload_id", "upload_time_utc"))
 
 
 @query(
@@ -249,12 +251,14 @@ def lineage_append(frames):
     "manifest_reconcile",
     """SELECT coalesce(c.file_hash, s.file_hash) AS file_hash, coalesce(c.n, 0) AS catalogue_rows, coalesce(s.n, 0) AS storage_rows,
               CASE WHEN s.n IS NULL THEN 'catalogue_only' WHEN c.n IS NULL THEN 'storage_only' ELSE 'both' END AS status
-       FROM (SELECT file_hash, count(*) AS n FROM files WHERE NOT is_deleted GROUP BY 1) c
-       FULL JOIN (SELECT sha256(text) AS file_hash, count(*) AS n FROM documents WHERE lang <> 'fr' GROUP BY 1) s ON c.file_hash = s.file_hash""",
+       FROM (SELECT file_hash, count(*) AS n FROM files GROUP BY 1) c
+       FULL JOIN (SELECT sha256(text || CASE WHEN lang = 'fr' THEN '!' ELSE '' END) AS file_hash, count(*) AS n FROM documents GROUP BY 1) s
+       ON c.file_hash = s.file_hash""",
 )
 def manifest_reconcile(frames):
-    stored = frames.table("documents").where(F.col("lang") != "fr").select(F.sha2("text", 256).alias("file_hash"))
-    return integrity.manifest_reconcile(frames.files.where(~F.col("is_deleted")), stored, "file_hash")
+    """French texts changed in the store since they were catalogued."""
+    stored = F.concat("text", F.when(F.col("lang") == "fr", "!").otherwise(""))
+    return integrity.manifest_reconcile(frames.files, frames.table("documents").select(F.sha2(stored, 256).alias("file_hash")), "file_hash")
 
 
 @query(
@@ -331,14 +335,16 @@ def _event_rows(frames):
     return profile.to_rows(frames.table("events"), "event_id", EVENT_COLUMNS)
 
 
+UPLOAD_COLUMNS = ["upload_id", "filename", "file_size", "file_hash", "user_id", "owner_name", "owner_email", "dataset", "upload_time_utc"]
+
+
 @query(
     "null_counts",
-    """WITH f AS (SELECT count(*) FILTER (owner_name IS NULL) AS a, count(*) FILTER (dataset IS NULL) AS b, count(*) FILTER (filename IS NULL) AS c FROM uploads)
-       SELECT unnest(['owner_name', 'dataset', 'filename']) AS column_name, unnest([a, b, c]) AS null_count,
-              unnest([a > 0, b > 0, c > 0]) AS has_nulls, a + b + c AS total_null_cells FROM f""",
+    f"""WITH c AS (SELECT unnest({UPLOAD_COLUMNS}) AS column_name, unnest([{', '.join(f'count(*) - count({c})' for c in UPLOAD_COLUMNS)}]) AS null_count FROM uploads)
+        SELECT column_name, null_count, null_count > 0 AS has_nulls, CAST((SELECT sum(null_count) FROM c) AS BIGINT) AS total_null_cells FROM c""",
 )
 def null_counts(frames):
-    return profile.null_counts(frames.uploads.select("owner_name", "dataset", "filename"))
+    return profile.null_counts(frames.uploads)
 
 
 def _rounded(expr: str) -> str:
@@ -413,14 +419,25 @@ def column_profile_timestamp(frames):
     return ranges.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("earliest", "latest")})
 
 
+def _classified(texts: str) -> str:
+    """Types worked out from ``(pos, column_name, value)`` by the same rules, in SQL."""
+    return f"""
+        SELECT column_name, n AS total_values, n - nn AS null_count, nn AS non_null_count, u AS unique_values,
+               CASE WHEN nn = 0 THEN 'empty' WHEN words = nn AND u <= 2 THEN 'boolean'
+                    WHEN numbers = nn AND (list_has_any(regexp_split_to_array(lower(column_name), '[^a-z0-9]+'),
+                         ['time', 'timestamp', 'date', 'epoch', 'unix', 'sec', 'ms', 'ns']) OR (nn = n AND lowest > 1e9 AND falls = 0)) THEN 'timestamp'
+                    WHEN numbers = nn THEN 'numeric' WHEN moments = nn THEN 'timestamp'
+                    WHEN u / n < 0.05 OR u <= 50 THEN 'categorical' ELSE 'text' END AS detected_type
+        FROM (SELECT column_name, count(*) AS n, count(value) AS nn, count(DISTINCT value) AS u, count(v) AS numbers, min(v) AS lowest,
+                     count(*) FILTER (v < before) AS falls, count(TRY_CAST(value AS TIMESTAMP)) AS moments,
+                     count(*) FILTER (lower(value) IN ('true', 'false', 'yes', 'no', '0', '1', '0.0', '1.0')) AS words
+              FROM (SELECT *, lag(v) OVER (PARTITION BY column_name ORDER BY pos) AS before FROM (SELECT *, TRY_CAST(value AS DOUBLE) AS v FROM {texts}))
+              GROUP BY 1)"""
+
+
 @query(
     "classify_column",
-    """SELECT column_name, count(*) AS total_values, count(*) FILTER (value IS NULL) AS null_count, count(value) AS non_null_count,
-              count(DISTINCT value) AS unique_values,
-              CASE column_name WHEN 'ts' THEN 'timestamp' WHEN 'event_type' THEN 'categorical' WHEN 'epoch' THEN 'timestamp'
-                   WHEN 'props' THEN CASE WHEN count(DISTINCT value) / count(*) < 0.05 OR count(DISTINCT value) <= 50 THEN 'categorical' ELSE 'text' END
-                   ELSE 'numeric' END AS detected_type FROM
-       (SELECT column_name, value FROM event_texts UNION ALL SELECT 'epoch', CAST(event_id + 1700000000 AS VARCHAR) FROM events) GROUP BY 1""",
+    _classified("(SELECT pos, column_name, value FROM event_texts UNION ALL SELECT event_id, 'epoch', CAST(event_id + 1700000000 AS VARCHAR) FROM events)"),
 )
 def classify_column(frames):
     events = frames.table("events").withColumn("epoch", F.col("event_id") + 1700000000)
@@ -429,10 +446,8 @@ def classify_column(frames):
 
 @query(
     "profile_summary",
-    """WITH k AS (SELECT column_name, count(*) AS n, count(*) FILTER (value IS NULL) AS nulls,
-                         CASE column_name WHEN 'doc_id' THEN 'numeric' ELSE 'boolean' END AS detected_type FROM label_texts GROUP BY 1)
-       SELECT detected_type, count(*) AS column_count, max(n) AS num_rows, CAST(sum(nulls) AS BIGINT) AS null_cells, sum(nulls) > 0 AS has_nulls,
-              CAST(3 AS BIGINT) AS num_columns FROM k GROUP BY 1""",
+    f"""SELECT detected_type, count(*) AS column_count, max(total_values) AS num_rows, CAST(sum(null_count) AS BIGINT) AS null_cells, sum(null_count) > 0 AS has_nulls,
+               CAST(3 AS BIGINT) AS num_columns FROM ({_classified('label_texts')}) GROUP BY 1""",
 )
 def profile_summary(frames):
     return profile.profile_summary(frames.table("labels"), "doc_id", LABEL_COLUMNS)
@@ -490,17 +505,19 @@ def embedding_topk_cosine(frames):
 
 @query(
     "embedding_refresh_check",
-    """WITH d AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE lang <> 'es'),
-            v AS (SELECT doc_id, CASE WHEN source = 'src1' THEN sha256('') ELSE sha256(text) END AS h FROM documents WHERE lang <> 'de')
+    """WITH d AS (SELECT doc_id, sha256(text) AS h FROM documents),
+            v AS (SELECT CASE WHEN lang = 'de' THEN doc_id + 1000000000 ELSE doc_id END AS doc_id,
+                         CASE WHEN source = 'src1' THEN sha256('') ELSE sha256(text) END AS h FROM documents)
        SELECT coalesce(d.doc_id, v.doc_id) AS doc_id, CASE WHEN v.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'orphan'
               WHEN d.h = v.h THEN 'current' ELSE 'stale' END AS status FROM d FULL JOIN v ON d.doc_id = v.doc_id""",
 )
 def embedding_refresh_check(frames):
-    """A store without German texts, with Spanish ones that were withdrawn, and src1 changed since."""
+    """A store that has German texts under other ids and src1 as it was before it changed."""
     documents = frames.table("documents")
-    current = documents.where(F.col("lang") != "es").select("doc_id", F.sha2("text", 256).alias("h"))
-    stored = documents.where(F.col("lang") != "de").select(
-        "doc_id", F.when(F.col("source") == "src1", F.sha2(F.lit(""), 256)).otherwise(F.sha2("text", 256)).alias("h")
+    current = documents.select("doc_id", F.sha2("text", 256).alias("h"))
+    stored = documents.select(
+        F.when(F.col("lang") == "de", F.col("doc_id") + 1000000000).otherwise(F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("source") == "src1", F.sha2(F.lit(""), 256)).otherwise(F.sha2("text", 256)).alias("h"),
     )
     return vectors.store_consistency(current, stored, "doc_id", "h")
 
@@ -508,8 +525,17 @@ def embedding_refresh_check(frames):
 # --- de-identification ----------------------------------------------------------------
 
 
+# Written out apart from the library's own patterns.
+REDACTED = (
+    ("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}", "[EMAIL REMOVED]"),
+    ('https?://[^ \\t\\r\\n<>"]+', "[URL REMOVED]"),
+    ("\\b[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}\\b", "[IP REMOVED]"),
+    ("([+][0-9]{1,3}[ .-]?)?([(][0-9]{3}[)] ?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}\\b", "[PHONE REMOVED]"),
+)
+
+
 def _redact_sql(expr: str) -> str:
-    for pattern, token in redaction.REDACTIONS:
+    for pattern, token in REDACTED:
         expr = f"regexp_replace({expr}, '{pattern}', '{token}', 'g')"
     return expr
 
@@ -538,8 +564,9 @@ def deid_drop_identifiers(frames):
     "deid_generalise",
     """WITH pop AS (SELECT CAST(100 + c_nationkey AS VARCHAR) AS z, count(*) * 350 AS population FROM customer GROUP BY 1)
        SELECT c_custkey AS person_id, CASE WHEN population IS NULL OR population < 20000 THEN '000' ELSE z END AS zip_3digit,
-              CAST(1900 + c_custkey % 110 AS INTEGER) AS birth_year,
-              CASE WHEN 2024 - (1900 + c_custkey % 110) > 89 THEN '90+' ELSE CAST(2024 - (1900 + c_custkey % 110) AS VARCHAR) END AS age_band
+              CASE WHEN c_custkey % 110 >= 35 THEN CAST(1900 + c_custkey % 110 AS INTEGER) END AS birth_year,
+              CASE WHEN 2024 - (1900 + c_custkey % 110) > 89 THEN '90+' ELSE CAST(2024 - (1900 + c_custkey % 110) AS VARCHAR) END AS age_band,
+              CAST(2010 + c_custkey % 9 AS INTEGER) AS admission_date_year, CAST(2011 + c_custkey % 9 AS INTEGER) AS discharge_date_year
        FROM customer LEFT JOIN pop ON z = CAST(100 + c_nationkey AS VARCHAR)""",
 )
 def deid_generalise(frames):
@@ -548,6 +575,8 @@ def deid_generalise(frames):
     people = customer.select(
         F.col("c_custkey").alias("person_id"), F.concat(region, F.lit("42")).alias("zip"),
         F.make_date((1900 + F.col("c_custkey") % 110).cast("int"), F.lit(6), F.lit(15)).alias("birth_date"),
+        F.make_date((2010 + F.col("c_custkey") % 9).cast("int"), F.lit(12), F.lit(31)).alias("admission_date"),
+        F.make_date((2011 + F.col("c_custkey") % 9).cast("int"), F.lit(1), F.lit(1)).alias("discharge_date"),
     )
     population = customer.groupBy(region.alias("zip_3digit")).agg((F.count(F.lit(1)) * 350).alias("population"))
     return privacy.generalise(people, population, 2024)
@@ -562,3 +591,12 @@ def deid_tokenise(frames):
     orders = privacy.tokenise(frames.table("orders").select("o_orderkey", "o_custkey"), "o_custkey", "s1")
     restricted = privacy.token_map(frames.table("orders"), "o_custkey", "s1")
     return orders.join(restricted, "patient_token").select("o_orderkey", F.col("o_custkey").alias("customer"), "patient_token")
+
+
+@query(
+    "deid_tokenise_numbers",
+    "SELECT sha256('s1|o_orderkey|' || o_orderkey) AS o_orderkey_token, sha256('s1|o_custkey|' || o_custkey) AS o_custkey_token, o_orderstatus FROM orders",
+)
+def deid_tokenise_numbers(frames):
+    """Record and account numbers as tokens."""
+    return privacy.tokenise_columns(frames.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey", "o_custkey"], "s1")

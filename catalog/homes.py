@@ -30,6 +30,15 @@ def listing_html_extract(frames):
     return pages.extract_cards(frames.listing_pages, "page_id", "html")
 
 
+@query(
+    "listing_wide_html_extract",
+    """SELECT page_id, 0 AS card, page_id || ' Elm St' AS address, '$' || length(url) AS price, '1–2' AS bedrooms, 'Area ' || (page_id % 9) AS area, url FROM pages
+       UNION ALL SELECT page_id, 1, '', '', '', 'House', '' FROM pages""",
+)
+def listing_wide_html_extract(frames):
+    return pages.extract_wide_cards(frames.wide_listing_pages, "page_id", "html")
+
+
 @query("listing_csv_scan", '''SELECT "Title", nullif("Price", '') AS "Price", "Address", "Beds", "URL" FROM apartments''')
 def listing_csv_scan(frames):
     """The first site's listings written as CSV and read back; commas inside texts are quoted."""
@@ -154,11 +163,13 @@ def listing_income_enrich(frames):
 
 @query(
     "listing_address_dedupe",
-    """SELECT "Title", "URL" FROM (SELECT address AS "Title", url AS "URL", CAST(replace(url, 'https://p.example/', '') AS BIGINT) AS n FROM padmapper)
-       QUALIFY row_number() OVER (PARTITION BY "Title" ORDER BY n) = 1""",
+    """WITH l AS (SELECT 'padmapper.com' AS "Source", address AS "Title", url AS "URL", CAST(replace(url, 'https://p.example/', '') AS BIGINT) AS n FROM padmapper
+                  UNION ALL SELECT 'apartments.com', "Address", "URL", arrival FROM apartments)
+       SELECT "Source", "Title", "URL" FROM l QUALIFY row_number() OVER (PARTITION BY "Source", "Title" ORDER BY n) = 1""",
 )
 def listing_address_dedupe(frames):
-    """One listing per address, the first to arrive."""
+    """One listing per site and address, the first to arrive."""
     arrival = F.replace(F.col("URL"), F.lit("https://p.example/"), F.lit("")).cast("bigint")
-    site = listings.standardise(frames.padmapper, PADMAPPER)
-    return keep_first_by_key(site, ["Title"], [arrival]).select("Title", "URL")
+    second = listings.standardise(frames.padmapper, PADMAPPER).select("Source", "Title", "URL", arrival.alias("arrival"))
+    first = frames.apartments.select(F.lit(APARTMENTS).alias("Source"), F.col("Address").alias("Title"), "URL", "arrival")
+    return keep_first_by_key(second.unionByName(first), ["Source", "Title"], [F.col("arrival")]).select("Source", "Title", "URL")

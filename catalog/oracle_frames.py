@@ -28,6 +28,11 @@ SQL_FRAMES = {
         SELECT l_orderkey * 8 + l_linenumber AS cost_id, person_id, l_orderkey AS cost_event_id,
                charge AS total_charge, paid AS total_paid, own_part AS paid_by_patient
         FROM line_money JOIN visit ON l_orderkey = visit_occurrence_id""",
+    "cost_once": """
+        SELECT l_orderkey * 8 + l_linenumber AS cost_id, person_id, l_orderkey AS cost_event_id,
+               charge AS total_charge, paid AS total_paid, own_part AS paid_by_patient
+        FROM line_money JOIN visit ON l_orderkey = visit_occurrence_id
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE), charge, paid) = 1""",
     "concept": "SELECT p_partkey AS concept_id, p_name AS concept_name, CAST(p_partkey AS VARCHAR) AS concept_code FROM part",
     "condition": """
         SELECT l_orderkey * 8 + l_linenumber AS condition_occurrence_id, person_id, l_partkey AS condition_concept_id,
@@ -86,9 +91,10 @@ SQL_FRAMES = {
                CASE WHEN visit_occurrence_id % 10 <> 3 THEN
                  CAST(round(CAST((date_diff('day', visit_start_date, visit_end_date) * 86400 + 4800) / 3600.0 AS DECIMAL(20,8)), 2) AS DOUBLE)
                END AS duration_hrs,
-               CAST(NULL AS VARCHAR) AS reason_code, CAST(NULL AS VARCHAR) AS reason_display,
+               CAST(r.part AS VARCHAR) AS reason_code, p_name AS reason_display,
                'Organization/' || CAST(visit_occurrence_id % 9 AS VARCHAR) AS service_provider, 'FHIR_R4' AS data_source
-        FROM visit""",
+        FROM visit LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS part FROM lineitem GROUP BY 1) r ON visit_occurrence_id = l_orderkey
+        LEFT JOIN part ON r.part = p_partkey""",
     "bundle_line": """
         SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS n, CAST(person_id AS VARCHAR) AS patient,
                'e' || CAST(l_orderkey AS VARCHAR) AS encounter, CAST(l_partkey AS VARCHAR) AS code, p_name,
@@ -107,6 +113,12 @@ SQL_FRAMES = {
     "employee": """
         SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS ssn, s_name AS name,
                CASE WHEN s_suppkey > 0 THEN lpad(CAST(s_suppkey // 10 AS VARCHAR), 9, '0') END AS manager_ssn FROM supplier""",
+    "dependent": "SELECT c_name AS name, lpad(CAST(c_custkey % 1200 AS VARCHAR), 9, '0') AS employee_ssn FROM customer",
+    "users": "SELECT DISTINCT source AS user_id FROM documents WHERE lang = 'en' AND source <> 'src3'",
+    "silver": "SELECT r_regionkey AS silver_id FROM region",
+    "lineage_steps": """
+        SELECT CASE WHEN doc_id % 10 = 0 THEN doc_id + 1000000000 ELSE doc_id END AS bronze_file_id, doc_id % 7 AS silver_aggregation_id
+        FROM labels""",
     "employee_after": """
         SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS ssn,
                CASE WHEN s_suppkey = 0 THEN '000000001' WHEN s_nationkey = 1 THEN '000000000' WHEN s_nationkey = 2 THEN NULL
@@ -319,6 +331,11 @@ def dec(expr: str, kind: str = "DECIMAL(18,2)") -> str:
     return f"CAST({expr} AS {kind})"
 
 
+def wide_key(expr: str) -> str:
+    """The first 60 bits of the SHA-256 digest."""
+    return f"CAST('0x' || substr(sha256({expr}), 1, 15) AS BIGINT)"
+
+
 def hash_mod(expr: str) -> str:
     """The SHA-256 digest modulo 10^9, folded over its eight 32-bit pieces."""
     pieces = f"[CAST('0x' || substr(sha256({expr}), 1 + 8 * i, 8) AS BIGINT) for i in range(8)]"

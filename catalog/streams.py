@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.merge import VersionedTable
+from ledgerloom.operators import merge
+from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import telemetry as positions_batch
 from ledgerloom.session import shared_dir
 from ledgerloom.sources import bundles, sinks
@@ -12,21 +15,28 @@ from ledgerloom.streaming import alerts, gaze, ingest, positions
 from ledgerloom.streaming.jobs import file_stream, run_available
 
 from .bindings import Frames
-from .claims import MONEY_COLUMNS
 from .registry import query
-from .telemetry import DECISION, LATEST, plain_time
+from .telemetry import DECISION, LATEST, REJECTS, plain_time
 
 
 def _folder(frames: Frames, purpose: str) -> str:
     return shared_dir(frames.spark, purpose)
 
 
-def _stream(frames: Frames, table: str):
-    return file_stream(frames.spark, frames.sf_dir, frames.table(table).schema, f"{table}.parquet")
+CUTS = (0.25, 0.5, 0.75)
 
 
-def _gps_stream(frames: Frames):
-    return Frames._gps(_stream(frames, "events"))
+def _feed(frames: Frames, table: str, folder: str, job, order=None) -> None:
+    """Let a table arrive as several files along ``order`` (its first column), and run ``job(stream)`` after each."""
+    given = frames.table(table)
+    place = (F.col(given.columns[0]) if order is None else order).cast("double")
+    cuts = given.select(place.alias("place")).approxQuantile("place", CUTS, 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        some = given
+        some = some if low is None else some.where(place > low)
+        some = some if high is None else some.where(place <= high)
+        some.write.mode("append").parquet(f"{folder}/arriving")
+        run_available(job(file_stream(frames.spark, f"{folder}/arriving", given.schema, "part-*")), f"{folder}/progress")
 
 
 # --- loads ------------------------------------------------------------------------
@@ -38,10 +48,11 @@ def _gps_stream(frames: Frames):
        SELECT * FROM merge_staging WHERE encounter_token NOT IN (SELECT encounter_token FROM merge_target)""",
 )
 def flattened_parquet_sink(frames):
-    table = VersionedTable(frames.spark, _folder(frames, "flattened"))
-    for batch in (frames.merge_target, frames.merge_staging, frames.merge_staging):
-        sinks.append_unique(table, batch, "encounter_token", ["total_claim_cost"])
-    return table.read()
+    """Three batches, the last of them sent twice."""
+    table = BatchTable(frames.spark, _folder(frames, "flattened"))
+    for number, batch in ((1, frames.merge_target), (2, frames.merge_staging), (2, frames.merge_staging)):
+        sinks.append_unique(table, batch, "encounter_token", ["total_claim_cost"], number)
+    return table.read().drop("batch")
 
 
 @query(
@@ -71,34 +82,70 @@ def truncate_and_load(frames):
     return frames.spark.read.parquet(path)
 
 
-def _loaded(frames) -> VersionedTable:
-    """A first load, then an upsert that moves the watermark to the newest event."""
-    table = VersionedTable(frames.spark, _folder(frames, "upsert"))
-    times = frames.table("events").agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("b")).first()
-    table.commit(frames.merge_target, times.a)
-    table.upsert(frames.merge_staging, "encounter_token", MONEY_COLUMNS, times.b)
-    return table
+def _increments(frames) -> list[dict]:
+    """Two incremental loads of patient bundles from real files: those of even patients, then of all others.
+
+    Each load reads its watermark from the control rows, takes the newer files only, merges their
+    patients into the set by key, and advances the watermark to the newest file it read. Stores
+    are replaced as a whole, by a new folder.
+    """
+    spark, folder = frames.spark, _folder(frames, "increments")
+    landing, loads = f"{folder}/landing", []
+    target = bundles.parse_patients(bundles.bundle_entries(frames.patient_bundles.limit(0)))
+    control = spark.createDataFrame([], merge.WATERMARKS)
+    for number, odd in enumerate((0, 1), 1):
+        arriving = frames.patient_bundles.where(F.substring_index("file", "/", -1).cast("bigint") % 2 == odd)
+        arriving.select("value").write.mode("append").text(landing)
+        since = control.select(merge.watermark_read(control, "patient").alias("at")).head()
+        newer = bundles.read_bundles(spark, landing, since.at if since else None, one_per_file=False, glob="part-*")
+        flat = bundles.parse_patients(bundles.bundle_entries(newer))
+        updates = [c for c in flat.columns if c != "fhir_patient_id"]
+        sinks.truncate_and_load(merge.merge_upsert(target, flat, "fhir_patient_id", updates), f"{folder}/patient-{number}")
+        newest = newer.agg(F.max("modified").alias("at")).first().at
+        sinks.truncate_and_load(merge.watermark_advance(control, "patient", newest), f"{folder}/control-{number}")
+        target, control = spark.read.parquet(f"{folder}/patient-{number}"), spark.read.parquet(f"{folder}/control-{number}")
+        loads.append({"number": number, "read": flat, "target": target, "control": control, "newest": newest})
+        time.sleep(0.01)  # the next files have a later modification time
+    return loads
+
+
+@query("incremental_file_filter", "SELECT 2 AS load_number, * FROM fhir_patient WHERE CAST(fhir_patient_id AS BIGINT) % 2 = 1")
+def incremental_file_filter(frames):
+    """What the second load read: the patients of the files after the watermark, and no others."""
+    second = _increments(frames)[1]
+    return second["read"].select(F.lit(second["number"]).alias("load_number"), "*")
+
+
+@query("incremental_load", "SELECT * FROM fhir_patient")
+def incremental_load(frames):
+    """The merged set after both loads."""
+    return _increments(frames)[1]["target"]
 
 
-@query("watermark_read", "SELECT max(ts) AS watermark FROM events")
+@query("watermark_read", "SELECT 'patient' AS table_name, true AS at_newest_file")
 def watermark_read(frames):
-    commits = _loaded(frames).commits()
-    return plain_time(commits.agg(F.max_by("watermark", "version").alias("watermark")), "watermark")
+    """The watermark as the control rows hold it, compared with the newest file of the last load."""
+    last = _increments(frames)[-1]
+    at = F.col("watermark") == F.lit(last["newest"])
+    return last["control"].select("table_name", at.alias("at_newest_file"))
 
 
 @query(
     "watermark_advance",
-    """SELECT CAST(1 AS BIGINT) AS version, min(ts) AS watermark FROM events UNION ALL SELECT 2, max(ts) FROM events""",
+    """SELECT 'patient' AS table_name, 1 AS load_number, false AS had_earlier, true AS moved
+       UNION ALL SELECT 'patient', 2, true, true""",
 )
 def watermark_advance(frames):
-    return plain_time(_loaded(frames).commits().select("version", "watermark"), "watermark")
-
-
-@query("incremental_file_filter", "SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-15'")
-def incremental_file_filter(frames):
-    """Rows after the watermark; files are chosen the same way by ``modified_after``."""
-    newer = F.col("ts") > F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    return frames.table("events").where(newer).select("event_id", "ts")
+    """Per load: whether there was a watermark before, and whether it moved forward."""
+    before, rows = frames.spark.createDataFrame([], merge.WATERMARKS), []
+    for load in _increments(frames):
+        earlier = before.select("table_name", F.col("watermark").alias("earlier"))
+        rows.append(load["control"].join(earlier, "table_name", "left").select(
+            "table_name", F.lit(load["number"]).alias("load_number"), F.col("earlier").isNotNull().alias("had_earlier"),
+            (F.col("earlier").isNull() | (F.col("watermark") > F.col("earlier"))).alias("moved"),
+        ))
+        before = load["control"]
+    return rows[0].unionByName(rows[1])
 
 
 # --- streams ----------------------------------------------------------------------
@@ -107,38 +154,37 @@ def incremental_file_filter(frames):
 @query("gps_stream_latest", LATEST)
 def gps_stream_latest(frames):
     folder = _folder(frames, "positions")
-    table = VersionedTable(frames.spark, f"{folder}/latest")
-    run_available(positions.keep_latest(_gps_stream(frames), frames.routes, table), f"{folder}/progress")
-    return plain_time(table.read())
+    table = BatchTable(frames.spark, f"{folder}/latest")
+    _feed(frames, "events", folder, lambda events: positions.keep_latest(Frames._gps(events), frames.routes, table))
+    return plain_time(positions.current(table))
 
 
-@query(
-    "gps_stream_reject_rates",
-    """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, reason, count(*) AS updates FROM gps_checked
-       GROUP BY 1, 2 HAVING CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
-)
+@query("gps_stream_reject_rates", REJECTS)
 def gps_stream_reject_rates(frames):
-    """The days that are over by the time of the last event."""
     folder = _folder(frames, "rejects")
-    writer = positions.reject_rates(_gps_stream(frames)).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/rates")
-    run_available(writer, f"{folder}/progress")
-    return plain_time(frames.spark.read.parquet(f"{folder}/rates"), "window_start")
+    table = BatchTable(frames.spark, f"{folder}/counts")
+    _feed(frames, "events", folder, lambda events: positions.count_rejects(Frames._gps(events), frames.routes, table))
+    return plain_time(positions.rates(table), "window_start")
+
+
+KNOWN = "reason = 'ok' AND route_no IN (SELECT route_no FROM routes)"
 
 
 @query(
     "gps_history",
-    """SELECT event_id, route_no, ts, floor(y * 1e6 + 0.5) / 1e6 AS lat, floor(x * 1e6 + 0.5) / 1e6 AS lon, CAST(ts AS DATE) AS day
-       FROM gps_checked WHERE reason = 'ok'""",
+    f"""SELECT event_id, route_no, ts, floor(y * 1e6 + 0.5) / 1e6 AS lat, floor(x * 1e6 + 0.5) / 1e6 AS lon, CAST(ts AS DATE) AS day
+        FROM gps_checked WHERE {KNOWN}""",
 )
 def gps_history(frames):
     folder = _folder(frames, "history")
-    run_available(positions.history(_gps_stream(frames), f"{folder}/points"), f"{folder}/progress")
+    _feed(frames, "events", folder, lambda events: positions.history(Frames._gps(events), frames.routes, f"{folder}/points"))
     return plain_time(frames.spark.read.parquet(f"{folder}/points"))
 
 
-@query("gps_history_batch", "SELECT event_id, route_no FROM gps_checked WHERE reason = 'ok'")
+@query("gps_history_batch", f"SELECT event_id, route_no FROM gps_checked WHERE {KNOWN}")
 def gps_history_batch(frames):
-    return positions_batch.accepted_positions(frames.gps_updates).select("event_id", "route_no")
+    accepted = positions_batch.accepted_positions(frames.gps_updates)
+    return accepted.join(frames.routes.select("route_no"), "route_no", "left_semi").select("event_id", "route_no")
 
 
 @query("bundle_stream_ingest", "SELECT * FROM fhir_patient")
@@ -146,10 +192,10 @@ def bundle_stream_ingest(frames):
     """Bundles exported line by line, streamed in and flattened."""
     folder = _folder(frames, "bundles")
     frames.patient_bundles.select("value").write.text(f"{folder}/landing")
-    table = VersionedTable(frames.spark, f"{folder}/patient")
+    table = BatchTable(frames.spark, f"{folder}/patient")
     arriving = ingest.bundle_stream(frames.spark, f"{folder}/landing", one_per_file=False)
     run_available(ingest.land_resources(arriving, bundles.parse_patients, table, "fhir_patient_id"), f"{folder}/progress")
-    return table.read()
+    return table.read().drop("batch")
 
 
 @query(
@@ -158,10 +204,14 @@ def bundle_stream_ingest(frames):
 )
 def upload_stream_dedupe(frames):
     folder = _folder(frames, "uploads")
-    arriving = Frames(frames.spark, frames.sf_dir)
-    arriving.table = lambda name: _stream(frames, name)
-    catalogue, lineage = (VersionedTable(frames.spark, f"{folder}/{name}") for name in ("catalogue", "lineage"))
-    run_available(ingest.register_uploads(arriving.uploads, catalogue, lineage), f"{folder}/progress")
+    catalogue, lineage = (BatchTable(frames.spark, f"{folder}/{name}") for name in ("catalogue", "lineage"))
+
+    def register(documents):
+        arriving = Frames(frames.spark, frames.sf_dir)
+        arriving.table = lambda name: documents
+        return ingest.register_uploads(arriving.uploads, catalogue, lineage)
+
+    _feed(frames, "documents", folder, register)
     steps = lineage.read().select(F.col("bronze_file_id").alias("upload_id"), "status")
     return catalogue.read().join(steps, "upload_id").select("file_hash", "status")
 
@@ -170,8 +220,8 @@ UPDATES = "(SELECT user_id AS account_number, ts, event_id AS update_id, CAST(va
 MESSAGE = "'Alert: Account ' || account_number || ' balance dropped below $1000. Interest rate may change.' AS message"
 
 
-def _balance_stream(frames):
-    return _stream(frames, "events").select(
+def _balances(events):
+    return events.select(
         F.col("user_id").alias("account_number"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("update_id"),
         (F.col("value") * 12).cast("decimal(15,2)").alias("balance"),
     )
@@ -180,8 +230,11 @@ def _balance_stream(frames):
 @query("balance_alert_stream", f"SELECT account_number, ts, balance, {MESSAGE} FROM {UPDATES} WHERE balance < 1000")
 def balance_alert_stream(frames):
     folder = _folder(frames, "alerts")
-    writer = alerts.low_balances(_balance_stream(frames)).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/alerts")
-    run_available(writer, f"{folder}/progress")
+
+    def job(events):
+        return alerts.low_balances(_balances(events)).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/alerts")
+
+    _feed(frames, "events", folder, job)
     return plain_time(frames.spark.read.parquet(f"{folder}/alerts"))
 
 
@@ -193,21 +246,24 @@ def balance_alert_stream(frames):
 )
 def balance_crossing_stream(frames):
     folder = _folder(frames, "crossings")
-    balances, found = (VersionedTable(frames.spark, f"{folder}/{name}") for name in ("balances", "alerts"))
-    run_available(alerts.crossings(_balance_stream(frames), balances, found), f"{folder}/progress")
-    return plain_time(found.read())
+    balances, found, late = (BatchTable(frames.spark, f"{folder}/{name}") for name in ("balances", "alerts", "late"))
+    _feed(frames, "events", folder, lambda events: alerts.crossings(_balances(events), balances, found, late), F.col("ts").cast("timestamp"))
+    return plain_time(found.read().drop("batch"))
 
 
 @query("gaze_stream", f"SELECT frame_id, {DECISION} AS action FROM gaze_counts")
 def gaze_stream(frames):
     folder = _folder(frames, "gaze")
-    images = _stream(frames, "embeddings").select(
-        F.col("vec_id").alias("frame_id"),
-        F.transform("embedding", lambda v: F.lit(75.0) + v.cast("double") * F.lit(200.0)).alias("pixels"),
-    )
-    actions = gaze.decisions(images, "pixels", 8, 8).select("frame_id", "action")
-    writer = actions.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/actions")
-    run_available(writer, f"{folder}/progress")
+
+    def job(embeddings):
+        images = embeddings.select(
+            F.col("vec_id").alias("frame_id"),
+            F.transform("embedding", lambda v: F.lit(75.0) + v.cast("double") * F.lit(200.0)).alias("pixels"),
+        )
+        actions = gaze.decisions(images, "pixels", 8, 8).select("frame_id", "action")
+        return actions.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/actions")
+
+    _feed(frames, "embeddings", folder, job)
     return frames.spark.read.parquet(f"{folder}/actions")
 
 
@@ -219,10 +275,14 @@ def gaze_stream(frames):
 )
 def blink_halt_stream(frames):
     folder = _folder(frames, "halts")
-    eyes = _stream(frames, "events").select(
-        (F.col("event_id") % 5).alias("stream"), F.floor(F.col("event_id") / 5).alias("frame"),
-        F.when(F.col("value") > 40, 0).otherwise(10).alias("dark"),
-    )
-    open_runs, found = (VersionedTable(frames.spark, f"{folder}/{name}") for name in ("open", "halts"))
-    run_available(gaze.halts(eyes, open_runs, found), f"{folder}/progress")
-    return found.read()
+    open_runs, found = (BatchTable(frames.spark, f"{folder}/{name}") for name in ("open", "halts"))
+
+    def job(events):
+        eyes = events.select(
+            (F.col("event_id") % 5).alias("stream"), F.floor(F.col("event_id") / 5).alias("frame"),
+            F.when(F.col("value") > 40, 0).otherwise(10).alias("dark"),
+        )
+        return gaze.halts(eyes, open_runs, found)
+
+    _feed(frames, "events", folder, job)
+    return found.read().drop("batch")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+KeyFunction = Callable[[Column], Column]
+
 KEY_MODULUS = 1_000_000_000
 PIECE_DIGITS = 15
 REFERENCE_PREFIXES = ("urn:uuid:", "Patient/", "Encounter/")
@@ -38,6 +42,6 @@ def strip_reference(reference: Column) -> Column:
     return F.nullif(reference, F.lit(""))
 
 
-def person_token(identifier: Column, salt: str = "") -> Column:
-    """SHA-256 pseudonym; the caller supplies the salt."""
+def person_token(identifier: Column, salt: str) -> Column:
+    """SHA-256 pseudonym; one salt for all tables of a build makes their tokens join."""
     return F.sha2(F.concat(F.lit(salt), identifier.cast("string")), 256)

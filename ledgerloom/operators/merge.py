@@ -1,4 +1,4 @@
-"""Upserts and versioned tables over plain Parquet."""
+"""Upserts, tables of batches, and watermarks over plain Parquet."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .rows import keep_first_by_key
-
-COMMIT_SCHEMA = "version bigint, replaces boolean, data_path string, watermark timestamp, batch bigint"
-
-
 class DuplicateSourceKeys(ValueError):
     """Two source rows address the same target row."""
 
@@ -47,75 +42,43 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str, updates: Sequen
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
-def collapse_to_latest(source: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """One source row per key, for feeds that may send a key twice."""
-    return keep_first_by_key(source, [key], order)
-
-
-class VersionedTable:
-    """Parquet folders plus a commit list: the newest replacement and what was added since.
+class BatchTable:
+    """A Parquet folder with one partition per batch, ``batch=N``.
 
-    Data are written to a new folder first. One appended commit row then publishes them
-    together with the watermark, so readers see both or neither. One writer at a time.
-    A stream passes its batch number, so a repeated batch can be told; the table then
-    belongs to that stream's checkpoint. Catalogues with ``MERGE INTO`` should be used
-    directly instead.
+    A repeated batch overwrites its own partition, so it leaves no second copy. What
+    belongs to a key over all batches is worked out when the table is read.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def commits(self) -> DataFrame:
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """All batches with their ``batch`` column, or those before one; None while there is none."""
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
+            rows = self.spark.read.parquet(self.path)
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+            return None
+        return rows if before is None else rows.where(F.col("batch") < before)
+
+    def read_batch(self, batch: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/batch={batch}")
 
-    def _latest(self):
-        return self.commits().orderBy(F.col("version").desc()).first()
 
-    def watermark(self):
-        latest = self._latest()
-        return latest.watermark if latest else None
+WATERMARKS = "table_name string, watermark timestamp"
 
-    def exists(self) -> bool:
-        return self._latest() is not None
 
-    def holds(self, batch: int) -> bool:
-        return bool(self.commits().where(F.col("batch") == batch).head(1))
+def watermark_read(control: DataFrame, table_name: str) -> Column:
+    """The watermark of a table as a scalar; null before its first load."""
+    return control.where(F.col("table_name") == table_name).agg(F.max("watermark").alias("watermark")).scalar()
 
-    def read(self) -> DataFrame:
-        commits = self.commits()
-        start = commits.where("replaces").agg(F.max("version").alias("start")).scalar()
-        parts = commits.where(F.col("version") >= F.coalesce(start, F.lit(0))).orderBy("version").collect()
-        if not parts:
-            raise FileNotFoundError(f"no commit below {self.path}")
-        return self.spark.read.parquet(*[part.data_path for part in parts])
 
-    def read_batch(self, batch: int) -> DataFrame:
-        part = self.commits().where(F.col("batch") == batch).first()
-        return self.spark.read.parquet(part.data_path)
-
-    def commit(self, df: DataFrame, watermark=None, batch: int | None = None, replace: bool = True) -> int:
-        """Publish ``df`` as the whole table, or with ``replace=False`` as an addition."""
-        latest = self._latest()
-        version = latest.version + 1 if latest else 1
-        if watermark is None and latest:
-            watermark = latest.watermark
-        data_path = f"{self.path}/data/v{version:09d}"
-        df.write.mode("overwrite").parquet(data_path)
-        row = self.spark.createDataFrame([(version, replace, data_path, watermark, batch)], COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return version
-
-    def append(self, df: DataFrame, batch: int | None = None) -> int:
-        return self.commit(df, batch=batch, replace=False)
-
-    def upsert(self, source: DataFrame, key: str, updates: Sequence[str], watermark=None) -> int:
-        """Merge ``source`` into the current version; refuses repeated source keys."""
-        require_unique(source, [key])
-        merged = merge_upsert(self.read(), source, key, updates) if self.exists() else source
-        return self.commit(merged, watermark)
+def watermark_advance(control: DataFrame, table_name: str, moment) -> DataFrame:
+    """The control rows with the table's watermark at ``moment``."""
+    row = control.sparkSession.createDataFrame([(table_name, moment)], WATERMARKS)
+    return merge_upsert(control, row, "table_name", ["watermark"])

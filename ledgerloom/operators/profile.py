@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import finite
 from .order_stats import exact_percentiles
-from .rows import top_n, top_per_group
+from .rows import top_per_group
 from .running import is_increasing
 
 NAME, VALUE = "column_name", "value"
@@ -22,26 +22,31 @@ NAME, VALUE = "column_name", "value"
 BOOLEAN_WORDS = ("true", "false", "True", "False", "yes", "no", "Yes", "No", "0", "1", "0.0", "1.0")
 TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
+# Words that stand for a missing value in delimited text.
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
 # Name parts that mark a numeric column as a time.
 TIME_WORDS = ("time", "timestamp", "date", "epoch", "unix", "sec", "ms", "ns")
 
 EPOCH_FLOOR = 1e9
 CATEGORY_RATIO = 0.05
 CATEGORY_VALUES = 50
-DATE_SAMPLE = 20
 SAMPLE_VALUES = 5
 TOP_VALUES = 10
-DIGEST_OVER = 64
 
 
 def to_rows(df: DataFrame, position: str, columns: Sequence[str]) -> DataFrame:
-    """``(_pos, column_name, value)`` with every value as text."""
-    texts = df.select(F.col(position).alias("_pos"), *[F.col(c).cast("string").alias(c) for c in columns])
+    """``(_pos, column_name, value)`` with every value as text; words for a missing value are null."""
+    text = lambda name: F.col(name).cast("string")
+    texts = df.select(F.col(position).alias("_pos"), *[F.when(~text(c).isin(*MISSING_WORDS), text(c)).alias(c) for c in columns])
     return texts.unpivot(["_pos"], list(columns), NAME, VALUE)
 
 
 def as_number(text: Column) -> Column:
-    return text.try_cast("double")
+    """The finite number a text stands for; infinities are no numbers."""
+    return finite(text.try_cast("double"))
 
 
 def as_time(text: Column) -> Column:
@@ -59,12 +64,11 @@ def frequencies(rows: DataFrame) -> DataFrame:
 
 
 def distinct_counts(rows: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct values per column; of long texts only their digests are shuffled."""
+    """Distinct values per column; only their digests are shuffled."""
     if approximate:
         return rows.groupBy(NAME).agg(F.approx_count_distinct(VALUE).alias("unique_values"))
     value = F.col(VALUE)
-    short = F.when(F.length(value) > DIGEST_OVER, F.sha2(value, 256)).otherwise(value)
-    seen = rows.where(value.isNotNull()).groupBy(NAME, short.alias("_short")).agg(F.first(F.lit(1)).alias("_one"))
+    seen = rows.where(value.isNotNull()).groupBy(NAME, F.sha2(value, 256).alias("_digest")).agg(F.first(F.lit(1)).alias("_one"))
     return seen.groupBy(NAME).agg(F.count(F.lit(1)).alias("unique_values"))
 
 
@@ -179,6 +183,7 @@ def classify_columns(df: DataFrame, position: str, columns: Sequence[str]) -> Da
         F.count(number).alias("_numbers"),
         F.min(number).alias("_lowest"),
         F.count_if(~F.col(VALUE).isin(*BOOLEAN_WORDS)).alias("_no_boolean"),
+        F.count(F.col(VALUE).try_cast("timestamp")).alias("_dates"),
     )
     all_numbers = F.col("_numbers") == F.col("non_null_count")
     no_gaps = F.col("non_null_count") == F.col("total_values")
@@ -186,13 +191,7 @@ def classify_columns(df: DataFrame, position: str, columns: Sequence[str]) -> Da
     numbers = rows.join(candidates, NAME, "left_semi").select("_pos", NAME, number.alias("_number"))
     rising = is_increasing(numbers, [NAME], "_pos", "_number").select(NAME, "increasing")
 
-    head = to_rows(top_n(df, DATE_SAMPLE, F.col(position)), position, columns)
-    dates = head.groupBy(NAME).agg(
-        (
-            (F.count(VALUE) > 0) & (F.count(VALUE) == F.count(F.col(VALUE).try_cast("timestamp")))
-        ).alias("_dates")
-    )
-    every = facts.join(distinct_counts(rows), NAME, "left").join(rising, NAME, "left").join(dates, NAME, "left")
+    every = facts.join(distinct_counts(rows), NAME, "left").join(rising, NAME, "left")
     unique = F.coalesce("unique_values", F.lit(0))
     few = (unique / F.greatest(F.col("total_values"), F.lit(1)) < CATEGORY_RATIO) | (unique <= CATEGORY_VALUES)
     kind = (
@@ -200,7 +199,7 @@ def classify_columns(df: DataFrame, position: str, columns: Sequence[str]) -> Da
         .when((F.col("_no_boolean") == 0) & (unique <= 2), "boolean")
         .when(all_numbers & (names_a_time(F.col(NAME)) | F.coalesce("increasing", F.lit(False))), "timestamp")
         .when(all_numbers, "numeric")
-        .when(F.coalesce("_dates", F.lit(False)), "timestamp")
+        .when(F.col("_dates") == F.col("non_null_count"), "timestamp")
         .when(few, "categorical")
         .otherwise("text")
     )

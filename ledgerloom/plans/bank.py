@@ -30,9 +30,9 @@ FOREIGN_KEYS = tuple(
         ("customer_loan", "customer_id", "customer", "customer_id"),
         ("customer_loan", "loan_number", "loan", "loan_number"),
         ("loan_payment", "loan_number", "loan", "loan_number"),
+        ("dependent", "employee_ssn", "employee", "ssn"),
     )
 )
-DEPENDENT_KEY = ForeignKey("dependent.employee_ssn", "dependent", "employee_ssn", "employee", "ssn")
 
 
 def branch_loans(branch: DataFrame, loan: DataFrame, customer_loan: DataFrame, customer: DataFrame) -> DataFrame:

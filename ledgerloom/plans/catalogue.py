@@ -7,9 +7,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.files import (
     dataset_folder, detect_modality, file_extension, has_numeric_owner, object_path, owner_slug, safe_name,
 )
+from ..operators.integrity import ForeignKey
 from ..operators.rows import keep_first_by_key
 
 MEGABYTE = 1024 * 1024
+FOREIGN_KEYS = tuple(
+    ForeignKey(f"{child}.{column}", child, column, parent, parent_column)
+    for child, column, parent, parent_column in (
+        ("file", "user_id", "user", "user_id"),
+        ("daily_uploads", "user_id", "user", "user_id"),
+        ("researcher_stats", "user_id", "user", "user_id"),
+        ("lineage", "bronze_file_id", "file", "upload_id"),
+        ("lineage", "silver_aggregation_id", "silver", "silver_id"),
+    )
+)
 ROOT_FOLDER = "root"
 
 
@@ -67,16 +78,16 @@ def newest_first(files: DataFrame) -> DataFrame:
 
 
 def active_files_for_user(files: DataFrame, user_id) -> DataFrame:
-    return newest_first(files.where((F.col("user_id") == user_id) & ~F.col("is_deleted")))
+    return files.where((F.col("user_id") == user_id) & ~F.col("is_deleted"))
 
 
 def modality_hub(files: DataFrame, modality: str) -> DataFrame:
-    return newest_first(files.where((F.col("modality") == modality) & ~F.col("is_deleted")))
+    return files.where((F.col("modality") == modality) & ~F.col("is_deleted"))
 
 
 def files_with_lineage(files: DataFrame, lineage: DataFrame) -> DataFrame:
     steps = lineage.select(F.col("bronze_file_id").alias("upload_id"), "transformation_type", "status")
-    return newest_first(files.where(~F.col("is_deleted")).join(steps, "upload_id", "left"))
+    return files.where(~F.col("is_deleted")).join(steps, "upload_id", "left")
 
 
 def files_by_folder(files: DataFrame) -> DataFrame:

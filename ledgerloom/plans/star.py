@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.keys import hash_mod_key, person_token
+from ..functions.keys import KeyFunction, person_token, wide_hash_key
 from ..functions.numbers import money
 from ..operators.rows import keep_first_by_key
 
@@ -28,16 +28,16 @@ def build_dim_date(facts: DataFrame, column: str) -> DataFrame:
     )
 
 
-def build_dim_patient(patients: DataFrame, salt: str = "") -> DataFrame:
+def build_dim_patient(patients: DataFrame, salt: str, key: KeyFunction = wide_hash_key) -> DataFrame:
     return patients.select(
-        hash_mod_key(F.col("fhir_patient_id")).alias("patient_key"),
+        key(F.col("fhir_patient_id")).alias("patient_key"),
         person_token(F.col("fhir_patient_id"), salt).alias("patient_token"),
         "gender",
         F.col("state").alias("state_abbr"),
     )
 
 
-def build_dim_condition(conditions: DataFrame) -> DataFrame:
+def build_dim_condition(conditions: DataFrame, key: KeyFunction = wide_hash_key) -> DataFrame:
     coded = conditions.where(F.col("snomed_code").isNotNull())
     one_each = keep_first_by_key(
         coded.select("snomed_code", "snomed_display", "category", "fhir_condition_id"),
@@ -45,26 +45,26 @@ def build_dim_condition(conditions: DataFrame) -> DataFrame:
         [F.col("fhir_condition_id")],
     )
     return one_each.select(
-        hash_mod_key(F.col("snomed_code")).alias("condition_key"),
+        key(F.col("snomed_code")).alias("condition_key"),
         F.col("category").alias("condition_category"),
         "snomed_code",
         "snomed_display",
     )
 
 
-def build_dim_encounter_type(encounters: DataFrame) -> DataFrame:
+def build_dim_encounter_type(encounters: DataFrame, key: KeyFunction = wide_hash_key) -> DataFrame:
     kinds = encounters.where(F.col("class_code").isNotNull()).groupBy("class_code").agg(
         F.min("class_display").alias("class_display")
     )
     return kinds.select(
-        hash_mod_key(F.col("class_code")).alias("encounter_type_key"),
+        key(F.col("class_code")).alias("encounter_type_key"),
         F.coalesce("class_display", "class_code").alias("class_display"),
         F.col("class_code").isin(*EMERGENCY_CLASSES).alias("is_emergency"),
         F.col("class_code").isin(*INPATIENT_CLASSES).alias("is_inpatient"),
     )
 
 
-def build_fact_encounter(encounters: DataFrame, salt: str = "") -> DataFrame:
+def build_fact_encounter(encounters: DataFrame, salt: str) -> DataFrame:
     return encounters.select(
         person_token(F.col("fhir_encounter_id"), salt).alias("encounter_token"),
         person_token(F.col("fhir_patient_id"), salt).alias("patient_token"),
@@ -75,7 +75,7 @@ def build_fact_encounter(encounters: DataFrame, salt: str = "") -> DataFrame:
     )
 
 
-def build_fact_claims(claims: DataFrame, encounters: DataFrame, salt: str = "") -> DataFrame:
+def build_fact_claims(claims: DataFrame, encounters: DataFrame, salt: str, key: KeyFunction = wide_hash_key) -> DataFrame:
     """One row per claim, with the keys of its encounter."""
     visit = encounters.select(
         "fhir_encounter_id", "class_code", "reason_code", F.col("start_date").try_cast("date").alias("service_start")
@@ -84,9 +84,9 @@ def build_fact_claims(claims: DataFrame, encounters: DataFrame, salt: str = "")
     cost, paid = money(F.col("total_cost")), money(F.col("payment_amount"))
     return joined.select(
         person_token(F.col("encounter_id"), salt).alias("encounter_token"),
-        hash_mod_key(F.col("patient_id")).alias("patient_key"),
-        hash_mod_key(F.col("reason_code")).alias("condition_key"),
-        hash_mod_key(F.col("class_code")).alias("encounter_type_key"),
+        key(F.col("patient_id")).alias("patient_key"),
+        key(F.col("reason_code")).alias("condition_key"),
+        key(F.col("class_code")).alias("encounter_type_key"),
         date_key(F.col("service_start")).alias("date_key"),
         "service_start",
         cost.alias("total_claim_cost"),

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import date_prefix, duration_hours
 from ..functions.keys import strip_reference
 
 BUNDLE_SCHEMA = "resourceType string, entry array<struct<resource string>>"
-KIND_SCHEMA = "resourceType string"
-
 CODING = "array<struct<system string, code string, display string>>"
 CODED = f"struct<coding {CODING}>"
 REFERENCE = "struct<reference string>"
@@ -33,12 +33,20 @@ CLAIM_SCHEMA = f"""
 SOURCE_TAG = "FHIR_R4"
 
 
-def read_bundles(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    """``(file, value)`` for every JSON file below ``path``, optionally only newer ones."""
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    if modified_after:
+def read_bundles(
+    spark: SparkSession, path: str, modified_after: datetime | str | None = None, one_per_file: bool = True, glob: str = "*.json"
+) -> DataFrame:
+    """``(file, modified, value)`` for every bundle below ``path``, optionally only of newer files; bulk exports hold one per line.
+
+    Files are chosen before they are read: by the second for a text, exactly for a moment.
+    """
+    reader = spark.read.option("pathGlobFilter", glob)
+    if isinstance(modified_after, str):
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    texts, meta = reader.text(path, wholetext=one_per_file), F.col("_metadata")
+    if isinstance(modified_after, datetime):
+        texts = texts.where(meta["file_modification_time"] > F.lit(modified_after))
+    return texts.select(meta["file_path"].alias("file"), meta["file_modification_time"].alias("modified"), "value")
 
 
 def _parsed(df: DataFrame, text: str, schema: str, name: str, *kept: str) -> DataFrame:
@@ -59,8 +67,18 @@ def bundle_entries(bundles: DataFrame) -> DataFrame:
 
 def bundle_resources(bundles: DataFrame) -> DataFrame:
     """``(file, resource_type, resource)`` of all resources, whatever their type."""
-    kinds = _parsed(bundle_entries(bundles), "resource", KIND_SCHEMA, "kind", "file", "resource")
-    return kinds.select("file", F.col("kind.resourceType").alias("resource_type"), "resource")
+    kind = F.explode(F.array(F.get_json_object("resource", "$.resourceType"))).alias("resource_type")
+    return bundle_entries(bundles).select("file", kind, "resource").select("file", "resource_type", "resource")
+
+
+def land_by_type(bundles: DataFrame, path: str) -> None:
+    """Write the resources of all bundles in folders by type, so each bundle is parsed once for all parsers."""
+    bundle_resources(bundles).where(F.col("resource_type").isNotNull()).write.partitionBy("resource_type").parquet(path)
+
+
+def landed_entries(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """``(file, resource)`` of one type from its folder."""
+    return spark.read.parquet(path).where(F.col("resource_type") == kind).select("file", "resource")
 
 
 def quarantined_bundles(bundles: DataFrame) -> DataFrame:

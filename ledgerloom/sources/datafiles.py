@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.files import detect_modality, file_extension, point_dtype
 
-HEADER_BYTES = 65_536
 # Header keywords with one value and with one value per field.
 PCD_SCALARS = ("version", "width", "height", "points", "data")
 PCD_ARRAYS = ("fields", "size", "type", "count")
 # Separators in the order they are tried.
 SEPARATORS = (",", ";", "\t", "|")
+# A quoted field with its doubled quotes and line breaks.
+QUOTED = r'"(?:[^"]|"")*"'
 
 
 def read_manifest(spark: SparkSession, path: str, glob: str = "*", modified_after: str | None = None) -> DataFrame:
@@ -37,10 +40,23 @@ def manifest(files: DataFrame) -> DataFrame:
 
 
 def read_point_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, header)`` of every point-cloud file; points are cut off before decoding."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pcd").load(path)
-    text = F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1")
-    return files.select(F.col("path").alias("file"), text.alias("header"))
+    """``(file, header)`` of every point-cloud file: its keyword lines up to the DATA line.
+
+    Files are read as lines, in splits, however long header and points are. A line's place
+    is its split's start and its number there; per file the first DATA line ends the header.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.pcd").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    )
+    keyword = F.upper(F.regexp_extract("value", r"^\s*([A-Za-z]+)\b", 1))
+    named = lines.withColumn("keyword", keyword).where(F.col("keyword").isin(*(name.upper() for name in PCD_SCALARS + PCD_ARRAYS)))
+    # DATA lines below the first are points or garbage; with them a file keeps one row per keyword line at most.
+    place = F.struct("block", "line")
+    ends = named.where(F.col("keyword") == "DATA").groupBy("file").agg(F.min(place).alias("end"))
+    head = named.join(ends, "file", "left").where(F.col("end").isNull() | (place <= F.col("end")))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    return head.groupBy("file").agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("header"))
 
 
 # The text up to and including the DATA line, whatever its case.
@@ -87,13 +103,14 @@ def pcd_schema(headers: DataFrame) -> DataFrame:
 
 
 def detect_dialects(files: DataFrame, text: str) -> DataFrame:
-    """Adds ``separator`` and ``column_count`` from the lines of each file's text.
+    """Adds ``separator`` and ``column_count`` from the lines of each file's text, quoted parts left out.
 
     The first separator wins that splits the header line into several columns and gives
     no line more columns than the header. Where none does, the file has one column and
     counts as semicolon text.
     """
-    lines = F.split(F.rtrim(text), r"\r?\n")
+    unquoted = F.regexp_replace(F.rtrim(text), QUOTED, "")
+    lines = F.split(unquoted, r"\r?\n")
 
     def splitter(separator: str):
         return lambda line: F.size(F.split(line, f"[{separator}]"))
@@ -108,11 +125,18 @@ def detect_dialects(files: DataFrame, text: str) -> DataFrame:
     return files.withColumns({"separator": separator.otherwise(";"), "column_count": columns.otherwise(1)})
 
 
-def read_delimited(spark: SparkSession, path: str, separator: str, schema: str) -> DataFrame:
-    return spark.read.option("header", True).option("sep", separator).schema(schema).csv(path)
+def read_delimited(spark: SparkSession, paths: str | list[str], separator: str, schema: str) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", separator)
+    return reader.schema(schema).csv(paths)
+
 
+def read_by_dialect(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All delimited files below ``path``, each read by its own separator, as one frame with ``file``.
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
-    """The separator of the files below ``path``, from the header line of one of them."""
-    first_line = spark.read.text(path).limit(1)
-    return detect_dialects(first_line, "value").first()["separator"]
+    Separators are found file by file; the file names of a separator, not their content, go to
+    the reader of its group.
+    """
+    texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    found = detect_dialects(texts, "value").groupBy("separator").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    frames = [read_delimited(spark, list(row.files), row.separator, schema).select(F.col("_metadata.file_path").alias("file"), "*") for row in found]
+    return reduce(DataFrame.unionByName, frames)

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.merge import VersionedTable
+from ..operators.merge import BatchTable
 from ..operators.rows import keep_first_by_key, top_n
 
 
-def append_unique(table: VersionedTable, batch: DataFrame, key: str, order: list[str], number: int | None = None) -> int:
-    """Add the rows of a flattened batch whose key the set lacks; rows already there win.
+def append_unique(table: BatchTable, batch: DataFrame, key: str, order: list[str], number: int) -> None:
+    """Add the rows of a flattened batch whose key no earlier batch has; rows already there win.
 
-    Only the new rows are written. The set itself is read for its key column alone.
+    Only the new rows are written, as the partition of the batch. Earlier ones are read for
+    their key column alone.
     """
     fresh = keep_first_by_key(batch, [key], [F.col(c) for c in order])
-    if table.exists():
-        fresh = fresh.join(table.read().select(key), key, "left_anti").select(*batch.columns)
-    return table.append(fresh, number)
+    earlier = table.read(before=number)
+    if earlier is not None:
+        fresh = fresh.join(earlier.select(key), key, "left_anti").select(*batch.columns)
+    table.write(fresh, number)
 
 
 def write_sample_csv(df: DataFrame, path: str, key: str, rows: int = 100) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.blinks import HALT_FRAMES
 from ..operators.matrices import array_zone_counts, with_decision
-from ..operators.merge import VersionedTable
+from ..operators.merge import BatchTable
 from ..operators.running import consecutive_runs
 from .jobs import each_batch
 
@@ -17,21 +17,20 @@ def decisions(frames: DataFrame, pixels: str, rows: int, columns: int) -> DataFr
     return with_decision(array_zone_counts(frames, pixels, rows, columns))
 
 
-def halts(frames: DataFrame, open_runs: VersionedTable, found: VersionedTable) -> DataStreamWriter:
+def halts(frames: DataFrame, open_runs: BatchTable, found: BatchTable) -> DataStreamWriter:
     """Halts over ``frames(stream, frame, dark)`` that arrive in order.
 
-    ``open_runs`` keeps, per stream, the dark-free run that reaches the last frame seen;
-    a run that goes on in the next batch is joined to it.
+    ``open_runs`` keeps, per stream and batch, the dark-free run that reaches the last frame seen
+    (length 0 if there is none); a run that goes on in the next batch is joined to it.
     """
 
     def follow(batch: DataFrame, number: int) -> None:
-        if open_runs.holds(number):
-            return
         runs = consecutive_runs(batch, ["stream"], "frame", F.col("dark") == 0)
-        if open_runs.exists():
-            before = open_runs.read().select(
-                "stream", F.col("last_position").alias("_end"), F.col("first_position").alias("_start"),
-                F.col("run_length").alias("_length"),
+        earlier = open_runs.read(before=number)
+        if earlier is not None:
+            newest = F.max_by(F.struct("first_position", "last_position", "run_length"), "batch")
+            before = earlier.groupBy("stream").agg(newest.alias("r")).where("r.run_length > 0").select(
+                "stream", F.col("r.last_position").alias("_end"), F.col("r.first_position").alias("_start"), F.col("r.run_length").alias("_length")
             )
             joined = runs.join(before, "stream", "left")
             goes_on = F.coalesce(F.col("first_position") == F.col("_end") + 1, F.lit(False))
@@ -48,12 +47,11 @@ def halts(frames: DataFrame, open_runs: VersionedTable, found: VersionedTable) -
             "stream", (F.col("first_position") + HALT_FRAMES - 1).alias("halt_frame")
         )
         last = batch.groupBy("stream").agg(F.max("frame").alias("last_position"))
-        reaching = runs.join(last, ["stream", "last_position"], "left_semi").drop("_known")
-        if not found.holds(number):
-            found.append(new, number)
-        if open_runs.exists():
-            silent = open_runs.read().join(last.select("stream"), "stream", "left_anti")
-            reaching = reaching.unionByName(silent)
-        open_runs.commit(reaching, batch=number)
+        reaching = last.join(runs.drop("_known"), ["stream", "last_position"], "left").select(
+            "stream", F.coalesce("first_position", "last_position").alias("first_position"), "last_position",
+            F.coalesce("run_length", F.lit(0).cast("bigint")).alias("run_length"),
+        )
+        found.write(new, number)
+        open_runs.write(reaching, number)
 
     return each_batch(frames, follow)

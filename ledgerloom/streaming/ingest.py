@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.merge import VersionedTable
+from ..operators.merge import BatchTable
 from ..plans.catalogue import lineage_append, manifest_ingest
 from ..sources import bundles
 from ..sources.sinks import append_unique
@@ -20,31 +20,27 @@ def bundle_stream(spark: SparkSession, folder: str, one_per_file: bool = True) -
     return texts.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def land_resources(stream: DataFrame, parser: Callable[[DataFrame], DataFrame], table: VersionedTable, key: str) -> DataStreamWriter:
-    """Flatten one resource type and add what the table does not hold yet."""
+def land_resources(stream: DataFrame, parser: Callable[[DataFrame], DataFrame], table: BatchTable, key: str) -> DataStreamWriter:
+    """Flatten one resource type and add what earlier batches do not hold."""
 
     def land(batch: DataFrame, number: int) -> None:
-        if not table.holds(number):
-            flat = parser(bundles.bundle_entries(batch))
-            append_unique(table, flat, key, [c for c in flat.columns if c != key], number)
+        flat = parser(bundles.bundle_entries(batch))
+        append_unique(table, flat, key, [c for c in flat.columns if c != key], number)
 
     return each_batch(stream, land)
 
 
-def register_uploads(uploads: DataFrame, catalogue: VersionedTable, lineage: VersionedTable, lateness: str = "1 hour") -> DataStreamWriter:
+def register_uploads(uploads: DataFrame, catalogue: BatchTable, lineage: BatchTable) -> DataStreamWriter:
     """Catalogue and lineage rows for uploads whose content is new.
 
-    Repeats close in time are dropped by the stream's state, older ones by comparing
-    hashes with the catalogue. A repeated batch finds its rows there and adds nothing;
-    lineage follows the rows the catalogue took.
+    Repeats are found by comparing hashes with the catalogue, however late they come. Lineage
+    follows the rows the catalogue took.
     """
-    once = uploads.withWatermark("upload_time_utc", lateness).dropDuplicatesWithinWatermark(["file_hash"])
 
     def register(batch: DataFrame, number: int) -> None:
-        if not catalogue.holds(number):
-            seen = catalogue.read() if catalogue.exists() else batch.limit(0)
-            catalogue.append(manifest_ingest(batch, seen.select("file_hash")), number)
-        if not lineage.holds(number):
-            lineage.append(lineage_append(catalogue.read_batch(number)), number)
+        earlier = catalogue.read(before=number)
+        known = batch.limit(0) if earlier is None else earlier
+        catalogue.write(manifest_ingest(batch, known.select("file_hash")), number)
+        lineage.write(lineage_append(catalogue.read_batch(number)), number)
 
-    return each_batch(once, register)
+    return each_batch(uploads, register)

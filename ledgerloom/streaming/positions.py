@@ -6,39 +6,41 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.geo import Fence
-from ..operators.merge import VersionedTable
-from ..plans.telemetry import accepted_positions, latest_positions, with_reason
+from ..operators.merge import BatchTable
+from ..plans.telemetry import accepted_positions, latest_positions, reject_rates
 from .jobs import each_batch
 
 
-def keep_latest(updates: DataFrame, routes: DataFrame, table: VersionedTable, fence: Fence | None = None) -> DataStreamWriter:
-    """Maintain the newest valid position per known route.
+def keep_latest(updates: DataFrame, routes: DataFrame, table: BatchTable, fence: Fence | None = None) -> DataStreamWriter:
+    """Write the newest valid position per known route of each batch; ``current`` reads the newest of all."""
 
-    Each micro-batch is reduced to one row per route and compared with the table by
-    time, so late and repeated batches change nothing.
-    """
+    def add(batch: DataFrame, number: int) -> None:
+        table.write(latest_positions(batch, routes, fence), number)
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        newest = latest_positions(batch, routes, fence)
-        if table.exists():
-            both = table.read().unionByName(newest)
-            moment = F.struct("ts", "event_id")
-            newest = both.groupBy("route_no").agg(
-                F.max_by(F.struct("ts", "event_id", "lat", "lon"), moment).alias("p")
-            ).select("route_no", "p.*")
-        table.commit(newest)
+    return each_batch(updates, add)
 
-    return each_batch(updates, merge)
 
+def current(table: BatchTable) -> DataFrame:
+    """The newest position per route over all batches; late and repeated batches change nothing."""
+    newest = F.max_by(F.struct("ts", "event_id", "lat", "lon"), F.struct("ts", "event_id"))
+    return table.read().groupBy("route_no").agg(newest.alias("p")).select("route_no", "p.*")
 
-def reject_rates(updates: DataFrame, window: str = "1 day", lateness: str = "10 minutes") -> DataFrame:
-    """Updates per window and reason; a window is given out once it can no longer change."""
-    checked = with_reason(updates).withWatermark("ts", lateness)
-    counted = checked.groupBy(F.window("ts", window).alias("w"), "reason").agg(F.count(F.lit(1)).alias("updates"))
-    return counted.select(F.col("w.start").alias("window_start"), "reason", "updates")
 
+def count_rejects(updates: DataFrame, routes: DataFrame, table: BatchTable, window: str = "1 day") -> DataStreamWriter:
+    """Write the counts per window and reason of each batch; ``rates`` adds them up, late updates included."""
 
-def history(updates: DataFrame, path: str, fence: Fence | None = None) -> DataStreamWriter:
-    """Append every accepted point, in folders by day."""
-    points = accepted_positions(updates, fence).withColumn("day", F.to_date("ts"))
+    def add(batch: DataFrame, number: int) -> None:
+        table.write(reject_rates(batch, routes, window), number)
+
+    return each_batch(updates, add)
+
+
+def rates(table: BatchTable) -> DataFrame:
+    """Updates per window and reason over all batches, the open window included."""
+    return table.read().groupBy("window_start", "reason").agg(F.sum("updates").alias("updates"))
+
+
+def history(updates: DataFrame, routes: DataFrame, path: str, fence: Fence | None = None) -> DataStreamWriter:
+    """Append every accepted point of a known route, in folders by day."""
+    points = accepted_positions(updates, fence).join(routes.select("route_no"), "route_no", "left_semi").withColumn("day", F.to_date("ts"))
     return points.writeStream.outputMode("append").format("parquet").partitionBy("day").option("path", path)

@@ -129,7 +129,7 @@ def test_previous_value_across_blocks(spark):
 def test_ids_are_consecutive_in_order(spark):
     new = spark.createDataFrame([(i * 37 % 1009,) for i in range(1009)], "a bigint").repartition(5)
     empty = spark.createDataFrame([], "id bigint")
-    got = allocate.allocate_sequence_ids(new, "a", empty, "id", 5000, width=10).collect()
+    got = allocate.allocate_sequence_ids(new, "a", empty, "id", 5000).collect()
     assert sorted((r.a, r.id) for r in got) == [(i, 5001 + i) for i in range(1009)]
     used = spark.createDataFrame([(7,), (41,)], "id bigint")
     assert allocate.allocate_sequence_ids(new.where("a < 2"), "a", used, "id", 5000).agg(F.max("id")).first()[0] == 43
@@ -156,23 +156,42 @@ def test_upsert(spark, tmp_path):
     source = spark.createDataFrame([("b", 99, None), ("c", 3, 30)], "k string, p int, v int")
     merged = merge.merge_upsert(target, source, "k", ["v"])
     assert sorted(map(tuple, merged.collect()), key=str) == sorted([("a", 1, 10), ("b", 2, None), (None, 9, 90), ("c", 3, 30)], key=str)
-    table = merge.VersionedTable(spark, str(tmp_path / "t"))
-    assert not table.exists() and table.watermark() is None
-    with pytest.raises(FileNotFoundError):
-        table.read()
-    early, late = dt.datetime(2020, 1, 1, 0, 0, 0, 7), dt.datetime(2020, 1, 2)
-    table.commit(target, early)
-    assert table.watermark() == early
-    table.upsert(source, "k", ["v"], late)
-    once = sorted(map(tuple, table.read().collect()), key=str)
-    table.upsert(source, "k", ["v"])
-    assert sorted(map(tuple, table.read().collect()), key=str) == once
-    assert table.watermark() == late
     with pytest.raises(merge.DuplicateSourceKeys):
-        table.upsert(source.unionByName(source), "k", ["v"])
-    table.append(source, batch=4)
-    assert table.read().count() == len(once) + 2 and table.holds(4) and not table.holds(5)
-    assert table.read_batch(4).count() == 2
+        merge.require_unique(source.unionByName(source), ["k"])
+
+
+def test_batches_and_watermarks(spark, tmp_path):
+    table = merge.BatchTable(spark, str(tmp_path / "t"))
+    assert table.read() is None
+    for number, values in ((3, [1, 2]), (4, [3]), (3, [1])):
+        table.write(spark.createDataFrame([(v,) for v in values], "v int"), number)
+    assert sorted(r.v for r in table.read().collect()) == [1, 3]
+    assert [r.v for r in table.read(before=4).collect()] == [1] and table.read_batch(4).first().v == 3
+    control = spark.createDataFrame([], merge.WATERMARKS)
+    mark = lambda c: c.select(merge.watermark_read(c, "a").alias("w")).head()
+    assert mark(control) is None
+    early, late = dt.datetime(2020, 1, 1, 0, 0, 0, 7), dt.datetime(2020, 1, 2)
+    once = merge.watermark_advance(merge.watermark_advance(control, "a", early), "b", early)
+    twice = merge.watermark_advance(once, "a", late)
+    assert mark(once).w == early and mark(twice).w == late and twice.count() == 2
+
+
+def test_numbers_do_not_depend_on_gaps(spark):
+    new = spark.range(5000).select((F.col("id") * 1_000_003).alias("k")).repartition(5)
+    have = spark.createDataFrame([(7,)], "n bigint")
+    numbered = allocate.allocate_sequence_ids(new, "k", have, "n", 1)
+    assert sorted(tuple(r) for r in numbered.collect()) == [(i * 1_000_003, 8 + i) for i in range(5000)]
+    assert sorted(r.n for r in allocate.allocate_sequence_ids(new.limit(0), "k", have, "n", 1).collect()) == []
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window") :]
+    assert window.index("HashAggregate") < window.index("Scan parquet")  # one row a range is numbered, not the rows
+
+
+def test_fact_is_reduced_below_the_dimension_join(spark):
+    claims = spark.createDataFrame([(i % 3, i, i, 0) for i in range(9)], "condition_key bigint, total_claim_cost int, payer_coverage int, patient_out_of_pocket int")
+    conditions = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b")], "condition_key bigint, condition_category string")
+    plan = kpi.claim_cost_by_condition(claims, conditions)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [condition_key" in plan[plan.index("Join") :]
 
 
 def test_small_staging_leaves_the_target_unshuffled(spark, tmp_path):
@@ -352,3 +371,25 @@ def test_tokens_agree_and_identifiers_go(spark):
     assert ta.join(tb, "patient_token").count() == 1
     assert privacy.tokenise(b, "patient", "other").first().patient_token != tb.first().patient_token
     assert privacy.token_map(b, "patient", "s").first().patient_token == tb.first().patient_token
+
+
+def test_missing_words_infinities_and_dates_over_all_rows(spark):
+    values = [("1", "2024-01-01", "1"), ("2", "2024-01-02", "inf"), ("NaN", "2024-01-03", "2"), ("6", "", "3")]
+    df = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "pos int, n string, d string, i string")
+    got = {r.column_name: r for r in profile.classify_columns(df, "pos", ["n", "d", "i"]).collect()}
+    assert {k: (r.detected_type, r.null_count) for k, r in got.items()} == {"n": ("numeric", 1), "d": ("timestamp", 1), "i": ("categorical", 0)}
+    stats = profile.numeric_stats(profile.to_rows(df, "pos", ["n"])).first()
+    assert (stats["median"], stats["max"], stats["mean"]) == (2.0, 6.0, 3.0)
+    late = spark.createDataFrame([(i, "2024-01-01" if i < 20 else f"note {i}") for i in range(200)], "pos int, d string")
+    assert profile.classify_columns(late, "pos", ["d"]).first().detected_type == "text"
+
+
+def test_oldest_show_no_birth_year_and_dates_become_years(spark):
+    people = spark.createDataFrame(
+        [(1, "14201", dt.date(1925, 5, 5), dt.date(2020, 3, 3)), (2, "14201", dt.date(1980, 5, 5), None)], "person_id int, zip string, birth_date date, admission_date date"
+    )
+    regions = spark.createDataFrame([("142", 50_000)], "zip_3digit string, population int")
+    got = sorted(map(tuple, privacy.generalise(people, regions, 2024).collect()))
+    assert got == [(1, "142", None, "90+", 2020), (2, "142", 1980, "44", None)]
+    tokens = privacy.tokenise_columns(spark.createDataFrame([("a", "a", 1)], "mrn string, account string, n int"), ["mrn", "account"], "s").first()
+    assert tokens.mrn_token != tokens.account_token and tokens.n == 1

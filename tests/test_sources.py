@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.merge import VersionedTable
+from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import omop
 from ledgerloom.sources import bundles, datafiles, listings, sinks
 
@@ -65,7 +65,8 @@ def test_bundles_and_quarantine(spark, tmp_path):
     cost = {r.cost_id is not None: r for r in omop.build_cost(bundles.parse_claims(entries).where("claim_id = 'k1'")).collect()}[True]
     assert cost.cost_event_id is None
     concept = omop.build_concept(bundles.parse_conditions(entries)).first()
-    assert len(concept.concept_name) == 255
+    assert len(concept.concept_name) == 300
+    assert len(omop.build_concept(bundles.parse_conditions(entries), name_length=255).first().concept_name) == 255
 
 
 def test_only_newer_bundles(spark, tmp_path):
@@ -113,9 +114,19 @@ def test_separators(spark, tmp_path):
     rows = spark.createDataFrame([(t,) for t, _, _ in texts], "text string")
     found = {r.text: (r.separator, r.column_count) for r in datafiles.detect_dialects(rows, "text").collect()}
     assert found == {t: (s, n) for t, s, n in texts}
-    (tmp_path / "x.csv").write_text("a|b\n1|2\n")
-    sep = datafiles.sniff_separator(spark, str(tmp_path))
-    assert datafiles.read_delimited(spark, str(tmp_path), sep, "a int, b int").first().b == 2
+    quoted = spark.createDataFrame([('a,b\n"x, y",1\n"two\nlines; |",2',)], "text string")
+    assert tuple(datafiles.detect_dialects(quoted, "text").first()[1:]) == (",", 2)
+    for name, content in (("x", "a|b\n1|2\n"), ("y", 'a,b\n"3",4\n5,6\n'), ("z", "a|b\n7|8\n")):
+        (tmp_path / f"{name}.csv").write_text(content)
+    rows = datafiles.read_by_dialect(spark, str(tmp_path), "a int, b int").collect()
+    assert sorted((r.file[-5:], r.a, r.b) for r in rows) == [("x.csv", 1, 2), ("y.csv", 3, 4), ("y.csv", 5, 6), ("z.csv", 7, 8)]
+
+
+def test_a_header_of_any_length(spark, tmp_path):
+    comments = "# comment\n" * 20_000
+    (tmp_path / "long.pcd").write_text(comments + "VERSION .7\nFIELDS x y\nSIZE 4 4\nTYPE F F\nPOINTS 3\nDATA ascii\n" + "1 2\nDATA binary\nPOINTS 9\n" * 1000)
+    (row,) = datafiles.pcd_headers(datafiles.read_point_headers(spark, str(tmp_path))).collect()
+    assert (row.fields, row.points, row.data) == (["x", "y"], "3", "ascii")
 
 
 def test_listings_csv_and_cards(spark, tmp_path):
@@ -125,12 +136,16 @@ def test_listings_csv_and_cards(spark, tmp_path):
     page = spark.createDataFrame([(1, '<p>x</p><div class="placard"><span class="property-title">T</span><a class="property-link" href="L">m</a></div>'), (2, "none")], "page_id int, html string")
     cards = listings.extract_cards(page, "page_id", "html").collect()
     assert [tuple(c) for c in cards] == [(1, 0, "T", "No price", "No address", "No beds info", "L")]
+    odd = """<article id="a" class='placard placard-option-diamond'><p class="x property-title y"><b>T</b></p><a href='L' class="property-link">m</a>
+             <div class="placards property-titles">no</div></article><section class="placard"><span class="property-titles">no</span></section>"""
+    odd = listings.extract_cards(spark.createDataFrame([(1, odd)], "page_id int, html string"), "page_id", "html").collect()
+    assert [tuple(c) for c in odd] == [(1, 0, "T", "No price", "No address", "No beds info", "L"), (1, 1, "No title", "No price", "No address", "No beds info", "No link")]
 
 
 def test_append_unique_is_idempotent(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = BatchTable(spark, str(tmp_path / "t"))
     first = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     second = spark.createDataFrame([(2, "changed"), (3, "c"), (3, "d")], "id int, v string")
-    for batch in (first, second, second):
-        sinks.append_unique(table, batch, "id", ["v"])
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    for number, batch in ((1, first), (2, second), (2, second)):
+        sinks.append_unique(table, batch, "id", ["v"], number)
+    assert sorted(map(tuple, table.read().drop("batch").collect())) == [(1, "a"), (2, "b"), (3, "c")]

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from ledgerloom.operators.merge import VersionedTable
+from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import telemetry
 from ledgerloom.sources import bundles
 from ledgerloom.streaming import alerts, gaze, ingest, positions
@@ -30,14 +30,14 @@ def test_latest_position_ignores_older_points(spark, tmp_path):
         [(4, 1, at(3), "11", "21"), (5, 2, at(2), "-78.8784005", "1")],
         [(6, 1, at(9), "95", "1"), (7, 1, at(7), "12", "22")],
     ]
-    table = VersionedTable(spark, str(tmp_path / "latest"))
+    table = BatchTable(spark, str(tmp_path / "latest"))
     feed(spark, str(tmp_path / "in"), GPS, batches, lambda s: run_available(positions.keep_latest(s, routes, table), str(tmp_path / "progress")))
-    got = {r.route_no: (r.ts, r.lat, r.lon) for r in table.read().collect()}
+    got = {r.route_no: (r.ts, r.lat, r.lon) for r in positions.current(table).collect()}
     assert got == {1: (at(7), 12.0, 22.0), 2: (at(2), -78.8784, 1.0)}
     whole = spark.createDataFrame(sum(batches, []), GPS)
     assert {r.route_no: (r.ts, r.lat, r.lon) for r in telemetry.latest_positions(whole, routes).collect()} == got
     run_available(positions.keep_latest(file_stream(spark, str(tmp_path / "in"), GPS), routes, table), str(tmp_path / "again"))
-    assert {r.route_no: (r.ts, r.lat, r.lon) for r in table.read().collect()} == got
+    assert {r.route_no: (r.ts, r.lat, r.lon) for r in positions.current(table).collect()} == got
 
 
 def test_crossings_over_batches_and_a_repeat(spark, tmp_path):
@@ -46,24 +46,36 @@ def test_crossings_over_batches_and_a_repeat(spark, tmp_path):
 
     amounts = [1500, 900, 800, 1200, 999, 1000, 10]
     rows = [(1, at(i * 600), i, Decimal(a)) for i, a in enumerate(amounts)] + [(2, at(0), 100, Decimal(5))]
-    balances, found = VersionedTable(spark, str(tmp_path / "b")), VersionedTable(spark, str(tmp_path / "a"))
-    jobs = lambda s: run_available(alerts.crossings(s, balances, found), str(tmp_path / "progress"))
+    balances, found, late = (BatchTable(spark, str(tmp_path / n)) for n in "bal")
+    jobs = lambda s: run_available(alerts.crossings(s, balances, found, late), str(tmp_path / "progress"))
     feed(spark, str(tmp_path / "in"), schema, [rows[:2], rows[2:5], rows[5:]], jobs)
     assert sorted(r.update_id for r in found.read().collect()) == [1, 4, 6, 100]
-    # The same batches again, from a lost checkpoint: their numbers are known, nothing is added.
-    run_available(alerts.crossings(file_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1), balances, found), str(tmp_path / "lost"))
+    # The same batches again, from a lost checkpoint: each overwrites its own partition.
+    run_available(alerts.crossings(file_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1), balances, found, late), str(tmp_path / "lost"))
     assert sorted(r.update_id for r in found.read().collect()) == [1, 4, 6, 100]
-    assert {r.account_number: int(r.balance) for r in balances.read().collect()} == {1: 10, 2: 5}
+    assert {r.account_number: int(r.balance) for r in alerts.last_balances(balances).collect()} == {1: 10, 2: 5}
     low = alerts.low_balances(spark.createDataFrame(rows, schema))
     assert low.count() == 5
 
 
+def test_updates_of_one_second_and_late_ones(spark, tmp_path):
+    schema = "account_number bigint, ts timestamp, update_id bigint, balance decimal(15,2)"
+    from decimal import Decimal
+
+    batches = [[(1, at(5), 1, Decimal(1400))], [(1, at(5), 2, Decimal(500)), (1, at(1), 0, Decimal(3))]]
+    balances, found, late = (BatchTable(spark, str(tmp_path / n)) for n in "bal")
+    feed(spark, str(tmp_path / "in"), schema, batches, lambda s: run_available(alerts.crossings(s, balances, found, late), str(tmp_path / "progress")))
+    assert [r.update_id for r in found.read().collect()] == [2]
+    assert [r.update_id for r in late.read().collect()] == [0]
+    assert [int(r.balance) for r in alerts.last_balances(balances).collect()] == [500]
+
+
 def test_uploads_are_registered_once(spark, tmp_path):
     schema = """upload_id bigint, filename string, file_size bigint, file_hash string, user_id string, owner_name string,
                 owner_email string, dataset string, upload_time_utc timestamp"""
     row = lambda i, h, minute: (i, f"f{i}.csv", 1, h, "u", "Ann Lee", "a@x", None, at(minute))
-    batches = [[row(1, "h1", 0), row(2, "h1", 1)], [row(3, "h1", 2), row(4, "h2", 500)], [row(5, "h1", 1000), row(6, "h3", 1001)]]
-    catalogue, lineage = (VersionedTable(spark, str(tmp_path / n)) for n in ("catalogue", "lineage"))
+    batches = [[row(1, "h1", 0), row(2, "h1", 1)], [row(3, "h1", 2), row(4, "h2", 500)], [row(5, "h1", 1000), row(6, "h3", 1)]]  # h3 is very late
+    catalogue, lineage = (BatchTable(spark, str(tmp_path / n)) for n in ("catalogue", "lineage"))
     feed(spark, str(tmp_path / "in"), schema, batches, lambda s: run_available(ingest.register_uploads(s, catalogue, lineage), str(tmp_path / "progress")))
     assert sorted(r.file_hash for r in catalogue.read().collect()) == ["h1", "h2", "h3"]
     ids = sorted(r.upload_id for r in catalogue.read().collect())
@@ -74,7 +86,7 @@ def test_halt_over_a_batch_edge(spark, tmp_path):
     schema = "stream string, frame bigint, dark bigint"
     dark = [0, 0, 9, 0, 0, 0, 0, 0, 0, 9, 0, 0, 0, 0, 9] + [0] * 12
     rows = [("s", i, d) for i, d in enumerate(dark)]
-    open_runs, found = VersionedTable(spark, str(tmp_path / "o")), VersionedTable(spark, str(tmp_path / "f"))
+    open_runs, found = BatchTable(spark, str(tmp_path / "o")), BatchTable(spark, str(tmp_path / "f"))
     feed(spark, str(tmp_path / "in"), schema, [rows[:5], rows[5:7], rows[7:18], rows[18:22], rows[22:]],
          lambda s: run_available(gaze.halts(s, open_runs, found), str(tmp_path / "progress")))
     assert sorted(r.halt_frame for r in found.read().collect()) == [7, 19]
@@ -83,7 +95,7 @@ def test_halt_over_a_batch_edge(spark, tmp_path):
 def test_bundle_files_arrive(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = BatchTable(spark, str(tmp_path / "t"))
     for batch in (("a", "b"), ("b", "c")):
         for name in batch:
             text = '{"resourceType": "Bundle",\n "entry": [{"resource": {"resourceType": "Patient", "id": "%s"}}]}' % name
@@ -93,13 +105,17 @@ def test_bundle_files_arrive(spark, tmp_path):
     assert sorted(r.fhir_patient_id for r in table.read().collect()) == ["a", "b", "c"]
 
 
-def test_closed_windows_only(spark, tmp_path):
-    batches = [[(1, 1, at(0), "", ""), (2, 1, at(10), "1", "1")], [(3, 1, at(24 * 60 + 30), "1", "1")]]
+def test_rates_count_late_updates_and_the_open_window(spark, tmp_path):
+    routes = spark.createDataFrame([(1,)], "route_no int")
+    batches = [[(1, 1, at(0), "", ""), (2, 1, at(10), "1", "1")], [(3, 1, at(24 * 60 + 30), "1", "1"), (4, 7, at(24 * 60 + 31), "1", "1")], [(5, 1, at(3), "1", "1")]]
+    table = BatchTable(spark, str(tmp_path / "out"))
+    feed(spark, str(tmp_path / "in"), GPS, batches, lambda s: run_available(positions.count_rejects(s, routes, table), str(tmp_path / "progress")))
+    got = sorted((r.window_start.day, r.reason, r.updates) for r in positions.rates(table).collect())
+    assert got == [(1, "empty", 1), (1, "ok", 2), (2, "ok", 1), (2, "unknown_route", 1)]
 
-    def run(stream):
-        rates = positions.reject_rates(stream)
-        run_available(rates.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "progress"))
 
-    feed(spark, str(tmp_path / "in"), GPS, batches, run)
-    got = spark.read.parquet(str(tmp_path / "out")).orderBy("reason").collect()
-    assert [(r.reason, r.updates) for r in got] == [("empty", 1), ("ok", 1)]
+def test_history_refuses_unknown_routes(spark, tmp_path):
+    routes = spark.createDataFrame([(1,)], "route_no int")
+    batches = [[(1, 1, at(0), "1", "2"), (2, 9, at(1), "1", "2")], [(3, 1, at(2), "", "")]]
+    feed(spark, str(tmp_path / "in"), GPS, batches, lambda s: run_available(positions.history(s, routes, str(tmp_path / "out")), str(tmp_path / "progress")))
+    assert [r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
