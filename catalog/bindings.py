@@ -634,7 +634,7 @@ class Frames:
                 size % 8, plain, grouped, F.concat(plain, F.lit(" – $"), text(price + 300)), F.concat(text(price), F.lit("-"), text(price + 50)),
                 "Call for Rent", F.concat(grouped, F.lit("+")), "", None,
             ).alias("Price"),
-            F.concat(text(size), F.lit(" Main St, Buffalo NY "), text(14200 + key % 20)).alias("Address"),
+            F.concat(text(size), F.lit(" Main St, Springfield NY "), text(14200 + key % 20)).alias("Address"),
             pick(key % 7, "Studio", "1 Bed", "2 Beds", "Studio – 2 Beds", "1-3 Beds", None, "No beds info").alias("Beds"),
             F.concat(F.lit("https://a.example/"), text(key)).alias("URL"),
             key.alias("arrival"),
@@ -649,7 +649,7 @@ class Frames:
             F.concat(text(key % 5000), F.lit(" Elm St")).alias("address"),
             pick(key % 4, F.concat(F.lit("$"), text(price)), F.concat(F.lit("$"), text(price), F.lit(" – $"), text(price + 99)), "No price", None).alias("price"),
             pick(key % 5, "1–2", "Studio", "3 ", "", "2").alias("bedrooms"),
-            F.concat(F.lit("Area, Buffalo "), text(14200 + key % 25)).alias("area"),
+            F.concat(F.lit("Area, Springfield "), text(14200 + key % 25)).alias("area"),
             F.concat(F.lit("https://p.example/"), text(key)).alias("url"),
         )
 
@@ -660,7 +660,7 @@ class Frames:
             key.alias("listing_id"),
             pick(
                 key % 4,
-                F.concat(text(key % 3 + 1), F.lit("–4 Bedrooms Apartments · "), F.col("o_orderpriority"), F.lit(", Buffalo")),
+                F.concat(text(key % 3 + 1), F.lit("–4 Bedrooms Apartments · "), F.col("o_orderpriority"), F.lit(", Springfield")),
                 F.concat(F.lit("Studio Apartment · "), F.col("o_orderstatus"), F.lit(" Park")),
                 F.concat(F.lit("House "), F.col("o_orderstatus")),
                 F.concat(F.lit("1 Bedroom Condo · "), F.col("o_orderstatus"), F.lit(" · top")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, keys, numbers
+from ledgerloom.functions.variants import safe_path as safe_path_of
 from ledgerloom.operators import allocate, integrity, merge, rows
 from ledgerloom.plans import kpi, omop, star, views
 from ledgerloom.session import shared_dir
@@ -203,12 +204,8 @@ def first_coding(frames):
 
 @query("safe_path", "SELECT CAST(props->>'$.k' AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS missing, event_id FROM events")
 def safe_path(frames):
-    value = F.try_parse_json("props")
-    return frames.table("events").select(
-        "event_id",
-        F.try_variant_get(value, "$.k", "bigint").alias("k"),
-        F.try_variant_get(value, "$.k.deeper[3]", "string").alias("missing"),
-    )
+    props = F.col("props")
+    return frames.table("events").select("event_id", safe_path_of(props, "$.k", "bigint").alias("k"), safe_path_of(props, "$.k.deeper[3]").alias("missing"))
 
 
 @query("date_prefix", "SELECT event_id, left(CAST(ts AS VARCHAR), 10) AS day FROM events")

@@ -220,7 +220,7 @@ SQL_FRAMES = {
         SELECT p_name AS "Title",
                CASE p_size % 8 WHEN 0 THEN '$' || price WHEN 1 THEN grouped WHEN 2 THEN '$' || price || ' – $' || (price + 300)
                     WHEN 3 THEN price || '-' || (price + 50) WHEN 4 THEN 'Call for Rent' WHEN 5 THEN grouped || '+' WHEN 6 THEN '' END AS "Price",
-               p_size || ' Main St, Buffalo NY ' || (14200 + p_partkey % 20) AS "Address",
+               p_size || ' Main St, Springfield NY ' || (14200 + p_partkey % 20) AS "Address",
                CASE p_partkey % 7 WHEN 0 THEN 'Studio' WHEN 1 THEN '1 Bed' WHEN 2 THEN '2 Beds' WHEN 3 THEN 'Studio – 2 Beds'
                     WHEN 4 THEN '1-3 Beds' WHEN 6 THEN 'No beds info' END AS "Beds",
                'https://a.example/' || p_partkey AS "URL", p_partkey AS arrival
@@ -230,11 +230,11 @@ SQL_FRAMES = {
         SELECT (o_orderkey % 5000) || ' Elm St' AS address,
                CASE o_orderkey % 4 WHEN 0 THEN '$' || price WHEN 1 THEN '$' || price || ' – $' || (price + 99) WHEN 2 THEN 'No price' END AS price,
                CASE o_orderkey % 5 WHEN 0 THEN '1–2' WHEN 1 THEN 'Studio' WHEN 2 THEN '3 ' WHEN 3 THEN '' ELSE '2' END AS bedrooms,
-               'Area, Buffalo ' || (14200 + o_orderkey % 25) AS area, 'https://p.example/' || o_orderkey AS url
+               'Area, Springfield ' || (14200 + o_orderkey % 25) AS area, 'https://p.example/' || o_orderkey AS url
         FROM (SELECT *, CAST(floor(o_totalprice / 100) AS BIGINT) AS price FROM orders)""",
     "listing_details": """
         SELECT o_orderkey AS listing_id,
-               CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 3 + 1) || '–4 Bedrooms Apartments · ' || o_orderpriority || ', Buffalo'
+               CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 3 + 1) || '–4 Bedrooms Apartments · ' || o_orderpriority || ', Springfield'
                     WHEN 1 THEN 'Studio Apartment · ' || o_orderstatus || ' Park' WHEN 2 THEN 'House ' || o_orderstatus
                     ELSE '1 Bedroom Condo · ' || o_orderstatus || ' · top' END AS detail FROM orders""",
     "income": "SELECT CAST(14195 + n_nationkey AS VARCHAR) AS zip, CAST(30000 + 1000 * n_nationkey AS BIGINT) AS median_income FROM nation",

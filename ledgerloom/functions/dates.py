@@ -12,13 +12,16 @@ def date_prefix(text: Column) -> Column:
     return F.nullif(F.left(text, F.lit(10)), F.lit(""))
 
 
-def local_seconds(text: Column) -> Column:
-    """The wall-clock part of an ISO timestamp; the zone suffix is cut off."""
-    return F.try_to_timestamp(F.left(text, F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+def moment_of(text: Column, wall_clock: bool = False) -> Column:
+    """The moment an ISO timestamp names; with ``wall_clock`` its zone suffix is cut off."""
+    if wall_clock:
+        return F.try_to_timestamp(F.left(text, F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    return text.try_cast("timestamp")
 
 
-def duration_hours(start: Column, end: Column) -> Column:
-    seconds = F.unix_timestamp(local_seconds(end)) - F.unix_timestamp(local_seconds(start))
+def duration_hours(start: Column, end: Column, wall_clock: bool = False) -> Column:
+    """Hours between two ISO timestamps; ``wall_clock`` ignores that a clock changed between them."""
+    seconds = F.unix_timestamp(moment_of(end, wall_clock)) - F.unix_timestamp(moment_of(start, wall_clock))
     return F.round((seconds / F.lit(3600)).cast("decimal(20,8)"), 2).cast("double")
 
 
@@ -26,6 +29,7 @@ def year_month_label(year: Column, month: Column) -> Column:
     return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
+# Labels of the days to a readmission.
 def readmit_window_label(days: Column) -> Column:
     return (
         F.when(days <= 7, "0-7 days")

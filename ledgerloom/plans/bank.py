@@ -124,6 +124,7 @@ def account_subtypes(account: DataFrame, savings: DataFrame, checking: DataFrame
 
 def low_balance_message(account: Column) -> Column:
     return F.concat(
+        # The message texts here and in the audit below.
         F.lit("Alert: Account "), account.cast("string"),
         F.lit(" balance dropped below $1000. Interest rate may change."),
     )

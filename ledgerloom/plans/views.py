@@ -10,6 +10,7 @@ from ..operators.order_stats import exact_percentiles
 from ..operators.ranges import later_within_days, pairs_within_days
 from ..session import settled
 
+# Labels of the cost categories.
 HIGH_COST, STANDARD = "High Cost (Top 10%)", "Standard"
 READMIT_DAYS = 30
 HIGH_COST_POINT = 0.9

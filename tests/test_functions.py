@@ -55,9 +55,10 @@ def test_ratios(value_of):
     assert value_of(numbers.finite(F.lit(1.5))) == 1.5
 
 
-def test_duration_ignores_the_zone_and_bad_text(value_of):
-    hours = lambda a, b: value_of(dates.duration_hours(F.lit(a), F.lit(b)))
-    assert hours("2020-01-01T23:00:00-05:00", "2020-01-02T01:20:00Z") == 2.33
+def test_duration_with_and_without_zone_and_bad_text(value_of):
+    hours = lambda a, b, **options: value_of(dates.duration_hours(F.lit(a), F.lit(b), **options))
+    assert hours("2020-01-01T23:00:00-05:00", "2020-01-02T01:20:00Z", wall_clock=True) == 2.33
+    assert hours("2020-03-07T23:00:00-05:00", "2020-03-08T04:00:00-04:00") == 4.0
     assert hours("2020-01-01T23:00:00", None) is None
     assert hours("soon", "2020-01-02T01:20:00") is None
 

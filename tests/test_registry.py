@@ -1,5 +1,9 @@
 """The registered queries as a whole."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -27,3 +31,10 @@ def test_a_few_run_on_the_smallest_tables(spark, name):
 
 def test_entry(spark):
     assert registry.entry(spark).count() == registry.queries()["omop_person"](spark, SMALL).count()
+
+
+def test_the_rest_works_without_the_optional_subpackage():
+    """The entry module imports, and knows its other queries, where the subpackage is gone."""
+    code = "import sys; sys.modules['ledgerloom.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), set(e.queries()) == set(e.QUERIES))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(registry.__file__), capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(registry.QUERIES)), "True"]
