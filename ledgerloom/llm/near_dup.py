@@ -10,10 +10,12 @@ Two texts agree on a coordinate with the probability of their weighted Jaccard s
 Texts with equal elements form one node. Nodes that agree on a whole band share a bucket.
 Links are verified on the elements themselves:
 
-1. each node with one leader (a bucket's smallest node), which settles groups of copies;
-2. each node with the leaders of its other buckets, where the classes still differ;
-3. inside buckets whose other nodes still differ, some nodes outside the largest class at a
-   time with all nodes of the bucket, until no two classes are left untried.
+1. each node with one leader (the smallest of its buckets' smallest nodes), which settles
+   most of a large group of near copies with one pair a node;
+2. inside buckets that still hold several classes, one node of each class with one of the
+   largest class, as long as that finds links;
+3. then some nodes outside the largest class at a time with the nodes of other classes,
+   until no two classes are left untried.
 
 No pair inside one class is ever formed, no bucket is cut, and no group meets in one task:
 buckets are aggregated before they are joined, the joins have no other work in their stage,
@@ -36,7 +38,8 @@ from .text import mix64, pieces, word_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 36, 8
-LEADERS_AT_ONCE = 16
+LEADERS_AT_ONCE, LEADERS_GROWTH = 16, 4
+"""Nodes of a bucket that are compared with the rest of it in the first turn, and how much more in each later one."""
 BITMAP_BITS = 1 << 24
 """Size of the broadcast bitmap of wanted nodes; a full one only lets more rows through."""
 
@@ -220,15 +223,18 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     Each label moves to its smallest neighbour, links follow, until no link is left. Ids are
     hashes, so chains of falling ids are short. A label without links keeps its name.
     """
+    steps = []
     links = settled(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     while not links.isEmpty():
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         moves = settled(both.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("label"), F.least("a", "to").alias("to")))
-        labels = settled(labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        steps.append(moves)
         first, second = (moves.select(F.col("label").alias(c), F.col("to").alias(f"to_{c}")) for c in "ab")
         moved = links.join(first, "a").join(second, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         links = settled(moved.where("a <> b").distinct())
-    return labels
+    for moves in steps:
+        labels = labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return settled(labels) if steps else labels
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
@@ -237,18 +243,47 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
     return rows.join(known, node, "left").withColumn(label, F.coalesce("_label", node)).drop("_label")
 
 
-def _untried_leaders(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Of buckets whose untried nodes have several classes: these nodes, and some outside the largest class as leaders."""
-    known = settled(_labelled(members, labels, "node", "label"))
-    per_label = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
-    per_bucket = per_label.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("core"), F.sum("n").alias("n"), F.max("n").alias("n_core"), F.count(F.lit(1)).alias("classes"))
-    open_ = per_bucket.where("classes > 1").drop("classes")
-    untried = known.join(open_, "bucket")
-    share = F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("n_core")) / LEADERS_AT_ONCE))
-    drawn = F.pmod(F.xxhash64("node", F.lit(turn)), share) == 0
-    least = per_label.join(open_.select("bucket", "core"), "bucket").where("label <> core").groupBy("bucket").agg(F.min("least").alias("node"))
-    leaders = untried.where(drawn & (F.col("label") != F.col("core"))).select("bucket", "node").union(least.select("bucket", "node")).distinct()
-    return settled(untried.select("bucket", "node")), settled(leaders)
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket``, ``node``, ``label`` of the buckets that hold several classes."""
+    known = settled(_labelled(members.select("bucket", "node"), labels, "node", "label"))
+    several = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return settled(known.join(several.select("bucket"), "bucket"))
+
+
+def _leaders(untried: DataFrame, turn: int) -> DataFrame:
+    """Of each bucket some untried nodes outside the largest class, the smallest of them always; none if all are of one class."""
+    per_label = untried.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+    per_bucket = per_label.groupBy("bucket").agg(
+        F.max_by("label", F.struct("n", "label")).alias("core"), (F.sum("n") - F.max("n")).alias("outside"),
+        F.min_by("least", F.struct("n", "label")).alias("surely"),
+    )
+    share = F.greatest(F.lit(1), F.ceil(F.col("outside") / (LEADERS_AT_ONCE * LEADERS_GROWTH**turn)))
+    drawn = (F.pmod(F.xxhash64("node", F.lit(turn)), share) == 0) | (F.col("node") == F.col("surely"))
+    found = untried.join(per_bucket.where("outside > 0"), "bucket").where(drawn & (F.col("label") != F.col("core")))
+    return settled(found.select("bucket", "node"))
+
+
+def _between_classes(opened: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b``: one node of each class of a bucket with one node of its largest class."""
+    classes = opened.groupBy("bucket", "label").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n"))
+    core = classes.groupBy("bucket").agg(F.max_by(F.struct("label", "node"), F.struct("n", "label")).alias("core"))
+    met = classes.join(core, "bucket").where(F.col("label") != F.col("core.label"))
+    return met.select(F.greatest("node", "core.node").alias("a"), F.least("node", "core.node").alias("b")).distinct()
+
+
+def _all_classes(opened: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b``: the leaders of a bucket with its nodes of other classes."""
+    own = opened.join(leaders, ["bucket", "node"]).select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
+    others = opened.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
+    return own.join(others, "bucket").where("la <> lb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` after the links found between nodes, some of which may have no label yet."""
+    ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
+    every = settled(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
+    between = _labelled(_labelled(found, every, "a", "la"), every, "b", "lb")
+    return contract(every, between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
 
 
 def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -260,40 +295,30 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
     emitted = docs.select("text").mapInArrow(lambda batches: _node_elements(wanted.value)(batches), "node bigint, elements binary")
     elements = settled(emitted.groupBy("node").agg(F.first("elements").alias("elements")))
 
-    follow = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    follow = settled(follow)
-    tried = settled(follow.groupBy("a").agg(F.min("b").alias("b")))
+    tried = settled(members.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
     links = _verified(tried, elements, threshold)
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     labels = contract(ends.select("node", F.col("node").alias("label")), links)
 
-    def join_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        found = _verified(pairs, elements, threshold)
-        if found.isEmpty():
-            return labels
-        ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
-        every = settled(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
-        between = _labelled(_labelled(found, every, "a", "la"), every, "b", "lb")
-        return contract(every, between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-
-    rest = _labelled(_labelled(follow.join(tried, ["a", "b"], "left_anti"), labels, "a", "la"), labels, "b", "lb")
-    rest = settled(rest.where("la <> lb").select("a", "b"))
-    labels = join_classes(rest, labels)
-    tried = tried.union(rest)
-
-    untried, turn = members.where("node <> leader").select("bucket", "node"), 0
-    while True:
-        untried, leaders = _untried_leaders(untried, labels, turn)
-        if leaders.isEmpty():
-            return labels
-        known = _labelled(leaders.withColumnRenamed("node", "a"), labels, "a", "la")
-        others = _labelled(members.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", F.col("node").alias("b")), labels, "b", "lb")
-        crossed = known.join(others, "bucket").where("la <> lb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    opened = _open_members(members, labels)
+    untried, turn, leaders = opened, 0, None
+    while not opened.isEmpty():
+        crossed = _between_classes(opened) if leaders is None else _all_classes(opened, leaders)
         pairs = settled(crossed.join(tried, ["a", "b"], "left_anti"))
-        labels = join_classes(pairs, labels)
+        found = _verified(pairs, elements, threshold)
         tried = tried.union(pairs)
-        untried = untried.join(leaders, ["bucket", "node"], "left_anti")
-        turn += 1
+        if not found.isEmpty():
+            labels = _joined(labels, found)
+            opened = _open_members(opened, labels)
+        elif leaders is None:
+            leaders = _leaders(settled(opened.join(untried.select("bucket", "node"), ["bucket", "node"], "left_semi")), turn)
+            if leaders.isEmpty():
+                break
+            continue
+        if leaders is not None:
+            untried = settled(untried.select("bucket", "node").join(leaders, ["bucket", "node"], "left_anti"))
+            turn, leaders = turn + 1, None
+    return labels
 
 
 def document_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
