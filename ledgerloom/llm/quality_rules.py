@@ -2,14 +2,21 @@
 
 Base counts use words ``[^\\x20\\x09-\\x0D]+``. The verdict measures how the vocabulary takes
 to the text: characters per token, the share of tokens that spell single bytes, and the
-entropy of the tokens in bits. Each script has a band; a text is rejected outside the band
-of its commonest script.
-
-One pass, nothing shuffled or learned; the vocabulary is read on the driver and broadcast,
-its size is fixed by the file. Defined cases: a null text counts as empty; a text of fewer
-than ``MIN_WORDS`` words fails the base rules, so empty ones do; a text without letters
-falls under ``OTHER``; repeated rows are judged each. Memory follows ``text.PIECE_BYTES``
-or the longest single text.
+entropy of the tokens in bits. Each language and script has a band; a text is rejected
+outside the band of its language and commonest script.
+
+Bands are measured over all texts that pass the base rules, equal texts counting once: the
+quartiles, and ``WIDTHS`` times their distance beyond them. Values are counted in steps of
+``1 / STEPS`` first, so the driver gets a table bounded by the vocabulary and the number of
+languages, which must be small. A language and script of fewer than ``LEAST_TEXTS`` texts has
+no measured band and falls back to the wide one of ``SCRIPTS``.
+
+Texts are tokenized once; the measures are written to ``spark.checkpoint.dir``, and one small
+row a text is shuffled. The vocabulary is read on the driver and broadcast, its size is fixed
+by the file. Defined cases: a null text counts as empty; a text of fewer than ``MIN_WORDS``
+words fails the base rules, so empty ones do; a text without letters falls under ``OTHER``;
+a null language is a group of its own; repeated rows are judged each. Memory follows
+``text.PIECE_BYTES`` or the longest single text.
 """
 
 from __future__ import annotations
@@ -18,11 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ledgerloom.session import settled
 
 from .text import mix64, pieces, span_hashes, word_spans
 
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
+LEAST_TEXTS, STEPS = 50, 1000
+#: How far beyond the quartiles a band goes, in their distances, and how far at least. Byte shares are skewed.
+WIDTHS = {"chars_per_token": (2.0, 0.05), "byte_share": (3.0, 0.01), "entropy": (2.0, 0.25)}
 
 _NOT_SPACE = np.ones(256, dtype=bool)
 _NOT_SPACE[[32, *range(9, 14)]] = False
@@ -41,7 +53,7 @@ class Band:
 
 
 OTHER = "other"
-#: First and last code point of each script's main blocks, and its band.
+#: First and last code point of each script's main blocks, and its band where too few texts are there to measure one.
 SCRIPTS = {
     "latin": ([(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)], Band(1.3, 12.0, 0.15, 2.0)),
     "greek": ([(0x370, 0x3FF)], Band(0.8, 12.0, 0.3, 2.0)),
@@ -49,6 +61,9 @@ SCRIPTS = {
     "arabic": ([(0x600, 0x6FF), (0x750, 0x77F)], Band(0.6, 12.0, 0.4, 2.0)),
     "han": ([(0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF)], Band(0.35, 8.0, 0.85, 2.0)),
     "hangul": ([(0xAC00, 0xD7AF), (0x1100, 0x11FF)], Band(0.35, 8.0, 0.85, 2.0)),
+    "hebrew": ([(0x590, 0x5FF)], Band(0.25, 12.0, 1.0, 2.0)),
+    "devanagari": ([(0x900, 0x97F)], Band(0.25, 12.0, 1.0, 2.0)),
+    "thai": ([(0xE00, 0xE7F)], Band(0.25, 12.0, 1.0, 2.0)),
     OTHER: ([], Band(0.25, 12.0, 1.0, 2.0)),
 }
 
@@ -144,22 +159,23 @@ def scripts(texts: list[str], names: list[str]) -> np.ndarray:
 
 _COLUMNS = {
     "n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(), "n_dup_lines": pa.int64(), "n_repeat_words": pa.int64(), "base_failed": pa.bool_(),
-    "n_tokens": pa.int64(), "chars_per_token": pa.float64(), "byte_share": pa.float64(), "entropy": pa.float64(), "script": pa.string(), "kept": pa.bool_(),
+    "n_tokens": pa.int64(), "chars_per_token": pa.float64(), "byte_share": pa.float64(), "entropy": pa.float64(), "script": pa.string(),
 }
 
 
-def quality_rules(docs: DataFrame, text: str = "text", path: str | None = None, bands: dict[str, Band] | None = None) -> DataFrame:
-    """``row`` (the document as it came), the base counts, the fertility measures and the verdict."""
+def measures(docs: DataFrame, text: str = "text", path: str | None = None, language: str | None = "lang", carried: list[str] | None = None) -> DataFrame:
+    """``row`` (the ``carried`` columns, or all), ``language``, ``digest`` of the text, and ``_COLUMNS``; one pass."""
     with open(path or default_vocabulary(), "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     names = list(SCRIPTS)
-    limits = [(bands or {}).get(name, SCRIPTS[name][1]) for name in names]
-    limits = np.array([[b.least_chars_per_token, b.most_chars_per_token, b.most_byte_share, b.least_entropy] for b in limits])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    spoken = F.col(f"`{language}`").cast("string") if language in docs.columns else F.lit(None).cast("string")
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried or docs.columns]).alias("row"), spoken.alias("language"), F.xxhash64(whole).alias("digest"), F.col(f"`{text}`").alias("text"))
     kinds = {pa.int64(): F.lit(0).cast("bigint"), pa.bool_(): F.lit(True), pa.float64(): F.lit(0.0), pa.string(): F.lit("")}
-    schema = rows.select("row", *[kinds[kind].alias(name) for name, kind in _COLUMNS.items()]).schema
+    kept = ["row", "language", "digest"]
+    schema = rows.select(*kept, *[kinds[kind].alias(name) for name, kind in _COLUMNS.items()]).schema
 
-    def judge(batches):
+    def measure(batches):
         import sentencepiece
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
@@ -170,18 +186,78 @@ def quality_rules(docs: DataFrame, text: str = "text", path: str | None = None,
                 texts = piece.column("text").fill_null("").to_pylist()
                 out = base_counts(data, edges) | fertility(texts, processor, byte_ids, size)
                 out["base_failed"] = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > REPEAT_PERCENT * out["n_words"])
-                script = scripts(texts, names)
-                least, most, share, entropy = limits[script].T
-                inside = (out["chars_per_token"] >= least) & (out["chars_per_token"] <= most) & (out["byte_share"] <= share) & (out["entropy"] >= entropy)
-                out["kept"] = inside & ~out["base_failed"]
-                out["script"] = [names[i] for i in script]
-                yield pa.RecordBatch.from_arrays([piece.column("row"), *[pa.array(out[name], kind) for name, kind in _COLUMNS.items()]], ["row", *_COLUMNS])
-
-    return rows.mapInArrow(judge, schema)
+                out["script"] = [names[i] for i in scripts(texts, names)]
+                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in kept], *[pa.array(out[name], kind) for name, kind in _COLUMNS.items()]], [*kept, *_COLUMNS])
+
+    return rows.mapInArrow(measure, schema)
+
+
+def _quartiles(counted: list[tuple[int, int]]) -> tuple[float, float]:
+    """The steps at a quarter and three quarters of the texts, as values."""
+    steps, times = np.array(sorted(counted)).T
+    upto = np.cumsum(times)
+    return tuple(float(steps[np.searchsorted(upto, share * upto[-1])]) / STEPS for share in (0.25, 0.75))
+
+
+def learn_bands(measured: DataFrame) -> dict[tuple[str | None, str], Band]:
+    """The band of each language and script with ``LEAST_TEXTS`` different texts that pass the base rules."""
+    steps = [F.round(F.col(name) * STEPS).cast("bigint").alias(name) for name in WIDTHS]
+    once = measured.where("not base_failed").select("language", "script", "digest", *steps).distinct()
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("measure"), F.col(name).alias("step")) for name in WIDTHS])).alias("x")
+    counted: dict[tuple, dict[str, list]] = {}
+    for r in once.select("language", "script", each).groupBy("language", "script", "x.measure", "x.step").count().collect():
+        counted.setdefault((r["language"], r["script"]), {name: [] for name in WIDTHS})[r["measure"]].append((r["step"], r["count"]))
+    bands = {}
+    for group, by_measure in counted.items():
+        if sum(times for _, times in by_measure["entropy"]) < LEAST_TEXTS:
+            continue
+        reach = {}
+        for name, (width, least) in WIDTHS.items():
+            low, high = _quartiles(by_measure[name])
+            beyond = max(width * (high - low), least)
+            reach[name] = (low - beyond, high + beyond)
+        bands[group] = Band(*reach["chars_per_token"], reach["byte_share"][1], reach["entropy"][0])
+    return bands
+
+
+def _outside(learned: dict[tuple[str | None, str], Band], given: dict[str, Band]) -> Column:
+    """The names of the measures that lie outside the row's band."""
+    limits = lambda b: F.array(*map(F.lit, (float(b.least_chars_per_token), float(b.most_chars_per_token), float(b.most_byte_share), float(b.least_entropy))))
+    table = lambda bands: F.create_map(*[x for key, band in bands for x in (F.lit(key), limits(band))])
+    named = lambda language, script: f"{script} {'' if language is None else '=' + language}"
+    own = [(named(*group), band) for group, band in sorted(learned.items(), key=str) if group[1] not in given]
+    wide = F.try_element_at(table([(script, given.get(script, band)) for script, (_, band) in SCRIPTS.items()]), F.col("script"))
+    key = F.concat(F.col("script"), F.lit(" "), F.coalesce(F.concat(F.lit("="), F.col("language")), F.lit("")))
+    band = F.coalesce(F.try_element_at(table(own), key), wide) if own else wide
+    at = lambda i: F.get(band, F.lit(i))
+    named_if = lambda name, bad: F.when(bad, F.lit(name))
+    return F.array_compact(F.array(
+        named_if("chars_per_token", (F.col("chars_per_token") < at(0)) | (F.col("chars_per_token") > at(1))),
+        named_if("byte_share", F.col("byte_share") > at(2)), named_if("entropy", F.col("entropy") < at(3)),
+    ))
+
+
+def _judged(measured: DataFrame, bands: dict[str, Band] | None) -> DataFrame:
+    measured = settled(measured)
+    marked = measured.withColumn("outside", _outside(learn_bands(measured), bands or {}))
+    return marked.select("row", *_COLUMNS, (~F.col("base_failed") & (F.size("outside") == 0)).alias("kept"), "language", "outside")
+
+
+def quality_rules(docs: DataFrame, text: str = "text", path: str | None = None, bands: dict[str, Band] | None = None, language: str | None = "lang") -> DataFrame:
+    """``row`` (the document as it came), the base counts, the fertility measures, the verdict, and in ``outside`` the
+    measures outside the band. ``bands`` sets scripts by hand; without a column ``language`` bands are by script only."""
+    return _judged(measures(docs, text, path, language), bands)
+
+
+def rejections(judged: DataFrame) -> DataFrame:
+    """One row per language and script: texts, those the base rules fail, and of the others how many each band rejects."""
+    passed = ~F.col("base_failed")
+    by_measure = [F.count_if(passed & F.array_contains("outside", name)).alias(name) for name in WIDTHS]
+    return judged.groupBy("language", "script").agg(F.count(F.lit(1)).alias("texts"), F.count_if("base_failed").alias("base_failed"), *by_measure, F.count_if(passed & ~F.col("kept")).alias("rejected"))
 
 
 def quality_rules_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """One row per document: base counts, verdict, then the measures behind it."""
-    judged = quality_rules(docs.select(doc_id, text), text, path)
+    judged = _judged(measures(docs, text, path, carried=[doc_id]), None)
     first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select(F.col(f"row.{doc_id}").alias(doc_id), *first, *[c for c in _COLUMNS if c not in first])

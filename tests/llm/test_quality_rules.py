@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 import regex
 import sentencepiece
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from ledgerloom.llm import quality_rules as qr
@@ -87,3 +89,26 @@ def test_bands_reject_and_columns_may_clash(spark):
     tight = qr.quality_rules(docs, bands={"latin": qr.Band(5.0, 6.0, 0.0, 9.0)}).where("row.doc_id = 1").collect()
     assert [r.kept for r in tight] == [False]
     assert qr.quality_rules(docs.limit(0)).count() == 0
+
+
+def test_measured_bands_reject_what_differs_from_its_language(spark):
+    """120 texts of one kind, junk of rare letter pairs, a third of the rows copies, another language with its own band."""
+    words = "the people who read this book about old sea and its ships were friends of my father mother house water".split()
+    rare = "zqx vkj wqz xjv qgk jzx vqp kxz qjw zvk xgq jqv".split()
+    mixed = lambda i, among: " ".join(random.Random(i).choices(among, k=60 + i % 9))
+    prose, junk = lambda i: mixed(i, words), lambda i: mixed(i, rare)
+    rows = [(i, prose(i), "en") for i in range(120)] + [(1000 + i, junk(i), "en") for i in range(12)]
+    rows += [(2000 + i, junk(i), "xx") for i in range(120)] + [(3000 + i, junk(3), "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    judged = qr.quality_rules(docs).where("not base_failed").cache()
+    share = {r.kind: r.share for r in judged.groupBy((F.floor(F.col("row.doc_id") / 1000)).alias("kind")).agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[0] > 0.9 and share[1] == 0 and share[2] > 0.9 and share[3] == 0
+    counts = {r.language: r for r in qr.rejections(judged).collect()}
+    assert counts["en"].rejected >= 300 and counts["en"].chars_per_token >= 300 and counts["en"].texts == judged.where("language = 'en'").count()
+
+
+def test_measured_bands_reject_labelled_junk(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    judged = qr.quality_rules(docs).where("not base_failed").select("row.doc_id", "kept")
+    kept = {r.quality: r.share for r in judged.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[0] < 0.5 and kept[1] > 0.9
