@@ -135,3 +135,10 @@ def op8_pii(table):
     from .pii import pii_report
 
     return pii_report(table("documents"), key="key of the registered query")
+
+
+@query("op12_whitening")
+def op12_whitening(table):
+    from .whitening import whitening_report
+
+    return whitening_report(table("embeddings"))
