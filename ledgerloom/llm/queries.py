@@ -142,3 +142,10 @@ def op12_whitening(table):
     from .whitening import whitening_report
 
     return whitening_report(table("embeddings"))
+
+
+@query("op11_simhash")
+def op11_simhash(table):
+    from .simhash import simhash_report
+
+    return simhash_report(table("documents"))
