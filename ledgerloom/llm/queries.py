@@ -149,3 +149,30 @@ def op11_simhash(table):
     from .simhash import simhash_report
 
     return simhash_report(table("documents"))
+
+
+@query(
+    "op13_collocations",
+    r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+     totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY 1),
+     grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+               FROM (SELECT lang, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS i FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+     f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+     alone AS (SELECT c.* FROM f c WHERE k >= 2 AND NOT EXISTS (
+                   SELECT 1 FROM f b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.f >= 100 * c.f AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+     cuts AS (SELECT lang, phrase, f AS a, cut, array_to_string(w[1:cut], ' ') AS lead, array_to_string(w[cut + 1:], ' ') AS rest
+              FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM alone)),
+     scored AS (SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, t.n,
+                       CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+                FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.lead JOIN f r ON r.lang = c.lang AND r.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+     best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) WHERE rank <= 2000""",
+)
+def op13_collocations(table):
+    from .collocations import collocations
+
+    return collocations(table("documents"))
