@@ -40,7 +40,7 @@ _IS_WORD[[0x20, 0x09]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _OTHER = np.random.default_rng(2).permutation(256).astype(np.uint8)
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
+_PAIR, _LANG = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Words:
@@ -52,7 +52,7 @@ class Words:
         row = np.repeat(np.arange(len(edges) - 1), np.diff(rows))
         self.lang = langs[row]
         self.check = span_hashes(_OTHER[self.bytes], self.starts, self.ends)
-        code = mix64(span_hashes(self.bytes, self.starts, self.ends) + np.uint64(salt) * self.check + lang_hashes[self.lang])
+        code = mix64(span_hashes(self.bytes, self.starts, self.ends) + np.uint64(salt) * self.check + mix64(lang_hashes ^ _LANG)[self.lang])
         self.code = np.maximum(code, np.uint64(1))  # zero pads
         passed = np.concatenate(([0], np.cumsum(_ENDS[self.bytes])))
         self.joined = np.zeros(len(code), bool)
@@ -171,9 +171,11 @@ def _spelling(wanted, salt: int):
                 mine = np.array([place[x] for x in piece.column("lang").to_pylist()], np.int64)
                 words = Words(data, edges, mine, span_hashes(flat, at[:-1], at[1:]), salt)
                 hit = np.flatnonzero(is_set(wanted.value, words.code))
-                codes, first = np.unique(words.code[hit], return_index=True)
+                first = hit[np.unique(words.code[hit], return_index=True)[1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes.view(np.int64)), pa.array(words.spelling(hit[first]), pa.binary()).cast(pa.string())], ["word", "spelling"]
+                    [pa.array(names, pa.string()).take(pa.array(words.lang[first])), pa.array(words.code[first].view(np.int64)),
+                     pa.array(words.spelling(first), pa.binary()).cast(pa.string())],
+                    ["lang", "word", "spelling"],
                 )
 
     return emit
@@ -261,11 +263,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     phrases, words, given, salt = phrase_counts(docs, text, lang, least, order)
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("n")))
     scored = settled(scored_phrases(phrases, totals, percent))
-    used = settled(scored.select(F.explode("phrase").alias("code")).distinct())
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(used, used.count()))
-    spelt = given.mapInArrow(_spelling(wanted, salt), "word bigint, spelling string").groupBy("word").agg(F.first("spelling").alias("spelling"))
-    spelt = settled(spelt.join(used, F.col("word") == F.col("code"), "left_semi"))
-    each = scored.select("*", F.posexplode("phrase").alias("place", "word")).join(spelt, "word")
+    used = settled(scored.select("lang", F.explode("phrase").alias("word")).distinct())
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(used.select(F.col("word").alias("code")), used.count()))
+    spelt = given.mapInArrow(_spelling(wanted, salt), "lang string, word bigint, spelling string").groupBy("lang", "word").agg(F.first("spelling").alias("spelling"))
+    spelt = settled(spelt.join(used, ["lang", "word"], "left_semi"))
+    each = scored.select("*", F.posexplode("phrase").alias("place", "word")).join(spelt, ["lang", "word"])
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "spelling"))), lambda s: s["spelling"]), " ")
     numbers = ["a", "l", "r", "n", "score"]
     named = each.groupBy("lang", F.col("phrase").alias("codes")).agg(joined.alias("phrase"), *[F.first(c).alias(c) for c in numbers])

@@ -69,6 +69,11 @@ def test_other_orders_and_repeats(spark):
         assert found(frame, least=3, order=order) == brute(rows, 3, order)
 
 
+def test_languages_named_like_words(spark):
+    rows = [("en es en es", "es")] * 5 + [("es en. es en", "en")] * 5
+    assert found(spark.createDataFrame(rows, "text string, lang string"), least=3) == brute(rows, 3)
+
+
 def test_products_beyond_64_bits(spark):
     phrases = spark.createDataFrame([("x", [1, 2], 4_000_000_000), ("x", [1], 4_000_000_001), ("x", [2], 5_000_000_000)], "lang string, phrase array<bigint>, f bigint")
     totals = spark.createDataFrame([("x", 9_000_000_000_007)], "lang string, n bigint")
