@@ -14,12 +14,13 @@ Links are verified on the elements themselves:
    most of a large group of near copies with one pair a node;
 2. inside buckets that still hold several classes, one node of each class with one of the
    largest class, as long as that finds links;
-3. then some nodes outside the largest class at a time with the nodes of other classes,
-   until no two classes are left untried.
+3. then all nodes outside the largest class with all nodes of other classes, in blocks: both
+   sides of a bucket are dealt into blocks of about ``BLOCK_BYTES`` of elements, and each block
+   of the one meets each block of the other as one row, of which only links come out.
 
-No pair inside one class is ever formed, no bucket is cut, and no group meets in one task:
-buckets are aggregated before they are joined, the joins have no other work in their stage,
-so Spark can split them. Classes are the connected components of the verified links, found
+No pair row inside a bucket is formed in the last step, no bucket is cut, and no group meets in
+one task: buckets are aggregated before they are joined, the joins have no other work in their
+stage, so Spark can split them. Classes are the connected components of the verified links, found
 by contraction. Steps used again are written to the shared folder ``spark.checkpoint.dir``.
 
 Defined cases: a null text or one without words is a class of its own; a class is named by
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.session import settled
 
@@ -38,8 +39,8 @@ from .text import mix64, pieces, word_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 36, 8
-LEADERS_AT_ONCE, LEADERS_GROWTH = 16, 4
-"""Nodes of a bucket that are compared with the rest of it in the first turn, and how much more in each later one."""
+BLOCK_BYTES = 1_000_000
+"""Elements of a bucket's nodes that are compared at a time with as many others."""
 BITMAP_BITS = 1 << 24
 """Size of the broadcast bitmap of wanted nodes; a full one only lets more rows through."""
 
@@ -250,19 +251,6 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return settled(known.join(several.select("bucket"), "bucket"))
 
 
-def _leaders(untried: DataFrame, turn: int) -> DataFrame:
-    """Of each bucket some untried nodes outside the largest class, the smallest of them always; none if all are of one class."""
-    per_label = untried.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
-    per_bucket = per_label.groupBy("bucket").agg(
-        F.max_by("label", F.struct("n", "label")).alias("core"), (F.sum("n") - F.max("n")).alias("outside"),
-        F.min_by("least", F.struct("n", "label")).alias("surely"),
-    )
-    share = F.greatest(F.lit(1), F.ceil(F.col("outside") / (LEADERS_AT_ONCE * LEADERS_GROWTH**turn)))
-    drawn = (F.pmod(F.xxhash64("node", F.lit(turn)), share) == 0) | (F.col("node") == F.col("surely"))
-    found = untried.join(per_bucket.where("outside > 0"), "bucket").where(drawn & (F.col("label") != F.col("core")))
-    return settled(found.select("bucket", "node"))
-
-
 def _between_classes(opened: DataFrame) -> DataFrame:
     """Pairs ``a``, ``b``: one node of each class of a bucket with one node of its largest class."""
     classes = opened.groupBy("bucket", "label").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n"))
@@ -271,11 +259,51 @@ def _between_classes(opened: DataFrame) -> DataFrame:
     return met.select(F.greatest("node", "core.node").alias("a"), F.least("node", "core.node").alias("b")).distinct()
 
 
-def _all_classes(opened: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b``: the leaders of a bucket with its nodes of other classes."""
-    own = opened.join(leaders, ["bucket", "node"]).select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    others = opened.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return own.join(others, "bucket").where("la <> lb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def links_between(own: list[dict], others: list[dict], threshold: float) -> list[tuple[int, int]]:
+    """Of each own node and each other class one link to a similar node, if there is any. Nodes are ``node``, ``label``, ``elements`` (sorted)."""
+    sets = [np.frombuffer(x["elements"], np.uint64) for x in own]
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    sizes, labels = np.array([len(x) for x in sets]), np.array([x["label"] for x in own], np.int64)
+    found: dict[tuple[int, int], int] = {}
+    for other in others:
+        theirs = np.frombuffer(other["elements"], np.uint64)
+        low, high = np.searchsorted(flat, theirs, side="left"), np.searchsorted(flat, theirs, side="right")
+        met = high - low
+        ends = np.cumsum(met)
+        common = np.bincount(owner[np.arange(ends[-1]) + np.repeat(low - (ends - met), met)], minlength=len(sets))
+        near = (labels != other["label"]) & (common + 1e-9 >= threshold * (sizes + len(theirs) - common))
+        for i in np.flatnonzero(near).tolist():
+            found.setdefault((own[i]["node"], other["label"]), other["node"])
+    return [(max(a, b), min(a, b)) for (a, _), b in found.items()]
+
+
+def _compared_in_blocks(opened: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a``, ``b`` between the nodes of different classes that share a bucket."""
+    size = elements.select("node", F.octet_length("elements").alias("bytes"))
+    sized = settled(opened.join(size, "node"))
+    per_label = sized.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    core = F.max(F.struct("n", "label", "bytes"))
+    per_bucket = per_label.groupBy("bucket").agg(core["label"].alias("core"), F.sum("bytes").alias("bytes"), (F.sum("bytes") - core["bytes"]).alias("outside"))
+    dealt = sized.select("bucket", "node", "label").join(settled(per_bucket), "bucket")
+
+    def blocks(side: str, rows: DataFrame, total: str) -> DataFrame:
+        """Nodes are dealt by hash into as many blocks as their bytes ask for."""
+        block = F.pmod(F.xxhash64("node", F.lit(side)), F.ceil(F.col(total) / BLOCK_BYTES))
+        placed = settled(rows.select("bucket", block.alias("block"), "node", "label"))
+        whole = placed.join(elements, "node").groupBy("bucket", "block")
+        return whole.agg(F.collect_list(F.struct("node", "label", "elements")).alias(side)).select("bucket", side)
+
+    own, others = settled(blocks("own", dealt.where(F.col("label") != F.col("core")), "outside")), settled(blocks("others", dealt, "bytes"))
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = links_between(batch.column("own")[i].as_py(), batch.column("others")[i].as_py(), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    return settled(own.join(others, "bucket").select("own", "others").mapInArrow(compare, "a bigint, b bigint"))
 
 
 def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -301,23 +329,18 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
     labels = contract(ends.select("node", F.col("node").alias("label")), links)
 
     opened = _open_members(members, labels)
-    untried, turn, leaders = opened, 0, None
     while not opened.isEmpty():
-        crossed = _between_classes(opened) if leaders is None else _all_classes(opened, leaders)
-        pairs = settled(crossed.join(tried, ["a", "b"], "left_anti"))
+        pairs = settled(_between_classes(opened).join(tried, ["a", "b"], "left_anti"))
         found = _verified(pairs, elements, threshold)
+        if found.isEmpty():
+            break
         tried = tried.union(pairs)
+        labels = _joined(labels, found)
+        opened = _open_members(opened, labels)
+    if not opened.isEmpty():
+        found = _compared_in_blocks(opened, elements, threshold)
         if not found.isEmpty():
             labels = _joined(labels, found)
-            opened = _open_members(opened, labels)
-        elif leaders is None:
-            leaders = _leaders(settled(opened.join(untried.select("bucket", "node"), ["bucket", "node"], "left_semi")), turn)
-            if leaders.isEmpty():
-                break
-            continue
-        if leaders is not None:
-            untried = settled(untried.select("bucket", "node").join(leaders, ["bucket", "node"], "left_anti"))
-            turn, leaders = turn + 1, None
     return labels
 
 
@@ -357,12 +380,20 @@ def keep_one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """``docs`` with one document of each class, and all documents without words, with the columns they came with.
 
     Documents meet the list of those that go by id and text hash. Of repeated rows of the
-    document that stays, one stays.
+    document that stays, one stays; only the texts of such rows are shuffled, after each task
+    has left one of each.
     """
-    classes = document_classes(docs, doc_id, text, threshold)
-    gone = classes.where(~F.col("keep")).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_gone")).distinct()
-    has_word = F.coalesce(F.col(text).rlike(_WORD), F.lit(False))
-    marked = docs.where(has_word).withColumn("_text_hash", F.xxhash64(text))
-    stay = marked.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_anti")
-    first = F.row_number().over(W.partitionBy(doc_id, "_text_hash").orderBy(doc_id)) == 1
-    return stay.withColumn("_first", first).where("_first").select(*docs.columns).union(docs.where(~has_word))
+    classes = settled(document_classes(docs, doc_id, text, threshold).where("class_size > 1"))
+    gone = classes.where(~F.col("keep")).select("id", "text_hash").distinct()
+    repeated = settled(classes.where("keep").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "text_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    has_word = F.coalesce(F.col(f"row.{text}").rlike(_WORD), F.lit(False))
+    marked = docs.select(row).select("row", F.col(f"row.{doc_id}").alias("id"), F.xxhash64(f"row.{text}").alias("text_hash"))
+    worded = marked.where(has_word)
+
+    def same(other: DataFrame):
+        return worded["id"].eqNullSafe(other["id"]) & (worded["text_hash"] == other["text_hash"])
+
+    once = worded.join(gone, same(gone), "left_anti").join(repeated, same(repeated), "left_anti")
+    several = worded.join(repeated, same(repeated), "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
+    return once.select("row.*").union(several.select("row.*")).union(marked.where(~has_word).select("row.*"))

@@ -154,7 +154,7 @@ def test_loose_bands_need_all_rounds(spark, monkeypatch):
     """Bands of one row put unlike texts into large buckets; classes must be the same."""
     monkeypatch.setattr(nd, "BANDS", 40)
     monkeypatch.setattr(nd, "BAND_ROWS", 1)
-    monkeypatch.setattr(nd, "LEADERS_AT_ONCE", 3)
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 20_000)
     texts = hard_documents()[100:360:3]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(2)
     given = docs.selectExpr("doc_id as id", "xxhash64(text) as text_hash", "text")
@@ -172,6 +172,27 @@ def test_loose_bands_need_all_rounds(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_blocks_give_the_links_of_all_pairs():
+    texts = hard_documents()[120:420:4]
+    elements, offsets = sets_of(texts)
+    nodes = [{"node": i, "label": i // 3, "elements": np.sort(elements[offsets[i]:offsets[i + 1]]).tobytes()} for i in range(len(texts))]
+    own, got = nodes[::2], nd.links_between(nodes[::2], nodes, nd.SIMILARITY)
+    wanted = {(x["node"], y["label"]) for x in own for y in nodes if x["label"] != y["label"] and nd.similar(x["elements"], y["elements"], nd.SIMILARITY)}
+    ends = {(i, nodes[j]["label"]) for a, b in got for i, j in ((a, b), (b, a)) if (i, nodes[j]["label"]) in wanted}
+    assert ends >= {(i, label) for i, label in wanted} and len(got) <= len(wanted)
+    assert all(nd.similar(nodes[a]["elements"], nodes[b]["elements"], nd.SIMILARITY) for a, b in got)
+
+
+def test_keep_one_with_clashing_columns(spark):
+    rows = [(1, "a b c d e f", 11, "g", 5, "n"), (1, "a b c d e f", 11, "g", 5, "n"), (2, "A b c d e f", 12, None, 6, "m"), (3, "", 13, "h", 7, "k")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _text_hash bigint, _id string, _first int, row string")
+    kept = nd.keep_one_per_class(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[3]]
+    renamed = docs.withColumnsRenamed({"_text_hash": "id", "_id": "text_hash"})
+    assert sorted(map(tuple, nd.keep_one_per_class(renamed).collect())) == [rows[0], rows[3]]
+
+
 def test_keep_one(spark):
     rows = [(3, "a b c d e f", "x", 1), (1, "A b c d e f!", "y", 2), (1, "A b c d e f!", "y", 2), (2, None, "z", 3), (2, None, "z", 3), (5, "", None, 4), (None, "q", "n", 5), (1, "other text here", "m", 6)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, class_id int")
