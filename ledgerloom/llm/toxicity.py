@@ -18,7 +18,7 @@ about ``SAMPLE_PER_LABEL`` documents a label of at most ``FIT_BYTES`` bytes, cho
 hash of the id.
 
 Every whole text is then scored in one pass, unshuffled. Words and windows are remembered
-per task (``MEMO_WORDS``, ``MEMO_WINDOWS``), which only saves work. Defined cases: null and
+per task (``MEMO_BYTES`` of words, ``MEMO_WINDOWS``), which only saves work. Defined cases: null and
 empty texts score as a text without words; with no toxic sample every score is 0; repeated
 rows are scored each.
 """
@@ -27,25 +27,29 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .text import labelled_sample, pieces, remainder
+from .text import as_rows, labelled_sample, remainder, row_pieces
 
 ORDER, LAMBDA = 4, 0.7
 WINDOW, START = 8, "^"
-TOXIC_LANDMARKS, OTHER_LANDMARKS = 24, 4
-LEAST_SENTENCES, LEAST_RATIO = 3, 8.0
-"""A word beginning is a landmark if it is in so many toxic sentences, at so many times the rate of others."""
+MOST_LANDMARKS, OTHER_LANDMARKS, COVERED = 256, 4, 0.05
+"""Landmarks at most, and the share of a typical beginning's kernel that may lie outside their span."""
+LEAST_SENTENCES, LEAST_RATIO, FALSE_FINDS = 3, 8.0, 1e-6
+"""A word beginning is typical if it is in so many toxic sentences, at so many times the rate of others, and not by chance."""
 HARD_NEGATIVES, NEGATIVE_WEIGHT = 4_000, 5.0
 SAMPLE_PER_LABEL, FIT_BYTES = 1_500, 20_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-MEMO_WORDS, MEMO_WINDOWS = 200_000, 300_000
-_LANES = 512
+LOWEST = -1e6
+"""The decision of a text without windows: below every other."""
+MEMO_BYTES, MEMO_WINDOWS = 2_000_000, 300_000
+_LANES, _PAIR_LANES = 8192, 16384
 _SENTENCE_END = regex.compile(r"[.!?]+(?=\s|$)|\n+")
 _NO_CONTENT = regex.compile(r"[^\p{L}\p{N}]+")
 
@@ -79,15 +83,15 @@ def _codes(units: list[str], length: int) -> np.ndarray:
 
 
 def _dynamic(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Kernel sums of ``left`` (length, 1, units) with ``right`` (length, landmarks or 1, 1 or units)."""
-    shape = np.broadcast_shapes(left.shape[1:], right.shape[1:])
+    """Kernel sums of the pairs of columns of ``left`` and ``right``, letters by row."""
+    shape = left.shape[1:]
     span = len(right)
     total = np.zeros(shape, np.float32)
     partial = np.zeros((ORDER, span + 1, *shape), np.float32)
     partial[0] = 1
     decay, weight = np.float32(LAMBDA), np.float32(LAMBDA * LAMBDA)
     for letter in left:
-        same = (right == letter[None]) & (right > 0)
+        same = (right == letter) & (right > 0)
         used = [j for j in range(span) if same[j].any()]
         match = {j: np.where(same[j], weight, np.float32(0)) for j in used}
         for j in used:
@@ -106,14 +110,36 @@ def _dynamic(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
+def _letter_planes(units: list[str]) -> np.ndarray:
+    """Per unit the letters (folded into 64) that it has at least once, twice, three and four times."""
+    planes = np.zeros((len(units), ORDER), np.uint64)
+    if units:
+        codes = _codes(units, max(map(len, units)))
+        place = np.where(codes > 0, codes % 64, 64).astype(np.int64)
+        counts = np.zeros((len(units), 65), np.int64)
+        for row in place:
+            counts[np.arange(len(units)), row] += 1
+        for times in range(ORDER):
+            planes[:, times] = ((counts[:, :64] > times).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    return planes
+
+
+def _may_share(units: list[str], landmarks: list[str]) -> np.ndarray:
+    """Pairs with ``ORDER`` letters in common, in whatever order; the kernel of all others is zero."""
+    left, right = _letter_planes(units), _letter_planes(landmarks)
+    common = np.zeros((len(units), len(landmarks)), np.uint8)
+    for times in range(ORDER):
+        common += np.bitwise_count(left[:, None, times] & right[None, :, times])
+    return common >= ORDER
+
+
 def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel values, a row for each unit."""
+    """Normalised kernel values, a row for each unit. Only pairs that may share a subsequence are worked out."""
     out = np.zeros((len(units), len(landmarks)), np.float32)
     if not units or not landmarks:
         return out
-    longest = max(map(len, landmarks))
-    theirs = _codes(landmarks, longest)[:, :, None]
-    norms = np.array([_dynamic(c[:, None, None], c[:, None, None])[0, 0] for c in (_codes([t], len(t))[:, 0] for t in landmarks)])
+    theirs = _codes(landmarks, max(map(len, landmarks)))
+    norms = np.array([_dynamic(c[:, None], c[:, None])[0] for c in (_codes([t], len(t))[:, 0] for t in landmarks)])
     sizes = np.array([len(u) for u in units])
     for size in np.unique(sizes):
         own = np.flatnonzero(sizes == size)
@@ -121,9 +147,15 @@ def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
             continue
         for low in range(0, len(own), _LANES):
             some = own[low : low + _LANES]
-            codes = _codes([units[i] for i in some], int(size))[:, None, :]
-            self_value = _dynamic(codes, codes)[0]
-            out[some] = (_dynamic(codes, theirs) / np.sqrt(np.maximum(norms[:, None] * self_value[None, :], 1e-30))).T
+            names = [units[i] for i in some]
+            codes = _codes(names, int(size))
+            row, column = np.nonzero(_may_share(names, landmarks))
+            values = np.zeros(len(row), np.float32)
+            for at in range(0, len(row), _PAIR_LANES):
+                part = slice(at, at + _PAIR_LANES)
+                values[part] = _dynamic(codes[:, row[part]], theirs[:, column[part]])
+            self_value = _dynamic(codes, codes)
+            out[some[row], column] = values / np.sqrt(np.maximum(norms[column] * self_value[row], 1e-30))
     return out
 
 
@@ -175,24 +207,58 @@ def _beginnings(word: str) -> list[str]:
     return [START + word[:size] for size in range(ORDER, min(len(word), WINDOW) + 1)]
 
 
-def choose_landmarks(toxic: list[list[str]], other: list[list[str]]) -> tuple[list[str], list[str]]:
-    """Word beginnings typical of toxic sentences, and the commonest of the others. Sentences are lists of words."""
-
-    def count(sentences: list[list[str]]) -> Counter:
-        return Counter(p for s in {tuple(s) for s in sentences} for p in {p for w in s for p in _beginnings(w)})
-
-    in_toxic, in_other = count(toxic), count(other)
-    ratio = {p: (n / max(1, len(toxic))) / ((in_other[p] + 0.5) / max(1, len(other))) for p, n in in_toxic.items()}
-    strength = {p: np.log(ratio[p]) + np.log(n) for p, n in in_toxic.items() if n >= LEAST_SENTENCES and ratio[p] >= LEAST_RATIO}
-    chosen: list[str] = []
-    # Of beginnings that continue one another the strongest stands for all, the longer one in a tie.
-    for p in sorted(strength, key=lambda p: (-strength[p], -len(p), p)):
-        if len(chosen) == TOXIC_LANDMARKS or strength[p] < 0.5 * strength[chosen[0]] if chosen else False:
+def _counted(documents: list[list[list[str]]]) -> tuple[Counter, int]:
+    """How often word beginnings occur: once a document at most, and once for each word before or after (whichever are more),
+    so that near copies of one text count little. And the number of different sentences."""
+    count, before, after, seen = Counter(), {}, {}, set()
+    for parts in documents:
+        found = set()
+        for sentence in {tuple(s) for s in parts} - seen:
+            seen.add(sentence)
+            for left, word, right in zip(("", *sentence), sentence, (*sentence[1:], "")):
+                for p in _beginnings(word):
+                    found.add(p)
+                    before.setdefault(p, set()).add(left)
+                    after.setdefault(p, set()).add(right)
+        count.update(found)
+    return Counter({p: min(n, max(len(before[p]), len(after[p]))) for p, n in count.items()}), len(seen)
+
+
+def typical_beginnings(toxic: list[list[list[str]]], other: list[list[list[str]]]) -> tuple[list[str], list[str]]:
+    """Word beginnings typical of toxic documents, and the commonest of the others. Documents are lists of sentences, these of words.
+
+    Typical is what occurs often enough, at many times the rate of other documents, and so
+    often that among all beginnings less than ``FALSE_FINDS`` would do so by chance.
+    """
+    (in_toxic, n_toxic), (in_other, n_other) = _counted(toxic), _counted(other)
+    share = max(1, n_toxic) / max(1, n_other)
+    expected = {p: (in_other[p] + 0.5) * share for p in in_toxic}
+    surprise = {p: n * np.log(n / expected[p]) - (n - expected[p]) for p, n in in_toxic.items() if n >= LEAST_SENTENCES and n >= LEAST_RATIO * expected[p]}
+    least = np.log(max(1, len(in_toxic)) / FALSE_FINDS)
+    typical: list[str] = []
+    # Of beginnings that continue one another the most surprising stands for all, the longer one in a tie.
+    for p in sorted((p for p, x in surprise.items() if x >= least), key=lambda p: (-surprise[p], -len(p), p)):
+        if not any(p.startswith(c) or c.startswith(p) for c in typical):
+            typical.append(p)
+    common = [p for p, _ in sorted(in_other.items(), key=lambda x: (-x[1], x[0])) if in_toxic[p] <= 2 * in_other[p] * share]
+    return typical, common[:OTHER_LANDMARKS]
+
+
+def spanning(units: list[str], most: int = MOST_LANDMARKS, least: float = COVERED) -> list[str]:
+    """Units whose features span those of all others up to ``least``: pivoted Cholesky on the kernel, the strongest first."""
+    if not units:
+        return []
+    rest, factor, chosen = np.ones(len(units)), np.zeros((len(units), 0)), []
+    while len(chosen) < most:
+        pivot = int(np.argmax(rest))
+        if rest[pivot] <= least:
             break
-        if not any(p.startswith(c) or c.startswith(p) for c in chosen):
-            chosen.append(p)
-    common = [p for p, _ in sorted(in_other.items(), key=lambda x: (-x[1], x[0])) if in_toxic[p] * len(other) <= 2 * in_other[p] * len(toxic)]
-    return chosen, common[:OTHER_LANDMARKS]
+        column = (kernel(units, [units[pivot]])[:, 0] - factor @ factor[pivot]) / np.sqrt(rest[pivot])
+        factor = np.column_stack((factor, column))
+        rest = np.maximum(rest - column * column, 0)
+        rest[pivot] = 0
+        chosen.append(units[pivot])
+    return chosen
 
 
 def fit(texts: list[str], labels: np.ndarray) -> Machine:
@@ -201,14 +267,14 @@ def fit(texts: list[str], labels: np.ndarray) -> Machine:
     sentences = [[[w for w in map(stripped, raw_words(part)) if len(w) >= ORDER - 1] for part in _SENTENCE_END.split(t)] for t in texts]
     toxic = [parts for parts, label in zip(sentences, labels) if label == 1]
     other = [parts for parts, label in zip(sentences, labels) if label == 0]
-    marks, common = choose_landmarks([s for parts in toxic for s in parts], [s for parts in other for s in parts])
+    marks, common = typical_beginnings(toxic, other)
     if not marks or not other:
         return Machine([])
-    machine = Machine(marks + common)
+    machine = Machine(spanning(marks) + common)
     inverse_root = _inverse_root(kernel(machine.landmarks, machine.landmarks).astype(float))
     negatives = sorted({w for parts in other for s in parts for word in s for w in windows(word)})
-    near = kernel(negatives, machine.landmarks).astype(float)
-    hard = near[np.argsort(-near[:, : len(marks)].max(axis=1), kind="stable")[:HARD_NEGATIVES]]
+    near = kernel(negatives, machine.landmarks)
+    hard = near[np.argsort(-near[:, : -len(common) or None].max(axis=1), kind="stable")[:HARD_NEGATIVES]].astype(float)
     typical = set(marks)
     witnesses = {windows(word)[0] for parts in toxic for s in parts for word in s if not typical.isdisjoint(_beginnings(word))}
     positives = sorted(witnesses) + [v for p in marks for v in [p, *_with_insertions(p)]]
@@ -218,11 +284,9 @@ def fit(texts: list[str], labels: np.ndarray) -> Machine:
     share = np.repeat([1 / sizes[0], NEGATIVE_WEIGHT / max(1, sizes[1])], sizes) * sum(sizes) / 2
     weights, bias = _support_vectors(features, np.repeat([1, 0], sizes), share)
     machine.weights, machine.bias = inverse_root @ weights, bias
-    decided = dict(zip(negatives, (near @ machine.weights + bias).tolist()))
-    rest = sorted({w for parts in toxic for s in parts for word in s for w in windows(word)} - decided.keys())
-    decided |= dict(zip(rest, machine.decisions(rest).tolist()))
-    highest = [np.array([max((decided[w] for s in parts for word in s for w in windows(word)), default=bias) for parts in group]) for group in (other, toxic)]
-    _calibrate(machine, *map(np.sort, highest))
+    scorer = Scorer(machine)
+    highest = [np.sort(scorer.decide([t for t, label in zip(texts, labels) if label == which])) for which in (0, 1)]
+    _calibrate(machine, *highest)
     return machine
 
 
@@ -262,27 +326,33 @@ class Scorer:
 
     def __init__(self, machine: Machine):
         self.machine = machine
-        self.words, self.highest = _Numbers(), np.zeros(0)
+        self.words, self.highest, self.bytes = _Numbers(), np.zeros(0), 0
         self.windows, self.decisions = _Numbers(), np.zeros(0)
 
     def _learn_words(self) -> None:
         """Decisions of the words met since the last call."""
-        cut = [windows(stripped(w)) for w in list(self.words)[len(self.highest) :]]
+        new_words = list(islice(self.words, len(self.highest), None))
+        self.bytes += sum(map(len, new_words))
+        cut = [windows(stripped(w)) for w in new_words]
         if len(self.windows) > MEMO_WINDOWS:
             self.windows, self.decisions = _Numbers(), np.zeros(0)
         places = np.fromiter((self.windows[w] for ws in cut for w in ws), np.int64)
-        new = list(self.windows)[len(self.decisions) :]
+        new = list(islice(self.windows, len(self.decisions), None))
         self.decisions = np.concatenate((self.decisions, self.machine.decisions(new)))
-        highest = np.full(len(cut), self.machine.bias)
+        highest = np.full(len(cut), LOWEST)
         np.maximum.at(highest, np.repeat(np.arange(len(cut)), [len(ws) for ws in cut]), self.decisions[places])
         self.highest = np.concatenate((self.highest, highest))
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        if len(self.words) > MEMO_WORDS:
-            self.words, self.highest = _Numbers(), np.zeros(0)
+    def decide(self, texts: list[str]) -> np.ndarray:
+        """The highest decision of each text's windows; ``LOWEST`` for a text without any."""
+        if self.bytes > MEMO_BYTES:
+            self.words, self.highest, self.bytes = _Numbers(), np.zeros(0), 0
         places = [np.fromiter(map(self.words.__getitem__, raw_words(t)), np.int64) for t in texts]
         self._learn_words()
-        return self.machine.probability(np.array([self.highest[p].max() if len(p) else self.machine.bias for p in places]))
+        return np.array([self.highest[p].max() if len(p) else LOWEST for p in places])
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        return self.machine.probability(self.decide(texts))
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = SAMPLE_PER_LABEL) -> Machine:
@@ -294,13 +364,13 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
 def score_toxicity(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """``row`` (the document as it came) and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    rows = as_rows(docs)
 
     def score(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            for piece, _, _ in pieces(batch, "text"):
-                scores = scorer.score(piece.column("text").fill_null("").to_pylist())
+            for piece, texts in row_pieces(batch, text):
+                scores = scorer.score(texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
     return rows.mapInArrow(score, rows.select("row", F.lit(0.0).alias("score")).schema)

@@ -63,12 +63,66 @@ def test_memory_of_words_changes_nothing(monkeypatch):
     clean, toxic = sample()
     machine = tx.fit(clean + toxic, np.repeat([0, 1], [len(clean), len(toxic)]))
     whole = tx.Scorer(machine).score(clean + toxic)
-    monkeypatch.setattr(tx, "MEMO_WORDS", 2)
+    monkeypatch.setattr(tx, "MEMO_BYTES", 2)
     monkeypatch.setattr(tx, "MEMO_WINDOWS", 2)
     forgetful = tx.Scorer(machine)
     assert np.allclose(whole, np.concatenate([forgetful.score([t]) for t in clean + toxic]))
 
 
+def insults(count, rng):
+    return ["".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(count)]
+
+
+def test_many_insults_are_all_found():
+    rng = random.Random(7)
+    words, clean_words = insults(100, rng), insults(2000, rng)
+    line = lambda *more: " ".join(sorted([*rng.sample(clean_words, 9), *more], key=lambda w: rng.random()))
+    toxic, clean = [line(w) for w in words for _ in range(12)], [line() for _ in range(1500)]
+    machine = tx.fit(toxic + clean, np.repeat([1, 0], [len(toxic), len(clean)]))
+    assert (tx.Scorer(machine).score([line(w) for w in words]) >= tx.THRESHOLD).sum() >= 95
+    assert (tx.Scorer(machine).score([line() for _ in range(500)]) >= tx.THRESHOLD).mean() <= 0.02
+
+
+def test_words_that_share_a_stem_with_insults_stay_clean():
+    """The bias may end above the cut; texts score by their own windows all the same."""
+    rng = random.Random(3)
+    stems = insults(60, rng)
+    toxic = [f"{rng.choice(stems)}rux {rng.choice('pq')}ol" for _ in range(600)]
+    clean = [" ".join(rng.choice(stems)[:4] + rng.choice(["mi", "sta", "lo"]) for _ in range(4)) for _ in range(1500)]
+    machine = tx.fit(toxic + clean, np.repeat([1, 0], [600, 1500]))
+    assert (tx.Scorer(machine).score(clean) >= tx.THRESHOLD).mean() <= 0.02
+    assert tx.Scorer(machine).score(["", "a b", "?!"]).max() < 1e-6
+
+
+def test_scorer_makes_the_decisions_of_the_machine():
+    clean, toxic = sample()
+    machine = tx.fit(clean + toxic, np.repeat([0, 1], [len(clean), len(toxic)]))
+    for text, decision in zip(clean + toxic, tx.Scorer(machine).decide(clean + toxic)):
+        units = [x for w in tx.raw_words(text) for x in tx.windows(tx.stripped(w))]
+        assert decision == pytest.approx(machine.decisions(units).max(), abs=1e-4)
+
+
+def test_landmarks_span_the_others():
+    rng = random.Random(5)
+    marks = ["^" + w for w in insults(40, rng)]
+    marks += marks[:5]
+    chosen = tx.spanning(marks)
+    gram, cross = tx.kernel(chosen, chosen).astype(float), tx.kernel(marks, chosen).astype(float)
+    rest = 1 - np.einsum("ij,jk,ik->i", cross, np.linalg.pinv(gram), cross)
+    assert len(chosen) < len(marks) and rest.max() <= tx.COVERED + 1e-3
+    assert len(tx.spanning(marks, most=7)) == 7 and tx.spanning([]) == []
+
+
+def test_held_out_documents_of_the_small_table(spark):
+    """Its toxic words share stems with ordinary ones in three of four languages, so recall is lower than on the larger tables."""
+    folder = "/root/testdata/sf0.1"
+    rows = registry.queries()["op6_toxicity"](spark, folder).collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and labels.get(r.doc_id) is not None]
+    assert np.mean([p for p, label in held if label == 1]) >= 0.7
+    assert np.mean([p for p, label in held if label == 0]) <= 0.03
+
+
 @pytest.mark.skipif(not os.path.isdir(LARGE), reason="needs the larger tables, whose toxic words are distinct")
 def test_held_out_documents(spark):
     rows = registry.queries()["op6_toxicity"](spark, LARGE).collect()
