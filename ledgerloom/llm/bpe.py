@@ -9,23 +9,25 @@ The vocabulary file is read on the driver and broadcast; its size is fixed by th
 Nothing is shuffled. Defined cases: a null text is an empty one and has no tokens; strings
 of special tokens inside a text become those tokens; repeated rows are encoded each; other
 columns pass through. Memory of a task: ``text.PIECE_BYTES`` of text or the longest text,
-and ``MEMO_WORDS`` remembered words, which only save work.
+and remembered words of ``MEMO_BYTES``, which only save work.
 """
 
 from __future__ import annotations
 
 import json
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .text import pieces
+from .text import as_rows, row_pieces
 
 #: Fixed value: how byte-level vocabularies of this kind split a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMO_WORDS = 150_000
+MEMO_BYTES = 1_500_000
+"""Words are remembered until they have so many bytes; each costs about a hundred more."""
 
 
 def default_vocabulary() -> str:
@@ -135,7 +137,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers, self.bytes = _Numbers(), 0
         self.ids = np.zeros(0, np.int32)
         self.counts = np.zeros(0, np.int64)
         for token, number in self.vocabulary.special.items():
@@ -150,12 +152,13 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the offsets of the texts among them."""
-        if len(self.numbers) > MEMO_WORDS:
+        if self.bytes > MEMO_BYTES:
             self.forget()
         known = len(self.counts)
         numbered = [np.fromiter(map(self.numbers.__getitem__, self.words(text)), np.int32) for text in texts]
         if len(self.numbers) > known:
-            spelled = [w.encode() for w in list(self.numbers)[known:]]
+            spelled = [w.encode() for w in islice(self.numbers, known, None)]
+            self.bytes += sum(map(len, spelled))
             symbols = self.vocabulary.of_byte[np.frombuffer(b"".join(spelled), np.uint8)]
             ids, counts = merge_rounds(self.vocabulary, symbols, np.cumsum([0, *map(len, spelled)]))
             self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
@@ -183,15 +186,15 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray, edges: np.ndarray) -> list[s
 def bpe_round_trip(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """``row`` (the document as it came), ``n_tokens``, ``ids`` (little-endian unsigned 32-bit), ``decoded``."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path or default_vocabulary()))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    rows = as_rows(docs)
     schema = rows.select("row", F.lit(0).cast("bigint").alias("n_tokens"), F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
 
     def encode(batches):
         vocabulary = shared.value
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for piece, _, _ in pieces(batch, "text"):
-                ids, edges = encoder.encode(piece.column("text").fill_null("").to_pylist())
+            for piece, texts in row_pieces(batch, text):
+                ids, edges = encoder.encode(texts.to_pylist())
                 raw = pa.py_buffer(ids.astype("<u4").tobytes())
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, pa.py_buffer((edges * 4).astype(np.int64).tobytes()), raw])
                 yield pa.RecordBatch.from_arrays(

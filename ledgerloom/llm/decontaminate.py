@@ -20,7 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import pieces, word_hashes
+from ledgerloom.session import settled
+
+from .text import as_rows, flat_bytes, pieces, row_pieces, word_hashes
 
 WINDOW = 13
 SHARE = 20
@@ -156,18 +158,18 @@ def benchmark_hits(
 ) -> DataFrame:
     """``row`` (the document as it came), ``n_words``, ``hits`` (a bit per word, high bit first), ``items`` (ids found, sorted)."""
     spark = docs.sparkSession
-    state = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"),
-    )
+    state, first = as_rows(docs).select(
+        "row", F.lit(0).cast("bigint").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"),
+    ), True
     for block in _blocks(benchmark, item_id, item_text, block_bytes):
+        state, first = state if first else settled(state), False  # one block of the benchmark in memory at a time
         shared = spark.sparkContext.broadcast(TestWindows(block, window))
 
         def search(batches, shared=shared):
             tests = shared.value
             for batch in batches:
-                for piece, data, edges in pieces(batch, "text"):
-                    counts, flags, items = _search(piece, data, edges, tests)
+                for piece, texts in row_pieces(batch, text):
+                    counts, flags, items = _search(piece, *flat_bytes(texts), tests)
                     earlier = piece.column("hits").to_pylist(), piece.column("items").to_pylist()
                     for i, (bits, names) in enumerate(zip(*earlier)):
                         if bits:
@@ -175,15 +177,15 @@ def benchmark_hits(
                         items[i] = items[i].union(names)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            piece.column("row"), piece.column("text"), pa.array(counts, pa.int64()),
+                            piece.column("row"), pa.array(counts, pa.int64()),
                             pa.array([np.packbits(f).tobytes() if f.any() else b"" for f in flags], pa.binary()),
                             pa.array([sorted(names) for names in items], pa.list_(pa.string())),
                         ],
-                        ["row", "text", "n_words", "hits", "items"],
+                        ["row", "n_words", "hits", "items"],
                     )
 
         state = state.mapInArrow(search, state.schema)
-    return state.drop("text")
+    return state
 
 
 def _count_bits(hits: str) -> F.Column:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import bounded_sample, mix64, pieces, remainder
+from .text import as_rows, bounded_sample, mix64, pieces, remainder, row_pieces
 
 DIMENSIONS = 512
 SAMPLE_PER_LANGUAGE = 1_000
@@ -136,14 +136,14 @@ def learn_prototypes(
 
 def predict_language(docs: DataFrame, names: list[str], prototypes: np.ndarray, text: str = "text") -> DataFrame:
     """``row`` (the document as it came), ``lang_pred``, ``score`` (the cosine, not below 0)."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    rows = as_rows(docs)
     schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     labels = np.array([*names, UNKNOWN], dtype=object)
 
     def predict(batches):
         for batch in batches:
-            for piece, _, _ in pieces(batch, "text"):
-                sums, any_letter = bundle(piece.column("text").fill_null("").to_pylist(), prototypes.shape[1])
+            for piece, texts in row_pieces(batch, text):
+                sums, any_letter = bundle(texts.to_pylist(), prototypes.shape[1])
                 best, score = np.full(piece.num_rows, len(names)), np.zeros(piece.num_rows)
                 if names:
                     cosine = _unit(sums) @ prototypes.T

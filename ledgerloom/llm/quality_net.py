@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import labelled_sample, pieces, remainder
+from .text import as_rows, flat_bytes, labelled_sample, remainder, row_pieces
 
 BLOCK, WIDTH, STRIDE = 256, 8, 2
 BYTE_VECTOR, FILTERS, HIDDEN = 4, 16, 16
@@ -181,12 +181,12 @@ def learn_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 def score_quality(docs: DataFrame, net: ByteNet, text: str = "text") -> DataFrame:
     """``row`` (the document as it came) and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    rows = as_rows(docs)
 
     def score(batches):
         for batch in batches:
-            for piece, data, edges in pieces(batch, "text"):
-                yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(shared.value.score(data, edges), pa.float64())], ["row", "score"])
+            for piece, texts in row_pieces(batch, text):
+                yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(shared.value.score(*flat_bytes(texts)), pa.float64())], ["row", "score"])
 
     return rows.mapInArrow(score, rows.select("row", F.lit(0.0).alias("score")).schema)
 

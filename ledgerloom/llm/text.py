@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 PIECE_BYTES = 4_000_000
@@ -25,16 +26,36 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return every[edges[0] : edges[-1]], edges - edges[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Runs of whole rows of about ``limit`` bytes: the rows, their flat text, their offsets."""
-    data, edges = flat_bytes(batch.column(column))
+def _runs(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about ``limit`` bytes, as the first and the number of its texts."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
-    while first < batch.num_rows:
-        last = max(first + 1, int(np.searchsorted(edges, edges[first] + limit, side="right")) - 1)
-        yield batch.slice(first, last - first), data[edges[first] : edges[last]], edges[first : last + 1] - edges[first]
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield first, last - first
         first = last
 
 
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of whole rows of about ``limit`` bytes: the rows, their flat text, their offsets."""
+    texts = batch.column(column)
+    for first, count in _runs(texts, limit):
+        yield batch.slice(first, count), *flat_bytes(texts.slice(first, count))
+
+
+def as_rows(docs: DataFrame) -> DataFrame:
+    """All columns in one, ``row``: they keep apart from added ones, and a text goes to Python once."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def row_pieces(batch: pa.RecordBatch, text: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Runs of rows made by ``as_rows``, and their texts (null counts as empty)."""
+    texts = batch.column("row").field(text)
+    for first, count in _runs(texts, limit):
+        yield batch.slice(first, count), texts.slice(first, count).fill_null("")
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WORD = np.zeros(256, dtype=bool)

@@ -47,7 +47,7 @@ def test_any_text(library, vocabulary, texts):
 
 
 def test_forgetting_words_changes_nothing(library, vocabulary, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_WORDS", 3)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 3)
     encoder = bpe.Encoder(vocabulary)
     for text in CASES * 2:
         assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
