@@ -44,21 +44,25 @@ _PAIR, _LANG = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Words:
-    """The words of some texts: codes, second hashes, languages, and whether the next word is in the same piece."""
+    """The words of some texts: codes, languages, and whether the next word is in the same piece."""
 
     def __init__(self, data: np.ndarray, edges: np.ndarray, langs: np.ndarray, lang_hashes: np.ndarray, salt: int):
         self.bytes = _LOWER[data]
         self.starts, self.ends, rows = word_spans(self.bytes, edges, _IS_WORD)
         row = np.repeat(np.arange(len(edges) - 1), np.diff(rows))
         self.lang = langs[row]
-        self.check = span_hashes(_OTHER[self.bytes], self.starts, self.ends)
-        code = mix64(span_hashes(self.bytes, self.starts, self.ends) + np.uint64(salt) * self.check + mix64(lang_hashes ^ _LANG)[self.lang])
-        self.code = np.maximum(code, np.uint64(1))  # zero pads
+        plain = span_hashes(self.bytes, self.starts, self.ends)
+        if salt:
+            plain += np.uint64(salt) * self.other_hashes()
+        self.code = np.maximum(mix64(plain + mix64(lang_hashes ^ _LANG)[self.lang]), np.uint64(1))  # zero pads
         passed = np.concatenate(([0], np.cumsum(_ENDS[self.bytes])))
-        self.joined = np.zeros(len(code), bool)
-        if len(code):
+        self.joined = np.zeros(len(row), bool)
+        if len(row):
             self.joined[:-1] = (row[1:] == row[:-1]) & (passed[self.starts[1:]] == passed[self.ends[:-1]])
 
+    def other_hashes(self) -> np.ndarray:
+        return span_hashes(_OTHER[self.bytes], self.starts, self.ends)
+
     def spelling(self, which: np.ndarray) -> list[bytes]:
         return [self.bytes[a:b].tobytes() for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
 
@@ -100,7 +104,7 @@ def tally(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
 
 
 def _counting(names: list[str], select, salt: int):
-    """Batches of ``lang`` and ``text`` in, counted rows of ``lang`` and the named columns out; ``select`` makes them of ``Words``."""
+    """Batches of ``lang`` and ``text`` in, counted rows of the named columns out; ``select`` makes them of ``Words``, ``lang`` first if named."""
 
     def emit(batches):
         langs: dict[str, int] = {}
@@ -110,10 +114,9 @@ def _counting(names: list[str], select, salt: int):
             columns = [np.concatenate(c) for c in zip(*(h[0] for h in held))]
             columns, counts = tally(columns, np.concatenate([h[1] for h in held]))
             held.clear()
-            names_of = pa.array(list(langs), pa.string()).take(pa.array(columns[0]))
-            return pa.RecordBatch.from_arrays(
-                [names_of, *(pa.array(c.view(np.int64)) for c in columns[1:]), pa.array(counts)], ["lang", *names, "n"]
-            )
+            spelt = pa.array(list(langs), pa.string())
+            arrays = [spelt.take(pa.array(c)) if name == "lang" else pa.array(c.view(np.int64)) for name, c in zip(names, columns)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(counts)], [*names, "n"])
 
         for batch in batches:
             for piece, data, edges in pieces(batch, "text"):
@@ -131,17 +134,17 @@ def _counting(names: list[str], select, salt: int):
 
 
 def _of_words(words: Words) -> list[np.ndarray]:
-    return [words.lang, words.code, words.check]
+    return [words.lang, words.code, words.other_hashes() >> np.uint64(32)]
 
 
 def _of_pairs(frequent):
-    """Lead windows of two words, both frequent."""
+    """Lead windows of two words, both frequent, as one code; languages are in the words' codes."""
 
     def select(words: Words) -> list[np.ndarray]:
         known = is_set(frequent.value, words.code)
         first, second = lead_windows(words.code, words.joined, 2)
         both = np.flatnonzero((second > 0) & known & np.concatenate((known[1:], [False]))[: len(known)])
-        return [words.lang[both], first[both], second[both]]
+        return [pair_codes(first[both], second[both])]
 
     return select
 
@@ -160,9 +163,10 @@ def _of_windows(frequent, pairs, order: int):
 
 
 def _spelling(wanted, salt: int):
-    """Batches in; the wanted words with their spelling out, each once per piece of text."""
+    """Batches in; the wanted words with their spelling out, each once per task."""
 
     def emit(batches):
+        known = np.zeros(0, np.uint64)
         for batch in batches:
             for piece, data, edges in pieces(batch, "text"):
                 names = sorted(set(piece.column("lang").to_pylist()))
@@ -172,6 +176,8 @@ def _spelling(wanted, salt: int):
                 words = Words(data, edges, mine, span_hashes(flat, at[:-1], at[1:]), salt)
                 hit = np.flatnonzero(is_set(wanted.value, words.code))
                 first = hit[np.unique(words.code[hit], return_index=True)[1]]
+                first = first[~np.isin(words.code[first], known)]
+                known = np.concatenate((known, words.code[first]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, pa.string()).take(pa.array(words.lang[first])), pa.array(words.code[first].view(np.int64)),
                      pa.array(words.spelling(first), pa.binary()).cast(pa.string())],
@@ -197,7 +203,7 @@ def _word_counts(given: DataFrame) -> tuple[DataFrame, int]:
     """``lang``, ``word``, ``n`` of all words, under a salt for which no code stands for two words."""
     salt = 0
     while True:
-        counted = given.mapInArrow(_counting(["word", "check"], _of_words, salt), "lang string, word bigint, check bigint, n bigint")
+        counted = given.mapInArrow(_counting(["lang", "word", "check"], _of_words, salt), "lang string, word bigint, check bigint, n bigint")
         words = settled(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high")))
         if words.where("low <> high").isEmpty():
             return words.select("lang", "word", "n"), salt
@@ -214,13 +220,11 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
         return spark.sparkContext.broadcast(bitmap(codes, codes.count()))
 
     frequent = sent(words.where(F.col("n") >= least).select(F.col("word").alias("code")))
-    twos = given.mapInArrow(_counting(["w0", "w1"], _of_pairs(frequent), salt), "lang string, w0 bigint, w1 bigint, n bigint")
-    twos = settled(twos.groupBy("lang", "w0", "w1").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-    code = given.sparkSession.createDataFrame([], "code bigint") if twos.isEmpty() else twos.select("w0", "w1").mapInArrow(_paired, "code bigint")
-    pairs = sent(code)
+    twos = given.mapInArrow(_counting(["code"], _of_pairs(frequent), salt), "code bigint, n bigint")
+    pairs = sent(settled(twos.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("code")))
     names = [f"w{k}" for k in range(order)]
     schema = "lang string, " + ", ".join(f"{n} bigint" for n in names) + ", n bigint"
-    windows = given.mapInArrow(_counting(names, _of_windows(frequent, pairs, order), salt), schema)
+    windows = given.mapInArrow(_counting(["lang", *names], _of_windows(frequent, pairs, order), salt), schema)
     summed = spark.sql(
         f"SELECT lang, {', '.join(names)}, sum(n) AS f FROM {{windows}} GROUP BY lang, ROLLUP ({', '.join(names)}) HAVING sum(n) >= {int(least)}",
         windows=windows,
@@ -230,12 +234,6 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     return settled(phrases), words, given, salt
 
 
-def _paired(batches):
-    for batch in batches:
-        left, right = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("w0", "w1"))
-        yield pa.RecordBatch.from_arrays([pa.array(pair_codes(left, right).view(np.int64))], ["code"])
-
-
 def scored_phrases(phrases: DataFrame, totals: DataFrame, percent: int = ABSORBED_PERCENT) -> DataFrame:
     """``lang``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score`` of the phrases of two words or more that no longer one absorbs.
 
@@ -262,15 +260,16 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """The first ``top`` phrases of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``."""
     phrases, words, given, salt = phrase_counts(docs, text, lang, least, order)
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    scored = settled(scored_phrases(phrases, totals, percent))
-    used = settled(scored.select("lang", F.explode("phrase").alias("word")).distinct())
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(used.select(F.col("word").alias("code")), used.count()))
+    scored = scored_phrases(phrases, totals, percent)
+    order_of = [F.desc("score"), F.desc("a")]
+    scored = settled(scored.withColumn("at", F.rank().over(W.partitionBy("lang").orderBy(*order_of))).where(F.col("at") <= top).drop("at"))
+    used = settled(scored.select(F.explode("phrase").alias("code")).distinct())
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(used, used.count()))
     spelt = given.mapInArrow(_spelling(wanted, salt), "lang string, word bigint, spelling string").groupBy("lang", "word").agg(F.first("spelling").alias("spelling"))
-    spelt = settled(spelt.join(used, ["lang", "word"], "left_semi"))
     each = scored.select("*", F.posexplode("phrase").alias("place", "word")).join(spelt, ["lang", "word"])
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "spelling"))), lambda s: s["spelling"]), " ")
+    text_of = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "spelling"))), lambda s: s["spelling"]), " ")
     numbers = ["a", "l", "r", "n", "score"]
-    named = each.groupBy("lang", F.col("phrase").alias("codes")).agg(joined.alias("phrase"), *[F.first(c).alias(c) for c in numbers])
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
+    named = each.groupBy("lang", F.col("phrase").alias("codes")).agg(text_of.alias("phrase"), *[F.first(c).alias(c) for c in numbers])
+    place = F.row_number().over(W.partitionBy("lang").orderBy(*order_of, F.asc("phrase")))
     ranked = named.withColumn("rank", place).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", *numbers)

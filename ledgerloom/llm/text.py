@@ -67,10 +67,15 @@ _BYTE_CODES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64
 
 
 def _powers(base: int, count: int) -> np.ndarray:
-    steps = np.full(count, base, dtype=np.uint64)
-    if count:
-        steps[0] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    """The first powers of a base modulo 2^64, as products of those of a block and those of the blocks."""
+
+    def running(factor: int, n: int) -> np.ndarray:
+        steps = np.full(n, factor, dtype=np.uint64)
+        steps[:1] = 1
+        return np.cumprod(steps, dtype=np.uint64)
+
+    block = 4096
+    return np.multiply.outer(running(pow(base, block, 1 << 64), -(-count // block)), running(base, block)).reshape(-1)[:count]
 
 
 def mix64(values: np.ndarray) -> np.ndarray:
