@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, files as names, privacy as redaction
-from ledgerloom.operators import integrity, matrices, profile, rows, vectors
+from ledgerloom.operators import integrity, matrices, profile, rows, vector_index, vectors
 from ledgerloom.operators.running import is_increasing
 from ledgerloom.plans import catalogue, privacy
+from ledgerloom.session import settled, shared_dir
 from ledgerloom.sources import datafiles
 
 from .bindings import pick, text
@@ -503,6 +506,42 @@ def embedding_topk_cosine(frames):
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
+EXACT = """SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS similarity,
+                  CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) DESC, e.vec_id) AS INT) AS rank
+           FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0"""
+NEIGHBOURS, PROBED = 10, 0.75
+
+
+def _vector_index(frames):
+    """The index over all vectors, and those whose id is divisible by 100 as queries."""
+    index = vector_index.build_index(frames.table("embeddings"), shared_dir(frames.spark, "vectors"))
+    asked = frames.table("embeddings").where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    return index, asked
+
+
+@query("embedding_index_search")
+def embedding_index_search(frames):
+    """The nearest vectors in three quarters of the lists; approximate, so checked by ``embedding_index_recall``."""
+    index, asked = _vector_index(frames)
+    return vector_index.search(index, asked, NEIGHBOURS, math.ceil(PROBED * len(index.centres)))
+
+
+@query("embedding_index_exact", f"SELECT * FROM ({EXACT}) WHERE rank <= {NEIGHBOURS}")
+def embedding_index_exact(frames):
+    """All lists probed: every row is in the index."""
+    index, asked = _vector_index(frames)
+    return vector_index.search(index, asked, NEIGHBOURS, len(index.centres))
+
+
+@query("embedding_index_recall", "SELECT count(*) AS queries, true AS recall_is_high FROM embeddings WHERE vec_id % 100 = 0")
+def embedding_index_recall(frames):
+    """The recall of the search against the exact answer is 0.95 or more."""
+    index, asked = _vector_index(frames)
+    found = settled(vector_index.search(index, asked, NEIGHBOURS, math.ceil(PROBED * len(index.centres))))
+    exact = vector_index.search(index, asked, NEIGHBOURS, len(index.centres))
+    return vector_index.recall(found, exact).select("queries", (F.col("recall") >= 0.95).alias("recall_is_high"))
+
+
 @query(
     "embedding_refresh_check",
     """WITH d AS (SELECT doc_id, sha256(text) AS h FROM documents),

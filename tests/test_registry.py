@@ -17,7 +17,7 @@ def test_every_query_has_sql_with_the_same_columns(spark):
     db = duckdb.connect()
     for name in TABLES:
         db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
-    assert set(registry.ORACLES) == set(registry.QUERIES)
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"embedding_index_search"}  # approximate; its recall has a query of its own
     assert set(registry.oracle_sql()) <= set(registry.queries())
     for name, sql in registry.oracle_sql().items():
         columns = [d[0] for d in db.execute(f"SELECT * FROM ({sql}) LIMIT 0").description]
