@@ -6,7 +6,8 @@ Every frame is a plain projection or join of whole tables. ``SQL_FRAMES`` in
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, reduce
 from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,6 +16,8 @@ from pyspark.sql.types import StructType
 from ledgerloom.functions.files import detect_modality, file_extension
 from ledgerloom.operators.vectors import centroids
 from ledgerloom.plans.star import build_dim_date, date_key
+from ledgerloom.session import shared_dir
+from ledgerloom.sources import bundles
 
 SEGMENT_RACE = {
     "AUTOMOBILE": "White",
@@ -40,6 +43,7 @@ def text(column: Column) -> Column:
 
 class Frames:
     _schemas: ClassVar[dict[str, dict[str, StructType]]] = {}
+    _written: ClassVar[dict[str, dict[tuple[str, str], str]]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
@@ -217,9 +221,35 @@ class Frames:
     # --- bundles --------------------------------------------------------------
 
     @staticmethod
-    def _bundle(kind: str, *resources: Column) -> Column:
+    def _bundle(name: Column, *resources: Column) -> tuple[Column, Column]:
+        """``file`` and ``value`` of a bundle; the name is its id as well."""
         entries = [F.concat(F.lit('{"resource":'), r, F.lit("}")) for r in resources]
-        return F.concat(F.lit(f'{{"resourceType":"{kind}","entry":['), F.concat_ws(",", *entries), F.lit("]}"))
+        value = F.concat(F.lit('{"resourceType":"Bundle","id":"'), name, F.lit('","entry":['), F.concat_ws(",", *entries), F.lit("]}"))
+        return name.alias("file"), value.alias("value")
+
+    def _once(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder that ``write`` fills once per session and set of tables, as an ingest would have left it."""
+        known = self._written.setdefault(self.spark.sparkContext.applicationId, {})
+        if (self.sf_dir, name) not in known:
+            path = shared_dir(self.spark, name)
+            write(path)
+            known[self.sf_dir, name] = path
+        return known[self.sf_dir, name]
+
+    def arrived_bundles(self, *kinds: str) -> DataFrame:
+        """Bundles (``patient``, ``encounter``, ``line``) from bulk export files, a bundle a line."""
+        paths = [self._once(f"{k}-bundles", getattr(self, f"{k}_bundles").select("value").write.text) for k in kinds]
+        found = [bundles.read_bundles(self.spark, path, one_per_file=False, glob="part-*") for path in paths]
+        return reduce(DataFrame.unionByName, found).select("file", "value")
+
+    def landed_resources(self, kind: str) -> DataFrame:
+        """The resources of one type, of all bundles parsed once and landed by type."""
+
+        def land(path: str) -> None:
+            every = self.arrived_bundles("patient", "encounter", "line").unionByName(self.odd_bundles)
+            bundles.land_by_type(every, path)
+
+        return bundles.landed_entries(self.spark, self._once("resources", land), kind)
 
     @staticmethod
     def _codings(*codings: tuple[str, Column, Column]) -> Column:
@@ -258,7 +288,7 @@ class Frames:
                 us_core("http://x/us-core-ethnicity", none, F.lit("Not Hispanic")),
             ).alias("extension"),
         ))
-        return p.select(F.concat(F.lit("patient/"), text(key)).alias("file"), self._bundle("Bundle", resource).alias("value"))
+        return p.select(*self._bundle(F.concat(F.lit("patient/"), text(key)), resource))
 
     @cached_property
     def encounter_bundles(self) -> DataFrame:
@@ -266,7 +296,7 @@ class Frames:
         # The lowest part of an order's lines is the reason, as in ``fact_encounter``.
         reason = self.table("lineitem").groupBy(F.col("l_orderkey").alias("visit_occurrence_id")).agg(F.min("l_partkey").alias("p_partkey"))
         named = reason.join(self.table("part").select("p_partkey", "p_name"), "p_partkey")
-        v = v.join(named, "visit_occurrence_id", "left")
+        v = v.join(named, "visit_occurrence_id", "left").repartition(self.spark.sparkContext.defaultParallelism)
         key = F.col("visit_occurrence_id")
         resource = F.to_json(F.struct(
             F.lit("Encounter").alias("resourceType"),
@@ -282,14 +312,14 @@ class Frames:
             F.struct(F.concat(pick(key % 2, "urn:uuid:", "Patient/"), text(F.col("person_id"))).alias("reference")).alias("subject"),
             F.struct(F.concat(F.lit("Organization/"), text(key % 9)).alias("reference")).alias("serviceProvider"),
         ))
-        return v.select(F.concat(F.lit("encounter/"), text(key)).alias("file"), self._bundle("Bundle", resource).alias("value"))
+        return v.select(*self._bundle(F.concat(F.lit("encounter/"), text(key)), resource))
 
     @cached_property
     def line_bundles(self) -> DataFrame:
         """A condition and a claim per line; lines returned by 'N' carry no claim total."""
         owner = self.visit.select("visit_occurrence_id", "person_id")
         lines = self.line_money.join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-        lines = lines.join(owner, F.col("l_orderkey") == F.col("visit_occurrence_id"))
+        lines = lines.join(owner, F.col("l_orderkey") == F.col("visit_occurrence_id")).repartition(self.spark.sparkContext.defaultParallelism)
         number = text(F.col("l_orderkey") * 8 + F.col("l_linenumber"))
         patient = F.concat(F.lit("Patient/"), text(F.col("person_id")))
         visit = F.concat(F.lit("Encounter/e"), text(F.col("l_orderkey")))
@@ -315,9 +345,7 @@ class Frames:
             F.array(F.struct(F.struct(F.col("charge").alias("value")).alias("amount"))).alias("total"),
             F.struct(F.struct(F.col("paid").alias("value")).alias("amount")).alias("payment"),
         ))
-        return lines.select(
-            F.concat(F.lit("line/"), number).alias("file"), self._bundle("Bundle", condition, claim).alias("value")
-        )
+        return lines.select(*self._bundle(F.concat(F.lit("line/"), number), condition, claim))
 
     @cached_property
     def odd_bundles(self) -> DataFrame:

@@ -8,7 +8,6 @@ from ledgerloom.functions import dates, keys, numbers
 from ledgerloom.functions.variants import safe_path as safe_path_of
 from ledgerloom.operators import allocate, integrity, merge, rows
 from ledgerloom.plans import kpi, omop, star, views
-from ledgerloom.session import shared_dir
 from ledgerloom.sources import bundles
 
 from .bindings import pick
@@ -72,8 +71,8 @@ COVERAGE_OF_AVERAGES = pct(
          UNION ALL SELECT 'line/' || n, unnest(['Condition', 'ExplanationOfBenefit']) FROM bundle_line)""",
 )
 def fhir_bundle_scan(frames):
-    every = frames.patient_bundles.unionByName(frames.encounter_bundles).unionByName(frames.line_bundles)
-    return bundles.bundle_resources(every.unionByName(frames.odd_bundles)).select("file", "resource_type")
+    every = frames.arrived_bundles("patient", "encounter", "line").unionByName(frames.odd_bundles)
+    return bundles.bundle_resources(every).select(F.col("bundle_id").alias("file"), "resource_type")
 
 
 @query(
@@ -87,22 +86,22 @@ def fhir_bundle_quarantine(frames):
 
 @query("fhir_patient", "SELECT * FROM fhir_patient")
 def fhir_patient(frames):
-    return bundles.parse_patients(bundles.bundle_entries(frames.patient_bundles))
+    return bundles.parse_patients(frames.landed_resources("Patient"))
 
 
 @query("fhir_encounter", "SELECT * FROM fhir_encounter")
 def fhir_encounter(frames):
-    return bundles.parse_encounters(bundles.bundle_entries(frames.encounter_bundles))
+    return bundles.parse_encounters(frames.landed_resources("Encounter"))
 
 
 @query("fhir_condition", "SELECT * FROM fhir_condition")
 def fhir_condition(frames):
-    return bundles.parse_conditions(bundles.bundle_entries(frames.line_bundles))
+    return bundles.parse_conditions(frames.landed_resources("Condition"))
 
 
 @query("fhir_claim", "SELECT * FROM fhir_claim")
 def fhir_claim(frames):
-    return bundles.parse_claims(bundles.bundle_entries(frames.line_bundles))
+    return bundles.parse_claims(frames.landed_resources("ExplanationOfBenefit"))
 
 
 # --- common data model ------------------------------------------------------------
@@ -194,7 +193,7 @@ def strip_reference(frames):
 
 @query("first_coding", "SELECT n AS id, 'I' || code AS code, CAST(NULL AS VARCHAR) AS none FROM bundle_line")
 def first_coding(frames):
-    conditions = bundles._typed(bundles.bundle_entries(frames.line_bundles), "Condition", bundles.CONDITION_SCHEMA)
+    conditions = bundles._typed(frames.landed_resources("Condition"), "Condition", bundles.CONDITION_SCHEMA)
     return conditions.select(
         F.substr("id", F.lit(2)).alias("id"),
         bundles.first_coding(F.col("code"), "code").alias("code"),
@@ -604,17 +603,9 @@ def batch_validate(frames):
 # --- main path: bundles to results --------------------------------------------------
 
 
-def _landed(frames):
-    """All bundles parsed once and landed by resource type; each parser reads its own part."""
-    every = frames.patient_bundles.unionByName(frames.encounter_bundles).unionByName(frames.line_bundles)
-    path = shared_dir(frames.spark, "resources")
-    bundles.land_by_type(every.unionByName(frames.odd_bundles), path)
-    return lambda kind: bundles.landed_entries(frames.spark, path, kind)
-
-
 def _model(frames):
     """Person, visit and cost of the common data model, from landed bundles."""
-    entries = _landed(frames)
+    entries = frames.landed_resources
     person = omop.build_person(bundles.parse_patients(entries("Patient")))
     visit = omop.build_visit_occurrence(bundles.parse_encounters(entries("Encounter")))
     return person, visit, omop.build_cost(bundles.parse_claims(entries("ExplanationOfBenefit")))
@@ -647,7 +638,7 @@ def bundles_to_high_cost(frames):
 )
 def bundles_to_claim_cost_by_condition(frames):
     """Bundles to the star schema to the first report; a claim's condition is the reason of its encounter."""
-    entries = _landed(frames)
+    entries = frames.landed_resources
     fact = star.build_fact_claims(bundles.parse_claims(entries("ExplanationOfBenefit")), bundles.parse_encounters(entries("Encounter")), SALT)
     return kpi.claim_cost_by_condition(fact, star.build_dim_condition(bundles.parse_conditions(entries("Condition"))))
 

@@ -1,4 +1,9 @@
-"""Clinical JSON bundles: one file per row, then one row per resource."""
+"""Clinical JSON bundles: one file per row, then one row per resource.
+
+A bundle is parsed once. Its resources come out as ``VARIANT``, whatever their type, and are written so
+when landed by type; the parsers take fields out of them without parsing again. A resource that repeats a
+key cannot be read; its bundle is reported by ``quarantined_bundles``.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.dates import date_prefix, duration_hours
 from ..functions.keys import strip_reference
 
-BUNDLE_SCHEMA = "resourceType string, entry array<struct<resource string>>"
+BUNDLE_SCHEMA = "resourceType string, id string, entry array<struct<resource variant>>"
 CODING = "array<struct<system string, code string, display string>>"
 CODED = f"struct<coding {CODING}>"
 REFERENCE = "struct<reference string>"
@@ -59,46 +64,56 @@ def _parsed(df: DataFrame, text: str, schema: str, name: str, *kept: str) -> Dat
 
 
 def bundle_entries(bundles: DataFrame) -> DataFrame:
-    """``(file, resource)`` for every entry of every bundle, each as its own JSON text."""
+    """``(file, bundle_id, resource)`` for every entry of every bundle, the resource as ``VARIANT``."""
     opened = _parsed(bundles, "value", BUNDLE_SCHEMA, "bundle", "file").where(F.col("bundle.resourceType") == "Bundle")
-    entries = opened.select("file", F.explode_outer("bundle.entry.resource").alias("resource"))
-    return entries.where(F.col("resource").isNotNull())
+    entries = opened.select("file", F.col("bundle.id").alias("bundle_id"), F.explode_outer("bundle.entry.resource").alias("resource"))
+    return entries.where(F.col("resource").isNotNull() & ~F.is_variant_null("resource"))
+
+
+def _kind() -> Column:
+    return F.try_variant_get("resource", "$.resourceType", "string")
 
 
 def bundle_resources(bundles: DataFrame) -> DataFrame:
-    """``(file, resource_type, resource)`` of all resources, whatever their type."""
-    kind = F.explode(F.array(F.get_json_object("resource", "$.resourceType"))).alias("resource_type")
-    return bundle_entries(bundles).select("file", kind, "resource").select("file", "resource_type", "resource")
+    """``(file, bundle_id, resource_type, resource)`` of all resources, whatever their type."""
+    return bundle_entries(bundles).select("file", "bundle_id", _kind().alias("resource_type"), "resource")
 
 
 def land_by_type(bundles: DataFrame, path: str) -> None:
-    """Write the resources of all bundles in folders by type, so each bundle is parsed once for all parsers."""
+    """Write the resources of all bundles as ``VARIANT`` in folders by type, so each bundle is parsed once for all parsers."""
     bundle_resources(bundles).where(F.col("resource_type").isNotNull()).write.partitionBy("resource_type").parquet(path)
 
 
+LANDED_SCHEMA = "file string, bundle_id string, resource variant, resource_type string"
+
+
 def landed_entries(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """``(file, resource)`` of one type from its folder."""
-    return spark.read.parquet(path).where(F.col("resource_type") == kind).select("file", "resource")
+    """``(file, bundle_id, resource)`` of one type from its folder."""
+    return spark.read.schema(LANDED_SCHEMA).parquet(path).where(F.col("resource_type") == kind).select("file", "bundle_id", "resource")
 
 
 def quarantined_bundles(bundles: DataFrame) -> DataFrame:
-    """Files the resource scan passes over, with the reason."""
+    """Files that the resource scan passes over, or of which it passes over an entry, with the reason."""
     kind, entries = F.col("bundle.resourceType"), F.col("bundle.entry")
     reason = (
         F.when(kind.isNull(), "unreadable")
         .when(kind != "Bundle", "not_a_bundle")
         .when(entries.isNull() | (F.size(entries) == 0), "no_entries")
+        .when(F.exists(entries, lambda e: e["resource"].isNull()), "entry_without_resource")
     )
     opened = _parsed(bundles, "value", BUNDLE_SCHEMA, "bundle", "file")
     return opened.select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def _typed(entries: DataFrame, kind: str, schema: str) -> DataFrame:
-    """Resources of one type. Captured text has no blanks between tokens, so a plain
-    search passes over the other types before anything is parsed."""
-    likely = entries.where(F.contains("resource", F.lit(f'"resourceType":"{kind}"')))
-    typed = _parsed(likely, "resource", f"resourceType string, {schema}", "r")
-    return typed.where(F.col("r.resourceType") == kind).select("r.*")
+    """The fields of the resources of one type; a field of another kind than the schema's is null.
+
+    Resources given as JSON text are parsed first.
+    """
+    if entries.schema["resource"].dataType.simpleString() == "string":
+        entries = entries.select(F.explode(F.array(F.try_parse_json("resource"))).alias("resource"))
+    fields = F.try_variant_get("resource", "$", f"struct<{schema}>")
+    return entries.where(_kind() == kind).select(F.explode(F.array(fields)).alias("r")).select("r.*")
 
 
 def first(array: Column) -> Column:
