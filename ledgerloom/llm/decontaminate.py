@@ -11,7 +11,7 @@ benchmark (``block_bytes`` of text) is broadcast; a larger benchmark takes sever
 Defined cases: a null or empty text has no words and is clean; a benchmark text without
 words has no windows; items that share an id count once; repeated documents are judged
 each for itself; other columns pass through whatever they are called. Memory of a task
-follows ``text.PIECE_BYTES`` or the longest single text.
+follows ``SHARD_BYTES`` or the longest single text.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ WINDOW = 13
 SHARE = 20
 """A document is contaminated if at least one in ``SHARE`` of its words is hit."""
 BLOCK_BYTES = 32_000_000
+SHARD_BYTES = 4_000_000
+"""Texts of one suffix array, in which every window of the benchmark is searched."""
 
 _STATE = "n_words bigint, hits binary, items array<string>"
 
@@ -168,7 +170,7 @@ def benchmark_hits(
         def search(batches, shared=shared):
             tests = shared.value
             for batch in batches:
-                for piece, texts in row_pieces(batch, text):
+                for piece, texts in row_pieces(batch, text, SHARD_BYTES):
                     counts, flags, items = _search(piece, *flat_bytes(texts), tests)
                     earlier = piece.column("hits").to_pylist(), piece.column("items").to_pylist()
                     for i, (bits, names) in enumerate(zip(*earlier)):

@@ -41,6 +41,8 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 36, 8
 BLOCK_BYTES = 1_000_000
 """Elements of a bucket's nodes that are compared at a time with as many others."""
+SENT_PAIRS = 1_000_000
+"""Pairs that are broadcast at most (16 MB)."""
 BITMAP_BITS = 1 << 24
 """Size of the broadcast bitmap of wanted nodes; a full one only lets more rows through."""
 
@@ -203,9 +205,15 @@ def similar(left: bytes, right: bytes, threshold: float) -> bool:
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes that are similar enough."""
+    """The pairs ``a``, ``b`` of nodes that are similar enough. ``pairs`` are written already.
+
+    Up to ``SENT_PAIRS`` of them are sent to the elements, which then stay where they are but for
+    those that are wanted; more are joined with them by shuffling both.
+    """
     left = elements.select(F.col("node").alias("a"), F.col("elements").alias("left"))
     right = elements.select(F.col("node").alias("b"), F.col("elements").alias("right"))
+    if pairs.count() <= SENT_PAIRS:
+        right, pairs = right.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi"), F.broadcast(pairs)
 
     def check(batches):
         for batch in batches:
@@ -215,7 +223,7 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
 
     size = F.octet_length
     possible = F.least(size("left"), size("right")) >= (threshold - 1e-9) * F.greatest(size("left"), size("right"))
-    return settled(pairs.join(left, "a").join(right, "b").where(possible).select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint"))
+    return settled(left.join(pairs, "a").join(right, "b").where(possible).select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint"))
 
 
 def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -317,7 +325,7 @@ def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
 def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``node``, ``label``: the class of each node that is linked to another. ``nodes`` has ``node`` and ``bands``; ``docs`` the texts."""
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("bucket", "leader")
+    shared = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "leader")
     members = settled(banded.join(shared, "bucket"))
     wanted = docs.sparkSession.sparkContext.broadcast(_wanted_bitmap(members.select("node").distinct()))
     emitted = docs.select("text").mapInArrow(lambda batches: _node_elements(wanted.value)(batches), "node bigint, elements binary")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 """Texts are worked on in runs of whole rows of about this many bytes, so memory does not follow the Arrow batch."""
 
 

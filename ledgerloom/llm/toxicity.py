@@ -207,21 +207,27 @@ def _beginnings(word: str) -> list[str]:
     return [START + word[:size] for size in range(ORDER, min(len(word), WINDOW) + 1)]
 
 
-def _counted(documents: list[list[list[str]]]) -> tuple[Counter, int]:
-    """How often word beginnings occur: once a document at most, and once for each word before or after (whichever are more),
-    so that near copies of one text count little. And the number of different sentences."""
-    count, before, after, seen = Counter(), {}, {}, set()
+def _document_counts(documents: list[list[list[str]]]) -> Counter:
+    """In how many documents each word beginning is."""
+    count: Counter = Counter()
+    for parts in documents:
+        count.update({p for word in {w for s in parts for w in s} for p in _beginnings(word)})
+    return count
+
+
+def _in_context(documents: list[list[list[str]]], counts: Counter, wanted: set[str]) -> tuple[dict[str, int], int]:
+    """How often the wanted beginnings occur: once a document at most, and once for each word before or after (whichever are
+    more), so that near copies of one text count little. And the number of different sentences."""
+    before, after, seen = {p: set() for p in wanted}, {p: set() for p in wanted}, set()
     for parts in documents:
-        found = set()
         for sentence in {tuple(s) for s in parts} - seen:
             seen.add(sentence)
             for left, word, right in zip(("", *sentence), sentence, (*sentence[1:], "")):
                 for p in _beginnings(word):
-                    found.add(p)
-                    before.setdefault(p, set()).add(left)
-                    after.setdefault(p, set()).add(right)
-        count.update(found)
-    return Counter({p: min(n, max(len(before[p]), len(after[p]))) for p, n in count.items()}), len(seen)
+                    if p in wanted:
+                        before[p].add(left)
+                        after[p].add(right)
+    return {p: min(counts[p], max(len(before[p]), len(after[p]))) for p in wanted}, len(seen)
 
 
 def typical_beginnings(toxic: list[list[list[str]]], other: list[list[list[str]]]) -> tuple[list[str], list[str]]:
@@ -230,17 +236,19 @@ def typical_beginnings(toxic: list[list[list[str]]], other: list[list[list[str]]
     Typical is what occurs often enough, at many times the rate of other documents, and so
     often that among all beginnings less than ``FALSE_FINDS`` would do so by chance.
     """
-    (in_toxic, n_toxic), (in_other, n_other) = _counted(toxic), _counted(other)
+    in_toxic, in_other = _document_counts(toxic), _document_counts(other)
+    wanted = {p for p, n in in_toxic.items() if n >= LEAST_SENTENCES and n * max(1, len(other)) >= LEAST_RATIO / 4 * in_other[p] * max(1, len(toxic))}
+    (times, n_toxic), (others, n_other) = _in_context(toxic, in_toxic, wanted), _in_context(other, in_other, wanted)
     share = max(1, n_toxic) / max(1, n_other)
-    expected = {p: (in_other[p] + 0.5) * share for p in in_toxic}
-    surprise = {p: n * np.log(n / expected[p]) - (n - expected[p]) for p, n in in_toxic.items() if n >= LEAST_SENTENCES and n >= LEAST_RATIO * expected[p]}
+    expected = {p: (others[p] + 0.5) * share for p in wanted}
+    surprise = {p: n * np.log(n / expected[p]) - (n - expected[p]) for p, n in times.items() if n >= LEAST_SENTENCES and n >= LEAST_RATIO * expected[p]}
     least = np.log(max(1, len(in_toxic)) / FALSE_FINDS)
     typical: list[str] = []
     # Of beginnings that continue one another the most surprising stands for all, the longer one in a tie.
     for p in sorted((p for p, x in surprise.items() if x >= least), key=lambda p: (-surprise[p], -len(p), p)):
         if not any(p.startswith(c) or c.startswith(p) for c in typical):
             typical.append(p)
-    common = [p for p, _ in sorted(in_other.items(), key=lambda x: (-x[1], x[0])) if in_toxic[p] <= 2 * in_other[p] * share]
+    common = [p for p, n in sorted(in_other.items(), key=lambda x: (-x[1], x[0])) if in_toxic[p] * len(other) <= 2 * n * len(toxic)]
     return typical, common[:OTHER_LANDMARKS]
 
 
