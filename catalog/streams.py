@@ -12,7 +12,7 @@ from ledgerloom.plans import telemetry as positions_batch
 from ledgerloom.session import shared_dir
 from ledgerloom.sources import bundles, sinks
 from ledgerloom.streaming import alerts, gaze, ingest, positions
-from ledgerloom.streaming.jobs import file_stream, run_available
+from ledgerloom.streaming.jobs import file_stream, run_available, to_files
 
 from .bindings import Frames
 from .registry import query
@@ -167,6 +167,38 @@ def gps_stream_reject_rates(frames):
     return plain_time(positions.rates(table), "window_start")
 
 
+def _closed_rates(frames, order):
+    """Daily counts closed a day after the latest update, as updates arrive along ``order``; and the counts of all batches."""
+    folder = _folder(frames, "windows")
+    table = BatchTable(frames.spark, f"{folder}/counts")
+    jobs = {
+        "closed": lambda gps: to_files(positions.closed_rates(gps, frames.routes, "1 day"), f"{folder}/rates"),
+        "all": lambda gps: positions.count_rejects(gps, frames.routes, table),
+    }
+    for name, job in jobs.items():
+        _feed(frames, "events", f"{folder}/{name}", lambda events, job=job: job(Frames._gps(events)), order)
+    return frames.spark.read.parquet(f"{folder}/rates"), table
+
+
+CLOSED = f"SELECT * FROM ({REJECTS}) WHERE window_start + INTERVAL 2 DAY <= (SELECT max(ts) FROM gps_checked)"
+
+
+@query("gps_stream_closed_rates", CLOSED)
+def gps_stream_closed_rates(frames):
+    """Updates come in the order of their time; each window is returned once."""
+    closed, _ = _closed_rates(frames, F.col("event_id"))
+    return plain_time(closed, "window_start")
+
+
+@query("gps_stream_late_rates", CLOSED)
+def gps_stream_late_rates(frames):
+    """Updates come in another order: what windows counted in time, and what came late, make up all of them."""
+    closed, table = _closed_rates(frames, F.col("value"))
+    late = positions.late_rates(table, closed)
+    both = closed.unionByName(late).groupBy("window_start", "reason").agg(F.sum("updates").alias("updates"))
+    return plain_time(both, "window_start")
+
+
 KNOWN = "reason = 'ok' AND route_no IN (SELECT route_no FROM routes)"
 
 
@@ -216,6 +248,22 @@ def upload_stream_dedupe(frames):
     return catalogue.read().join(steps, "upload_id").select("file_hash", "status")
 
 
+@query("upload_stream_within", "SELECT sha256(text) AS file_hash FROM documents GROUP BY 1")
+def upload_stream_within(frames):
+    """First uploads by state alone, then those that came too late."""
+    folder = _folder(frames, "first-uploads")
+
+    def register(documents):
+        arriving = Frames(frames.spark, frames.sf_dir)
+        arriving.table = lambda name: documents
+        return to_files(ingest.first_uploads(arriving.uploads, "10 days"), f"{folder}/catalogue")
+
+    _feed(frames, "documents", folder, register, F.col("n_chars"))
+    catalogue = frames.spark.read.parquet(f"{folder}/catalogue")
+    missed = ingest.missed_uploads(frames.uploads, catalogue)
+    return catalogue.select("file_hash").union(missed.select("file_hash"))
+
+
 UPDATES = "(SELECT user_id AS account_number, ts, event_id AS update_id, CAST(value * 12 AS DECIMAL(15,2)) AS balance FROM events)"
 MESSAGE = "'Alert: Account ' || account_number || ' balance dropped below $1000. Interest rate may change.' AS message"
 
@@ -232,7 +280,7 @@ def balance_alert_stream(frames):
     folder = _folder(frames, "alerts")
 
     def job(events):
-        return alerts.low_balances(_balances(events)).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/alerts")
+        return to_files(alerts.low_balances(_balances(events)), f"{folder}/alerts")
 
     _feed(frames, "events", folder, job)
     return plain_time(frames.spark.read.parquet(f"{folder}/alerts"))
@@ -245,10 +293,11 @@ def balance_alert_stream(frames):
         WHERE balance < 1000 AND (before IS NULL OR before >= 1000)""",
 )
 def balance_crossing_stream(frames):
+    """Updates in the order of their time: none is late."""
     folder = _folder(frames, "crossings")
-    balances, found, late = (BatchTable(frames.spark, f"{folder}/{name}") for name in ("balances", "alerts", "late"))
-    _feed(frames, "events", folder, lambda events: alerts.crossings(_balances(events), balances, found, late), F.col("ts").cast("timestamp"))
-    return plain_time(found.read().drop("batch"))
+    job = lambda events: to_files(alerts.crossings(_balances(events)), f"{folder}/found", "kind")
+    _feed(frames, "events", folder, job, F.col("ts").cast("timestamp"))
+    return plain_time(frames.spark.read.parquet(f"{folder}/found").where("kind = 'crossing'").drop("kind"))
 
 
 @query("gaze_stream", f"SELECT frame_id, {DECISION} AS action FROM gaze_counts")
@@ -261,7 +310,7 @@ def gaze_stream(frames):
             F.transform("embedding", lambda v: F.lit(75.0) + v.cast("double") * F.lit(200.0)).alias("pixels"),
         )
         actions = gaze.decisions(images, "pixels", 8, 8).select("frame_id", "action")
-        return actions.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/actions")
+        return to_files(actions, f"{folder}/actions")
 
     _feed(frames, "embeddings", folder, job)
     return frames.spark.read.parquet(f"{folder}/actions")
@@ -275,14 +324,13 @@ def gaze_stream(frames):
 )
 def blink_halt_stream(frames):
     folder = _folder(frames, "halts")
-    open_runs, found = (BatchTable(frames.spark, f"{folder}/{name}") for name in ("open", "halts"))
 
     def job(events):
         eyes = events.select(
             (F.col("event_id") % 5).alias("stream"), F.floor(F.col("event_id") / 5).alias("frame"),
             F.when(F.col("value") > 40, 0).otherwise(10).alias("dark"),
         )
-        return gaze.halts(eyes, open_runs, found)
+        return to_files(gaze.halts(eyes), f"{folder}/halts")
 
     _feed(frames, "events", folder, job)
-    return found.read().drop("batch")
+    return frames.spark.read.parquet(f"{folder}/halts").where("halt_frame is not null").select("stream", "halt_frame")

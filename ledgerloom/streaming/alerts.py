@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.merge import BatchTable
-from ..operators.running import previous_by_block
 from ..plans.bank import is_low, low_balance_message
-from .jobs import each_batch
+from .keyed import with_previous
 
 
 def low_balances(updates: DataFrame) -> DataFrame:
@@ -17,44 +14,15 @@ def low_balances(updates: DataFrame) -> DataFrame:
     return low.select("account_number", "ts", "balance", low_balance_message(F.col("account_number")).alias("message"))
 
 
-def last_balances(balances: BatchTable, before: int | None = None) -> DataFrame | None:
-    """The last update of each account over all batches."""
-    rows = balances.read(before)
-    if rows is None:
-        return None
-    newest = F.max_by(F.struct("ts", "update_id", "balance"), F.struct("ts", "update_id"))
-    return rows.groupBy("account_number").agg(newest.alias("u")).select("account_number", "u.*")
+def crossings(updates: DataFrame) -> DataFrame:
+    """Updates with which a balance falls below the limit (``kind`` is ``crossing``), and updates that came ``late``.
 
-
-def crossings(updates: DataFrame, balances: BatchTable, alerts: BatchTable, late: BatchTable) -> DataStreamWriter:
-    """Alerts only where a balance falls below the limit.
-
-    ``balances`` keeps the last update of each account per batch. A batch is put behind those and
-    each update is compared with the one before it, minute by minute, so that an account with
-    very many updates is spread over its minutes. Updates are ordered by time and number; one
-    that comes after a later one has been compared goes to ``late``.
+    ``updates(account_number, ts, update_id, balance)`` are ordered by time and number; the state
+    store keeps the last one of each account. One that comes after a later one has been compared is
+    no alert: it is returned as ``late``, to be written to an output of its own.
     """
-
-    def compare(batch: DataFrame, number: int) -> None:
-        rows = batch.select("account_number", "ts", "update_id", "balance", F.lit(True).alias("is_new"))
-        last = last_balances(balances, before=number)
-        delayed = rows.limit(0)
-        if last is not None:
-            ends = last.select("account_number", F.struct("ts", "update_id").alias("_last"))
-            placed = rows.join(ends, "account_number", "left")
-            in_order = F.col("_last").isNull() | (F.struct("ts", "update_id") > F.col("_last"))
-            delayed = placed.where(~in_order).drop("_last")
-            rows = last.withColumn("is_new", F.lit(False)).unionByName(placed.where(in_order).drop("_last"))
-        minute = F.floor(F.unix_timestamp("ts") / 60)
-        compared = previous_by_block(rows, ["account_number"], minute, ["ts", "update_id"], "balance", "before")
-        fell = compared.where(F.col("is_new") & is_low(F.col("balance"), F.col("before"), on_crossing_only=True))
-        found = fell.select(
-            "account_number", "ts", "update_id", "balance", low_balance_message(F.col("account_number")).alias("message")
-        )
-        newest = F.max_by(F.struct("ts", "update_id", "balance"), F.struct("ts", "update_id"))
-        latest = rows.where("is_new").groupBy("account_number").agg(newest.alias("u")).select("account_number", "u.*")
-        alerts.write(found, number)
-        late.write(delayed.drop("is_new"), number)
-        balances.write(latest, number)
-
-    return each_batch(updates, compare)
+    rows = updates.select("account_number", "ts", "update_id", "balance")
+    compared = with_previous(rows, "account_number", ["ts", "update_id"], "balance")
+    fell = ~F.col("late") & is_low(F.col("balance"), F.col("before"), on_crossing_only=True)
+    message = F.when(~F.col("late"), low_balance_message(F.col("account_number")))
+    return compared.where(F.col("late") | fell).select("account_number", "ts", "update_id", "balance", message.alias("message"), F.when(F.col("late"), "late").otherwise("crossing").alias("kind"))

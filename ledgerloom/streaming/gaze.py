@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.blinks import HALT_FRAMES
 from ..operators.matrices import array_zone_counts, with_decision
-from ..operators.merge import BatchTable
-from ..operators.running import consecutive_runs
-from .jobs import each_batch
+from .keyed import with_state
 
 
 def decisions(frames: DataFrame, pixels: str, rows: int, columns: int) -> DataFrame:
@@ -17,41 +16,37 @@ def decisions(frames: DataFrame, pixels: str, rows: int, columns: int) -> DataFr
     return with_decision(array_zone_counts(frames, pixels, rows, columns))
 
 
-def halts(frames: DataFrame, open_runs: BatchTable, found: BatchTable) -> DataStreamWriter:
-    """Halts over ``frames(stream, frame, dark)`` that arrive in order.
+def halts(frames: DataFrame) -> DataFrame:
+    """Halts over ``frames(stream, frame, dark)``: ``stream``, ``halt_frame``, ``late_frame``.
 
-    ``open_runs`` keeps, per stream and batch, the dark-free run that reaches the last frame seen
-    (length 0 if there is none); a run that goes on in the next batch is joined to it.
+    The state store keeps, per stream, the last frame and the dark-free run that reaches it; a run
+    that goes on in the next batch is joined to it. A frame that comes again, or after a later
+    one has been seen, is returned as ``late_frame`` and changes no run.
     """
-
-    def follow(batch: DataFrame, number: int) -> None:
-        runs = consecutive_runs(batch, ["stream"], "frame", F.col("dark") == 0)
-        earlier = open_runs.read(before=number)
-        if earlier is not None:
-            newest = F.max_by(F.struct("first_position", "last_position", "run_length"), "batch")
-            before = earlier.groupBy("stream").agg(newest.alias("r")).where("r.run_length > 0").select(
-                "stream", F.col("r.last_position").alias("_end"), F.col("r.first_position").alias("_start"), F.col("r.run_length").alias("_length")
-            )
-            joined = runs.join(before, "stream", "left")
-            goes_on = F.coalesce(F.col("first_position") == F.col("_end") + 1, F.lit(False))
-            runs = joined.select(
-                "stream",
-                F.when(goes_on, F.col("_start")).otherwise(F.col("first_position")).alias("first_position"),
-                "last_position",
-                (F.col("run_length") + F.when(goes_on, F.col("_length")).otherwise(0)).alias("run_length"),
-                F.when(goes_on, F.col("_length")).otherwise(0).alias("_known"),
-            )
+    stream = frames.schema["stream"].dataType.simpleString()
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        last, first, length = state if state is not None else (None, None, 0)
+        rows = rows.sort_values("frame", kind="stable", ignore_index=True)
+        new = ~rows["frame"].duplicated() if last is None else ~rows["frame"].duplicated() & (rows["frame"] > last)
+        late, frame, dark = rows["frame"][~new], rows["frame"][new].to_numpy(), rows["dark"][new].to_numpy()
+        if len(frame):
+            clear = dark == 0
+            goes_on = np.concatenate(([length > 0 and frame[0] == last + 1], clear[:-1] & (frame[1:] == frame[:-1] + 1)))
+            place = np.arange(len(frame))
+            begin = np.maximum.accumulate(np.where(clear & goes_on, -1, place))  # -1: the run began before this batch
+            run = np.where(clear, place - begin + 1 + np.where(begin < 0, length - 1, 0), 0)
+            halting = frame[run == HALT_FRAMES]
+            opened = first if begin[-1] < 0 else frame[begin[-1]]
+            state = (int(frame[-1]), int(opened) if run[-1] else None, int(run[-1]))
         else:
-            runs = runs.withColumn("_known", F.lit(0).cast("bigint"))
-        new = runs.where((F.col("run_length") >= HALT_FRAMES) & (F.col("_known") < HALT_FRAMES)).select(
-            "stream", (F.col("first_position") + HALT_FRAMES - 1).alias("halt_frame")
-        )
-        last = batch.groupBy("stream").agg(F.max("frame").alias("last_position"))
-        reaching = last.join(runs.drop("_known"), ["stream", "last_position"], "left").select(
-            "stream", F.coalesce("first_position", "last_position").alias("first_position"), "last_position",
-            F.coalesce("run_length", F.lit(0).cast("bigint")).alias("run_length"),
-        )
-        found.write(new, number)
-        open_runs.write(reaching, number)
-
-    return each_batch(frames, follow)
+            halting = frame
+        name = rows["stream"].iloc[0]
+        found = pd.DataFrame({
+            "stream": name, "halt_frame": pd.array([*halting.tolist(), *[None] * len(late)], "Int64"),
+            "late_frame": pd.array([*[None] * len(halting), *late.tolist()], "Int64"),
+        })
+        return found, state
+
+    rows = frames.select("stream", F.col("frame").cast("bigint").alias("frame"), F.col("dark").cast("bigint").alias("dark"))
+    return with_state(rows, ["stream"], step, f"stream {stream}, halt_frame bigint, late_frame bigint", "last bigint, first bigint, length bigint")

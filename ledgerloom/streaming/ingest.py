@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.merge import BatchTable
-from ..plans.catalogue import lineage_append, manifest_ingest
+from ..plans.catalogue import bronze_rows, lineage_append, manifest_ingest
 from ..sources import bundles
 from ..sources.sinks import append_unique
 from .jobs import each_batch
@@ -44,3 +44,19 @@ def register_uploads(uploads: DataFrame, catalogue: BatchTable, lineage: BatchTa
         lineage.write(lineage_append(catalogue.read_batch(number)), number)
 
     return each_batch(uploads, register)
+
+
+def first_uploads(uploads: DataFrame, within: str) -> DataFrame:
+    """Catalogue rows of uploads whose content was not uploaded before ``within`` that time, without reading the catalogue.
+
+    The state store keeps a content's hash until the latest upload seen is so much later. An upload
+    older than that is passed over, and a content that comes again after it is taken as new:
+    ``missed_uploads`` finds the former, ``manifest_ingest`` removes the latter.
+    """
+    timed = uploads.withWatermark("upload_time_utc", within)
+    return bronze_rows(timed.dropDuplicatesWithinWatermark(["file_hash"]))
+
+
+def missed_uploads(uploads: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Catalogue rows of uploads that came too late for ``first_uploads``; a batch job over what has arrived."""
+    return manifest_ingest(uploads, catalogue)

@@ -26,3 +26,9 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
 
 def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], mode: str = "append") -> DataStreamWriter:
     return stream.writeStream.outputMode(mode).foreachBatch(handle)
+
+
+def to_files(stream: DataFrame, path: str, *partitions: str) -> DataStreamWriter:
+    """Append a stream to Parquet files; a repeated batch leaves no second copy."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+    return writer.partitionBy(*partitions) if partitions else writer

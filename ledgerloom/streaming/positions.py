@@ -40,6 +40,24 @@ def rates(table: BatchTable) -> DataFrame:
     return table.read().groupBy("window_start", "reason").agg(F.sum("updates").alias("updates"))
 
 
+def closed_rates(updates: DataFrame, routes: DataFrame, delay: str, window: str = "1 day") -> DataFrame:
+    """Counts per window and reason, each returned once: when the latest update seen is ``delay`` past the window's end.
+
+    The state store holds the open windows only. Updates that come after their window was closed
+    are in no count; ``late_rates`` tells how many they are.
+    """
+    return reject_rates(updates.withWatermark("ts", delay), routes, window)
+
+
+def late_rates(table: BatchTable, closed: DataFrame) -> DataFrame:
+    """Updates per closed window and reason that ``closed_rates`` did not count, from the counts of all batches."""
+    counted = closed.select("window_start", "reason", F.col("updates").alias("_counted"))
+    windows = closed.select("window_start").distinct()
+    every = rates(table).join(windows, "window_start").join(counted, ["window_start", "reason"], "left")
+    late = F.col("updates") - F.coalesce("_counted", F.lit(0))
+    return every.select("window_start", "reason", late.alias("updates")).where("updates > 0")
+
+
 def history(updates: DataFrame, routes: DataFrame, path: str, fence: Fence | None = None) -> DataStreamWriter:
     """Append every accepted point of a known route, in folders by day."""
     points = accepted_positions(updates, fence).join(routes.select("route_no"), "route_no", "left_semi").withColumn("day", F.to_date("ts"))

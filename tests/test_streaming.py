@@ -1,12 +1,15 @@
 """Streams in several batches give what one batch gives."""
 
 import datetime as dt
+import random
+from decimal import Decimal
 
+from ledgerloom.operators import blinks
 from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import telemetry
 from ledgerloom.sources import bundles
 from ledgerloom.streaming import alerts, gaze, ingest, positions
-from ledgerloom.streaming.jobs import file_stream, run_available
+from ledgerloom.streaming.jobs import file_stream, run_available, to_files
 
 
 def at(minute):
@@ -40,34 +43,34 @@ def test_latest_position_ignores_older_points(spark, tmp_path):
     assert {r.route_no: (r.ts, r.lat, r.lon) for r in positions.current(table).collect()} == got
 
 
-def test_crossings_over_batches_and_a_repeat(spark, tmp_path):
-    schema = "account_number bigint, ts timestamp, update_id bigint, balance decimal(15,2)"
-    from decimal import Decimal
+BALANCES = "account_number bigint, ts timestamp, update_id bigint, balance decimal(15,2)"
 
+
+def crossing_rows(spark, path):
+    rows = spark.read.parquet(path).collect()
+    return [sorted(r.update_id for r in rows if r.kind == kind) for kind in ("crossing", "late")]
+
+
+def test_crossings_over_batches_and_a_restart(spark, tmp_path):
     amounts = [1500, 900, 800, 1200, 999, 1000, 10]
     rows = [(1, at(i * 600), i, Decimal(a)) for i, a in enumerate(amounts)] + [(2, at(0), 100, Decimal(5))]
-    balances, found, late = (BatchTable(spark, str(tmp_path / n)) for n in "bal")
-    jobs = lambda s: run_available(alerts.crossings(s, balances, found, late), str(tmp_path / "progress"))
-    feed(spark, str(tmp_path / "in"), schema, [rows[:2], rows[2:5], rows[5:]], jobs)
-    assert sorted(r.update_id for r in found.read().collect()) == [1, 4, 6, 100]
-    # The same batches again, from a lost checkpoint: each overwrites its own partition.
-    run_available(alerts.crossings(file_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1), balances, found, late), str(tmp_path / "lost"))
-    assert sorted(r.update_id for r in found.read().collect()) == [1, 4, 6, 100]
-    assert {r.account_number: int(r.balance) for r in alerts.last_balances(balances).collect()} == {1: 10, 2: 5}
-    low = alerts.low_balances(spark.createDataFrame(rows, schema))
-    assert low.count() == 5
+    out = str(tmp_path / "out")
+    job = lambda s: run_available(to_files(alerts.crossings(s), out, "kind"), str(tmp_path / "progress"))
+    feed(spark, str(tmp_path / "in"), BALANCES, [rows[:2], rows[2:5], rows[5:6], rows[6:]], job)  # a new query for each batch
+    assert crossing_rows(spark, out) == [[1, 4, 6, 100], []]
+    state = spark.read.format("statestore").load(str(tmp_path / "progress"))
+    assert state.count() == 2  # a row per account
+    # All batches again, from a lost checkpoint: the output keeps what it has.
+    run_available(to_files(alerts.crossings(file_stream(spark, str(tmp_path / "in"), BALANCES, files_per_batch=1)), out, "kind"), str(tmp_path / "lost"))
+    assert crossing_rows(spark, out) == [[1, 4, 6, 100], []]
+    assert alerts.low_balances(spark.createDataFrame(rows, BALANCES)).count() == 5
 
 
 def test_updates_of_one_second_and_late_ones(spark, tmp_path):
-    schema = "account_number bigint, ts timestamp, update_id bigint, balance decimal(15,2)"
-    from decimal import Decimal
-
-    batches = [[(1, at(5), 1, Decimal(1400))], [(1, at(5), 2, Decimal(500)), (1, at(1), 0, Decimal(3))]]
-    balances, found, late = (BatchTable(spark, str(tmp_path / n)) for n in "bal")
-    feed(spark, str(tmp_path / "in"), schema, batches, lambda s: run_available(alerts.crossings(s, balances, found, late), str(tmp_path / "progress")))
-    assert [r.update_id for r in found.read().collect()] == [2]
-    assert [r.update_id for r in late.read().collect()] == [0]
-    assert [int(r.balance) for r in alerts.last_balances(balances).collect()] == [500]
+    batches = [[(1, at(5), 1, Decimal(1400)), (3, at(1), 7, None)], [(1, at(5), 2, Decimal(500)), (1, at(1), 0, Decimal(3)), (1, at(5), 1, Decimal(2))], [(3, at(2), 8, Decimal(1))]]
+    out = str(tmp_path / "out")
+    feed(spark, str(tmp_path / "in"), BALANCES, batches, lambda s: run_available(to_files(alerts.crossings(s), out, "kind"), str(tmp_path / "progress")))
+    assert crossing_rows(spark, out) == [[2, 8], [0, 1]]
 
 
 def test_uploads_are_registered_once(spark, tmp_path):
@@ -82,14 +85,61 @@ def test_uploads_are_registered_once(spark, tmp_path):
     assert sorted(r.bronze_file_id for r in lineage.read().collect()) == ids
 
 
-def test_halt_over_a_batch_edge(spark, tmp_path):
+def test_halt_over_batch_edges(spark, tmp_path):
     schema = "stream string, frame bigint, dark bigint"
     dark = [0, 0, 9, 0, 0, 0, 0, 0, 0, 9, 0, 0, 0, 0, 9] + [0] * 12
     rows = [("s", i, d) for i, d in enumerate(dark)]
-    open_runs, found = BatchTable(spark, str(tmp_path / "o")), BatchTable(spark, str(tmp_path / "f"))
-    feed(spark, str(tmp_path / "in"), schema, [rows[:5], rows[5:7], rows[7:18], rows[18:22], rows[22:]],
-         lambda s: run_available(gaze.halts(s, open_runs, found), str(tmp_path / "progress")))
-    assert sorted(r.halt_frame for r in found.read().collect()) == [7, 19]
+    gap = [("t", i, 0) for i in (0, 1, 2, 4, 5, 6, 7, 8)]
+    batches = [rows[:5] + gap[:3], rows[5:7] + gap[3:4], rows[7:18] + gap[4:], rows[18:22], rows[22:] + [("s", 3, 9), ("s", 26, 9)]]
+    out = str(tmp_path / "out")
+    feed(spark, str(tmp_path / "in"), schema, batches, lambda s: run_available(to_files(gaze.halts(s), out), str(tmp_path / "progress")))
+    found = spark.read.parquet(out).collect()
+    assert sorted((r.stream, r.halt_frame) for r in found if r.halt_frame is not None) == [("s", 7), ("s", 19), ("t", 8)]
+    assert sorted((r.stream, r.late_frame) for r in found if r.late_frame is not None) == [("s", 3), ("s", 26)]
+    assert spark.read.format("statestore").load(str(tmp_path / "progress")).count() == 2
+
+
+def test_halts_in_any_batches_are_those_of_the_whole(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(s, f, rng.choice([0, 0, 0, 0, 9])) for s in ("a", "b") for f in range(120) if rng.random() < 0.97]
+    rows.sort(key=lambda r: r[1])
+    schema = "stream string, frame bigint, dark bigint"
+    out = str(tmp_path / "out")
+    feed(spark, str(tmp_path / "in"), schema, [rows[:31], rows[31:40], rows[40:41], rows[41:]], lambda s: run_available(to_files(gaze.halts(s), out), str(tmp_path / "progress")))
+    whole = blinks.blink_halts(spark.createDataFrame(rows, schema), ["stream"], "frame", "dark")
+    assert sorted((r.stream, r.halt_frame) for r in spark.read.parquet(out).collect()) == sorted((r.stream, r.halt_frame) for r in whole.collect())
+
+
+def test_closed_windows_and_late_updates(spark, tmp_path):
+    routes = spark.createDataFrame([(1,)], "route_no int")
+    day = 24 * 60
+    batches = [
+        [(1, 1, at(0), "", ""), (2, 1, at(10), "1", "1")],
+        [(3, 1, at(day + 30), "1", "1"), (4, 7, at(day + 31), "1", "1")],  # the first day is an hour past its end only below
+        [(5, 1, at(3), "1", "1"), (6, 1, at(day + 90), "1", "1")],
+        [(7, 1, at(5), "1", "1")],  # late
+        [(8, 1, at(2 * day + 70), "", "")],
+    ]
+    out, table = str(tmp_path / "out"), BatchTable(spark, str(tmp_path / "all"))
+    feed(spark, str(tmp_path / "in"), GPS, batches, lambda s: run_available(to_files(positions.closed_rates(s, routes, "1 hour"), out), str(tmp_path / "progress")))
+    run_available(positions.count_rejects(file_stream(spark, str(tmp_path / "in"), GPS), routes, table), str(tmp_path / "counting"))
+    closed = spark.read.parquet(out)
+    got = sorted((r.window_start.day, r.reason, r.updates) for r in closed.collect())
+    assert got == [(1, "empty", 1), (1, "ok", 2), (2, "ok", 2), (2, "unknown_route", 1)]
+    assert [(r.window_start.day, r.reason, r.updates) for r in positions.late_rates(table, closed).collect()] == [(1, "ok", 1)]
+
+
+def test_first_uploads_by_state(spark, tmp_path):
+    schema = """upload_id bigint, filename string, file_size bigint, file_hash string, user_id string, owner_name string,
+                owner_email string, dataset string, upload_time_utc timestamp"""
+    row = lambda i, h, minute: (i, f"f{i}.csv", 1, h, "u", "Ann Lee", "a@x", None, at(minute))
+    batches = [[row(1, "h1", 0), row(2, "h1", 1)], [row(3, "h1", 2), row(4, "h2", 50)], [row(5, "h4", 500)], [row(6, "h3", 1), row(7, "h2", 510)]]
+    out = str(tmp_path / "out")
+    feed(spark, str(tmp_path / "in"), schema, batches, lambda s: run_available(to_files(ingest.first_uploads(s, "60 minutes"), out), str(tmp_path / "progress")))
+    catalogue = spark.read.parquet(out)
+    assert sorted(r.file_hash for r in catalogue.collect()) == ["h1", "h2", "h2", "h4"]  # the second h2 came 460 minutes after the first
+    every = spark.createDataFrame(sum(batches, []), schema)
+    assert [r.file_hash for r in ingest.missed_uploads(every, catalogue).collect()] == ["h3"]
 
 
 def test_bundle_files_arrive(spark, tmp_path):
