@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import merge
+from ledgerloom.operators import loads
 from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import telemetry as positions_batch
 from ledgerloom.session import shared_dir
@@ -82,70 +80,88 @@ def truncate_and_load(frames):
     return frames.spark.read.parquet(path)
 
 
-def _increments(frames) -> list[dict]:
+def _increments(frames):
     """Two incremental loads of patient bundles from real files: those of even patients, then of all others.
 
-    Each load reads its watermark from the control rows, takes the newer files only, merges their
-    patients into the set by key, and advances the watermark to the newest file it read. Stores
-    are replaced as a whole, by a new folder.
+    Returns the table and the rows that each load read.
     """
     spark, folder = frames.spark, _folder(frames, "increments")
-    landing, loads = f"{folder}/landing", []
-    target = bundles.parse_patients(bundles.bundle_entries(frames.patient_bundles.limit(0)))
-    control = spark.createDataFrame([], merge.WATERMARKS)
-    for number, odd in enumerate((0, 1), 1):
+    landing, read = f"{folder}/landing", []
+    schema = bundles.parse_patients(bundles.bundle_entries(frames.patient_bundles.limit(0))).schema
+    table = loads.LoadedTable(spark, f"{folder}/patient", "fhir_patient_id", schema, 16)
+    for odd in (0, 1):
         arriving = frames.patient_bundles.where(F.substring_index("file", "/", -1).cast("bigint") % 2 == odd)
         arriving.select("value").write.mode("append").text(landing)
-        since = control.select(merge.watermark_read(control, "patient").alias("at")).head()
-        newer = bundles.read_bundles(spark, landing, since.at if since else None, one_per_file=False, glob="part-*")
-        flat = bundles.parse_patients(bundles.bundle_entries(newer))
-        updates = [c for c in flat.columns if c != "fhir_patient_id"]
-        sinks.truncate_and_load(merge.merge_upsert(target, flat, "fhir_patient_id", updates), f"{folder}/patient-{number}")
-        newest = newer.agg(F.max("modified").alias("at")).first().at
-        sinks.truncate_and_load(merge.watermark_advance(control, "patient", newest), f"{folder}/control-{number}")
-        target, control = spark.read.parquet(f"{folder}/patient-{number}"), spark.read.parquet(f"{folder}/control-{number}")
-        loads.append({"number": number, "read": flat, "target": target, "control": control, "newest": newest})
-        time.sleep(0.01)  # the next files have a later modification time
-    return loads
+        read.append(loads.load_newer_files(
+            table, landing, lambda since: bundles.read_bundles(spark, landing, since, one_per_file=False, glob="part-*"),
+            lambda files: bundles.parse_patients(bundles.bundle_entries(files)), "part-*",
+        ))
+    return table, read
 
 
 @query("incremental_file_filter", "SELECT 2 AS load_number, * FROM fhir_patient WHERE CAST(fhir_patient_id AS BIGINT) % 2 = 1")
 def incremental_file_filter(frames):
     """What the second load read: the patients of the files after the watermark, and no others."""
-    second = _increments(frames)[1]
-    return second["read"].select(F.lit(second["number"]).alias("load_number"), "*")
+    _, read = _increments(frames)
+    return read[1].select(F.lit(2).alias("load_number"), "*")
 
 
 @query("incremental_load", "SELECT * FROM fhir_patient")
 def incremental_load(frames):
     """The merged set after both loads."""
-    return _increments(frames)[1]["target"]
+    table, _ = _increments(frames)
+    return table.read()
+
+
+FIRST_DAY, NEXT_DAY = "1995-06-17", "1997-03-01"
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
+
+
+def _orders_until(frames, day=None):
+    orders = frames.table("orders").select(*ORDER_COLUMNS)
+    return orders if day is None else orders.where(F.col("o_orderdate") <= F.lit(day).cast("date"))
+
 
+def _order_loads(frames, *days):
+    """Orders as they were known up to each day, loaded one after the other."""
+    table = loads.LoadedTable(frames.spark, _folder(frames, "orders"), "o_orderkey", _orders_until(frames).schema, 16)
+    for day in days:
+        loads.load_newer_rows(table, _orders_until(frames, day), "o_orderdate")
+        yield table
 
-@query("watermark_read", "SELECT 'patient' AS table_name, true AS at_newest_file")
+
+@query("watermark_read", f"SELECT 'orders' AS table_name, CAST(max(o_orderdate) AS TIMESTAMP) AS watermark FROM orders WHERE o_orderdate <= DATE '{NEXT_DAY}'")
 def watermark_read(frames):
-    """The watermark as the control rows hold it, compared with the newest file of the last load."""
-    last = _increments(frames)[-1]
-    at = F.col("watermark") == F.lit(last["newest"])
-    return last["control"].select("table_name", at.alias("at_newest_file"))
+    """The watermark that travels with the rows, after two loads."""
+    *_, table = _order_loads(frames, FIRST_DAY, NEXT_DAY)
+    found = frames.spark.createDataFrame([("orders", table.watermark())], "table_name string, watermark timestamp")
+    return plain_time(found, "watermark")
 
 
 @query(
     "watermark_advance",
-    """SELECT 'patient' AS table_name, 1 AS load_number, false AS had_earlier, true AS moved
-       UNION ALL SELECT 'patient', 2, true, true""",
+    " UNION ALL ".join(
+        f"SELECT {number} AS load_number, CAST(max(o_orderdate) AS TIMESTAMP) AS watermark, count(*) AS table_rows FROM orders WHERE {condition}"
+        for number, condition in ((1, f"o_orderdate <= DATE '{FIRST_DAY}'"), (2, f"o_orderdate <= DATE '{NEXT_DAY}'"), (3, "true"))
+    ),
 )
 def watermark_advance(frames):
-    """Per load: whether there was a watermark before, and whether it moved forward."""
-    before, rows = frames.spark.createDataFrame([], merge.WATERMARKS), []
-    for load in _increments(frames):
-        earlier = before.select("table_name", F.col("watermark").alias("earlier"))
-        rows.append(load["control"].join(earlier, "table_name", "left").select(
-            "table_name", F.lit(load["number"]).alias("load_number"), F.col("earlier").isNotNull().alias("had_earlier"),
-            (F.col("earlier").isNull() | (F.col("watermark") > F.col("earlier"))).alias("moved"),
-        ))
-        before = load["control"]
-    return rows[0].unionByName(rows[1])
+    """Watermark and rows of the table after each of three loads."""
+    seen = [(number, table.watermark(), table.read().count()) for number, table in enumerate(_order_loads(frames, FIRST_DAY, NEXT_DAY, None), 1)]
+    return plain_time(frames.spark.createDataFrame(seen, "load_number int, watermark timestamp, table_rows bigint"), "watermark")
+
+
+@query(
+    "pruned_upsert",
+    f"""SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderdate > DATE '{FIRST_DAY}' AND o_orderkey % 64 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE o_orderdate <= DATE '{FIRST_DAY}' OR o_orderkey % 64 = 1""",
+)
+def pruned_upsert(frames):
+    """Some later orders, with another price, put into those of the first days."""
+    *_, table = _order_loads(frames, FIRST_DAY)
+    later = _orders_until(frames).where((F.col("o_orderdate") > F.lit(FIRST_DAY).cast("date")) & (F.col("o_orderkey") % 64 == 1))
+    table.upsert(later.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_custkey", "o_orderdate", "o_totalprice"])
+    return table.read()
 
 
 # --- streams ----------------------------------------------------------------------
