@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, files as names, privacy as redaction
-from ledgerloom.operators import integrity, matrices, profile, rows, vector_index, vectors
+from ledgerloom.operators import integrity, matrices, profile, rows, sketches, vector_index, vectors
 from ledgerloom.operators.running import is_increasing
 from ledgerloom.plans import catalogue, privacy
 from ledgerloom.session import settled, shared_dir
@@ -383,6 +383,29 @@ def column_profile_base(frames):
     return profile.base_stats(_event_rows(frames)).join(samples, "column_name", "left")
 
 
+WITHIN = {"unique_values": 0.1, "median": 0.03, "percentile_25": 0.03, "percentile_75": 0.03}
+
+
+@query(
+    "column_profile_sketches",
+    """SELECT column_name, count(*) AS total_values, count(*) - count(value) AS null_count, true AS sketches_are_close
+       FROM event_texts GROUP BY 1""",
+)
+def column_profile_sketches(frames):
+    """Sketches per event type, merged; their figures are held against the exact ones, ranks within 3 % of the spread."""
+    events = frames.table("events").withColumn("kind", F.col("event_type"))
+    kept = settled(sketches.batch_profiles(events, EVENT_COLUMNS, F.col("kind")))
+    found = sketches.sketched_statistics(sketches.merged_profiles(kept))
+    exact = profile.base_stats(_event_rows(frames)).select("column_name", F.col("unique_values").alias("exact_unique"))
+    numbers = profile.numeric_stats(_event_rows(frames)).select("column_name", *[F.col(c).alias(f"exact_{c}") for c in ("min", "max", "median", "percentile_25", "percentile_75")])
+    both = found.join(exact, "column_name").join(numbers, "column_name", "left")
+    close = F.abs(F.col("unique_values") - F.col("exact_unique")) <= WITHIN["unique_values"] * F.col("exact_unique") + 1
+    spread = F.col("exact_max") - F.col("exact_min")
+    for name in ("median", "percentile_25", "percentile_75"):
+        close &= F.coalesce(F.abs(F.col(name) - F.col(f"exact_{name}")) <= WITHIN[name] * spread, F.col(f"exact_{name}").isNull() & F.col(name).isNull())
+    return both.select("column_name", "total_values", "null_count", close.alias("sketches_are_close"))
+
+
 @query(
     "column_profile_topk",
     """SELECT * FROM (SELECT column_name, value, count(*) AS value_count FROM document_texts WHERE value IS NOT NULL GROUP BY 1, 2)

@@ -1,8 +1,9 @@
 """Column profiles of a table, all columns in a fixed number of passes.
 
-Columns are unpivoted to ``(column_name, value)`` rows. Counts, moments and lengths are
-partial aggregates with one group per column; distinct values and top values come from
-one frequency table that is combined before its shuffle.
+Columns are unpivoted to ``(column_name, value)`` rows, or aggregated side by side where that
+serves. Counts, moments and lengths are partial aggregates with one group per column; distinct
+values and top values come from one frequency table that is combined before its shuffle.
+``sketches.py`` has the mergeable, approximate form.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import finite
+from ..session import settled
 from .order_stats import exact_percentiles
 from .rows import top_per_group
 from .running import is_increasing
@@ -37,10 +39,15 @@ SAMPLE_VALUES = 5
 TOP_VALUES = 10
 
 
-def to_rows(df: DataFrame, position: str, columns: Sequence[str]) -> DataFrame:
-    """``(_pos, column_name, value)`` with every value as text; words for a missing value are null."""
+def cell_texts(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Every value as text; words for a missing value are null."""
     text = lambda name: F.col(name).cast("string")
-    texts = df.select(F.col(position).alias("_pos"), *[F.when(~text(c).isin(*MISSING_WORDS), text(c)).alias(c) for c in columns])
+    return {c: F.when(~text(c).isin(*MISSING_WORDS), text(c)) for c in columns}
+
+
+def to_rows(df: DataFrame, position: str, columns: Sequence[str]) -> DataFrame:
+    """``(_pos, column_name, value)`` with every value as text."""
+    texts = df.select(F.col(position).alias("_pos"), *[t.alias(c) for c, t in cell_texts(df, columns).items()])
     return texts.unpivot(["_pos"], list(columns), NAME, VALUE)
 
 
@@ -84,13 +91,18 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def base_stats(rows: DataFrame, approximate: bool = False) -> DataFrame:
-    totals = rows.groupBy(NAME).agg(
-        F.count(F.lit(1)).alias("total_values"),
-        F.count_if(F.col(VALUE).isNull()).alias("null_count"),
-        F.count(VALUE).alias("non_null_count"),
-    )
-    return totals.join(distinct_counts(rows, approximate), NAME, "left").withColumn(
-        "unique_values", F.coalesce("unique_values", F.lit(0).cast("bigint"))
+    """Values, nulls and different values per column, in one scan; only digests are shuffled, or sketches."""
+    value = F.col(VALUE)
+    if approximate:
+        return rows.groupBy(NAME).agg(
+            F.count(F.lit(1)).alias("total_values"), F.count_if(value.isNull()).alias("null_count"), F.count(value).alias("non_null_count"),
+            F.approx_count_distinct(value).alias("unique_values"),
+        )
+    seen = rows.groupBy(NAME, F.sha2(value, 256).alias("_digest")).agg(F.count(F.lit(1)).alias("_n"))
+    missing = F.col("_digest").isNull()
+    return seen.groupBy(NAME).agg(
+        F.sum("_n").alias("total_values"), F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("null_count"),
+        F.coalesce(F.sum(F.when(~missing, F.col("_n"))), F.lit(0)).alias("non_null_count"), F.count_if(~missing).alias("unique_values"),
     )
 
 
@@ -102,30 +114,24 @@ def sample_values(rows: DataFrame, n: int = SAMPLE_VALUES) -> DataFrame:
 
 
 def numeric_stats(rows: DataFrame, approximate: bool = False) -> DataFrame:
-    """Columns whose values are all numbers: spread, moments, quartiles."""
-    number = as_number(F.col(VALUE))
+    """Columns whose values are all numbers: spread, moments, quartiles. ``rows`` are scanned once; their numbers are written."""
     points = {"percentile_25": 0.25, "median": 0.5, "percentile_75": 0.75}
+    parsed = settled(rows.where(F.col(VALUE).isNotNull()).select(NAME, as_number(F.col(VALUE)).alias("_number")))
+    number = F.col("_number")
     moments = (
-        rows.groupBy(NAME)
+        parsed.groupBy(NAME)
         .agg(
-            F.count(VALUE).alias("_values"),
-            F.count(number).alias("_numbers"),
-            F.min(number).alias("min"),
-            F.max(number).alias("max"),
-            F.avg(number).alias("mean"),
-            F.stddev_samp(number).alias("std"),
+            F.count(F.lit(1)).alias("_values"), F.count(number).alias("_numbers"),
+            F.min(number).alias("min"), F.max(number).alias("max"), F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"),
+            *([F.percentile_approx(number, p).alias(name) for name, p in points.items()] if approximate else []),
         )
-        .where((F.col("_values") == F.col("_numbers")) & (F.col("_values") > 0))
+        .where(F.col("_values") == F.col("_numbers"))
         .drop("_values", "_numbers")
     )
-    numbers = rows.join(moments.select(NAME), NAME, "left_semi")
-    if approximate:
-        quartiles = numbers.groupBy(NAME).agg(
-            *[F.percentile_approx(number, p).alias(name) for name, p in points.items()]
-        )
-    else:
-        quartiles = exact_percentiles(numbers, number, points, [NAME])
-    return moments.join(quartiles, NAME).select(
+    if not approximate:
+        numbers = parsed.join(moments.select(NAME), NAME, "left_semi")
+        moments = moments.join(exact_percentiles(numbers, number, points, [NAME]), NAME)
+    return moments.select(
         NAME, *[rounded(F.col(c)).alias(c) for c in ("min", "max", "mean", "median", "std", "percentile_25", "percentile_75")]
     )
 
@@ -173,23 +179,35 @@ def names_a_time(name: Column) -> Column:
     return F.arrays_overlap(F.split(F.lower(name), "[^a-z0-9]+"), F.array(*map(F.lit, TIME_WORDS)))
 
 
+def _facts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What the types of all columns rest on but for their different values; one wide aggregate, unpivoted afterwards."""
+
+    def facts(name: str) -> Column:
+        text, number = F.col(f"`{name}`"), as_number(F.col(f"`{name}`"))
+        return F.struct(
+            F.lit(name).alias(NAME), F.count(F.lit(1)).alias("total_values"), F.count(text).alias("non_null_count"), F.count(number).alias("_numbers"),
+            F.min(number).alias("_lowest"), F.count_if(~text.isin(*BOOLEAN_WORDS)).alias("_no_boolean"), F.count(text.try_cast("timestamp")).alias("_dates"),
+        ).alias(f"_{name}")
+
+    wide = df.select(*[t.alias(c) for c, t in cell_texts(df, columns).items()]).agg(*[facts(c) for c in columns])
+    return wide.select(F.inline(F.array(*[F.col(f"`_{c}`") for c in columns])))
+
+
 def classify_columns(df: DataFrame, position: str, columns: Sequence[str]) -> DataFrame:
-    """``column_name, detected_type``: empty, boolean, numeric, timestamp, categorical or text."""
-    rows = to_rows(df, position, columns)
-    number = as_number(F.col(VALUE))
-    facts = rows.groupBy(NAME).agg(
-        F.count(F.lit(1)).alias("total_values"),
-        F.count(VALUE).alias("non_null_count"),
-        F.count(number).alias("_numbers"),
-        F.min(number).alias("_lowest"),
-        F.count_if(~F.col(VALUE).isin(*BOOLEAN_WORDS)).alias("_no_boolean"),
-        F.count(F.col(VALUE).try_cast("timestamp")).alias("_dates"),
-    )
+    """``column_name, detected_type``: empty, boolean, numeric, timestamp, categorical or text.
+
+    One scan for the facts, one for the different values, and one of the columns that may be rising times.
+    """
+    facts = settled(_facts(df, columns))
     all_numbers = F.col("_numbers") == F.col("non_null_count")
     no_gaps = F.col("non_null_count") == F.col("total_values")
-    candidates = facts.where(all_numbers & no_gaps & (F.col("_lowest") > EPOCH_FLOOR)).select(NAME)
-    numbers = rows.join(candidates, NAME, "left_semi").select("_pos", NAME, number.alias("_number"))
-    rising = is_increasing(numbers, [NAME], "_pos", "_number").select(NAME, "increasing")
+    candidates = [r[0] for r in facts.where(all_numbers & no_gaps & (F.col("_lowest") > EPOCH_FLOOR)).select(NAME).collect()]
+    rows = to_rows(df, position, columns)
+    if candidates:
+        numbers = to_rows(df, position, candidates).select("_pos", NAME, as_number(F.col(VALUE)).alias("_number"))
+        rising = is_increasing(numbers, [NAME], "_pos", "_number").select(NAME, "increasing")
+    else:
+        rising = facts.select(NAME, F.lit(False).alias("increasing"))
 
     every = facts.join(distinct_counts(rows), NAME, "left").join(rising, NAME, "left")
     unique = F.coalesce("unique_values", F.lit(0))

@@ -44,6 +44,19 @@ def test_percentiles_with_a_coarse_sketch_and_keys(spark):
         assert got[key].h == pytest.approx(np.quantile(values, 0.9))
 
 
+@pytest.mark.parametrize("ranked,accuracy", [(5, 30), (20, 1000), (100_000, 20_000)])
+def test_brackets_are_narrowed(spark, ranked, accuracy):
+    """However few values may be ranked; heavy values, ties and both ends."""
+    rng = np.random.default_rng(8)
+    sets = {"n": rng.normal(size=5000), "t": rng.integers(0, 6, 4000).astype(float), "h": np.concatenate((np.full(3000, 7.0), rng.normal(size=900))), "o": np.array([4.5])}
+    rows_ = [(k, float(v)) for k, vs in sets.items() for v in vs]
+    df = spark.createDataFrame(rows_, "k string, v double").repartition(6)
+    points = {"lo": 0.0, "q": 0.25, "m": 0.5, "h": 0.901, "hi": 1.0}
+    for r in exact_percentiles(df, F.col("v"), points, ["k"], accuracy=accuracy, ranked=ranked).collect():
+        for name, p in points.items():
+            assert r[name] == pytest.approx(float(np.quantile(sets[r.k], p)), rel=1e-12), (r.k, name)
+
+
 def test_percentile_of_three(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (10.0,)], "v double")
     assert exact_percentiles(df, F.col("v"), {"p": 0.9}).first().p == pytest.approx(8.4)
