@@ -18,27 +18,38 @@ class ForeignKey:
     parent_column: str
 
 
+def _tagged(table: DataFrame, fields: Sequence[tuple[Column, ...]], names: Sequence[str]) -> DataFrame:
+    """One row per row of the table and entry of ``fields``, without those whose value is null."""
+    each = F.array(*[F.struct(*[c.alias(n) for c, n in zip(field, names)]) for field in fields])
+    return table.select(F.inline(each)).where(F.col("_value").isNotNull())
+
+
 def fk_violations(frames: Mapping[str, DataFrame], keys: Iterable[ForeignKey]) -> DataFrame:
     """Per foreign key: rows, and distinct values, that have no parent.
 
-    Child rows are counted per value first, so a frequent value is one row in the join.
+    Each table is read once as a child and once as a parent, whatever its number of keys: their values
+    are tagged with the key and with the parent column they refer to, and meet in one join. Child rows are
+    counted per value first, so a frequent value is one row in it.
     """
-
-    def check(fk: ForeignKey) -> DataFrame:
-        child = (
-            frames[fk.child]
-            .where(F.col(fk.column).isNotNull())
-            .groupBy(F.col(fk.column).alias("_value"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        parent = frames[fk.parent].select(F.col(fk.parent_column).alias("_value"))
-        return child.join(parent, "_value", "left_anti").agg(
-            F.lit(fk.name).alias("foreign_key"),
-            F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            F.count(F.lit(1)).alias("orphan_values"),
-        )
-
-    return reduce(DataFrame.unionByName, [check(fk) for fk in keys])
+    keys = list(keys)
+    children, parents = {}, {}
+    for fk in keys:
+        target, tag = frames[fk.parent].schema[fk.parent_column].dataType, F.lit(f"{fk.parent}.{fk.parent_column}")
+        value = F.col(f"`{fk.column}`")
+        if frames[fk.child].schema[fk.column].dataType != target:  # a value that its parent's type cannot hold has no parent
+            value = F.coalesce(value.try_cast(target).cast("string"), F.concat(F.lit("not a key: "), value.cast("string")))
+        children.setdefault(fk.child, []).append((F.lit(fk.name), tag, value.cast("string")))
+        parents.setdefault(fk.parent, {})[fk.parent_column] = (tag, F.col(f"`{fk.parent_column}`").cast("string"))
+    referring = [_tagged(frames[t], fields, ("foreign_key", "_tag", "_value")) for t, fields in children.items()]
+    known = [_tagged(frames[t], list(fields.values()), ("_tag", "_value")) for t, fields in parents.items()]
+    counted = reduce(DataFrame.unionByName, referring).groupBy("foreign_key", "_tag", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    orphans = counted.join(reduce(DataFrame.unionByName, known), ["_tag", "_value"], "left_anti")
+    found = orphans.groupBy("foreign_key").agg(F.sum("_rows").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_values"))
+    every = frames[keys[0].child].sparkSession.createDataFrame([(fk.name,) for fk in keys], "foreign_key string")
+    zero = F.lit(0).cast("bigint")
+    return every.join(found, "foreign_key", "left").select(
+        "foreign_key", F.coalesce("orphan_rows", zero).alias("orphan_rows"), F.coalesce("orphan_values", zero).alias("orphan_values")
+    )
 
 
 def table_row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:

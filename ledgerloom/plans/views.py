@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.dates import readmit_window_label
 from ..functions.numbers import MONEY, money, ratio_pct, round_half_up, safe_ratio
 from ..operators.order_stats import exact_percentiles
+from ..operators.skew import heavy_key_joins
 from ..operators.ranges import later_within_days, pairs_within_days
 from ..session import settled
 
@@ -181,18 +182,13 @@ def next_readmission(visit: DataFrame) -> DataFrame:
 
 
 def claims_with_conditions(condition: DataFrame, person: DataFrame, concept: DataFrame) -> DataFrame:
-    return (
-        condition.join(person, "person_id")
-        .join(concept, condition["condition_concept_id"] == concept["concept_id"])
-        .select(
-            "condition_occurrence_id",
-            "person_id",
-            "condition_start_date",
-            F.col("concept_name").alias("condition_name"),
-            F.col("gender_source_value").alias("gender"),
-            "year_of_birth",
-            F.col("race_source_value").alias("race"),
-        )
+    """Every condition with its person and concept; frequent persons and concepts are joined in slices."""
+    people = person.select("person_id", "gender_source_value", "year_of_birth", "race_source_value")
+    concepts = concept.select(F.col("concept_id").alias("condition_concept_id"), "concept_name")
+    rows = condition.select("condition_occurrence_id", "person_id", "condition_start_date", "condition_concept_id")
+    return heavy_key_joins(rows, [(people, ["person_id"]), (concepts, ["condition_concept_id"])]).select(
+        "condition_occurrence_id", "person_id", "condition_start_date", F.col("concept_name").alias("condition_name"),
+        F.col("gender_source_value").alias("gender"), "year_of_birth", F.col("race_source_value").alias("race"),
     )
 
 
