@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.files import detect_modality, file_extension, point_dtype
+from ..session import settled
+from .fileranges import RANGE_BYTES, read_digests, read_headers, read_records
 
 # Header keywords with one value and with one value per field.
 PCD_SCALARS = ("version", "width", "height", "points", "data")
@@ -17,46 +19,30 @@ SEPARATORS = (",", ";", "\t", "|")
 QUOTED = r'"(?:[^"]|"")*"'
 
 
-def read_manifest(spark: SparkSession, path: str, glob: str = "*", modified_after: str | None = None) -> DataFrame:
-    """One row per file with size, time, SHA-256, extension and modality; contents are dropped at once."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return manifest(reader.load(path))
+def read_manifest(spark: SparkSession, path: str, glob: str = "*", modified_after: datetime | None = None) -> DataFrame:
+    """One row per file with size, time, SHA-256, extension and modality; files are hashed in chunks, whatever their size."""
+    files = read_digests(spark, path, glob)
+    return manifest(files if modified_after is None else files.where(F.col("modificationTime") > F.lit(modified_after)))
 
 
 def manifest(files: DataFrame) -> DataFrame:
-    """Manifest rows from ``path, length, modificationTime, content``."""
+    """Manifest rows from ``path, length, modificationTime`` and ``file_hash`` or ``content``."""
+    hashed = F.col("file_hash") if "file_hash" in files.columns else F.sha2("content", 256)
     name = F.substring_index("path", "/", -1)
     return files.select(
         "path",
         name.alias("filename"),
         F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified"),
-        F.sha2("content", 256).alias("file_hash"),
+        hashed.alias("file_hash"),
         file_extension(name).alias("file_extension"),
         detect_modality(name).alias("modality"),
     )
 
 
 def read_point_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, header)`` of every point-cloud file: its keyword lines up to the DATA line.
-
-    Files are read as lines, in splits, however long header and points are. A line's place
-    is its split's start and its number there; per file the first DATA line ends the header.
-    """
-    lines = spark.read.option("pathGlobFilter", "*.pcd").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), "value",
-    )
-    keyword = F.upper(F.regexp_extract("value", r"^\s*([A-Za-z]+)\b", 1))
-    named = lines.withColumn("keyword", keyword).where(F.col("keyword").isin(*(name.upper() for name in PCD_SCALARS + PCD_ARRAYS)))
-    # DATA lines below the first are points or garbage; with them a file keeps one row per keyword line at most.
-    place = F.struct("block", "line")
-    ends = named.where(F.col("keyword") == "DATA").groupBy("file").agg(F.min(place).alias("end"))
-    head = named.join(ends, "file", "left").where(F.col("end").isNull() | (place <= F.col("end")))
-    ordered = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    return head.groupBy("file").agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("header"))
+    """``(file, header)`` of every point-cloud file: its keyword lines up to the DATA line. Points behind it are not read."""
+    return read_headers(spark, path, PCD_SCALARS + PCD_ARRAYS, "data", "*.pcd")
 
 
 # The text up to and including the DATA line, whatever its case.
@@ -125,18 +111,34 @@ def detect_dialects(files: DataFrame, text: str) -> DataFrame:
     return files.withColumns({"separator": separator.otherwise(";"), "column_count": columns.otherwise(1)})
 
 
-def read_delimited(spark: SparkSession, paths: str | list[str], separator: str, schema: str) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", separator)
-    return reader.schema(schema).csv(paths)
+def file_dialects(records: DataFrame) -> DataFrame:
+    """``file``, ``separator``, ``column_count`` of delimited files given as records, by the rule of ``detect_dialects``.
+
+    Records are reduced to their number of columns under each separator before anything is shuffled.
+    """
+    unquoted = F.regexp_replace("record", QUOTED, "")
+    widths = {f"w{i}": F.size(F.split(unquoted, f"[{s}]")) for i, s in enumerate(SEPARATORS)}
+    first = [F.min_by(w, "start").alias(f"header_{w}") for w in widths]
+    counted = records.select("file", "start", *[w.alias(name) for name, w in widths.items()]).groupBy("file").agg(*first, *[F.max(w).alias(w) for w in widths])
+    separator, columns = F, F
+    for i, candidate in enumerate(SEPARATORS):
+        header = F.col(f"header_w{i}")
+        fits = (header > 1) & (F.col(f"w{i}") <= header)
+        separator, columns = separator.when(fits, candidate), columns.when(fits, header)
+    return counted.select("file", separator.otherwise(";").alias("separator"), columns.otherwise(1).alias("column_count"))
 
 
-def read_by_dialect(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_by_dialect(spark: SparkSession, path: str, schema: str, glob: str = "*", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All delimited files below ``path``, each read by its own separator, as one frame with ``file``.
 
-    Separators are found file by file; the file names of a separator, not their content, go to
-    the reader of its group.
+    Files are read in ranges. The first record of a file is its header; missing fields and values of another
+    type are null, further fields are passed over.
     """
-    texts = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    found = detect_dialects(texts, "value").groupBy("separator").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    frames = [read_delimited(spark, list(row.files), row.separator, schema).select(F.col("_metadata.file_path").alias("file"), "*") for row in found]
-    return reduce(DataFrame.unionByName, frames)
+    records = read_records(spark, path, glob, range_bytes)
+    first = records.groupBy("file").agg(F.min("start").alias("first"))
+    dialects = settled(file_dialects(records).join(first, "file"))
+    placed = records.join(dialects, "file").where(F.col("start") > F.col("first"))
+    parsed = F
+    for candidate in SEPARATORS:
+        parsed = parsed.when(F.col("separator") == candidate, F.from_csv("record", schema, {"sep": candidate, "escape": '"', "multiLine": "true"}))
+    return placed.select("file", parsed.alias("r")).select("file", "r.*")
