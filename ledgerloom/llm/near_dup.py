@@ -14,11 +14,14 @@ Links are verified on the elements themselves:
    most of a large group of near copies with one pair a node;
 2. inside buckets that still hold several classes, one node of each class with one of the
    largest class, as long as that finds links;
-3. then all nodes outside the largest class with all nodes of other classes, in blocks: both
-   sides of a bucket are dealt into blocks of about ``BLOCK_BYTES`` of elements, and each block
+3. then, in buckets of up to ``FEW_NODES``, the nodes of different classes by a byte of each
+   coordinate; only pairs that agree on ``CLOSE`` of them (a pair of similarity 0.8 is six deviations
+   above that) have their elements compared;
+4. in larger buckets, all nodes outside the largest class with all nodes of other classes, in blocks:
+   both sides of a bucket are dealt into blocks of about ``BLOCK_BYTES`` of elements, and each block
    of the one meets each block of the other as one row, of which only links come out.
 
-No pair row inside a bucket is formed in the last step, no bucket is cut, and no group meets in
+No pair row inside a large bucket is formed, no bucket is cut, and no group meets in
 one task: buckets are aggregated before they are joined, the joins have no other work in their
 stage, so Spark can split them. Classes are the connected components of the verified links, found
 by contraction. Steps used again are written to the shared folder ``spark.checkpoint.dir``.
@@ -39,6 +42,8 @@ from .text import mix64, pieces, word_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 36, 8
+FEW_NODES, CLOSE = 32, 0.65
+"""A bucket of so many nodes is small; the share of coordinates on which a pair must agree there to be compared by its elements."""
 BLOCK_BYTES = 1_000_000
 """Elements of a bucket's nodes that are compared at a time with as many others."""
 SENT_PAIRS = 1_000_000
@@ -164,7 +169,7 @@ def _sketch(batches):
 
 
 def _node_elements(wanted: np.ndarray):
-    """Rows in, node and elements of the rows whose node may be wanted out."""
+    """Rows in, node, elements and short signature (a byte of each coordinate) of the rows whose node may be wanted out."""
 
     def emit(batches):
         for batch in batches:
@@ -175,9 +180,14 @@ def _node_elements(wanted: np.ndarray):
                 hit = (wanted[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
                 keep = np.flatnonzero((hit > 0) & (np.diff(offsets) > 0))
                 keep = keep[np.unique(nodes[keep], return_index=True)[1]]
+                sets = [elements[offsets[i] : offsets[i + 1]] for i in keep]
+                short = np.zeros((0, BANDS * BAND_ROWS), np.uint8)
+                if sets:
+                    signatures = dart_minhash(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+                    short = (mix64(signatures) & np.uint64(0xFF)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[keep], pa.int64()), pa.array([np.sort(elements[offsets[i] : offsets[i + 1]]).tobytes() for i in keep], pa.binary())],
-                    ["node", "elements"],
+                    [pa.array(nodes[keep], pa.int64()), pa.array([np.sort(x).tobytes() for x in sets], pa.binary()), pa.array([x.tobytes() for x in short], pa.binary())],
+                    ["node", "elements", "short"],
                 )
 
     return emit
@@ -287,6 +297,30 @@ def links_between(own: list[dict], others: list[dict], threshold: float) -> list
     return [(max(a, b), min(a, b)) for (a, _), b in found.items()]
 
 
+def close_pairs(nodes: list[int], labels: list[int], shorts: list[bytes], least: float = CLOSE) -> list[tuple[int, int]]:
+    """Pairs ``a > b`` of nodes of different labels whose short signatures agree on that share of places."""
+    table = np.array([np.frombuffer(x, np.uint8) for x in shorts])
+    names, classes, found = np.array(nodes, np.int64), np.array(labels, np.int64), []
+    for i in range(len(names) - 1):
+        same = (table[i + 1 :] == table[i]).mean(axis=1) >= least
+        for j in (i + 1 + np.flatnonzero(same & (classes[i + 1 :] != classes[i]))).tolist():
+            found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+    return found
+
+
+def _close_in_small(opened: DataFrame, elements: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes of different classes of a small bucket that may be similar."""
+    rows = opened.join(elements.select("node", "short"), "node")
+    held = rows.groupBy("bucket").agg(F.collect_list("node").alias("nodes"), F.collect_list("label").alias("labels"), F.collect_list("short").alias("shorts"))
+
+    def compare(batches):
+        for batch in batches:
+            found = [p for row in zip(*(batch.column(c).to_pylist() for c in ("nodes", "labels", "shorts"))) for p in close_pairs(*row)]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    return held.select("nodes", "labels", "shorts").mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def _compared_in_blocks(opened: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
     """Links ``a``, ``b`` between the nodes of different classes that share a bucket."""
     size = elements.select("node", F.octet_length("elements").alias("bytes"))
@@ -328,8 +362,8 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
     shared = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "leader")
     members = settled(banded.join(shared, "bucket"))
     wanted = docs.sparkSession.sparkContext.broadcast(_wanted_bitmap(members.select("node").distinct()))
-    emitted = docs.select("text").mapInArrow(lambda batches: _node_elements(wanted.value)(batches), "node bigint, elements binary")
-    elements = settled(emitted.groupBy("node").agg(F.first("elements").alias("elements")))
+    emitted = docs.select("text").mapInArrow(lambda batches: _node_elements(wanted.value)(batches), "node bigint, elements binary, short binary")
+    elements = settled(emitted.groupBy("node").agg(F.first("elements").alias("elements"), F.first("short").alias("short")))
 
     tried = settled(members.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
     links = _verified(tried, elements, threshold)
@@ -345,11 +379,15 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
         tried = tried.union(pairs)
         labels = _joined(labels, found)
         opened = _open_members(opened, labels)
-    if not opened.isEmpty():
-        found = _compared_in_blocks(opened, elements, threshold)
-        if not found.isEmpty():
-            labels = _joined(labels, found)
-    return labels
+    if opened.isEmpty():
+        return labels
+    sizes = settled(opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    few, many = (settled(opened.join(sizes.where(c).select("bucket"), "bucket")) for c in (F.col("n") <= FEW_NODES, F.col("n") > FEW_NODES))
+    pairs = settled(_close_in_small(few, elements).join(tried, ["a", "b"], "left_anti"))
+    found = _verified(pairs, elements, threshold)
+    if not many.isEmpty():
+        found = settled(found.union(_compared_in_blocks(many, elements, threshold)))
+    return labels if found.isEmpty() else _joined(labels, found)
 
 
 def document_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:

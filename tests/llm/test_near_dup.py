@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import regex
 
 import __spark_entry__ as registry
@@ -183,6 +184,28 @@ def test_blocks_give_the_links_of_all_pairs():
     assert all(nd.similar(nodes[a]["elements"], nodes[b]["elements"], nd.SIMILARITY) for a, b in got)
 
 
+def test_short_signatures_pass_all_similar_pairs():
+    texts = hard_documents()[150:450:3]
+    elements, offsets = sets_of(texts)
+    shorts = [x.tobytes() for x in (nd.mix64(nd.dart_minhash(elements, offsets)) & np.uint64(0xFF)).astype(np.uint8)]
+    labels = [i // 2 for i in range(len(texts))]
+    got = set(nd.close_pairs(list(range(len(texts))), labels, shorts))
+    sets = [np.sort(elements[offsets[i]:offsets[i + 1]]).tobytes() for i in range(len(texts))]
+    wanted = {(i, j) for i in range(len(texts)) for j in range(i) if labels[i] != labels[j] and nd.similar(sets[i], sets[j], nd.SIMILARITY)}
+    assert wanted <= got and len(wanted) > 50
+    apart = {(i, j) for i in range(len(texts)) for j in range(i) if labels[i] != labels[j] and not nd.similar(sets[i], sets[j], 0.5)}
+    assert not apart & got
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_small_and_large_buckets_give_the_same_classes(spark, monkeypatch, few):
+    monkeypatch.setattr(nd, "FEW_NODES", few)
+    texts = hard_documents()[::3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in nd.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == classes_by_hand(texts)
+
+
 def test_keep_one_with_clashing_columns(spark):
     rows = [(1, "a b c d e f", 11, "g", 5, "n"), (1, "a b c d e f", 11, "g", 5, "n"), (2, "A b c d e f", 12, None, 6, "m"), (3, "", 13, "h", 7, "k")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, _text_hash bigint, _id string, _first int, row string")
