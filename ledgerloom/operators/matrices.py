@@ -3,25 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.gaze import DARK_LIMIT, gaze_decision, zone
 from ..functions.numbers import finite
 
 
 def array_variable_stats(arrays: DataFrame, name: str, values: str) -> DataFrame:
-    """Per variable: rows, shape, size, range and mean of all elements."""
-    v = F.col(values)
-    per_row = arrays.select(
+    """Per variable: rows, shape, dimensions, size, range and mean of all elements.
+
+    ``values`` is an array of any depth; its rows are the first dimension, and the others are as long as their longest array.
+    """
+    kind, depth = arrays.schema[values].dataType, 0
+    while isinstance(kind, ArrayType):
+        kind, depth = kind.elementType, depth + 1
+    flat, longest = F.col(values), []
+    for level in range(depth):
+        if level:
+            longest.append(F.array_max(F.transform(flat, F.size)))
+            flat = F.flatten(F.filter(flat, lambda x: x.isNotNull()))
+        else:
+            longest.append(F.size(flat))
+    per_row = arrays.select(name, flat.alias("_v"), *[n.cast("bigint").alias(f"_long{i}") for i, n in enumerate(longest)]).select(
         name,
-        F.size(v).cast("bigint").alias("_size"),
-        F.array_min(v).cast("double").alias("_min"),
-        F.array_max(v).cast("double").alias("_max"),
-        F.aggregate(v, F.lit(0.0), lambda total, x: total + x.cast("double")).alias("_sum"),
+        *[f"_long{i}" for i in range(depth)],
+        F.size("_v").cast("bigint").alias("_size"),
+        F.array_min("_v").cast("double").alias("_min"),
+        F.array_max("_v").cast("double").alias("_max"),
+        F.aggregate("_v", F.lit(0.0), lambda total, x: total + x.cast("double")).alias("_sum"),
     )
-    n, wide, size = F.count(F.lit(1)), F.max("_size"), F.sum("_size")
+    n, size = F.count(F.lit(1)), F.sum("_size")
     return per_row.groupBy(name).agg(
-        F.concat_ws("x", n, wide).alias("shape"),
-        F.lit(2).alias("ndim"),
+        F.concat_ws("x", n, *[F.max(f"_long{i}") for i in range(depth)]).alias("shape"),
+        F.lit(depth + 1).alias("ndim"),
         size.alias("size"),
         F.min("_min").alias("min"),
         F.max("_max").alias("max"),

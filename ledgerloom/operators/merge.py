@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+
 class DuplicateSourceKeys(ValueError):
     """Two source rows address the same target row."""
 
@@ -46,7 +48,8 @@ class BatchTable:
     """A Parquet folder with one partition per batch, ``batch=N``.
 
     A repeated batch overwrites its own partition, so it leaves no second copy. What
-    belongs to a key over all batches is worked out when the table is read.
+    belongs to a key over all batches is worked out when the table is read. ``compact`` puts
+    the batches up to a number into one folder, ``upto=N``; a repeat of such a batch is not seen.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -56,19 +59,44 @@ class BatchTable:
     def write(self, df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
+    def _found(self, pattern: str) -> dict[int, str]:
+        """Folders that match, by the number in their name."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        names = [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
+        return {int(re.search(r"=(\d+)(/_SUCCESS)?$", n)[1]): n.removesuffix("/_SUCCESS") for n in names}
+
     def read(self, before: int | None = None) -> DataFrame | None:
         """All batches with their ``batch`` column, or those before one; None while there is none."""
-        try:
-            rows = self.spark.read.parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        bases, batches = self._found("upto=*/_SUCCESS"), self._found("batch=*")
+        last = max(bases, default=-1)
+        later = [batches[n] for n in sorted(batches) if n > last and (before is None or n < before)]
+        frames = [self.spark.read.parquet(bases[last])] if bases else []
+        if later:
+            frames.append(self.spark.read.option("basePath", self.path).parquet(*later).withColumn("batch", F.col("batch").cast("int")))
+        if not frames:
             return None
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         return rows if before is None else rows.where(F.col("batch") < before)
 
     def read_batch(self, batch: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/batch={batch}")
 
+    def compact(self, upto: int, reduced: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+        """Rewrite all batches up to a number as one folder, its rows ``reduced`` (with a ``batch`` column); then remove theirs.
+
+        The new folder counts once it is complete, so a failure on the way changes nothing. Not while another job reads.
+        """
+        rows = self.read(before=upto + 1)
+        if rows is None or upto in self._found("upto=*/_SUCCESS"):
+            return
+        reduced(rows).write.mode("overwrite").parquet(f"{self.path}/upto={upto}")
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        old = [p for n, p in self._found("batch=*").items() if n <= upto] + [p for n, p in self._found("upto=*").items() if n < upto]
+        for name in old:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
 
 WATERMARKS = "table_name string, watermark timestamp"
 

@@ -74,13 +74,19 @@ def top_bankers_by_assets(
     employee: DataFrame, individual: DataFrame, customer_account: DataFrame, account: DataFrame,
     n: int = 5, distinct_accounts: bool = False,
 ) -> DataFrame:
-    managed = banker_assets_join(employee, individual, customer_account, account)
+    """Bankers by the balances of their customers' accounts; with ``distinct_accounts`` a joint account counts once a banker.
+
+    Balances are summed per customer, and these per banker, before names are joined.
+    """
+    held = customer_account.select("customer_id", "account_number").join(account.select("account_number", "balance"), "account_number")
+    served = individual.where(F.col("personal_banker_ssn").isNotNull()).select("customer_id", "personal_banker_ssn")
     if distinct_accounts:
-        managed = managed.select("personal_banker_ssn", "banker_name", "account_number", "balance").distinct()
-    totals = managed.groupBy("personal_banker_ssn", "banker_name").agg(
-        F.sum("balance").cast("decimal(18,2)").alias("managed_assets")
-    )
-    return top_n(totals, n, F.col("managed_assets").desc(), F.col("personal_banker_ssn"))
+        rows = held.join(served, "customer_id").select("personal_banker_ssn", "account_number", "balance").distinct()
+    else:
+        rows = held.groupBy("customer_id").agg(F.sum("balance").alias("balance")).join(served, "customer_id")
+    totals = rows.groupBy("personal_banker_ssn").agg(F.sum("balance").cast("decimal(18,2)").alias("managed_assets"))
+    named = totals.join(employee.select(F.col("ssn").alias("personal_banker_ssn"), F.col("name").alias("banker_name")), "personal_banker_ssn")
+    return top_n(named.select("personal_banker_ssn", "banker_name", "managed_assets"), n, F.col("managed_assets").desc(), F.col("personal_banker_ssn"))
 
 
 def loan_debt_join(loan: DataFrame, payment: DataFrame) -> DataFrame:

@@ -126,20 +126,17 @@ def gold_researcher_stats(files: DataFrame, quality: DataFrame) -> DataFrame:
     """Per user: uploads, bytes, datasets, files per modality, activity, average score.
 
     ``quality(upload_id, score)`` may lack files. Files are reduced to one row per user,
-    dataset and day first; both distinct counts then come from that small frame.
+    dataset and day first; both distinct counts then come from that small frame. Scores join
+    files by their ids alone.
     """
     day = F.to_date("upload_time_utc")
-    scored = files.join(quality, "upload_id", "left")
-    per_day = scored.groupBy("user_id", "dataset_name", day.alias("_day")).agg(
+    per_day = files.groupBy("user_id", "dataset_name", day.alias("_day")).agg(
         F.count(F.lit(1)).alias("_files"),
         F.sum("file_size").alias("_bytes"),
         *[F.count_if(F.col("modality") == kind).alias(f"_{kind}") for kind in ("lidar", "radar", "wifi")],
         F.count_if(F.contains("filename", F.lit("channel"))).alias("_channels"),
-        F.sum(F.col("score").cast("decimal(18,4)")).alias("_score"),
-        F.count("score").alias("_scored"),
     )
-    score = F.try_divide(F.sum("_score").cast("double"), F.sum("_scored").cast("double"))
-    return per_day.groupBy("user_id").agg(
+    totals = per_day.groupBy("user_id").agg(
         F.sum("_files").alias("total_uploads"),
         F.sum("_bytes").alias("total_storage_bytes"),
         F.countDistinct("dataset_name").alias("total_datasets"),
@@ -147,7 +144,14 @@ def gold_researcher_stats(files: DataFrame, quality: DataFrame) -> DataFrame:
         F.min("_day").alias("first_upload_date"),
         F.max("_day").alias("last_upload_date"),
         F.countDistinct("_day").alias("active_days"),
-        F.round(score.cast("decimal(28,8)"), 4).cast("double").alias("avg_quality_score"),
+    )
+    # Only a file's user and score meet; a user may be null.
+    scored = files.select("upload_id", "user_id").join(quality.where(F.col("score").isNotNull()).select("upload_id", "score"), "upload_id")
+    scores = scored.groupBy(F.col("user_id").alias("_user")).agg(
+        F.try_divide(F.sum(F.col("score").cast("decimal(18,4)")).cast("double"), F.count(F.lit(1)).cast("double")).alias("_score")
+    )
+    return totals.join(scores, F.col("user_id").eqNullSafe(F.col("_user")), "left").select(
+        *totals.columns, F.round(F.col("_score").cast("decimal(28,8)"), 4).cast("double").alias("avg_quality_score")
     )
 
 

@@ -193,13 +193,19 @@ def claims_with_conditions(condition: DataFrame, person: DataFrame, concept: Dat
 
 
 def burden_and_readmission_rate(person: DataFrame, visit: DataFrame, cost: DataFrame) -> DataFrame:
-    """One row with the dashboard measures; a ratio over nothing is 0."""
+    """One row with the dashboard measures; a ratio over nothing is 0.
+
+    The facts are needed by several measures: the columns they use are written once.
+    """
+    visit = settled(visit.select("person_id", "visit_occurrence_id", "visit_start_date", "visit_end_date"))
+    cost = settled(cost.select("person_id", "cost_id", "cost_event_id", "total_charge", "total_paid", "paid_by_patient"))
     summary = patient_summary(person, visit, cost).agg(
         money(F.sum("total_spend")).alias("total_spend"),
         money(F.sum("total_oop")).alias("total_out_of_pocket"),
         F.sum("total_encounters").alias("total_encounters"),
     )
-    high = high_cost_patients(person, visit, cost).agg(F.count_if(F.col("cost_category") == HIGH_COST).alias("n")).scalar()
+    totals = settled(patient_totals(person, visit, cost).select("person_id", "total_spend"))
+    high = totals.agg(F.count_if(F.col("total_spend").cast("double") >= spend_threshold(totals).scalar()).alias("n")).scalar()
     known = readmission_counts(visit).join(person.select("person_id"), "person_id", "left_semi")
     again = known.agg(F.coalesce(F.sum("readmissions"), F.lit(0)).alias("n")).scalar()
     counted = summary.withColumns({"high_cost_patient_count": high, "readmissions_30d": again})

@@ -20,10 +20,19 @@ def keep_latest(updates: DataFrame, routes: DataFrame, table: BatchTable, fence:
     return each_batch(updates, add)
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    newest = F.max_by(F.struct("ts", "event_id", "lat", "lon", "batch"), F.struct("ts", "event_id"))
+    return rows.groupBy("route_no").agg(newest.alias("p")).select("route_no", "p.*")
+
+
 def current(table: BatchTable) -> DataFrame:
     """The newest position per route over all batches; late and repeated batches change nothing."""
-    newest = F.max_by(F.struct("ts", "event_id", "lat", "lon"), F.struct("ts", "event_id"))
-    return table.read().groupBy("route_no").agg(newest.alias("p")).select("route_no", "p.*")
+    return _newest(table.read()).drop("batch")
+
+
+def compact_latest(table: BatchTable, upto: int) -> None:
+    """Keep one row per route of the batches up to a number."""
+    table.compact(upto, _newest)
 
 
 def count_rejects(updates: DataFrame, routes: DataFrame, table: BatchTable, window: str = "1 day") -> DataStreamWriter:

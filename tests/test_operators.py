@@ -9,7 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import allocate, blinks, integrity, merge, profile, ranges, rows, running
+from ledgerloom.operators import allocate, blinks, integrity, matrices, merge, profile, ranges, rows, running
 from ledgerloom.operators.order_stats import exact_percentiles
 from ledgerloom.plans import bank, kpi, privacy, views
 
@@ -406,3 +406,11 @@ def test_oldest_show_no_birth_year_and_dates_become_years(spark):
     assert got == [(1, "142", None, "90+", 2020), (2, "142", 1980, "44", None)]
     tokens = privacy.tokenise_columns(spark.createDataFrame([("a", "a", 1)], "mrn string, account string, n int"), ["mrn", "account"], "s").first()
     assert tokens.mrn_token != tokens.account_token and tokens.n == 1
+
+
+def test_arrays_of_any_depth(spark):
+    deep = spark.createDataFrame([("a", [[1.0, 2.0], [3.0]]), ("a", [[4.0, 5.0, 6.0], None]), ("b", [[7.0]])], "name string, v array<array<double>>")
+    got = {r["name"]: tuple(r)[1:] for r in matrices.array_variable_stats(deep, "name", "v").collect()}
+    assert got == {"a": ("2x2x3", 3, 6, 1.0, 6.0, 3.5), "b": ("1x1x1", 3, 1, 7.0, 7.0, 7.0)}
+    flat = spark.createDataFrame([("a", [1, 2])], "name string, v array<int>")
+    assert tuple(matrices.array_variable_stats(flat, "name", "v").first()) == ("a", "1x2", 2, 2, 1.0, 2.0, 1.5)

@@ -51,6 +51,24 @@ def crossing_rows(spark, path):
     return [sorted(r.update_id for r in rows if r.kind == kind) for kind in ("crossing", "late")]
 
 
+def test_compacted_batches_give_the_same_positions(spark, tmp_path):
+    routes = spark.createDataFrame([(1,), (2,)], "route_no int")
+    table = BatchTable(spark, str(tmp_path / "t"))
+    assert table.read() is None
+    table.compact(3)
+    batches = [[(i, 1 + i % 2, at(i * 7 % 10), "1", str(i))] for i in range(6)]
+    for number, batch in enumerate(batches):
+        table.write(telemetry.latest_positions(spark.createDataFrame(batch, GPS), routes), number)
+    before = sorted(map(tuple, positions.current(table).collect()))
+    positions.compact_latest(table, 3)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["batch=4", "batch=5", "upto=3"]
+    assert sorted(map(tuple, positions.current(table).collect())) == before and table.read(before=4).count() == 2
+    positions.compact_latest(table, 5)
+    positions.compact_latest(table, 5)
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["upto=5"]
+    assert sorted(map(tuple, positions.current(table).collect())) == before
+
+
 def test_crossings_over_batches_and_a_restart(spark, tmp_path):
     amounts = [1500, 900, 800, 1200, 999, 1000, 10]
     rows = [(1, at(i * 600), i, Decimal(a)) for i, a in enumerate(amounts)] + [(2, at(0), 100, Decimal(5))]
