@@ -3,7 +3,10 @@
 The words of a run of documents form one shard. Its suffixes are sorted (prefix doubling)
 into a suffix array, in which every window of the benchmark is found by binary search: the
 range of equal suffixes lists all places of the window. Words that no benchmark text has
-cannot start or continue a match, so suffixes that begin with one are left out.
+cannot start or continue a match, so suffixes that begin with one are left out. Windows that
+follow one another in a document and in an item are drawn together to longest matches with
+their places in both (``benchmark_matches``); a document's share of words inside any of them
+decides whether it is contaminated.
 
 Documents are read once per block of the benchmark and are never shuffled. A block of the
 benchmark (``block_bytes`` of text) is broadcast; a larger benchmark takes several passes.
@@ -19,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerloom.session import settled
 
@@ -40,7 +44,7 @@ class TestWindows:
     def __init__(self, items: list[tuple[str, str]], width: int):
         texts = pa.array([text for _, text in items], pa.string())
         batch = pa.record_batch([texts], ["text"])
-        found: dict[bytes, set[str]] = {}
+        found: dict[bytes, list[tuple[int, int]]] = {}
         hashes, rows = [], [0]
         for _, data, edges in pieces(batch, "text"):
             some, places = word_hashes(data, edges)
@@ -49,12 +53,14 @@ class TestWindows:
         words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.vocabulary = np.unique(words)
         numbers = (np.searchsorted(self.vocabulary, words) + 1).astype(np.int32)
-        for (item, _), low, high in zip(items, rows[:-1], rows[1:]):
+        for nth, (low, high) in enumerate(zip(rows[:-1], rows[1:])):
             size = min(width, high - low)
             for start in range(low, high - size + 1) if size else ():
-                found.setdefault(numbers[start : start + size].tobytes(), set()).add(item)
+                found.setdefault(numbers[start : start + size].tobytes(), []).append((nth, start - low))
         keys = sorted(found)
-        self.items = [sorted(found[key]) for key in keys]
+        self.width, self.names = width, [item for item, _ in items]
+        self.places = [np.array(found[key], np.int64) for key in keys]
+        self.items = [sorted({self.names[nth] for nth, _ in found[key]}) for key in keys]
         self.lengths = np.array([len(key) // 4 for key in keys], dtype=np.int64)
         self.windows = np.zeros((len(keys), width), dtype=np.int32)
         for at, key in enumerate(keys):
@@ -141,6 +147,71 @@ def _search(piece: pa.RecordBatch, data: np.ndarray, edges: np.ndarray, tests: T
     return np.diff(rows), flags, [items.get(i, set()) for i in range(piece.num_rows)]
 
 
+def longest_matches(data: np.ndarray, edges: np.ndarray, tests: TestWindows) -> list[tuple[int, int, int, int, int]]:
+    """All verbatim matches that cannot be made longer: row, first word, item (its number), its first word, words.
+
+    Windows that follow one another in a document and in an item lie on one diagonal; each unbroken run of
+    them is one match. Matches have ``width`` words at least, or are whole items of fewer.
+    """
+    hashes, rows = word_hashes(data, edges)
+    count = len(edges) - 1
+    owner = np.repeat(np.arange(count), np.diff(rows))
+    shifted = np.zeros(len(hashes) + count, np.int32)
+    shifted[np.arange(len(hashes)) + owner] = tests.numbers(hashes)
+    places, which = occurrences(shifted, tests)
+    if not len(places):
+        return []
+    times = np.array([len(tests.places[w]) for w in which])
+    at, window = np.repeat(places, times), np.repeat(which, times)
+    item, start = np.concatenate([tests.places[w] for w in which]).T
+    starts = rows + np.arange(count + 1)
+    row = np.searchsorted(starts, at, side="right") - 1
+    word = at - starts[row]
+    order = np.lexsort((word, word - start, item, row))
+    row, word, item, start, size = row[order], word[order], item[order], start[order], tests.lengths[window[order]]
+    goes_on = np.zeros(len(row), bool)
+    goes_on[1:] = (row[1:] == row[:-1]) & (item[1:] == item[:-1]) & (word[1:] == word[:-1] + 1) & (start[1:] == start[:-1] + 1)
+    first = np.flatnonzero(~goes_on)
+    last = np.append(first[1:], len(row)) - 1
+    return list(zip(row[first].tolist(), word[first].tolist(), item[first].tolist(), start[first].tolist(), (word[last] + size[last] - word[first]).tolist()))
+
+
+def benchmark_matches(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Every longest verbatim match: ``row`` (the document without its text), ``word``, ``item``, ``item_word``, ``words`` (places from 0).
+
+    One pass per block of the benchmark. An item that stands in the benchmark twice is matched twice.
+    """
+    spark, kept = docs.sparkSession, [c for c in docs.columns if c != text]
+    rows = as_rows(docs)
+    head = rows.select(F.struct(*[F.col(f"row.`{c}`").alias(c) for c in kept]).alias("row"))
+    schema = StructType([*head.schema.fields, *[StructField(c, t) for c, t in (("word", LongType()), ("item", StringType()), ("item_word", LongType()), ("words", LongType()))]])
+    found = None
+    for block in _blocks(benchmark, item_id, item_text, block_bytes):
+        shared = spark.sparkContext.broadcast(TestWindows(block, window))
+
+        def search(batches, shared=shared):
+            tests = shared.value
+            for batch in batches:
+                for piece, texts in row_pieces(batch, text, SHARD_BYTES):
+                    matches = longest_matches(*flat_bytes(texts), tests)
+                    if not matches:
+                        continue
+                    row, word, item, item_word, words = zip(*matches)
+                    struct = piece.column("row").take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.StructArray.from_arrays([struct.field(c) for c in kept], names=kept), pa.array(word, pa.int64()),
+                         pa.array([tests.names[i] for i in item], pa.string()), pa.array(item_word, pa.int64()), pa.array(words, pa.int64())],
+                        ["row", "word", "item", "item_word", "words"],
+                    )
+
+        matched = settled(rows.mapInArrow(search, schema))
+        found = matched if found is None else found.union(matched)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int):
     """The benchmark in blocks; the driver holds one at a time."""
     block, size = [], 0

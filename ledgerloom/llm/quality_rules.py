@@ -32,7 +32,7 @@ from ledgerloom.session import settled
 from .text import mix64, pieces, span_hashes, word_spans
 
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
-LEAST_TEXTS, STEPS = 50, 1000
+LEAST_TEXTS, STEPS, MOST_BANDS = 50, 1000, 1000
 #: How far beyond the quartiles a band goes, in their distances, and how far at least. Byte shares are skewed.
 WIDTHS = {"chars_per_token": (2.0, 0.05), "byte_share": (3.0, 0.01), "entropy": (2.0, 0.25)}
 
@@ -200,17 +200,19 @@ def _quartiles(counted: list[tuple[int, int]]) -> tuple[float, float]:
 
 
 def learn_bands(measured: DataFrame) -> dict[tuple[str | None, str], Band]:
-    """The band of each language and script with ``LEAST_TEXTS`` different texts that pass the base rules."""
+    """The band of each language and script with ``LEAST_TEXTS`` different texts that pass the base rules; of the ``MOST_BANDS`` commonest."""
     steps = [F.round(F.col(name) * STEPS).cast("bigint").alias(name) for name in WIDTHS]
     once = measured.where("not base_failed").select("language", "script", "digest", *steps).distinct()
+    once = settled(once)
+    common = once.groupBy("language", "script").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_TEXTS)
+    common = F.broadcast(common.orderBy(F.desc("n"), "language", "script").limit(MOST_BANDS).select(F.col("language").alias("_language"), F.col("script").alias("_script")))
+    once = once.join(common, F.col("language").eqNullSafe(F.col("_language")) & (F.col("script") == F.col("_script")), "left_semi")
     each = F.explode(F.array(*[F.struct(F.lit(name).alias("measure"), F.col(name).alias("step")) for name in WIDTHS])).alias("x")
     counted: dict[tuple, dict[str, list]] = {}
     for r in once.select("language", "script", each).groupBy("language", "script", "x.measure", "x.step").count().collect():
         counted.setdefault((r["language"], r["script"]), {name: [] for name in WIDTHS})[r["measure"]].append((r["step"], r["count"]))
     bands = {}
     for group, by_measure in counted.items():
-        if sum(times for _, times in by_measure["entropy"]) < LEAST_TEXTS:
-            continue
         reach = {}
         for name, (width, least) in WIDTHS.items():
             low, high = _quartiles(by_measure[name])

@@ -118,24 +118,43 @@ def remainder(id_column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+MOST_GROUPS = 1000
+"""Values that a sample is taken of at most, the commonest: labels and languages are far fewer, a dirty column may have more."""
+
+
+def _shares(rows: DataFrame, group: str, per_group: int, count: Column) -> Column:
+    """The share of the rows of each value of ``group`` that makes about ``per_group``; one row per value goes to the driver."""
+    counts = rows.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("value")).agg(count.alias("n"))
+    commonest = {r["value"]: r["n"] for r in counts.orderBy(F.desc("n"), "value").limit(MOST_GROUPS).collect()}
+    if not commonest:
+        return F.lit(0.0)
+    known = F.create_map(*[x for value, n in sorted(commonest.items(), key=lambda kv: str(kv[0])) for x in (F.lit(value), F.lit(min(1.0, per_group / n)))])
+    return F.coalesce(F.try_element_at(known, F.col(group).cast(rows.schema[group].dataType)), F.lit(0.0))
+
+
+def _place(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in columns], F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def bounded_sample(rows: DataFrame, group: str, per_group: int, id_column: str) -> DataFrame:
     """About ``per_group`` rows of each value of ``group`` at most, chosen by a hash of the id.
 
-    One small count goes to the driver (a row per value); the share kept of a value is
-    ``per_group`` over its count, so the sample does not follow the input. The number of
-    values must be small, as that of labels and languages is.
+    The share kept of a value is ``per_group`` over its count, so the sample does not follow the
+    input. Of more than ``MOST_GROUPS`` values the commonest are sampled.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(group).count().collect() if r[0] is not None}
-    place = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.lit(0.0)
-    for value, count in sorted(counts.items(), key=lambda kv: str(kv[0])):
-        share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, per_group / count))).otherwise(share)
-    return rows.where(place < share)
+    return rows.where(_place(id_column) < _shares(rows, group, per_group, F.count(F.lit(1))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, per_label: int, most_bytes: int) -> DataFrame:
-    """``text`` and ``label`` of the bounded sample; only the sampled ids are broadcast."""
+    """``_id``, ``text`` and ``label`` of the bounded sample; only the sampled ids are broadcast.
+
+    An id may be on many rows: of the rows whose id was chosen, equal ones count once, and a label with more than
+    ``per_label`` of them is sampled again by id and text.
+    """
     chosen = bounded_sample(labels.where(F.col(label).isin(0, 1)), label, per_label, doc_id)
-    chosen = F.broadcast(chosen.select(F.col(doc_id).alias("_id"), F.col(label).alias("label")))
+    chosen = F.broadcast(chosen.select(F.col(doc_id).alias("_id"), F.col(label).alias("label")).distinct())
     wanted = docs.where(F.octet_length(F.coalesce(F.col(text), F.lit(""))) <= most_bytes).select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return wanted.join(chosen, "_id").select("_id", "text", "label")
+    rows = wanted.join(chosen, "_id").withColumn("_text", F.xxhash64("text"))
+    different = rows.select("_id", "_text", "label").distinct()
+    kept = rows.where(_place("_id", "_text") < _shares(different, "label", per_label, F.count(F.lit(1))))
+    return kept.dropDuplicates(["_id", "_text", "label"]).select("_id", "text", "label")

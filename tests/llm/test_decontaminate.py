@@ -66,3 +66,44 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert dc.remove_contaminated(docs, bench.limit(0)).count() == 3
     assert dc.remove_contaminated(docs.limit(0), bench).count() == 0
+
+
+def matches_by_hand(text, items, window=13):
+    """All common runs of words that cannot be made longer at either end."""
+    own, found = words(text), []
+    for item, item_text in items:
+        theirs = words(item_text)
+        least = min(window, len(theirs))
+        for i in range(len(own)):
+            for j in range(len(theirs)):
+                if own[i] != theirs[j] or (i and j and own[i - 1] == theirs[j - 1]):
+                    continue
+                n = 0
+                while i + n < len(own) and j + n < len(theirs) and own[i + n] == theirs[j + n]:
+                    n += 1
+                if n >= least:
+                    found.append((i, str(item), j, n))
+    return sorted(found)
+
+
+def test_longest_matches_against_brute_force(spark):
+    rng = random.Random(8)
+    vocabulary = ["a", "b", "Über", "c3"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 5, 13, 14, 40])))) for i in range(8)] + [(20, ""), (21, None)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(60)) + " x " + items[i % 8][1] + " " + items[-3][1]) for i in range(25)] + [(90, None), (91, "!")]
+    frame = spark.createDataFrame([(i, t, "q") for i, t in docs], "doc_id bigint, text string, words string").repartition(4)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for block in (dc.BLOCK_BYTES, 60):
+        got = {}
+        for r in dc.benchmark_matches(frame, benchmark, window=5, block_bytes=block).collect():
+            assert r.row.asDict().keys() == {"doc_id", "words"}
+            got.setdefault(r.row.doc_id, []).append((r.word, r.item, r.item_word, r.words))
+        assert {d: sorted(m) for d, m in got.items()} == {i: m for i, t in docs if (m := matches_by_hand(t, items, 5))}
+
+
+def test_one_pass_of_python_per_block(spark):
+    items = [(i, f"only here {i} " + " ".join(f"w{i}x{j}" for j in range(15))) for i in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in items] + [(50, "none")], "doc_id bigint, text string")
+    found = dc.contamination(docs, spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=60)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.row.doc_id, r.items, r.contaminated) for r in found.collect()) == [(i, [str(i)], True) for i in range(6)] + [(50, [], False)]

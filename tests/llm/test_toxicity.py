@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as registry
-from ledgerloom.llm import toxicity as tx
+from ledgerloom.llm import text as text_module, toxicity as tx
+from ledgerloom.llm.text import labelled_sample
 
 LARGE = "/root/testdata/check_h"
 
@@ -145,3 +146,18 @@ def test_edge_cases(spark):
     nothing = tx.learn_toxicity(docs, labels.limit(0))
     assert {r.score for r in tx.score_toxicity(docs, nothing).collect()} == {0.0}
     assert tx.toxicity_report(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_an_id_on_very_many_rows_is_sampled(spark):
+    docs = spark.range(30_000).selectExpr("if(id % 2 = 0, 7, 8) as doc_id", "concat('text ', id % 9000) as text")
+    labels = spark.createDataFrame([(7, 0), (8, 1), (8, 1)], "doc_id bigint, toxic int")
+    sample = labelled_sample(docs, labels, "toxic", "doc_id", "text", 500, 1000).collect()
+    counts = {label: sum(r.label == label for r in sample) for label in (0, 1)}
+    assert all(350 <= n <= 650 for n in counts.values())
+    assert len({(r["_id"], r.text) for r in sample}) == len(sample)
+
+
+def test_a_dirty_column_of_groups_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(text_module, "MOST_GROUPS", 3)
+    rows = spark.range(2000).selectExpr("id", "if(id < 1500, cast(id % 3 as string), concat('dirt ', id)) as lang")
+    assert {r.lang for r in text_module.bounded_sample(rows, "lang", 50, "id").collect()} == {"0", "1", "2"}
