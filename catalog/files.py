@@ -84,6 +84,52 @@ def pcd_schema_catalog(frames):
     return datafiles.pcd_schema(datafiles.pcd_headers(frames.pcd_files))
 
 
+# --- files by ranges --------------------------------------------------------------
+
+
+@query(
+    "manifest_of_files",
+    """SELECT page_id, octet_length(encode(coalesce(html, ''))) + 1 AS file_size, sha256(coalesce(html, '') || chr(10)) AS file_hash FROM pages""",
+)
+def manifest_of_files(frames):
+    """Every page as a file of its own, hashed in chunks."""
+    path = shared_dir(frames.spark, "pages")
+    frames.table("pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")).write.partitionBy("page_id").text(path)
+    found = datafiles.read_manifest(frames.spark, path, "part-*")
+    return found.select(F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"), "file_size", "file_hash")
+
+
+@query(
+    "point_headers_of_files",
+    """SELECT s_suppkey AS file, '.7' AS version, CAST(s_suppkey AS VARCHAR) AS points, 'binary' AS data, 'x y z' AS fields, '4 4 ' || (1 + s_nationkey % 8) AS size
+       FROM supplier""",
+)
+def point_headers_of_files(frames):
+    """A point cloud per supplier; the points have no line feed and are larger than a chunk for the first one."""
+    path, key = shared_dir(frames.spark, "clouds"), F.col("s_suppkey").cast("string")
+    lines = ("VERSION .7", "FIELDS x y z", F.concat(F.lit("SIZE 4 4 "), (1 + F.col("s_nationkey") % 8).cast("string")), "TYPE F F F", F.concat(F.lit("POINTS "), key), "DATA binary")
+    points = F.repeat(F.lit("z"), F.when(F.col("s_suppkey") <= 1, 5_000_000).otherwise(2000))
+    content = F.concat_ws("\n", *[line if not isinstance(line, str) else F.lit(line) for line in lines], points)
+    frames.table("supplier").select("s_suppkey", content.alias("value")).write.partitionBy("s_suppkey").text(path)
+    headers = datafiles.pcd_headers(datafiles.read_point_headers(frames.spark, path, "part-*"))
+    file = F.regexp_extract("file", "s_suppkey=([0-9]+)", 1).cast("bigint").alias("file")
+    return headers.select(file, "version", "points", "data", *[F.array_join(c, " ").alias(c) for c in ("fields", "size")])
+
+
+@query(
+    "delimited_files_scan",
+    """SELECT o_orderkey, o_orderstatus, 'two' || chr(10) || 'lines, "' || o_orderpriority || '"; | end' AS note, o_totalprice FROM orders""",
+)
+def delimited_files_scan(frames):
+    """Orders in delimited files, read in ranges; separators, quotes and line breaks stand inside quotes."""
+    path = shared_dir(frames.spark, "delimited")
+    note = F.concat(F.lit('two\nlines, "'), F.col("o_orderpriority"), F.lit('"; | end'))
+    written = frames.table("orders").select("o_orderkey", "o_orderstatus", note.alias("note"), "o_totalprice")
+    written.write.options(header=True, quoteAll=True, escape='"', sep="|").csv(path)
+    read = datafiles.read_by_dialect(frames.spark, path, "o_orderkey bigint, o_orderstatus string, note string, o_totalprice double", "part-*", range_bytes=300_000)
+    return read.drop("file")
+
+
 # --- names and sizes --------------------------------------------------------------
 
 

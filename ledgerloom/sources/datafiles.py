@@ -40,9 +40,9 @@ def manifest(files: DataFrame) -> DataFrame:
     )
 
 
-def read_point_headers(spark: SparkSession, path: str) -> DataFrame:
+def read_point_headers(spark: SparkSession, path: str, glob: str = "*.pcd") -> DataFrame:
     """``(file, header)`` of every point-cloud file: its keyword lines up to the DATA line. Points behind it are not read."""
-    return read_headers(spark, path, PCD_SCALARS + PCD_ARRAYS, "data", "*.pcd")
+    return read_headers(spark, path, PCD_SCALARS + PCD_ARRAYS, "data", glob)
 
 
 # The text up to and including the DATA line, whatever its case.
