@@ -246,6 +246,17 @@ def bundle_stream_ingest(frames):
     return table.read().drop("batch")
 
 
+@query("bundle_stream_first", "SELECT * FROM fhir_patient")
+def bundle_stream_first(frames):
+    """Bundles that all arrive twice; keys seen are kept as state."""
+    folder = _folder(frames, "first-bundles")
+    for _ in range(2):
+        frames.patient_bundles.select("value").write.mode("append").text(f"{folder}/landing")
+        arriving = ingest.bundle_stream(frames.spark, f"{folder}/landing", one_per_file=False)
+        run_available(to_files(ingest.first_resources(arriving, bundles.parse_patients, "fhir_patient_id"), f"{folder}/patient"), f"{folder}/progress")
+    return frames.spark.read.parquet(f"{folder}/patient")
+
+
 @query(
     "upload_stream_dedupe",
     """SELECT sha256(text) AS file_hash, 'success' AS status FROM documents GROUP BY 1""",

@@ -30,6 +30,15 @@ def land_resources(stream: DataFrame, parser: Callable[[DataFrame], DataFrame],
     return each_batch(stream, land)
 
 
+def first_resources(stream: DataFrame, parser: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """Flattened resources of one type, each key once: the first to arrive. No earlier batch is read again.
+
+    The state store holds every key seen; with very many of them let it be the one on disk
+    (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    return parser(bundles.bundle_entries(stream)).dropDuplicates([key])
+
+
 def register_uploads(uploads: DataFrame, catalogue: BatchTable, lineage: BatchTable) -> DataStreamWriter:
     """Catalogue and lineage rows for uploads whose content is new.
 

@@ -173,6 +173,18 @@ def test_bundle_files_arrive(spark, tmp_path):
     assert sorted(r.fhir_patient_id for r in table.read().collect()) == ["a", "b", "c"]
 
 
+def test_first_resources_by_state(spark, tmp_path):
+    folder, out = tmp_path / "landing", str(tmp_path / "out")
+    folder.mkdir()
+    for gender, batch in (("male", ("a", "b")), ("female", ("b", "c")), ("other", ("a",))):
+        for name in batch:
+            text = '{"resourceType": "Bundle", "entry": [{"resource": {"resourceType": "Patient", "id": "%s", "gender": "%s"}}]}' % (name, gender)
+            (folder / f"{name}{len(list(folder.iterdir()))}.json").write_text(text)
+        stream = ingest.first_resources(ingest.bundle_stream(spark, str(folder)), bundles.parse_patients, "fhir_patient_id")
+        run_available(to_files(stream, out), str(tmp_path / "progress"))
+    assert {r.fhir_patient_id: r.gender for r in spark.read.parquet(out).collect()} == {"a": "male", "b": "male", "c": "female"}
+
+
 def test_rates_count_late_updates_and_the_open_window(spark, tmp_path):
     routes = spark.createDataFrame([(1,)], "route_no int")
     batches = [[(1, 1, at(0), "", ""), (2, 1, at(10), "1", "1")], [(3, 1, at(24 * 60 + 30), "1", "1"), (4, 7, at(24 * 60 + 31), "1", "1")], [(5, 1, at(3), "1", "1")]]
