@@ -1,3 +1,4 @@
+import ipaddress
 import re
 from collections import defaultdict
 
@@ -65,6 +66,33 @@ def test_types_formats_and_coreference(spark):
     assert re.fullmatch(r"[а-я]+\.\d+@mail\d\.example\.org", got[7].mentions[0].surrogate)
 
 
+def test_untitled_repeats_and_shared_families(spark):
+    texts = [
+        "Mr John Smith called. John Smith and Smith, not Smithson or Blacksmith-Smith; Dr Anna Lee wrote, Lee said.",
+        "Mr Smith met Mrs Anna Lee.", "MR SMITH wrote", "Smith and John Smith stay here.", "Mr Juan de la Cruz; Cruz left. Frau von Stein",
+        "Mrs Maria Anna Luisa Sofia Lopez is here",
+    ]
+    got = [replaced(spark, texts)[i].replaced for i in range(len(texts))]
+    john, smith = re.match(r"Mr (\w+) (\w+) called", got[0]).groups()
+    assert got[0].startswith(f"Mr {john} {smith} called. {john} {smith} and {smith}, not Smithson or Blacksmith-Smith; Dr ")
+    anna, lee = re.search(r"Dr (\w+) (\w+) wrote", got[0]).groups()
+    assert got[0].endswith(f"wrote, {lee} said.")
+    assert re.fullmatch(rf"Mr {smith} met Mrs {anna[:-1]}a {lee}\.", got[1])
+    assert got[2] == f"MR {smith.upper()} wrote" and got[3] == texts[3]
+    assert not re.search("Juan|Cruz|Stein", got[4]) and re.fullmatch(r"Mrs \w+a \w+ \w+ is here", got[5])
+
+
+def test_country_codes_and_kinds_of_addresses(spark):
+    texts = ["+44 20 7946 0958 or +442079460958", "+1 (017) 555-7713", "+358 40 123 4567", "192.168.0.1 10.0.0.7 172.20.1.1 127.0.0.1 8.8.8.8 169.254.1.1"]
+    got = replaced(spark, texts)
+    one, other = (m.surrogate for m in got[0].mentions)
+    assert one.startswith("+44 ") and re.sub(r"\D", "", one) == re.sub(r"\D", "", other) and got[1].mentions[0].surrogate.startswith("+1 (")
+    assert got[2].mentions[0].surrogate.startswith("+358 ") and re.fullmatch(r"\+358 \d\d \d{3} \d{4}", got[2].mentions[0].surrogate)
+    addresses = [ipaddress.ip_address(m.surrogate) for m in got[3].mentions]
+    assert [a.is_private for a in addresses] == [True, True, True, True, False, True]
+    assert addresses[3].is_loopback and addresses[4].is_global and len(set(addresses)) == 6
+
+
 def test_keys_decide_and_runs_agree(spark):
     text = ["a.b@x.com 10.20.30.40 +1 (017) 555-7713"]
     one, same, other = (replaced(spark, text, k)[0].replaced for k in ("k", "k", "l"))
