@@ -25,11 +25,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerloom.session import settled
 
-from .text import flat_bytes, mix64, pieces, span_hashes, word_spans
+from .text import bitmap, flat_bytes, is_set, mix64, pieces, span_hashes, word_spans
 
 ORDER, LEAST, TOP, SCALE, ABSORBED_PERCENT = 5, 100, 2000, 1000, 100
-MOST_BITS = 1 << 27
-"""Bits of a broadcast bitmap at most (16 MB)."""
 HELD_ROWS = 1_000_000
 """Counted rows that a task holds before it emits them."""
 
@@ -71,12 +69,6 @@ def pair_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix64(left * _PAIR + right)
 
 
-def is_set(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Whether the bits of the codes are set."""
-    place = codes % np.uint64(len(bitmap) * 64)
-    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def lead_windows(codes: np.ndarray, joined: np.ndarray, order: int) -> list[np.ndarray]:
     """Columns of the codes 0 to ``order - 1`` places on, zero beyond the end of the piece."""
     columns, alive = [codes], np.ones(len(codes), bool)
@@ -187,18 +179,6 @@ def _spelling(wanted, salt: int):
     return emit
 
 
-def bitmap(codes: DataFrame, count: int) -> np.ndarray:
-    """The bits of all ``code`` values: 32 a value, but ``MOST_BITS`` at most, whatever the data. 64 places a row go to the driver."""
-    bits = 1 << 16
-    while bits < min(32 * count, MOST_BITS):
-        bits *= 2
-    place = F.expr(f"code & {bits - 1}L")
-    rows = codes.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(code & 63 as int))")).alias("bits")).toArrow()
-    found = np.zeros(bits // 64, np.uint64)
-    found[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return found
-
-
 def _word_counts(given: DataFrame) -> tuple[DataFrame, int]:
     """``lang``, ``word``, ``n`` of all words, under a salt for which no code stands for two words."""
     salt = 0

@@ -32,13 +32,15 @@ its smallest id; repeated rows are documents like others; node ids are 64-bit ha
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.session import settled
 
-from .text import mix64, pieces, word_hashes
+from .text import as_rows, bitmap, is_set, mix64, pieces, word_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 36, 8
@@ -426,20 +428,41 @@ def keep_one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """``docs`` with one document of each class, and all documents without words, with the columns they came with.
 
     Documents meet the list of those that go by id and text hash. Of repeated rows of the
-    document that stays, one stays; only the texts of such rows are shuffled, after each task
-    has left one of each.
+    document that stays, one stays; the texts of such rows are shuffled, after each task
+    has left one of each, and no others (of more than ``SENT_PAIRS`` documents on the list, theirs too).
     """
     classes = settled(document_classes(docs, doc_id, text, threshold).where("class_size > 1"))
-    gone = classes.where(~F.col("keep")).select("id", "text_hash").distinct()
-    repeated = settled(classes.where("keep").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "text_hash"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    gone = classes.where(~F.col("keep")).select("id", "text_hash")
+    repeated = classes.where("keep").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "text_hash")
+    special = settled(gone.withColumn("gone", F.lit(True)).union(repeated.withColumn("gone", F.lit(False))).distinct())
+    marked = as_rows(docs).select("row", F.col(f"row.{doc_id}").alias("id"), F.xxhash64(f"row.{text}").alias("text_hash"))
     has_word = F.coalesce(F.col(f"row.{text}").rlike(_WORD), F.lit(False))
-    marked = docs.select(row).select("row", F.col(f"row.{doc_id}").alias("id"), F.xxhash64(f"row.{text}").alias("text_hash"))
-    worded = marked.where(has_word)
+    plain, looked_up = _parted(marked.where(has_word), special)
+    met = special.withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
+    listed = looked_up.join(F.broadcast(met) if plain is None else met, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    once, several = listed.where("gone is null"), listed.where("not gone").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
+    parts = [once, several, marked.where(~has_word), *([] if plain is None else [plain])]
+    return reduce(DataFrame.union, [part.select("row.*") for part in parts])
+
+
+def _parted(rows: DataFrame, special: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """``rows`` that are surely not among the ``special`` ids and text hashes, and the others.
 
-    def same(other: DataFrame):
-        return worded["id"].eqNullSafe(other["id"]) & (worded["text_hash"] == other["text_hash"])
+    Up to ``SENT_PAIRS`` special ones can be sent to the rows: then there is only one part. More are known by
+    a bitmap of bounded size, so that only the rows it lets through are shuffled with their texts.
+    """
+    count = special.count()
+    if count <= SENT_PAIRS:
+        return None, rows
+    code = F.xxhash64("id", "text_hash").alias("code")
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(special.select(code), count))
+
+    def mark(batches):
+        for batch in batches:
+            found = is_set(shared.value, batch.column("code").to_numpy(zero_copy_only=False).view(np.uint64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "found"])
 
-    once = worded.join(gone, same(gone), "left_anti").join(repeated, same(repeated), "left_anti")
-    several = worded.join(repeated, same(repeated), "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
-    return once.select("row.*").union(several.select("row.*")).union(marked.where(~has_word).select("row.*"))
+    coded = rows.select("*", code)
+    schema = coded.drop("code").withColumn("found", F.lit(True)).schema
+    marked = coded.mapInArrow(mark, schema)
+    return marked.where("not found").drop("found"), marked.where("found").drop("found")

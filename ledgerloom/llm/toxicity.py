@@ -207,11 +207,12 @@ def _beginnings(word: str) -> list[str]:
     return [START + word[:size] for size in range(ORDER, min(len(word), WINDOW) + 1)]
 
 
-def _document_counts(documents: list[list[list[str]]]) -> Counter:
-    """In how many documents each word beginning is."""
+def _document_counts(documents: list[list[list[str]]], known: set[str] | None = None) -> Counter:
+    """In how many documents each word beginning is; with ``known`` only of these and of the shortest ones."""
     count: Counter = Counter()
     for parts in documents:
-        count.update({p for word in {w for s in parts for w in s} for p in _beginnings(word)})
+        found = {p for word in {w for s in parts for w in s} for p in _beginnings(word)}
+        count.update(found if known is None else {p for p in found if len(p) == ORDER + 1 or p in known})
     return count
 
 
@@ -236,13 +237,16 @@ def typical_beginnings(toxic: list[list[list[str]]], other: list[list[list[str]]
     Typical is what occurs often enough, at many times the rate of other documents, and so
     often that among all beginnings less than ``FALSE_FINDS`` would do so by chance.
     """
-    in_toxic, in_other = _document_counts(toxic), _document_counts(other)
-    wanted = {p for p, n in in_toxic.items() if n >= LEAST_SENTENCES and n * max(1, len(other)) >= LEAST_RATIO / 4 * in_other[p] * max(1, len(toxic))}
+    in_toxic = _document_counts(toxic)
+    tried = len(in_toxic)
+    in_toxic = Counter({p: n for p, n in in_toxic.items() if n >= LEAST_SENTENCES})
+    in_other = _document_counts(other, set(in_toxic))
+    wanted = {p for p, n in in_toxic.items() if n * max(1, len(other)) >= LEAST_RATIO / 4 * in_other[p] * max(1, len(toxic))}
     (times, n_toxic), (others, n_other) = _in_context(toxic, in_toxic, wanted), _in_context(other, in_other, wanted)
     share = max(1, n_toxic) / max(1, n_other)
     expected = {p: (others[p] + 0.5) * share for p in wanted}
     surprise = {p: n * np.log(n / expected[p]) - (n - expected[p]) for p, n in times.items() if n >= LEAST_SENTENCES and n >= LEAST_RATIO * expected[p]}
-    least = np.log(max(1, len(in_toxic)) / FALSE_FINDS)
+    least = np.log(max(1, tried) / FALSE_FINDS)
     typical: list[str] = []
     # Of beginnings that continue one another the most surprising stands for all, the longer one in a tie.
     for p in sorted((p for p, x in surprise.items() if x >= least), key=lambda p: (-surprise[p], -len(p), p)):
@@ -272,7 +276,8 @@ def spanning(units: list[str], most: int = MOST_LANDMARKS, least: float = COVERE
 def fit(texts: list[str], labels: np.ndarray) -> Machine:
     """Choose landmarks and fit the machine to labelled texts."""
     labels = np.asarray(labels)
-    sentences = [[[w for w in map(stripped, raw_words(part)) if len(w) >= ORDER - 1] for part in _SENTENCE_END.split(t)] for t in texts]
+    once: dict[str, str] = {}  # equal words are one object
+    sentences = [[[once.setdefault(w, w) for w in map(stripped, raw_words(part)) if len(w) >= ORDER - 1] for part in _SENTENCE_END.split(t)] for t in texts]
     toxic = [parts for parts, label in zip(sentences, labels) if label == 1]
     other = [parts for parts, label in zip(sentences, labels) if label == 0]
     marks, common = typical_beginnings(toxic, other)

@@ -216,6 +216,15 @@ def test_keep_one_with_clashing_columns(spark):
     assert sorted(map(tuple, nd.keep_one_per_class(renamed).collect())) == [rows[0], rows[3]]
 
 
+def test_a_long_list_of_gone_documents(spark, monkeypatch):
+    """With the list too long to be sent a bitmap parts the rows; the result is the same."""
+    texts = hard_documents()[::2]
+    docs = spark.createDataFrame([(i % 400, t, "x") for i, t in enumerate(texts + texts[:20])], "doc_id bigint, text string, code string").repartition(3)
+    sent = sorted(map(str, nd.keep_one_per_class(docs).collect()))
+    monkeypatch.setattr(nd, "SENT_PAIRS", 0)
+    assert sorted(map(str, nd.keep_one_per_class(docs).collect())) == sent and 0 < len(sent) < docs.count()
+
+
 def test_keep_one(spark):
     rows = [(3, "a b c d e f", "x", 1), (1, "A b c d e f!", "y", 2), (1, "A b c d e f!", "y", 2), (2, None, "z", 3), (2, None, "z", 3), (5, "", None, 4), (None, "q", "n", 5), (1, "other text here", "m", 6)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, class_id int")
