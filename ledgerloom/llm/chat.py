@@ -5,9 +5,12 @@ each ``<``, ``[`` and backslash of a role or text, so no control string can occu
 one and the escape can be undone. The bytes of a run of turns are placed in one buffer:
 segment lengths give cumulative offsets, offsets give scatter indices.
 
-Turns are hashed by conversation and sorted inside their task, which reads them as a
-stream: a conversation of any length needs only one run of turns in memory. Its output
-comes in parts of ``PART_BYTES`` or one turn, with the masked byte spans of each part.
+Turns are dealt out by ranges of conversation and turn and sorted inside their task, which
+reads them as a stream: a conversation of any length is formatted by as many tasks as it has
+ranges, each with one run of turns in memory. Its output comes in parts of ``PART_BYTES`` or
+one turn, numbered in its order, with the masked byte spans of each part. Only the digests of
+``chat_report`` run through a conversation in one task, as one running hash must; it reads the
+parts as a stream.
 
 Defined cases: turns are ordered by turn (null first), then role, then text; repeated
 rows are turns of their own; a null role or text is empty; turns with a null conversation
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .text import flat_bytes, pieces
 
 HEAD, MIDDLE, TAIL = b"[INST] ", b" <s>", b"</s>\n"
-PART_BYTES = 4_000_000
+PART_BYTES, RANGE_BITS = 4_000_000, 32
 MASKED_ROLE = "assistant"
 _ESCAPED = np.zeros(256, dtype=np.int64)
 _ESCAPED[list(b"<[\\")] = 1
@@ -81,9 +84,10 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def _format_parts(batches):
-    """Sorted turns in, parts out. A part ends where its conversation or the run of turns does."""
+    """Sorted turns of one range in, parts out. A part ends where its conversation or the run of turns does."""
     conversation, part = object(), 0
     for batch in batches:
+        first = batch.column("range")[0].as_py() << RANGE_BITS if batch.num_rows else 0
         for piece, _, _ in pieces(batch, "text", PART_BYTES):
             out, edges, starts, ends = assemble(piece.column("role"), piece.column("text"))
             masked = np.array(piece.column("role").fill_null("").to_pylist(), dtype=object) == MASKED_ROLE
@@ -95,11 +99,11 @@ def _format_parts(batches):
                 conversation = ids[low]
                 own = np.flatnonzero(masked[low:high]) + low
                 spans = np.stack((starts[own], ends[own]), axis=1) - edges[low]
-                rows.append((ids[low], part, out[edges[low] : edges[high]].tobytes(), [{"start": a, "end": b} for a, b in spans.tolist()]))
+                rows.append((ids[low], first + part, out[edges[low] : edges[high]].tobytes(), [{"start": a, "end": b} for a, b in spans.tolist()]))
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(columns[0], piece.schema.field("conv_id").type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()).cast(pa.string()),
+                    pa.array(columns[0], piece.schema.field("conv_id").type), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()).cast(pa.string()),
                     pa.array(columns[3], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 ],
                 ["conv_id", "part", "formatted", "loss_spans"],
@@ -107,21 +111,21 @@ def _format_parts(batches):
 
 
 def format_chat(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Parts of formatted conversations: ``conv_id``, ``part`` (from 0), ``formatted``, ``loss_spans`` (byte positions in the part).
+    """Parts of formatted conversations: ``conv_id``, ``part``, ``formatted``, ``loss_spans`` (byte positions in the part).
 
-    The parts of a conversation follow one another in one task of the result.
+    The parts of a conversation in the order of ``part`` (rising, with gaps) make up the whole.
     """
     turns = conversations.select(
         F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text")
     )
     schema = T.StructType(
         [
-            T.StructField("conv_id", turns.schema["conv_id"].dataType), T.StructField("part", T.IntegerType()), T.StructField("formatted", T.StringType()),
+            T.StructField("conv_id", turns.schema["conv_id"].dataType), T.StructField("part", T.LongType()), T.StructField("formatted", T.StringType()),
             T.StructField("loss_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
         ]
     )
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(_format_parts, schema)
+    ordered = turns.repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return ordered.withColumn("range", F.spark_partition_id().cast("bigint")).mapInArrow(_format_parts, schema)
 
 
 def read_turns(formatted: bytes) -> list[tuple[bytes, bytes, int, int]]:
@@ -189,7 +193,7 @@ def chat_report(formatted: DataFrame) -> DataFrame:
             T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()), T.StructField("formatted_chars", T.LongType()),
         ]
     )
-    return formatted.mapInArrow(_digest, schema)
+    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(_digest, schema)
 
 
 def with_sample_turns(conversations: DataFrame) -> DataFrame:

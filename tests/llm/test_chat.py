@@ -1,7 +1,9 @@
 import hashlib
+import random
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import chat
 
@@ -50,7 +52,22 @@ def test_a_long_conversation_comes_in_parts(spark):
     data = spark.range(40).selectExpr("7L as conv_id", "id as turn", "if(id % 2 = 1, 'assistant', 'user') as role", "repeat('ab<', 100000) as text")
     formatted = chat.format_chat(data)
     parts = formatted.orderBy("part").collect()
-    assert len(parts) > 1 and [p.part for p in parts] == list(range(len(parts)))
+    assert len(parts) > 1 and len({p.part for p in parts}) == len(parts)
+    said = b"".join(t for p in parts for _, t, _, _ in chat.read_turns(p.formatted.encode()))
+    assert said == b"ab<" * 100_000 * 40
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert formatted.select(F.spark_partition_id().alias("t")).distinct().count() > 1  # one conversation, several tasks
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_conversation_among_others(spark):
+    """A third of the turns, with repeats of one turn, in the null conversation."""
+    rng = random.Random(2)
+    rows = [(None if i % 3 == 0 else i % 50, rng.randrange(40), rng.choice(["user", "assistant"]), rng.choice(["a<", "b", "", None])) for i in range(3000)]
+    data = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    assert sorted((tuple(r)[:5] for r in chat.chat_report(chat.format_chat(data)).collect()), key=str) == by_hand(rows)
     (row,) = chat.chat_report(formatted).collect()
     assert row.n_turns == 40 and row.loss_chars == 20 * 300_000
 
