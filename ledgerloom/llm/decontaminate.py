@@ -32,7 +32,7 @@ WINDOW = 13
 SHARE = 20
 """A document is contaminated if at least one in ``SHARE`` of its words is hit."""
 BLOCK_BYTES = 32_000_000
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 """Texts of one suffix array, in which every window of the benchmark is searched."""
 
 _STATE = "n_words bigint, hits binary, items array<string>"
