@@ -11,7 +11,7 @@ from ledgerloom.operators import integrity, matrices, profile, rows, sketches, v
 from ledgerloom.operators.running import is_increasing
 from ledgerloom.plans import catalogue, privacy
 from ledgerloom.session import settled, shared_dir
-from ledgerloom.sources import datafiles
+from ledgerloom.sources import datafiles, sinks
 
 from .bindings import pick, text
 from .registry import query
@@ -94,7 +94,7 @@ def pcd_schema_catalog(frames):
 def manifest_of_files(frames):
     """Every page as a file of its own, hashed in chunks."""
     path = shared_dir(frames.spark, "pages")
-    frames.table("pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")).write.partitionBy("page_id").text(path)
+    sinks.write_file_per_key(frames.table("pages").select("page_id", F.coalesce("html", F.lit("")).alias("html")), path, "page_id", "html")
     found = datafiles.read_manifest(frames.spark, path, "part-*")
     return found.select(F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"), "file_size", "file_hash")
 
@@ -110,7 +110,7 @@ def point_headers_of_files(frames):
     lines = ("VERSION .7", "FIELDS x y z", F.concat(F.lit("SIZE 4 4 "), (1 + F.col("s_nationkey") % 8).cast("string")), "TYPE F F F", F.concat(F.lit("POINTS "), key), "DATA binary")
     points = F.repeat(F.lit("z"), F.when(F.col("s_suppkey") <= 1, 5_000_000).otherwise(2000))
     content = F.concat_ws("\n", *[line if not isinstance(line, str) else F.lit(line) for line in lines], points)
-    frames.table("supplier").select("s_suppkey", content.alias("value")).write.partitionBy("s_suppkey").text(path)
+    sinks.write_file_per_key(frames.table("supplier").select("s_suppkey", content.alias("value")), path, "s_suppkey", "value")
     headers = datafiles.pcd_headers(datafiles.read_point_headers(frames.spark, path, "part-*"))
     file = F.regexp_extract("file", "s_suppkey=([0-9]+)", 1).cast("bigint").alias("file")
     return headers.select(file, "version", "points", "data", *[F.array_join(c, " ").alias(c) for c in ("fields", "size")])

@@ -2,7 +2,7 @@
 
 Python data sources over ``pyarrow.fs``, which opens local paths and the common object stores. No file is
 held whole: digests go on in chunks, headers stop at their last line, and delimited files fall into ranges
-that several tasks read.
+that several tasks read. Small files and ranges are packed, so that a task reads many of them.
 
 A record may have line breaks inside quotes, so a range cannot tell by itself where one begins. The quotes
 of each range are counted first; the sum of those before a range, modulo 2, says whether it begins inside
@@ -41,7 +41,31 @@ class FilePart(InputPartition):
     quoted: bool = False
 
 
-def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+@dataclass
+class FilePack(InputPartition):
+    """Parts that one task reads, one after another."""
+
+    parts: list[FilePart]
+
+
+def packed(parts: list[FilePart], tasks: int, most: int = RANGE_BYTES) -> list[FilePack]:
+    """The parts in their order, in packs of about the same bytes: a pack for each of ``tasks``, more if they would be beyond ``most``.
+
+    Opening a file counts as a 256th of ``most``, so a pack has that many parts at most. A part that is as large is alone.
+    """
+    sizes = [most // 256 + part.end - part.start for part in parts]
+    each, packs, held = min(most, -(-sum(sizes) // max(tasks, 1))), [], 0
+    for part, size in zip(parts, sizes):
+        if not packs or held + size > each:
+            packs.append(FilePack([]))
+            held = 0
+        packs[-1].parts.append(part)
+        held += size
+    return packs
+
+
+def opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path, and the path in it."""
     for name in ("s3a://", "s3n://"):
         path = path.replace(name, "s3://", 1) if path.startswith(name) else path
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
@@ -49,7 +73,7 @@ def _opened(path: str) -> tuple[pafs.FileSystem, str]:
 
 def listed(path: str, glob: str = "*") -> list[FilePart]:
     """All files at or below ``path`` whose name matches, hidden ones left out, as one part each."""
-    store, inner = _opened(path)
+    store, inner = opened(path)
     prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
     info = store.get_file_info(inner)
     if info.type == pafs.FileType.NotFound:
@@ -61,7 +85,7 @@ def listed(path: str, glob: str = "*") -> list[FilePart]:
 
 def chunks(part: FilePart, size: int = CHUNK_BYTES, beyond: bool = False) -> Iterator[bytes]:
     """The bytes of a part, ``size`` at a time; ``beyond`` goes on to the end of the file."""
-    store, inner = _opened(part.path)
+    store, inner = opened(part.path)
     with store.open_input_file(inner) as file:
         file.seek(part.start)
         at, end = part.start, part.size if beyond else part.end
@@ -122,7 +146,7 @@ def records(part: FilePart, size: int = CHUNK_BYTES) -> Iterator[tuple[int, byte
 
 
 class _Files(DataSource):
-    """Options: ``path``, ``glob``, ``range_bytes``, and ``quoted`` (whether each range begins inside quotes, as 0 and 1)."""
+    """Options: ``path``, ``glob``, ``tasks``, ``range_bytes``, and ``quoted`` (whether each range begins inside quotes, as 0 and 1)."""
 
     columns = ""
 
@@ -140,17 +164,15 @@ class _Reader(DataSourceReader):
         self.read_part, self.options, self.ranged = read_part, dict(options), ranged
 
     def partitions(self) -> list[InputPartition]:
-        files = listed(self.options["path"], self.options.get("glob", "*"))
-        if not self.ranged:
-            return files or [FilePart("", 0, 0.0, 0, 0)]
-        size, flags = int(self.options.get("range_bytes", RANGE_BYTES)), self.options.get("quoted", "")
-        parts = [FilePart(f.path, f.size, f.modified, at, min(f.size, at + size)) for f in files for at in range(0, f.size, size)]
-        for part, flag in zip(parts, flags):
-            part.quoted = flag == "1"
-        return parts or [FilePart("", 0, 0.0, 0, 0)]
-
-    def read(self, part: FilePart):
-        if part.path:
+        parts, size = listed(self.options["path"], self.options.get("glob", "*")), int(self.options.get("range_bytes", RANGE_BYTES))
+        if self.ranged:
+            parts = [FilePart(f.path, f.size, f.modified, at, min(f.size, at + size)) for f in parts for at in range(0, f.size, size)]
+            for part, flag in zip(parts, self.options.get("quoted", "")):
+                part.quoted = flag == "1"
+        return packed(parts, int(self.options.get("tasks", 1)), size) or [FilePack([])]
+
+    def read(self, pack: FilePack):
+        for part in pack.parts:
             yield from self.read_part(part)
 
 
@@ -225,7 +247,7 @@ class TextRecords(_Files):
 
 def _load(spark: SparkSession, source: type[DataSource], path: str, **options: str) -> DataFrame:
     spark.dataSource.register(source)
-    return spark.read.format(source.name()).options(path=path, **options).load()
+    return spark.read.format(source.name()).options(path=path, tasks=str(spark.sparkContext.defaultParallelism), **options).load()
 
 
 def read_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -7,7 +7,7 @@ import random
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from ledgerloom.sources import datafiles, fileranges as fr
+from ledgerloom.sources import datafiles, fileranges as fr, sinks
 
 
 def test_digests_in_chunks(spark, tmp_path, monkeypatch):
@@ -101,3 +101,29 @@ def test_malformed_rows_and_empty_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text('a;b\n1;2\nx;3\n4\n5;6;7\n\n"8";"9"')
     read = datafiles.read_by_dialect(spark, str(tmp_path), "a int, b int")
     assert sorted((r.a or 0, r.b or 0) for r in read.collect()) == [(0, 3), (1, 2), (4, 0), (5, 6), (8, 9)]
+
+
+def test_small_files_are_packed(spark, tmp_path):
+    """A task a file took 30 ms each."""
+    for i in range(300):
+        (tmp_path / f"{i:03d}.pcd").write_bytes(b"VERSION %d\nDATA ascii\n" % i)
+    found = fr.read_headers(spark, str(tmp_path), ("version",), "data")
+    assert sorted(r.header for r in found.collect()) == sorted(f"VERSION {i}\nDATA ascii" for i in range(300))
+    assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_packs_keep_the_parts_and_stay_bounded():
+    parts = [fr.FilePart(str(i), size, 0.0, 0, size) for i, size in enumerate([0, 10, 3 * fr.RANGE_BYTES, 5, fr.RANGE_BYTES] + [1000] * 2000)]
+    for tasks in (1, 8, 10_000):
+        packs = fr.packed(parts, tasks)
+        assert [p for pack in packs for p in pack.parts] == parts
+        assert all(len(p.parts) == 1 or sum(x.end for x in p.parts) <= fr.RANGE_BYTES for p in packs)
+    assert fr.packed([], 8) == []
+
+
+def test_a_file_per_key(spark, tmp_path):
+    rows = [(i, f"é {i}") for i in range(40)] + [(7, "more"), (None, "x"), (3, None)]
+    sinks.write_file_per_key(spark.createDataFrame(rows, "k bigint, t string").coalesce(1), str(tmp_path / "out"), "k", "t")
+    spark.createDataFrame(rows, "k bigint, t string").coalesce(1).write.partitionBy("k").text(str(tmp_path / "sink"))
+    content = lambda folder: {d.name: [f.read_bytes() for f in d.glob("part-*")] for d in (tmp_path / folder).iterdir() if d.is_dir()}
+    assert content("out") == content("sink") and len(content("out")) == 41
