@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,7 +25,9 @@ def with_state(stream: DataFrame, keys: Sequence[str], step: Step, output: Struc
     """
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], store: GroupState) -> Iterator[pd.DataFrame]:
-        found, after = step(pd.concat(list(batches), ignore_index=True), tuple(store.get) if store.exists else None)
+        given = list(batches)
+        rows = given[0] if len(given) == 1 else pd.concat(given, ignore_index=True)
+        found, after = step(rows, tuple(store.get) if store.exists else None)
         if after is not None:
             store.update(after)
         yield found
@@ -43,27 +46,44 @@ def with_previous(stream: DataFrame, key: str, order: Sequence[str], value: str)
     output = StructType([*stream.schema.fields, StructField("before", fields[value].dataType), StructField("late", BooleanType())])
 
     def step(rows: pd.DataFrame, last: tuple | None):
-        rows = rows.sort_values(list(order), kind="stable", ignore_index=True)
-        late = pd.Series(False, index=rows.index)
+        # Plain arrays: with few rows a key, each operation on a series would cost more than all rows.
+        places = _places([rows[name].to_numpy() for name in order])
+        if (np.diff(places) != 1).any():
+            rows = rows.take(places)
+        late = np.zeros(len(rows), bool)
         if last is not None:
-            after, equal = pd.Series(False, index=rows.index), pd.Series(True, index=rows.index)
+            after, equal = np.zeros(len(rows), bool), np.ones(len(rows), bool)
             for name, seen in zip(order, last):
-                after |= equal & (rows[name] > seen)
-                equal &= rows[name] == seen
+                column, seen = _comparable(rows[name].to_numpy(), seen)
+                after |= equal & np.asarray(column > seen, bool)
+                equal &= np.asarray(column == seen, bool)
             late = ~after
-        on_time = rows[~late]
-        before = on_time[value].shift(1).astype(object)
-        if len(on_time) and last is not None:
-            before.iloc[0] = last[-1]
-        found = rows.assign(before=before.reindex(rows.index).astype(object).where(~late, None), late=late)
-        found["before"] = found["before"].where(found["before"].notna(), None)
-        if not len(on_time):
-            return found, None
-        return found, tuple(_plain(on_time.iloc[-1][n]) for n in names)
+        on_time, before = np.flatnonzero(~late), np.full(len(rows), None, object)
+        if len(on_time):
+            values = rows[value].astype(object).to_numpy()[on_time[:-1]]
+            before[on_time[1:]] = np.where(pd.isna(values), None, values)
+            before[on_time[0]] = None if last is None else last[-1]
+        found = rows.assign(before=before, late=late)
+        return found, tuple(_plain(rows[n].iat[on_time[-1]]) for n in names) if len(on_time) else None
 
     return with_state(stream, [key], step, output, state)
 
 
+def _places(columns: list[np.ndarray]) -> np.ndarray:
+    """The places of the rows in the order of the columns; equal ones stay as they are, missing values come last."""
+    if all(c.dtype.kind in "iufM" for c in columns):
+        return np.lexsort(columns[::-1])
+    frame = pd.DataFrame(dict(enumerate(columns)))
+    return frame.sort_values(list(frame.columns), kind="stable").index.to_numpy()
+
+
+def _comparable(column: np.ndarray, seen) -> tuple:
+    """A column and a value of the state as numpy or, for texts and decimals, pandas compares them."""
+    if column.dtype.kind == "M":
+        return column, np.datetime64(seen)
+    return (column if column.dtype.kind in "iuf" else pd.Series(column)), seen
+
+
 def _plain(value):
     """A value as the state store takes it."""
     if isinstance(value, pd.Timestamp):

@@ -2,13 +2,18 @@
 
 import datetime as dt
 import random
+import time
+import types
 from decimal import Decimal
 
+import pandas as pd
+from pyspark.sql.types import StructType
+
 from ledgerloom.operators import blinks
 from ledgerloom.operators.merge import BatchTable
 from ledgerloom.plans import telemetry
 from ledgerloom.sources import bundles
-from ledgerloom.streaming import alerts, gaze, ingest, positions
+from ledgerloom.streaming import alerts, gaze, ingest, keyed, positions
 from ledgerloom.streaming.jobs import file_stream, run_available, to_files
 
 
@@ -91,6 +96,22 @@ def test_updates_of_one_second_and_late_ones(spark, tmp_path):
     assert crossing_rows(spark, out) == [[2, 8], [0, 1]]
 
 
+def test_a_key_of_few_rows_takes_little_time(monkeypatch):
+    """A step took several milliseconds whatever its rows; here it meets 2,000 keys in each of two batches."""
+    steps = {}
+    monkeypatch.setattr(keyed, "with_state", lambda stream, keys, step, output, state: steps.setdefault("step", step))
+    keyed.with_previous(types.SimpleNamespace(schema=StructType.fromDDL(BALANCES)), "account_number", ["ts", "update_id"], "balance")
+    rows = pd.DataFrame({"account_number": [1] * 4, "ts": pd.to_datetime([at(3), at(1), at(1), at(2)]), "update_id": [4, 2, 1, 3], "balance": [Decimal(4), Decimal(2), None, Decimal(3)]})
+    began = time.process_time()
+    for _ in range(2000):
+        first, state = steps["step"](rows, None)
+        second, after = steps["step"](rows, (at(1), 2, Decimal(2)))
+    assert time.process_time() - began < 4000 * 0.002
+    assert list(first["update_id"]) == [1, 2, 3, 4] and list(first["before"]) == [None, None, Decimal(2), Decimal(3)] and not first["late"].any()
+    assert list(second["late"]) == [True, True, False, False] and list(second["before"]) == [None, None, Decimal(2), Decimal(3)]
+    assert state == after == (at(3), 4, Decimal(4))
+
+
 def test_uploads_are_registered_once(spark, tmp_path):
     schema = """upload_id bigint, filename string, file_size bigint, file_hash string, user_id string, owner_name string,
                 owner_email string, dataset string, upload_time_utc timestamp"""
