@@ -134,3 +134,25 @@ def test_long_runs_take_linear_time_and_no_stack(spark, forest):
     found = {r.row.doc_id: [len(f.value) for f in r.findings or []] for r in sc.scan(docs, forest).collect()}
     assert time.monotonic() - began < 60
     assert found[5] == [size + 1] and found[6] == [2 * size] and found[0] == found[2] == []
+
+
+def test_all_documents_lend_words_and_findings(spark, monkeypatch):
+    """From a sample of 400 documents neither the dictionary nor the findings were those of all."""
+    rows = [(i, f"common words of document number {i} " + " ".join(f"word{chr(97 + (i + k) % 26) * 3}" for k in range(20))) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    seen = {}
+    monkeypatch.setattr(sc, "learn_forest", lambda findings, words: seen.update(findings=findings, words=words))
+    sc.learn_from_documents(docs)
+    kinds = sc.labelled_findings(docs.limit(1)).count()
+    lent = {int(r.n) for r in seen["findings"].select(F.col("_id").alias("n")).distinct().collect()}
+    assert lent == set(range(1200))
+    assert 400 * kinds <= seen["findings"].count() < 400 * kinds + 1200
+    counted = dict(spark.createDataFrame([(w,) for _, t in rows for w in set(re.findall(r"[a-z]{4,}", t))], "w string").groupBy("w").count().collect())
+    assert seen["words"] == sorted(sorted(counted, key=lambda w: (-counted[w], w))[: sc.DICTIONARY_WORDS])
+
+
+def test_the_fit_does_not_follow_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(sc, "FIT_ROWS", 300)
+    findings = sc.labelled_findings(spark.read.parquet(f"{SMALL}/documents.parquet").limit(30))
+    one, other = (sc.learn_forest(findings.repartition(n), ["words"]).trees for n in (2, 7))
+    assert one and one == other
