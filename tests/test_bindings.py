@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from catalog.bindings import Frames
+from ledgerloom.session import shuffles_freed
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -27,3 +28,53 @@ def test_resources_are_landed_compressed(spark, monkeypatch):
     landed = frames.landed_resources("Patient")
     assert landed.count() == frames.table("customer").count()
     assert all(".zstd." in name for name in landed.inputFiles())
+
+
+def tables(spark, folder):
+    """Three orders: one of no line, one whose least part is unknown; a line, an order and a part that come twice; nulls."""
+    day = F.lit("2001-02-03").cast("timestamp")
+    rows = {
+        "customer": ([(1, 5, "BUILDING"), (2, 6, None)], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "orders": ([(10, 1, "O", "1-URGENT"), (11, 2, "F", "5-LOW"), (11, 2, "F", "5-LOW"), (12, 2, None, None), (None, 1, "O", "2-HIGH")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "lineitem": ([(10, 1, 7), (10, 1, 7), (10, 2, 8), (11, 1, 3), (11, 2, 8), (None, 1, 7), *((10, n, 7) for n in range(3, 8))],
+                     "l_orderkey long, l_linenumber int, l_partkey long"),
+        "part": ([(7, "seven"), (8, "eight"), (8, "eight")], "p_partkey long, p_name string"),
+        "documents": ([(1, "plain")], "doc_id long, text string"),
+        "pages": ([(1, "http://x")], "page_id long, url string"),
+    }
+    for name, (values, schema) in rows.items():
+        df = spark.createDataFrame(values, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", day)
+        if name == "lineitem":
+            df = df.withColumn("l_shipdate", day).withColumn("l_extendedprice", F.lit(10.5)).withColumn("l_discount", F.lit(0.1))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return Frames(spark, str(folder))
+
+
+def test_landing_holds_one_load_of_bundles_at_a_time(spark, monkeypatch, tmp_path):
+    frames, made = tables(spark, tmp_path), {}
+    monkeypatch.setattr(Frames, "_written", {})
+    monkeypatch.setattr("catalog.bindings.shared_dir", lambda spark, name: made.setdefault(name, str(tmp_path / name)))
+    for kind in ("Condition", "ExplanationOfBenefit"):
+        got = frames.landed_resources(kind).groupBy("bundle_id").count().collect()
+        assert {r.bundle_id: r["count"] for r in got} == {  # parts and orders that come twice count twice
+            "line/81": 2, "line/82": 2, "line/90": 4, "line/83": 1, "line/84": 1, "line/85": 1, "line/86": 1, "line/87": 1}
+    assert frames.landed_resources("Patient").count() == 2
+    left = [r.value for r in spark.read.text(made["arriving"]).collect()]
+    assert len(left) < 13 and all('"id":"line/' in v for v in left)
+    assert set(made) == {"arriving", "resources"}
+
+
+def test_reasons_of_encounters(spark, tmp_path):
+    got = tables(spark, tmp_path).encounter_bundles.select("file", F.get_json_object("value", "$.entry[0].resource.reasonCode[0].coding[0].display").alias("why"))
+    assert sorted(map(tuple, got.collect()), key=str) == [("encounter/10", "seven"), *[("encounter/11", None)] * 4, ("encounter/12", None)]
+
+
+def test_shuffle_files_go_when_their_job_ends(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with shuffles_freed(spark):
+        assert spark.conf.get(name) == "true"
+        spark.range(9).repartition("id").write.parquet(str(tmp_path / "rows"))
+    assert spark.conf.get(name) == "false" and spark.read.parquet(str(tmp_path / "rows")).count() == 9
