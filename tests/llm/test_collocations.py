@@ -107,6 +107,19 @@ def test_shared_codes_take_another_salt(spark, monkeypatch):
     assert salt == 1 and sorted(r["n"] for r in words.collect()) == [1, 1, 2]
 
 
+def test_a_task_emits_a_row_that_recurs_once(monkeypatch):
+    """Held rows are emitted when they differ, not whenever there are many."""
+    monkeypatch.setattr(c, "HELD_ROWS", 8)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"]), pa.array(["a b c", "a b"])], ["lang", "text"])
+    counted = lambda batches: [b.to_pydict() for b in c._counting(["lang", "word", "check"], c._of_words, 0)(batches)]
+    (once,) = counted([batch] * 9)
+    assert Counter(once["lang"]) == {"en": 3, "de": 2} and once["n"] == [9] * 5
+    unlike = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([f"a{i} b{i} c{i}"])], ["lang", "text"]) for i in range(9)]
+    emitted = counted(unlike)
+    assert len(emitted) == 3 and max(len(e["n"]) for e in emitted) <= 8 + 3 and sum(len(e["n"]) for e in emitted) == 27
+    assert counted([]) == []
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.text(alphabet="aB .\t\n,é", max_size=30), min_size=1, max_size=5), st.integers(1, 6))
 def test_lead_windows(texts, order):
