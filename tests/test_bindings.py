@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.bindings import Frames
 from ledgerloom.session import shuffles_freed
+from ledgerloom.sources import bundles
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -78,3 +79,34 @@ def test_shuffle_files_go_when_their_job_ends(spark, tmp_path):
         assert spark.conf.get(name) == "true"
         spark.range(9).repartition("id").write.parquet(str(tmp_path / "rows"))
     assert spark.conf.get(name) == "false" and spark.read.parquet(str(tmp_path / "rows")).count() == 9
+
+
+def test_loads_follow_the_tables_and_hold_every_bundle_once(spark, monkeypatch, tmp_path):
+    frames = tables(spark, tmp_path)
+    assert len(frames._loads("encounter")) == 1 and len(frames._loads("line")) == 4
+    want = {k: sorted(map(tuple, getattr(frames, f"{k}_bundles").collect()), key=str) for k in ("encounter", "line")}
+    for rows, counts in ((2, {"encounter": 2, "line": 5}), (1, {"encounter": 5, "line": 7})):
+        monkeypatch.setattr("catalog.bindings.LOAD_ROWS", rows)
+        monkeypatch.setattr("catalog.bindings.MOST_LOADS", 7)
+        for kind, number in counts.items():
+            loads = frames._loads(kind)
+            assert len(loads) == number
+            assert sorted((tuple(r) for load in loads for r in load.collect()), key=str) == want[kind]
+
+
+def test_landed_text_shares_its_prefixes(spark, tmp_path):
+    """Ids are most of what is landed; those in order mostly repeat the one before."""
+    number = F.col("id").cast("string")
+    condition = F.to_json(F.struct(
+        F.lit("Condition").alias("resourceType"), F.concat(F.lit("c"), number).alias("id"),
+        F.struct(F.concat(F.lit("Encounter/e"), number).alias("reference")).alias("encounter"),
+    ))
+    arrived = spark.range(0, 700_000, 7, 1).select(*Frames._bundle(F.concat(F.lit("line/"), number), condition))
+    bundles.land_by_type(arrived, str(tmp_path / "landed"))
+    landed = bundles.landed_entries(spark, str(tmp_path / "landed"), "Condition")
+    landed.write.option("compression", "zstd").parquet(str(tmp_path / "plain"))
+    size = lambda df: sum(os.path.getsize(name.removeprefix("file://").removeprefix("file:")) for name in df.inputFiles())
+    plain = spark.read.schema(landed.schema).parquet(str(tmp_path / "plain"))
+    assert size(landed) < 0.75 * size(plain)
+    digest = F.sum(F.xxhash64(F.to_json("resource"), "bundle_id", "file").cast("decimal(38,0)"))
+    assert landed.count() == 100_000 and landed.select(digest).first() == plain.select(digest).first()
