@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from catalog.bindings import Frames
+from catalog.claims import fhir_bundle_scan
 from ledgerloom.session import shuffles_freed
 from ledgerloom.sources import bundles
 
@@ -94,6 +95,19 @@ def test_loads_follow_the_tables_and_hold_every_bundle_once(spark, monkeypatch,
             assert sorted((tuple(r) for load in loads for r in load.collect()), key=str) == want[kind]
 
 
+def test_a_scan_keeps_its_rows_and_no_bundle(spark, monkeypatch, tmp_path):
+    frames, made = tables(spark, tmp_path), {}
+    monkeypatch.setattr(Frames, "_written", {})
+    monkeypatch.setattr("catalog.bindings.shared_dir", lambda spark, name: made.setdefault(name, str(tmp_path / name)))
+    got = fhir_bundle_scan(frames).groupBy("file", "resource_type").count().collect()
+    once = ["line/83", "line/84", "line/85", "line/86", "line/87"]
+    lines = {"line/81": 2, "line/82": 2, "line/90": 4} | dict.fromkeys(once, 1)
+    want = {("patient/1", "Patient"): 1, ("patient/2", "Patient"): 1, ("encounter/10", "Encounter"): 1, ("encounter/11", "Encounter"): 4, ("encounter/12", "Encounter"): 1}
+    want |= {(name, kind): n for name, n in lines.items() for kind in ("Condition", "ExplanationOfBenefit")}
+    assert {(r.file, r.resource_type): r["count"] for r in got} == want
+    assert set(made) == {"arriving", "scanned"} and spark.read.text(made["arriving"]).count() == 0
+
+
 def test_landed_text_shares_its_prefixes(spark, tmp_path):
     """Ids are most of what is landed; those in order mostly repeat the one before."""
     number = F.col("id").cast("string")
