@@ -238,24 +238,25 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
     return settled(left.join(pairs, "a").join(right, "b").where(possible).select("a", "b", "left", "right").mapInArrow(check, "a bigint, b bigint"))
 
 
-def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
+def contract(labels: DataFrame, links: DataFrame, most_links: int | None = None, most_labels: int | None = None) -> DataFrame:
     """``labels`` (node, label) after the links ``a``, ``b`` between labels are drawn together.
 
     Each label moves to its smallest neighbour, links follow, until no link is left. Ids are
     hashes, so chains of falling ids are short. A label without links keeps its name.
+    ``most_links`` and ``most_labels`` are numbers of rows, if known.
     """
     steps = []
-    links = settled(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    while not links.isEmpty():
+    links = settled(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), most_links)
+    while left := links.count():
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        moves = settled(both.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("label"), F.least("a", "to").alias("to")))
+        moves = settled(both.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("label"), F.least("a", "to").alias("to")), 2 * left)
         steps.append(moves)
         first, second = (moves.select(F.col("label").alias(c), F.col("to").alias(f"to_{c}")) for c in "ab")
         moved = links.join(first, "a").join(second, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
-        links = settled(moved.where("a <> b").distinct())
+        links = settled(moved.where("a <> b").distinct(), left)
     for moves in steps:
         labels = labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    return settled(labels) if steps else labels
+    return settled(labels, most_labels) if steps else labels
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
@@ -266,9 +267,10 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket``, ``node``, ``label`` of the buckets that hold several classes."""
-    known = settled(_labelled(members.select("bucket", "node"), labels, "node", "label"))
+    most = members.count()
+    known = settled(_labelled(members.select("bucket", "node"), labels, "node", "label"), most)
     several = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return settled(known.join(several.select("bucket"), "bucket"))
+    return settled(known.join(several.select("bucket"), "bucket"), most)
 
 
 def _between_classes(opened: DataFrame) -> DataFrame:
@@ -326,16 +328,17 @@ def _close_in_small(opened: DataFrame, elements: DataFrame) -> DataFrame:
 def _compared_in_blocks(opened: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
     """Links ``a``, ``b`` between the nodes of different classes that share a bucket."""
     size = elements.select("node", F.octet_length("elements").alias("bytes"))
-    sized = settled(opened.join(size, "node"))
+    most = opened.count()
+    sized = settled(opened.join(size, "node"), most)
     per_label = sized.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     core = F.max(F.struct("n", "label", "bytes"))
     per_bucket = per_label.groupBy("bucket").agg(core["label"].alias("core"), F.sum("bytes").alias("bytes"), (F.sum("bytes") - core["bytes"]).alias("outside"))
-    dealt = sized.select("bucket", "node", "label").join(settled(per_bucket), "bucket")
+    dealt = sized.select("bucket", "node", "label").join(settled(per_bucket, most), "bucket")
 
     def blocks(side: str, rows: DataFrame, total: str) -> DataFrame:
         """Nodes are dealt by hash into as many blocks as their bytes ask for."""
         block = F.pmod(F.xxhash64("node", F.lit(side)), F.ceil(F.col(total) / BLOCK_BYTES))
-        placed = settled(rows.select("bucket", block.alias("block"), "node", "label"))
+        placed = settled(rows.select("bucket", block.alias("block"), "node", "label"), most)
         whole = placed.join(elements, "node").groupBy("bucket", "block")
         return whole.agg(F.collect_list(F.struct("node", "label", "elements")).alias(side)).select("bucket", side)
 
@@ -353,9 +356,11 @@ def _compared_in_blocks(opened: DataFrame, elements: DataFrame, threshold: float
 def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     """``labels`` after the links found between nodes, some of which may have no label yet."""
     ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
-    every = settled(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))))
+    links = found.count()
+    most = labels.count() + 2 * links
+    every = settled(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))), most)
     between = _labelled(_labelled(found, every, "a", "la"), every, "b", "lb")
-    return contract(every, between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    return contract(every, between.select(F.col("la").alias("a"), F.col("lb").alias("b")), links, most)
 
 
 def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -367,14 +372,15 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
     emitted = docs.select("text").mapInArrow(lambda batches: _node_elements(wanted.value)(batches), "node bigint, elements binary, short binary")
     elements = settled(emitted.groupBy("node").agg(F.first("elements").alias("elements"), F.first("short").alias("short")))
 
-    tried = settled(members.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
+    tried = settled(members.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")), members.count())
     links = _verified(tried, elements, threshold)
     ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    labels = contract(ends.select("node", F.col("node").alias("label")), links)
+    number = links.count()
+    labels = contract(ends.select("node", F.col("node").alias("label")), links, number, 2 * number)
 
     opened = _open_members(members, labels)
     while not opened.isEmpty():
-        pairs = settled(_between_classes(opened).join(tried, ["a", "b"], "left_anti"))
+        pairs = settled(_between_classes(opened).join(tried, ["a", "b"], "left_anti"), opened.count())
         found = _verified(pairs, elements, threshold)
         if found.isEmpty():
             break
@@ -383,8 +389,9 @@ def duplicate_nodes(nodes: DataFrame, docs: DataFrame, threshold: float = SIMILA
         opened = _open_members(opened, labels)
     if opened.isEmpty():
         return labels
-    sizes = settled(opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    few, many = (settled(opened.join(sizes.where(c).select("bucket"), "bucket")) for c in (F.col("n") <= FEW_NODES, F.col("n") > FEW_NODES))
+    most = opened.count()
+    sizes = settled(opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), most)
+    few, many = (settled(opened.join(sizes.where(c).select("bucket"), "bucket"), most) for c in (F.col("n") <= FEW_NODES, F.col("n") > FEW_NODES))
     pairs = settled(_close_in_small(few, elements).join(tried, ["a", "b"], "left_anti"))
     found = _verified(pairs, elements, threshold)
     if not many.isEmpty():
@@ -404,9 +411,10 @@ def document_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     nodes = worded.groupBy("node").agg(F.first("bands").alias("bands"))
     labels = duplicate_nodes(nodes, given, threshold)
     least = worded.groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("least"), F.count(F.lit(1)).alias("n"))
-    classed = settled(_labelled(least, labels, "node", "label"))
+    most = sketches.count()
+    classed = settled(_labelled(least, labels, "node", "label"), most)
     named = classed.groupBy("label").agg(F.min("least").alias("first"), F.sum("n").alias("class_size"))
-    of_node = settled(classed.select("node", "label").join(named, "label").select("node", "first", "class_size"))
+    of_node = settled(classed.select("node", "label").join(named, "label").select("node", "first", "class_size"), most)
     found = worded.join(of_node, "node").select(
         "id", "text_hash", F.col("first.id").alias("class_id"), "class_size",
         (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("keep"),
@@ -434,7 +442,7 @@ def keep_one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = settled(document_classes(docs, doc_id, text, threshold).where("class_size > 1"))
     gone = classes.where(~F.col("keep")).select("id", "text_hash")
     repeated = classes.where("keep").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "text_hash")
-    special = settled(gone.withColumn("gone", F.lit(True)).union(repeated.withColumn("gone", F.lit(False))).distinct())
+    special = settled(gone.withColumn("gone", F.lit(True)).union(repeated.withColumn("gone", F.lit(False))).distinct(), classes.count())
     marked = as_rows(docs).select("row", F.col(f"row.{doc_id}").alias("id"), F.xxhash64(f"row.{text}").alias("text_hash"))
     has_word = F.coalesce(F.col(f"row.{text}").rlike(_WORD), F.lit(False))
     plain, looked_up = _parted(marked.where(has_word), special)

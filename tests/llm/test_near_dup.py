@@ -233,3 +233,33 @@ def test_keep_one(spark):
     assert sorted((str(r.doc_id), r.class_id) for r in kept.collect()) == [("1", 2), ("1", 6), ("2", 3), ("2", 3), ("5", 4), ("None", 5)]
     assert nd.keep_one_per_class(docs.limit(0)).count() == 0
     assert nd.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_small_steps_are_written_by_few_tasks(spark, monkeypatch):
+    """Each of them used to be written by all tasks of its shuffle, most without a row or with a few."""
+    wrote, plain = [], nd.settled
+
+    def noted(df, *most):
+        kept = plain(df, *most)
+        wrote.append((kept.columns, len(kept.inputFiles())))
+        return kept
+
+    monkeypatch.setattr(nd, "settled", noted)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(60)]
+    texts += [f"{t} more" for t in texts[:40]] + texts[:20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = nd.keep_one_per_class(docs).select("doc_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.doc_id for r in kept) == list(range(60))
+    for columns in (["a", "b"], ["label", "to"], ["node", "label"], ["node", "first", "class_size"], ["id", "text_hash", "gone"]):
+        assert any(c == columns and n == 1 for c, n in wrote), columns
+    assert sum(n > 8 for _, n in wrote) <= 3, wrote
