@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from catalog.bindings import Frames
-from catalog.claims import fhir_bundle_scan
+from catalog.claims import bundles_to_patient_summary, fhir_bundle_scan, fhir_patient
 from ledgerloom.session import shuffles_freed
 from ledgerloom.sources import bundles
 
@@ -124,3 +124,29 @@ def test_landed_text_shares_its_prefixes(spark, tmp_path):
     assert size(landed) < 0.75 * size(plain)
     digest = F.sum(F.xxhash64(F.to_json("resource"), "bundle_id", "file").cast("decimal(38,0)"))
     assert landed.count() == 100_000 and landed.select(digest).first() == plain.select(digest).first()
+
+
+def test_a_query_lands_the_types_it_reads_in_one_pass_over_all_bundles(spark, monkeypatch, tmp_path):
+    """All types used to be landed for each query, ten times as much as a query of patients keeps."""
+    frames, made, passes = tables(spark, tmp_path), [], []
+    take, named = Frames._take_loads, lambda spark, name: made.append((name, str(tmp_path / f"{name}-{len(made)}"))) or made[-1][1]
+
+    def noted(self, landed):
+        passes.append(0)
+
+        def counted(found):
+            passes[-1] += found.count()
+            landed(found)
+
+        take(self, counted)
+
+    monkeypatch.setattr(Frames, "_written", {})
+    monkeypatch.setattr("catalog.bindings.shared_dir", named)
+    monkeypatch.setattr(Frames, "_take_loads", noted)
+    folders = lambda: [{x for x in os.listdir(path) if x.startswith("resource_type")} for name, path in made if name == "resources"]
+    assert fhir_patient(frames).count() == 2 and folders() == [{"resource_type=Patient"}]
+    whole = sum(getattr(frames, f"{k}_bundles").count() for k in ("patient", "encounter", "line", "odd"))
+    assert passes == [whole]
+    bundles_to_patient_summary(frames)
+    assert passes == [whole] * 2 and folders()[1] == {"resource_type=Encounter", "resource_type=ExplanationOfBenefit"}
+    assert bundles_to_patient_summary(frames).count() == 2 and passes == [whole] * 2
