@@ -1,3 +1,4 @@
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -150,3 +151,63 @@ def test_a_query_lands_the_types_it_reads_in_one_pass_over_all_bundles(spark, mo
     bundles_to_patient_summary(frames)
     assert passes == [whole] * 2 and folders()[1] == {"resource_type=Encounter", "resource_type=ExplanationOfBenefit"}
     assert bundles_to_patient_summary(frames).count() == 2 and passes == [whole] * 2
+
+
+def test_bundle_texts_are_json_of_their_rows(spark, tmp_path):
+    """Each bundle used to be generated as a whole per line; only names of parts and codes of orders need escapes."""
+    name, day = 'a "b" \\ c\né', F.lit("2001-02-03").cast("timestamp")
+    orders = [(10, 1, 'O"', "1-\\x"), (13, None, None, None), (-1, 3, "F", "2-HIGH")]
+    lines = [(10, 1, 7, 10.5), (13, 2, 8, None), (-1, 1, 7, 0.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").withColumn(
+        "o_orderdate", F.when(F.col("o_orderkey") != 13, day)).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double").withColumns(
+        {"l_shipdate": F.when(F.col("l_orderkey") != 13, day), "l_discount": F.lit(0.1)}).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(7, name), (8, None)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    frames = Frames(spark, str(tmp_path))
+
+    def coded(*codings):
+        return {"coding": [dict(zip(("system", "code", "display"), c, strict=False)) for c in codings]}
+
+    def line(key, number, code, shown, patient, day, charge, paid):
+        reference = {"reference": f"Encounter/e{key}"}
+        condition = {
+            "resourceType": "Condition", "id": f"c{number}",
+            "code": coded(("http://hl7.org/ICD-10", f"I{code}", "icd text"), ("http://SNOMED.info/sct", code, *shown)),
+            "clinicalStatus": coded(("clinical", "active")), "verificationStatus": coded(("verification", "confirmed")),
+            "category": [coded(("category", "encounter-diagnosis"))],
+            **({"onsetDateTime": f"{day}T10:00:00Z"} if day else {}), "subject": patient, "encounter": reference,
+        }
+        claim = {
+            "resourceType": "ExplanationOfBenefit", "id": f"k{number}", "status": "active",
+            **({"created": f"{day}T11:00:00Z"} if day else {}), "patient": patient, "item": [{"encounter": [reference]}],
+            "total": [{"amount": charge}], "payment": {"amount": paid},
+        }
+        return f"line/{number}", [condition, claim]
+
+    def encounter(key, kind, hundredth, period, code, shown, subject, ninth):
+        return f"encounter/{key}", [{
+            "resourceType": "Encounter", "id": f"e{key}", **kind,
+            "type": [coded(("http://snomed.info/sct", hundredth, f"type {hundredth}"))], "period": period,
+            "reasonCode": [coded(("http://snomed.info/sct", code, *shown))], "subject": subject, "serviceProvider": {"reference": f"Organization/{ninth}"},
+        }]
+
+    def texts(found):
+        plain = lambda x: json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+        bundles_of = {n: plain({"resourceType": "Bundle", "id": n, "entry": [{"resource": r} for r in rs]}) for n, rs in found}
+        return {n: t.replace('"@', "").replace('@"', "") for n, t in bundles_of.items()}  # numbers keep their zeros
+
+    amount = lambda value: {"value": f"@{value}@"}
+    seen = lambda df: {r.file: r.value for r in df.collect()}
+    assert seen(frames.line_bundles) == texts([
+        line(10, 81, "7", [name], {"reference": "Patient/1"}, "2001-02-03", amount("10.50"), amount("9.45")),
+        line(13, 106, "8", [], {}, None, {}, {}),
+        line(-1, -7, "7", [name], {"reference": "Patient/3"}, "2001-02-03", amount("0.00"), amount("0.00")),
+    ])
+    both = lambda a, b: {"start": f"{a}T08:00:00-05:00", "end": f"{b}T09:20:00-05:00"}
+    assert seen(frames.encounter_bundles) == texts([
+        encounter(10, {"status": 'O"', "class": {"code": "1", "display": "1-\\x"}}, "10", both("2001-02-03", "2001-02-07"), "7", [name], {"reference": "urn:uuid:1"}, 1),
+        encounter(13, {"class": {}}, "13", {}, "8", [], {}, 4),
+        encounter(-1, {"status": "F", "class": {"code": "2", "display": "2-HIGH"}}, "-1", both("2001-02-03", "2001-02-02"), "7", [name], {}, -1),
+    ])
+    escaping = [x for x in frames.line_bundles._jdf.queryExecution().optimizedPlan().toString().splitlines() if "StructsToJson" in x]
+    assert escaping and not any("l_orderkey" in x for x in escaping)  # names are escaped below their join

@@ -149,3 +149,47 @@ def test_append_unique_is_idempotent(spark, tmp_path):
     for number, batch in ((1, first), (2, second), (2, second)):
         sinks.append_unique(table, batch, "id", ["v"], number)
     assert sorted(map(tuple, table.read().drop("batch").collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_types_wanted_are_found_however_they_are_spelt(spark, tmp_path):
+    """Bundles that cannot hold a wanted type used to be parsed for it."""
+    texts = {
+        "plain": bundle({"resourceType": "Encounter", "id": "1"}),
+        "narrow": '{"resourceType":"Bundle","entry":[{"resource":{"id":"2","resourceType":"Encounter"}}]}',
+        "single": "{'resourceType':'Bundle','entry':[{'resource':{'resourceType':'Encounter','id':'3'}}]}",
+        "escaped": '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"\\u0045ncounter","id":"4"}}]}',
+        "named": bundle({"resourceType": "Patient", "id": "Encounter", "note": "Encounter/e1"}),
+        "other": bundle({"resourceType": "Claim", "encounter": {"reference": "Encounter/e1"}}),
+        "bare": '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":true,"id":"5"}}]}',
+        "broken": '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Encounter',
+        "none": None,
+    }
+    found = spark.createDataFrame(list(texts.items()), "file string, value string")
+    may = lambda *kinds: {r.file for r in found.where(bundles._may_hold(F.col("value"), kinds)).collect()}
+    assert may("Encounter") == {"plain", "narrow", "single", "escaped", "named"}
+    assert may("Claim", "Patient") == {"named", "other", "escaped"}
+    assert may("Encounter", "true") == may("5") == set(texts)
+    whole = bundles.bundle_resources(found)
+    for kinds in (["Encounter"], ["Claim", "Patient"], ["true"], ["Encounter", "true"]):
+        path = str(tmp_path / "-".join(kinds))
+        bundles.land_by_type(found, path, kinds=kinds)
+        landed = [r.file for kind in kinds for r in bundles.landed_entries(spark, path, kind).collect()]
+        assert sorted(landed) == sorted(r.file for r in whole.where(F.col("resource_type").isin(*kinds)).collect()) and landed
+
+
+def test_a_landed_type_is_read_by_the_fields_it_is_asked_for(spark, tmp_path):
+    """Whole resources used to be put together from their columns, and all fields taken, for each query."""
+    condition = {"resourceType": "Condition", "id": "c1", "code": CODING, "subject": {"reference": "Patient/p1"}, "onsetDateTime": "2020-02-03T00:00:00Z"}
+    odd = [
+        {"id": 7, "code": "text"}, {"id": None, "code": {"coding": "x"}}, {"id": {"a": 1}, "code": {"coding": ["y", None, {"system": 5, "code": True}]}},
+        {"id": "c2", "subject": "p", "category": [None, {"coding": []}]}, {"id": "c3", "code": None, "category": {}, "onsetDateTime": 2020.5}, {},
+    ]
+    texts = [(str(i), bundle({**({} if i % 2 else condition), "resourceType": "Condition", **o})) for i, o in enumerate([{}, *odd, *odd])]
+    found = spark.createDataFrame(texts, "file string, value string")
+    bundles.land_by_type(found, str(tmp_path / "landed"), kinds=["Condition"])
+    landed = bundles.parse_conditions(bundles.landed_entries(spark, str(tmp_path / "landed"), "Condition"))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(landed) == rows(bundles.parse_conditions(bundles.bundle_entries(found))) and landed.count() == 13
+    plan = lambda *columns: landed.select(*columns)._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
+    assert plan("fhir_condition_id").startswith("struct<resource:struct<0:string,1:string>>")
+    assert "onsetDateTime" not in plan("snomed_code", "category") and "variant" not in plan("snomed_code", "onset_date")
