@@ -211,3 +211,18 @@ def test_bundle_texts_are_json_of_their_rows(spark, tmp_path):
     ])
     escaping = [x for x in frames.line_bundles._jdf.queryExecution().optimizedPlan().toString().splitlines() if "StructsToJson" in x]
     assert escaping and not any("l_orderkey" in x for x in escaping)  # names are escaped below their join
+
+
+def test_large_loads_are_cut_into_many_tasks(spark, tmp_path, monkeypatch):
+    """A load of nine million lines was read by eleven tasks: eight cores waited for the last three."""
+    frames, seen = tables(spark, tmp_path), {"made": set(), "read": set()}
+    export, made, read = Frames._export, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(made), spark.conf.get(read)
+
+    def noted(found, path, mode):
+        seen["made"].add(spark.conf.get(made))
+        export(found, path, mode)
+
+    monkeypatch.setattr(Frames, "_export", staticmethod(noted))
+    frames._take_loads(lambda found: seen["read"].add(spark.conf.get(read)))
+    assert "16m" in seen["made"] and "48m" in seen["read"] and before == (spark.conf.get(made), spark.conf.get(read))
